@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("language",)
+MODULES = ("language", "records")
 
 
 def load():
