@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("language", "records")
+MODULES = ("language", "records", "links")
 
 
 def load():
