@@ -21,8 +21,10 @@ _TITLE_WORDS = sql_words("lower(title)")
 _TITLE_HITS = f"len(list_filter({_TITLE_WORDS}, lambda w: list_contains({LEX_SQL}, w)))"
 
 # tokens, hits and longest run per article; the run by gaps and islands
-VERDICT_CTE = f"""
-a AS ({ARTICLES_SQL}),
+def verdict_cte(articles_sql: str) -> str:
+    """CTEs ``a`` .. ``v``: the verdict of every article of a relation."""
+    return f"""
+a AS ({articles_sql}),
 m AS (SELECT doc_id, {_MASK} AS mask FROM a),
 u AS (SELECT doc_id, unnest(mask) AS hit, generate_subscripts(mask, 1) AS i FROM m),
 h AS (SELECT doc_id, i, i - row_number() OVER (PARTITION BY doc_id ORDER BY i) AS island FROM u WHERE hit = 1),
@@ -46,6 +48,9 @@ v AS (
 )"""
 
 
+VERDICT_CTE = verdict_cte(ARTICLES_SQL)
+
+
 @query("e0_has_body", with_articles(f"SELECT doc_id, {_HAS_BODY} AS has_body FROM a"))
 def e0(spark, sf):
     return articles(spark, sf).select("doc_id", L.has_body("content").alias("has_body"))
@@ -115,7 +120,7 @@ def e8_by_lang(spark, sf):
 
 
 # the sample rule: words n div 2 + 1 .. + 50 of bodies over 100 words, no title
-_SAMPLE = f"""
+SAMPLE_CTE = f"""
 s AS (SELECT doc_id, w[len(w) // 2 + 1 : len(w) // 2 + 50] AS w FROM
   (SELECT doc_id, {sql_words('content')} AS w FROM a) WHERE len(w) > 100),
 sm AS (SELECT doc_id, array_to_string(w, ' ') AS txt, list_transform(w, lambda x: CASE WHEN list_contains({LEX_SQL}, trim(lower(x), {STRIP_SQL})) THEN 1 ELSE 0 END) AS mask FROM s),
@@ -123,7 +128,7 @@ sj AS (SELECT doc_id, ({sql_any('lower(txt)', LEX.phrases)} OR list_sum(mask) *
   OR list_sum(mask) >= 15 OR contains(array_to_string(mask, ''), '111')) AS mid FROM sm)"""
 
 
-@query("e9_mid_sample", f"WITH a AS ({ARTICLES_SQL}), {_SAMPLE} SELECT doc_id, coalesce(mid, false) AS mid_foreign FROM a LEFT JOIN sj USING (doc_id)")
+@query("e9_mid_sample", f"WITH a AS ({ARTICLES_SQL}), {SAMPLE_CTE} SELECT doc_id, coalesce(mid, false) AS mid_foreign FROM a LEFT JOIN sj USING (doc_id)")
 def e9(spark, sf):
     return OP.mid_sample_verdict(articles(spark, sf), lex=LEX).select("doc_id", "mid_foreign")
 
