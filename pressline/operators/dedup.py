@@ -54,16 +54,13 @@ def combine_totals(df: DataFrame, *, key: str = "url", file: str = "file", dedup
     """One row: input files, total, unique and duplicate articles."""
     per_key = df.groupBy(key, file).agg(F.count("*").alias("n"))
     keys = per_key.groupBy(key).agg(F.sum("n").alias("n"))
-    unique = F.sum(F.when(F.col(key).isNull(), F.col("n")).otherwise(1)) if deduplicate else F.sum("n")
-    counts = keys.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("total_articles"),
-        F.coalesce(unique, F.lit(0)).cast("bigint").alias("unique_articles"),
-    )
-    files = per_key.select(file).distinct().agg(F.count(file).alias("input_files"))
-    return files.crossJoin(counts).select(
-        "input_files", "total_articles", "unique_articles",
-        (F.col("total_articles") - F.col("unique_articles")).alias("duplicate_articles"),
-    )
+    unique = F.when(F.col(key).isNull(), F.col("n")).otherwise(1) if deduplicate else F.col("n")
+    counts = keys.select(F.lit(0).alias("files"), F.col("n").alias("total"), unique.alias("unique"))
+    files = per_key.select(file).distinct().select(F.lit(1).alias("files"), F.lit(0).alias("total"), F.lit(0).alias("unique"))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    return counts.unionByName(files).agg(
+        total("files").alias("input_files"), total("total").alias("total_articles"), total("unique").alias("unique_articles")
+    ).withColumn("duplicate_articles", F.col("total_articles") - F.col("unique_articles"))
 
 
 def success_rate(unique: Column | str, total: Column | str) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pressline.operators.batches import global_index
@@ -17,22 +17,19 @@ def collector_stats(links: DataFrame, fetches: DataFrame) -> DataFrame:
     ``fetches(url, outcome)`` one row per page.  Article links are counted by
     occurrence; unique counts go through a partial aggregation by URL.
     """
+    names = ("pages_visited", "links_found", "unique_links", "categories", "tags", "authors", "errors", "failed_urls")
+
+    def row(df: DataFrame, **counts: Column) -> DataFrame:
+        return df.select(*[counts.get(n, F.lit(0)).cast("bigint").alias(n) for n in names])
+
+    article, kind, outcome = F.col("is_article"), F.col("kind"), F.col("outcome")
     per_url = links.groupBy("url", "kind", "is_article").agg(F.count("*").alias("n"))
-    found = per_url.agg(
-        F.coalesce(F.sum(F.when(F.col("is_article"), F.col("n"))), F.lit(0)).alias("links_found"),
-        F.count_if("is_article").alias("unique_links"),
-        F.count_if(F.col("kind") == "category").alias("categories"),
-        F.count_if(F.col("kind") == "tag").alias("tags"),
-        F.count_if(F.col("kind") == "author").alias("authors"),
-    )
-    pages = fetches.agg(
-        F.count_if(F.col("outcome") == "ok").alias("pages_visited"),
-        F.count_if(F.col("outcome") == "failed").alias("errors"),
-        F.count_if(F.col("outcome") != "ok").alias("failed_urls"),
-    )
-    return pages.crossJoin(found).select(
-        "pages_visited", "links_found", "unique_links", "categories", "tags", "authors", "errors", "failed_urls"
+    found = row(
+        per_url, links_found=F.when(article, F.col("n")), unique_links=article,
+        categories=kind == "category", tags=kind == "tag", authors=kind == "author",
     )
+    pages = row(fetches, pages_visited=outcome == "ok", errors=outcome == "failed", failed_urls=outcome != "ok")
+    return found.unionByName(pages).agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names])
 
 
 def extraction_stats(rows: DataFrame, *, error: str = "error", content: str = "content") -> DataFrame:
