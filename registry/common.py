@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pressline import fixed_values as fv
 from pressline.functions.text import WS
 from pressline.params import Blacklist, Lexicon, Rules, Site
+from pressline.session import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -45,6 +46,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def text_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """A table whose rows take long to work through, on all cores."""
+    return spread(table(spark, sf_dir, name).select(*columns))
+
+
 # --- SQL pieces -----------------------------------------------------------------
 def lit(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
@@ -102,7 +108,7 @@ FROM documents
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    d = text_table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source")
     title = F.substring_index("text", "\n", 1)
     at = F.instr("text", "\n")
     low = F.lower(F.substring(title, 1, 40))

@@ -15,14 +15,18 @@ from pressline.sources import readers, sinks
 from pressline.sources.dom import parse_pages
 from registry.common import (
     ARTICLES_SQL, BL, PAGES_SITE, articles, lit, query, sql_any, sql_count,
-    sql_list, sql_starts, table, with_articles,
+    sql_list, sql_starts, table, text_table, with_articles,
 )
 
 TODAY = date(2024, 5, 17)
 
 
+def pages(spark, sf):
+    return text_table(spark, sf, "pages", "page_id", "url", "html")
+
+
 def dom(spark, sf):
-    return parse_pages(table(spark, sf, "pages"))
+    return parse_pages(pages(spark, sf))
 
 
 # page anchors, their hrefs being root-relative in the fixture

@@ -18,10 +18,10 @@ from pressline.plans.articles import extract_rows, scrape_rows
 from pressline.sources.dom import node_table, parse_pages
 from registry.common import (
     LEX, RULES, SITE, WS_SQL, articles, lit, query, sql_any, sql_count, sql_first_rule,
-    sql_list, sql_strip, table, with_articles,
+    sql_list, sql_strip, table, text_table, with_articles,
 )
 from registry.language import SAMPLE_CTE, verdict_cte
-from registry.links import blacklist_sql, dom
+from registry.links import blacklist_sql, dom, pages
 from registry.press import ADVERT, PRESS_SQL, SCRIPTED, SHARE, press_pages
 
 CATS = Categories()
@@ -99,9 +99,9 @@ def b5(spark, sf):
 SELECT doc_id AS page_id, page_url, unnest(['https://news.example/page/2/', page_url || '?p=3']) AS url FROM p
 WHERE true""").replace("SELECT doc_id AS page_id", "SELECT * FROM (SELECT doc_id AS page_id") + ") WHERE url NOT IN (SELECT page_url || '?p=3' FROM p WHERE lang = 'de')")
 def b18(spark, sf):
-    pages = press_pages(spark, sf)
-    seen = pages.where(F.contains("html", F.lit('<html lang="de">'))).select(F.concat("url", F.lit("?p=3")).alias("url"))
-    return links.pagination_links(parse_pages(pages), seen).select("page_id", "page_url", "url")
+    derived = press_pages(spark, sf)
+    seen = derived.where(F.contains("html", F.lit('<html lang="de">'))).select(F.concat("url", F.lit("?p=3")).alias("url"))
+    return links.pagination_links(parse_pages(derived), seen).select("page_id", "page_url", "url")
 
 
 # --- title ------------------------------------------------------------------------------
@@ -164,7 +164,7 @@ def _java(fmt: str) -> str:
 
 def _rendered_ts(spark, sf, forms):
     """Every event time written in every form; '@' is the day and month name."""
-    e = table(spark, sf, "events").select("event_id", "ts")
+    e = text_table(spark, sf, "events", "event_id", "ts")
     named = F.concat(F.dayofmonth("ts").cast("string"), F.lit(". "), F.array(*[F.lit(n) for n, _ in fv.MONTHS_BASIC])[F.month("ts") - 1], F.lit(" "), F.year("ts").cast("string"))
     text = [named if f.startswith("@") else F.lit(f) if "%" not in f else F.date_format("ts", _java(f)) for f in forms]
     return e.select("event_id", F.posexplode(F.array(*text)).alias("form", "raw"))
@@ -371,14 +371,14 @@ BODY_SQL = f"nullif(CASE WHEN lang = 'es' THEN {_FALLBACK} ELSE {_BASIC} END, ''
 
 @query("c22_body_basic", with_press(f"SELECT doc_id AS page_id, md5(nullif({_BASIC}, '')) AS digest FROM p WHERE lang <> 'es'"))
 def c22(spark, sf):
-    pages = press_pages(spark, sf).where(~F.contains("html", F.lit('<html lang="es">')))
-    return P.body_of(parse_pages(pages)).select("page_id", F.md5("content").alias("digest"))
+    kept = press_pages(spark, sf).where(~F.contains("html", F.lit('<html lang="es">')))
+    return P.body_of(parse_pages(kept)).select("page_id", F.md5("content").alias("digest"))
 
 
 @query("c23_body_fallback", with_press(f"SELECT doc_id AS page_id, md5({_FALLBACK}) AS digest FROM p WHERE lang = 'es'"))
 def c23(spark, sf):
-    pages = press_pages(spark, sf).where(F.contains("html", F.lit('<html lang="es">')))
-    return P.body_of(parse_pages(pages)).select("page_id", F.md5("content").alias("digest"))
+    kept = press_pages(spark, sf).where(F.contains("html", F.lit('<html lang="es">')))
+    return P.body_of(parse_pages(kept)).select("page_id", F.md5("content").alias("digest"))
 
 
 # pages: a paragraph ends at its end tag, at the next paragraph or with its parent
@@ -493,7 +493,7 @@ SELECT page_id, url, title, date, 'news.example' AS author, {DEFAULT} AS categor
   SELECT page_id, url, md5(body) AS digest, CASE WHEN body IS NULL THEN 'No content extracted' END AS error FROM ({_alternative_sql()}))
 JOIN (SELECT page_id, {_H1} AS title, NULL::VARCHAR AS date FROM pages) USING (page_id)""")
 def c31(spark, sf):
-    rows = extract_rows(table(spark, sf, "pages"), rules=RULES)
+    rows = extract_rows(pages(spark, sf), rules=RULES)
     return rows.select("page_id", "url", "title", "date", "author", "category", "subtitle", F.md5("content").alias("digest"), "error")
 
 
@@ -511,7 +511,7 @@ def c31_press(spark, sf):
 @query("g13_extraction_stats", f"""SELECT count(*) AS total_attempted, count(body) AS successful_scrapes, count(*) - count(body) AS failed_scrapes,
   count(*) - count(body) AS empty_content FROM ({_alternative_sql()})""")
 def g13(spark, sf):
-    return stats.extraction_stats(extract_rows(table(spark, sf, "pages"), rules=RULES))
+    return stats.extraction_stats(extract_rows(pages(spark, sf), rules=RULES))
 
 
 @query("g14_batch_tallies", f"""WITH {SCRAPE_CTE}
@@ -532,7 +532,7 @@ SELECT CASE WHEN grouping(lang, f) = 0 THEN 'file' WHEN grouping(lang, f) = 1 TH
 FROM (SELECT *, regexp_extract(path, '[^/]*/?$') AS f FROM k WHERE rn = 1) GROUP BY ROLLUP (lang, f)""")
 def flagship(spark, sf):
     """Pages -> extracted articles -> language -> first seen by path -> counts."""
-    rows = extract_rows(table(spark, sf, "pages"), rules=RULES)
+    rows = extract_rows(pages(spark, sf), rules=RULES)
     path = F.regexp_extract("url", "^https?://[^/]*([^?#]*)", 1)
     keyed = rows.select(
         "page_id", "title", "content", path.alias("path"),
