@@ -11,7 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from pressline.functions.text import col, contains_any, count_contained, words
+from pressline.functions.text import (
+    col, contains_any, count_contained, sql_text, text_contains_any, words,
+)
 from pressline.params import Lexicon
 
 
@@ -24,8 +26,9 @@ def title_keyword(title: Column | str, lex: Lexicon) -> Column:
     return F.coalesce(contains_any(F.lower(col(title)), lex.title_keywords), F.lit(False))
 
 
-def strong_phrase(body: Column | str, phrases) -> Column:
-    return F.coalesce(contains_any(F.lower(col(body)), phrases), F.lit(False))
+def strong_phrase(low: Column | str, phrases) -> Column:
+    """Any phrase in the lower-cased text."""
+    return F.coalesce(text_contains_any(low, phrases), F.lit(False))
 
 
 def title_word_hits(title: Column | str, lex: Lexicon) -> Column:
@@ -42,13 +45,11 @@ def title_tokens_hit(title: Column | str, lex: Lexicon) -> Column:
     )
 
 
-def hit_mask(low: Column | str, lex: Lexicon) -> Column:
-    """One character per word of the lower-cased text: 1 for a lexicon term."""
-
-    def hit(w: Column) -> Column:
-        return F.when(F.btrim(w, F.lit(lex.strip_chars)).isin(*lex.terms), "1").otherwise("0")
-
-    return F.array_join(F.transform(words(low), hit), "")
+def hit_mask(words_column: str, lex: Lexicon) -> Column:
+    """One character per word of a column of lower-cased words: 1 for a lexicon term."""
+    terms = ", ".join(sql_text(t) for t in lex.terms)
+    chars = sql_text(lex.strip_chars)
+    return F.expr(f"array_join(transform({words_column}, w -> if(btrim(w, {chars}) in ({terms}), '1', '0')), '')")
 
 
 def mask_words(mask: Column | str) -> Column:
@@ -97,26 +98,34 @@ def verdict_reason(title: Column | str | None, body: Column | str, low: Column |
     reason = F.when(~has_body(body), F.lit(None).cast("string"))
     if title is not None:
         reason = reason.when(title_keyword(title, lex), "title_keyword")
-    reason = reason.when(contains_any(low, lex.phrases_b), "strong_phrase")
+    reason = reason.when(strong_phrase(low, lex.phrases_b), "strong_phrase")
     if title is not None:
         reason = reason.when(title_tokens_hit(title, lex), "title_tokens")
     return (
         reason.when(over_share(mask, lex), "token_share")
         .when(mask_hits(mask) >= lex.min_hits, "token_hits")
-        .when(contains_any(low, lex.phrases), "phrase_ab")
+        .when(strong_phrase(low, lex.phrases), "phrase_ab")
         .when(mask_has_run(mask, lex.min_run), "consecutive")
     )
 
 
-def mid_sample(body: Column | str, lex: Lexicon) -> Column:
-    """Words around the middle of a long text, joined by blanks; NULL if short."""
-    w = words(col(body))
-    mid = F.floor(F.size(w) / 2).cast("int") + 1
-    return F.when(
-        F.size(w) > lex.sample_over, F.array_join(F.slice(w, mid, F.lit(lex.sample_size)), " ")
-    )
+def mid_start(mask: Column | str) -> Column:
+    """1-based place of the middle word, NULL where the text is too short to sample."""
+    n = F.length(col(mask))
+    return F.floor(n / 2).cast("int") + 1
+
+
+def mid_words(words_column: str, mask: Column | str, lex: Lexicon) -> Column:
+    """Words around the middle joined by blanks; NULL for a short text."""
+    sample = F.slice(col(words_column), mid_start(mask), F.lit(lex.sample_size))
+    return F.when(F.length(col(mask)) > lex.sample_over, F.array_join(sample, " "))
+
+
+def mid_mask(mask: Column | str, lex: Lexicon) -> Column:
+    """The hit mask of ``mid_words``."""
+    return F.substr(col(mask), mid_start(mask), F.lit(lex.sample_size))
 
 
-def indicator_substrings(body: Column | str, lex: Lexicon) -> Column:
-    """Distinct B terms occurring as substrings of the text."""
-    return count_contained(F.lower(col(body)), lex.terms_b)
+def indicator_substrings(low: Column | str, lex: Lexicon) -> Column:
+    """Distinct B terms occurring as substrings of the lower-cased text."""
+    return count_contained(low, lex.terms_b)

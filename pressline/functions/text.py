@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Sequence
 from functools import reduce
-from operator import add, or_
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -37,29 +37,46 @@ def blank_to_null(c: Column | str) -> Column:
 
 def words(c: Column | str) -> Column:
     """Whitespace-separated words; blank text has none."""
-    return F.filter(F.split(col(c), WS + "+"), lambda w: w != "")
+    s = strip(c)
+    return F.when(s != "", F.split(s, WS + "+")).when(s == "", F.array().cast("array<string>"))
+
+
+def literals(values: Iterable[str]) -> Column:
+    """Literal array of texts without line breaks (folded to a constant)."""
+    return F.split(F.lit("\n".join(values)), "\n")
+
+
+def sql_text(value: str) -> str:
+    """SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def contains_any(c: Column | str, terms: Sequence[str]) -> Column:
-    """True if any term occurs as a substring.
+    """True if any term occurs as a substring: one pattern, for short texts."""
+    return col(c).rlike(any_of(terms)) if terms else F.lit(False)
+
 
-    A chain of ``contains`` stays inside generated code, where a repeated input
-    such as ``lower(text)`` is computed once; a lambda over a literal array
-    would compute it once per term.
+def text_contains_any(c: Column | str, terms: Sequence[str]) -> Column:
+    """``contains_any`` for long texts held in a column of their own.
+
+    A chain of plain searches in generated code is faster there than one pattern
+    of many branches.
     """
     c = col(c)
-    return reduce(or_, [F.contains(c, F.lit(t)) for t in terms], F.lit(False))
+    return reduce(or_, [F.contains(c, F.lit(t)) for t in terms]) if terms else F.lit(False)
 
 
 def starts_with_any(c: Column | str, terms: Sequence[str]) -> Column:
-    c = col(c)
-    return reduce(or_, [F.startswith(c, F.lit(t)) for t in terms], F.lit(False))
+    return col(c).rlike(f"^(?:{any_of(terms)})")
 
 
 def count_contained(c: Column | str, terms: Sequence[str]) -> Column:
-    """Number of distinct terms occurring as substrings."""
+    """Number of distinct terms occurring as substrings.
+
+    ``c`` should be a plain column: the search runs once per term.
+    """
     c = col(c)
-    return reduce(add, [F.contains(c, F.lit(t)).cast("bigint") for t in dict.fromkeys(terms)], F.lit(0).cast("bigint"))
+    return F.size(F.filter(literals(dict.fromkeys(terms)), lambda t: F.contains(c, t))).cast("bigint")
 
 
 def any_of(terms: Iterable[str]) -> str:

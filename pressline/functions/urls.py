@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pressline import fixed_values as fv
 from pressline.functions.text import (
-    any_of, col, contains_any, count_contained, starts_with_any,
+    any_of, col, contains_any, count_contained, let, starts_with_any,
 )
 from pressline.params import Blacklist, Site
 
@@ -106,22 +106,33 @@ def slugs(terms: Sequence[str]) -> list[str]:
     return [t.replace(" ", "-") for t in terms]
 
 
-def blacklist_reason(url: Column | str, title: Column | str | None, bl: Blacklist) -> Column:
+def blacklist_reason(url: Column | str, low_url: Column | str, low_title: Column | str | None, bl: Blacklist) -> Column:
     """First reason why a link is unwanted, NULL if it is fine.
 
-    Title rules run only where a title is known and not blank.
+    Takes the lower-cased URL and title as columns of their own.  Title rules
+    run only where a title is known and not blank.
     """
-    url = col(url)
+    url, low = col(url), col(low_url)
     reason = F.when(url.isin(*bl.urls) if bl.urls else F.lit(False), "url")
-    if title is not None:
-        t = col(title)
+    if low_title is not None:
+        t = col(low_title)
         known = F.coalesce(t != "", F.lit(False))
         reason = (
-            reason.when(known & title_starts_foreign(t, bl), "title_start")
-            .when(known & (title_indicator_count(t, bl) >= bl.title_indicator_min), "title_indicators")
-            .when(known & title_has_term(t, bl), "title_term")
+            reason.when(known & starts_with_any(t, bl.title_starters), "title_start")
+            .when(known & (count_contained(t, bl.title_indicators) >= bl.title_indicator_min), "title_indicators")
+            .when(known & contains_any(t, bl.terms), "title_term")
         )
-    return reason.when(url_has_term(url, bl), "url_term").when(url_lang_path(url, bl), "url_lang")
+    return reason.when(contains_any(low, slugs(bl.terms)), "url_term").when(contains_any(low, bl.lang_paths), "url_lang")
+
+
+def with_blacklist_reason(df: DataFrame, bl: Blacklist, *, url: str = "url", title: str | None = None,
+                          out: str = "blacklist_reason") -> DataFrame:
+    """Add the first reason why a link is unwanted, NULL if it is fine."""
+    lowered = {"_low_url": F.lower(url)}
+    if title is not None:
+        lowered["_low_title"] = F.lower(title)
+    reason = blacklist_reason(url, "_low_url", "_low_title" if title is not None else None, bl)
+    return let(let(df, **lowered), **{out: reason}).drop("_low_url", "_low_title")
 
 
 def title_reject(title: Column | str, bl: Blacklist) -> Column:

@@ -12,7 +12,7 @@ from pressline.functions import categories as C
 from pressline.functions import dates as D
 from pressline.functions import urls as U
 from pressline.functions.text import (
-    WS, blank_to_null, col, contains_any, let, strip,
+    WS, blank_to_null, col, contains_any, count_contained, let, strip,
 )
 from pressline.operators.nodes import (
     Selector, attr, attr_or_null, cascade, content_or_text, descendants,
@@ -318,13 +318,11 @@ def subtitle_candidates(bl: Blacklist) -> Column:
         return texts_of(strong, 5, "strong", fits=fits)
 
     head = lambda s: F.slice(find_all(s), 1, 1)
+    areas = F.concat(*[head(s) for s in SUBTITLE_AREAS])
     return F.concat(
-        *[texts_of(find_all(s), 10, "direct") for s in SUBTITLE_DIRECT],
-        *[texts_of(head(s), 8, "meta", lambda n: strip(attr(n, "content"))) for s in SUBTITLE_META],
-        *[
-            F.flatten(F.transform(head(s), lambda a: _paragraph_candidates(a, bl)))
-            for s in SUBTITLE_AREAS
-        ],
+        texts_of(F.concat(*[find_all(s) for s in SUBTITLE_DIRECT]), 10, "direct"),
+        texts_of(F.concat(*[head(s) for s in SUBTITLE_META]), 8, "meta", lambda n: strip(attr(n, "content"))),
+        F.flatten(F.transform(areas, lambda a: _paragraph_candidates(a, bl))),
         texts_of(head(SUBTITLE_INTRO), 7, "intro"),
         # strong elements count only in the last area of the list
         F.flatten(F.transform(head(SUBTITLE_AREAS[-1]), of_strong)),
@@ -482,23 +480,28 @@ def with_metadata(dom: DataFrame) -> DataFrame:
     )
 
 
-def html_foreign_reason(bl: Blacklist) -> Column:
-    """Why the page's own markup calls it foreign: 'lang', 'title', 'class' or NULL.
+def with_html_reason(dom: DataFrame, bl: Blacklist, *, out: str = "html_reason") -> DataFrame:
+    """Add why the page's own markup calls it foreign: 'lang', 'title', 'class' or NULL.
 
     The language test is exact, so a regional tag such as ``xx-YY`` is foreign
     unless it is listed.
     """
-    lang = F.lower(first(sel("html"), attr_or_null("lang")))
-    title = F.lower(first(sel("title"), text_of))
-    classes = first(sel("body"), lambda n: F.array_join(n["classes"], " "))
-    hits_a = sum((F.contains(title, F.lit(t)).cast("int") for t in bl.html_title_a), F.lit(0))
-    return (
-        F.when(~lang.isin(*bl.allowed_langs), "lang")
-        .when((hits_a >= 2) | contains_any(title, bl.html_title_b), "title")
-        .when(contains_any(classes, U.slugs(bl.terms)), "class")
+    found = let(
+        dom,
+        _lang=F.lower(first(sel("html"), attr_or_null("lang"))),
+        _title=F.lower(first(sel("title"), text_of)),
+        _classes=first(sel("body"), lambda n: F.array_join(n["classes"], " ")),
+    )
+    bad_title = contains_any("_title", bl.html_title_b)
+    if bl.html_title_a:
+        bad_title = (count_contained("_title", bl.html_title_a) >= 2) | bad_title
+    reason = (
+        F.when(~F.col("_lang").isin(*bl.allowed_langs), "lang")
+        .when(bad_title, "title")
+        .when(contains_any("_classes", U.slugs(bl.terms)), "class")
     )
+    return let(found, **{out: reason}).drop("_lang", "_title", "_classes")
 
 
 def foreign_by_html(dom: DataFrame, bl: Blacklist) -> DataFrame:
-    out = let(dom, html_reason=html_foreign_reason(bl))
-    return out.withColumn("html_foreign", F.col("html_reason").isNotNull())
+    return with_html_reason(dom, bl).withColumn("html_foreign", F.col("html_reason").isNotNull())

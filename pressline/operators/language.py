@@ -6,17 +6,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pressline.functions import language as L
-from pressline.functions.text import let
+from pressline.functions.text import let, words
 from pressline.operators.records import parse_records
 from pressline.params import Lexicon
 
 LEX = Lexicon()
 
 
-def with_tokens(df: DataFrame, *, body: str = "content", lex: Lexicon = LEX) -> DataFrame:
-    """Add the lower-cased body and its hit mask, the input of all token rules."""
+def with_tokens(df: DataFrame, *, body: Column | str = "content", lex: Lexicon = LEX) -> DataFrame:
+    """Add the lower-cased body, its words and their hit mask, the input of all token rules."""
     lowered = let(df, body_lower=F.lower(body))
-    return let(lowered, hit_mask=L.hit_mask("body_lower", lex))
+    split = let(lowered, body_words=words("body_lower"))
+    return let(split, hit_mask=L.hit_mask("body_words", lex))
+
+
+TOKEN_COLUMNS = ("body_lower", "body_words", "hit_mask")
 
 
 def language_verdict(
@@ -34,7 +38,7 @@ def language_verdict(
             .withColumn("n_hits", L.mask_hits("hit_mask"))
             .withColumn("max_run", L.mask_max_run("hit_mask"))
         )
-    return out.drop("body_lower", "hit_mask")
+    return out.drop(*TOKEN_COLUMNS)
 
 
 def mid_sample_verdict(df: DataFrame, *, body: str = "content", lex: Lexicon = LEX) -> DataFrame:
@@ -42,14 +46,23 @@ def mid_sample_verdict(df: DataFrame, *, body: str = "content", lex: Lexicon = L
 
     Texts of up to ``sample_over`` words are not sampled and give false.
     """
-    sampled = let(df, mid_sample=L.mid_sample(body, lex))
-    judged = let(
-        with_tokens(sampled, body="mid_sample", lex=lex),
-        mid_reason=L.verdict_reason(None, "mid_sample", "body_lower", "hit_mask", lex),
-    )
-    return judged.withColumn("mid_foreign", F.col("mid_reason").isNotNull()).drop(
-        "body_lower", "hit_mask", "mid_sample", "mid_reason"
+    judged = with_mid_reason(with_tokens(df, body=body, lex=lex), lex=lex)
+    return judged.withColumn("mid_foreign", F.col("mid_reason").isNotNull()).drop(*TOKEN_COLUMNS, "mid_reason")
+
+
+def with_mid_reason(tokens: DataFrame, *, lex: Lexicon = LEX, only: Column | None = None) -> DataFrame:
+    """Add ``mid_reason`` from the tokens of the whole body, without splitting it again.
+
+    ``only`` restricts the work to the rows where it still matters.
+    """
+    wanted = F.lit(True) if only is None else only
+    sampled = let(
+        tokens,
+        _mid_words=F.when(wanted, L.mid_words("body_words", "hit_mask", lex)),
+        _mid_mask=F.when(wanted, L.mid_mask("hit_mask", lex)),
     )
+    reason = L.verdict_reason(None, "_mid_words", "_mid_words", "_mid_mask", lex)
+    return let(sampled, mid_reason=reason).drop("_mid_words", "_mid_mask")
 
 
 def record_verdict(records: DataFrame, *, raw: str = "raw", lex: Lexicon = LEX, compat: bool = False) -> DataFrame:
@@ -79,8 +92,8 @@ def max_run_islands(df: DataFrame, key: str, *, body: str = "content", lex: Lexi
     independent check.  The words of one text spread over the whole cluster only
     up to that text's own size.
     """
-    words = df.select(key, F.posexplode(L.words(F.lower(body))).alias("pos", "w"))
-    hits = words.where(F.btrim("w", F.lit(lex.strip_chars)).isin(*lex.terms))
+    tokens = df.select(key, F.posexplode(words(F.lower(body))).alias("pos", "w"))
+    hits = tokens.where(F.btrim("w", F.lit(lex.strip_chars)).isin(*lex.terms))
     ranked = hits.withColumn("rank", F.expr(f"row_number() over (partition by {key} order by pos)"))
     runs = ranked.groupBy(key, (F.col("pos") - F.col("rank")).alias("island")).agg(F.count("*").alias("run"))
     best = runs.groupBy(key).agg(F.max("run").alias("max_run"))

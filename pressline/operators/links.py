@@ -54,11 +54,9 @@ MAIN_CONTENT = Selector(tags=("div",), id_like="main-content")
 def _wanted(links: DataFrame, site: Site, bl: Blacklist) -> DataFrame:
     href = F.col("url")
     listing = F.contains(href, F.lit("/category/")) | F.contains(href, F.lit("/tag/"))
-    judged = let(
-        links,
-        _ok=F.contains(href, F.lit(site.domain)) & ~listing & U.blacklist_reason("url", "title", bl).isNull(),
-    )
-    return judged.where("_ok").select("page_id", "page_url", "url").distinct()
+    on_site = links.where(F.contains(href, F.lit(site.domain)) & ~listing)
+    judged = U.with_blacklist_reason(on_site, bl, title="title").where(F.col("blacklist_reason").isNull())
+    return judged.select("page_id", "page_url", "url").distinct()
 
 
 def _link(n: Column) -> Column:
@@ -120,21 +118,13 @@ def drop_blacklisted_urls(links: DataFrame, blacklist: DataFrame, *, key: str =
     return links.join(blacklist.select(F.col(key)).distinct(), key, "left_anti")
 
 
-def with_blacklist_reason(df: DataFrame, *, url: str = "url", title: str | None = None,
-                          bl: Blacklist = BLACKLIST) -> DataFrame:
-    return let(df, blacklist_reason=U.blacklist_reason(url, title, bl))
-
-
 def filter_links(links: DataFrame, *, site: Site = SITE, bl: Blacklist = BLACKLIST) -> DataFrame:
     """Final link filter: listings, other domains, blacklist, foreign URL patterns."""
     u = F.col("url")
     listing = F.contains(u, F.lit("/author/")) | F.contains(u, F.lit("/tag/"))
-    keep = (
-        ~listing & F.contains(u, F.lit(site.domain))
-        & U.blacklist_reason("url", None, bl).isNull()
-        & ~contains_any(F.lower(u), bl.url_patterns)
-    )
-    return let(links, _keep=keep).where("_keep").drop("_keep")
+    on_site = links.where(~listing & F.contains(u, F.lit(site.domain)))
+    judged = U.with_blacklist_reason(on_site, bl).where(F.col("blacklist_reason").isNull())
+    return judged.where(~contains_any(F.lower(u), bl.url_patterns)).drop("blacklist_reason")
 
 
 # --- seeds --------------------------------------------------------------------------

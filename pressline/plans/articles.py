@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pressline.functions import urls as U
-from pressline.functions.language import indicator_substrings
-from pressline.functions.text import let
+from pressline.functions.language import indicator_substrings, verdict_reason
+from pressline.functions.text import contains_any, let
 from pressline.operators import fields as P
 from pressline.operators.dedup import dedup_first_seen
-from pressline.operators.language import language_verdict, mid_sample_verdict, record_verdict
+from pressline.operators.language import record_verdict, with_mid_reason, with_tokens
 from pressline.params import DEFAULT_RULES, Rules
 from pressline.schemas import ARTICLE, ARTICLE_EXTRACTED
 from pressline.sources.dom import parse_pages
@@ -20,18 +20,16 @@ from pressline.sources.readers import READ_ORDER
 def scrape_rows(pages: DataFrame, *, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """Basic articles with ``reject_reason`` (NULL = kept), one row per page.
 
-    The reject rules run in their fixed order.  Pages with a blacklisted URL are
-    emptied before parsing, so they cost nothing downstream.
+    The reject rules run in their fixed order, and a rule only looks at pages
+    that no earlier rule has rejected.  Pages with a blacklisted URL are emptied
+    before parsing, so they cost next to nothing.
     """
     bl, lex = rules.blacklist, rules.lexicon
-    judged = let(pages.select("page_id", "url", "html"), _url_reason=U.blacklist_reason("url", None, bl))
-    wanted = F.col("_url_reason").isNull()
-    dom = parse_pages(judged.withColumn("html", F.when(wanted, F.col("html"))))
+    judged = U.with_blacklist_reason(pages.select("page_id", "url", "html"), bl, out="_url")
+    dom = parse_pages(judged.withColumn("html", F.when(F.col("_url").isNull(), F.col("html"))))
 
-    head = let(
-        dom,
-        _no_page=F.size("nodes") == 0,
-        _html=P.html_foreign_reason(bl),
+    fields = let(
+        P.with_html_reason(dom, bl, out="_html"),
         title=P.title_basic(),
         author=P.author_basic(rules.site),
         category_on_page=P.category_on_page(),
@@ -39,30 +37,45 @@ def scrape_rows(pages: DataFrame, *, rules: Rules = DEFAULT_RULES) -> DataFrame:
         container=P.first_element(P.BODY_BASIC),
     )
     body = F.when(F.col("container").isNotNull(), P.body_basic("container")).otherwise(P.body_fallback())
-    rows = let(
-        P.with_date_basic(head), content=P.blank_to_null(body), _title_bad=U.title_reject("title", bl),
-        _url_bad=U.blacklist_reason("url", None, bl), _both_bad=U.blacklist_reason("url", "title", bl),
+    full = let(P.with_date_basic(fields), content=P.blank_to_null(body), _no_page=F.size("nodes") == 0)
+    rows = P.best_subtitle(P.with_category_basic(full, rules)).select(
+        "page_id", *ARTICLE.names, "date_value", "_html", "_no_page"
     )
-    rows = P.best_subtitle(P.with_category_basic(rows, rules))
-    rows = rows.drop("nodes", "pieces", "piece_node", "json_ld", "candidates", "container", "category_on_page", "category_raw", "date_raw")
+    return reject_rows(rows, rules).select("page_id", *ARTICLE.names, "date_value", "reject_reason")
 
-    # the missing mark stands in for an unknown title, as it does in a record
-    rows = rows.withColumn("_shown_title", F.coalesce("title", F.lit("N/A")))
-    rows = language_verdict(rows, title="_shown_title", lex=lex)
-    rows = mid_sample_verdict(rows, lex=lex)
-    rows = let(rows, _n_terms=indicator_substrings("content", lex))
-    reason = (
-        F.when(F.col("_url_bad").isNotNull(), "url_blacklist")
+
+def reject_rows(rows: DataFrame, rules: Rules) -> DataFrame:
+    """Add ``reject_reason`` to assembled rows."""
+    bl, lex = rules.blacklist, rules.lexicon
+    low = let(rows, _low_url=F.lower("url"), _low_title=F.lower("title"))
+    early = let(
+        low,
+        _early=F.when(U.blacklist_reason("url", "_low_url", None, bl).isNotNull(), "url_blacklist")
         .when(F.col("_no_page"), "no_page")
         .when(F.col("_html").isNotNull(), "html_foreign")
-        .when(F.col("_both_bad").isNotNull(), "title_blacklist")
-        .when(F.col("_title_bad"), "title_reject")
-        .when(F.col("content").isNull(), "empty_body")
-        .when(F.col("_n_terms") > lex.max_substrings, "indicator_terms")
-        .when(F.col("is_foreign"), "language")
-        .when(F.col("mid_foreign"), "mid_sample")
+        .when(U.blacklist_reason("url", "_low_url", "_low_title", bl).isNotNull(), "title_blacklist")
+        .when(contains_any("_low_title", [t.lower() for t in bl.title_rejects]), "title_reject")
+        .when(F.col("content").isNull(), "empty_body"),
+    )
+    # rejected rows have no text to look at from here on
+    tokens = with_tokens(early, body=F.when(F.col("_early").isNull(), F.col("content")), lex=lex)
+    terms = let(tokens, _terms=indicator_substrings("body_lower", lex) > lex.max_substrings)
+    # the missing mark stands in for an unknown title, as it does in a record
+    shown_title = F.coalesce("title", F.lit("N/A"))
+    language = let(
+        terms,
+        _lang=F.when(~F.col("_terms"), verdict_reason(shown_title, "body_lower", "body_lower", "hit_mask", lex)),
+    )
+    still = ~F.col("_terms") & F.col("_lang").isNull()
+    judged = with_mid_reason(language, lex=lex, only=still)
+    return judged.withColumn(
+        "reject_reason",
+        F.coalesce(
+            "_early", F.when(F.col("_terms"), "indicator_terms"),
+            F.when(F.col("_lang").isNotNull(), "language"),
+            F.when(F.col("mid_reason").isNotNull(), "mid_sample"),
+        ),
     )
-    return rows.select("page_id", *ARTICLE.names, "date_value", reason.alias("reject_reason"))
 
 
 def extract_rows(pages: DataFrame, *, rules: Rules = DEFAULT_RULES) -> DataFrame:

@@ -63,7 +63,8 @@ def e1(spark, sf):
 
 @query("e2_strong_phrase", with_articles(f"SELECT doc_id, {sql_any('lower(content)', LEX.phrases_b)} AS hit FROM a"))
 def e2(spark, sf):
-    return articles(spark, sf).select("doc_id", L.strong_phrase("content", LEX.phrases_b).alias("hit"))
+    low = let(articles(spark, sf), low=F.lower("content"))
+    return low.select("doc_id", L.strong_phrase("low", LEX.phrases_b).alias("hit"))
 
 
 @query("e3_title_tokens_hit", with_articles(
@@ -89,7 +90,8 @@ def e5(spark, sf):
 
 @query("e6_strong_phrase_ab", with_articles(f"SELECT doc_id, {sql_any('lower(content)', LEX.phrases)} AS hit FROM a"))
 def e6(spark, sf):
-    return articles(spark, sf).select("doc_id", L.strong_phrase("content", LEX.phrases).alias("hit"))
+    low = let(articles(spark, sf), low=F.lower("content"))
+    return low.select("doc_id", L.strong_phrase("low", LEX.phrases).alias("hit"))
 
 
 @query("e7_max_run", f"WITH {VERDICT_CTE} SELECT doc_id, max_run, max_run >= 3 AS hit FROM v")
@@ -136,7 +138,7 @@ def e9(spark, sf):
 @query("e10_indicator_substrings", with_articles(
     f"SELECT doc_id, {sql_count('lower(content)', LEX.terms_b)} AS n, {sql_count('lower(content)', LEX.terms_b)} > 20 AS hit FROM a"))
 def e10(spark, sf):
-    n = let(articles(spark, sf), n=L.indicator_substrings("content", LEX))
+    n = let(let(articles(spark, sf), low=F.lower("content")), n=L.indicator_substrings("low", LEX))
     return n.select("doc_id", "n", (F.col("n") > LEX.max_substrings).alias("hit"))
 
 

@@ -135,7 +135,7 @@ def blacklist_sql(url: str, title: str, bl: Blacklist) -> str:
 
 @query("b12_blacklist_reason", with_articles(f"SELECT doc_id, {blacklist_sql('url', 'title', TERMS)} AS blacklist_reason FROM a WHERE url IS NOT NULL"))
 def b12(spark, sf):
-    judged = links.with_blacklist_reason(articles(spark, sf).where(F.col("url").isNotNull()), title="title", bl=TERMS)
+    judged = U.with_blacklist_reason(articles(spark, sf).where(F.col("url").isNotNull()), TERMS, title="title")
     return judged.select("doc_id", "blacklist_reason")
 
 
