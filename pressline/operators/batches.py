@@ -46,24 +46,26 @@ def assign_batches(links: DataFrame, *, size: int = 1000) -> DataFrame:
     return indexed.select((F.floor(F.col("idx") / size) + 1).cast("int").alias("batch_no"), "url")
 
 
-def batch_index(batches: DataFrame, *, size: int = 1000, prefix: str = "links_batch_") -> DataFrame:
-    """One row: total links, batch size, number of batches, ordered batch names.
-
-    The list has one entry per batch of ``size`` links, not per link.
-    """
+def batch_index(batches: DataFrame, *, size: int = 1000) -> DataFrame:
+    """One row: total links, batch size, number of batches."""
     per_batch = batches.groupBy("batch_no").agg(F.count("*").alias("n"))
-    names = F.transform(
-        F.sort_array(F.collect_list("batch_no")),
-        lambda b: F.concat(F.lit(prefix), b.cast("string"), F.lit(".json")),
-    )
     return per_batch.agg(
         F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("total_links"),
         F.lit(size).cast("bigint").alias("batch_size"),
         F.count("*").alias("total_batches"),
-        names.alias("batches"),
     )
 
 
+def batch_list(batches: DataFrame, *, prefix: str = "links_batch_") -> DataFrame:
+    """The ordered batch list of the index, as rows: (batch_no, file, n_links).
+
+    Rows instead of one array, because the list grows with the links.
+    """
+    counts = batches.groupBy("batch_no").agg(F.count("*").alias("n_links"))
+    name = F.concat(F.lit(prefix), F.col("batch_no").cast("string"), F.lit(".json"))
+    return counts.select("batch_no", name.alias("file"), "n_links").orderBy("batch_no")
+
+
 def batch_status(files: DataFrame, progress: DataFrame) -> DataFrame:
     """Per batch: output files and processed URLs; batches known to either side."""
     n_files = files.groupBy("batch_no").agg(F.count_distinct("file").alias("output_files"))

@@ -244,7 +244,10 @@ def next_frontier(candidates: DataFrame, visited: DataFrame, queued: DataFrame)
 
 
 def lookup(df: DataFrame, rules: DataFrame, *, column: str, key: str = "term") -> DataFrame:
-    """Rows joined with the rule whose key equals the column; others drop out."""
+    """Rows joined with the one rule whose key equals the column; others drop out.
+
+    Rule keys are unique, so no row is multiplied.
+    """
     return df.join(rules, df[column] == rules[key])
 
 

@@ -209,12 +209,12 @@ def node_table(dom: DataFrame) -> DataFrame:
     ``a.node_id < n.node_id and n.node_id <= a.last_id``.
     """
     n = F.col("n")
+    start, size = n["t0"] + 1, n["t1"] - n["t0"]
+    # a node's own pieces lie inside its share; joining skips the others' NULLs
     own = F.array_join(
-        F.transform(
-            F.filter(
-                F.arrays_zip("pieces", "piece_node"), lambda p: p["piece_node"] == n["id"]
-            ),
-            lambda p: p["pieces"],
+        F.zip_with(
+            F.slice("pieces", start, size), F.slice("piece_node", start, size),
+            lambda text, owner: F.when(owner == n["id"], text),
         ),
         "",
     )
@@ -224,5 +224,5 @@ def node_table(dom: DataFrame) -> DataFrame:
         n["depth"].alias("depth"), n["nth"].alias("nth"), n["tag"].alias("tag"),
         n["attrs"].alias("attrs"), n["classes"].alias("classes"),
         own.alias("own_text"),
-        F.array_join(F.slice("pieces", n["t0"] + 1, n["t1"] - n["t0"]), "").alias("text"),
+        F.array_join(F.slice("pieces", start, size), "").alias("text"),
     )

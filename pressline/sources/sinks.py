@@ -12,7 +12,7 @@ from pressline.sources.readers import READ_ORDER
 
 def _line(raw: Column) -> Column:
     """Record text without its last newline, which the text writer adds."""
-    return F.regexp_replace(raw, "\n$", "")
+    return F.regexp_replace(raw, r"\n\z", "")
 
 
 def _spread(df: DataFrame, *keys: str) -> DataFrame:

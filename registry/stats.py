@@ -22,11 +22,14 @@ def g8(spark, sf):
     return batched(spark, sf)
 
 
-@query("g9_batch_index", f"""SELECT count(*) AS total_links, {SIZE}::BIGINT AS batch_size, count(DISTINCT batch_no) AS total_batches,
-  string_agg(DISTINCT 'links_batch_' || batch_no || '.json', ',' ORDER BY 'links_batch_' || batch_no || '.json') AS batches FROM ({BATCHED_SQL})""")
+@query("g9_batch_index", f"SELECT count(*) AS total_links, {SIZE}::BIGINT AS batch_size, count(DISTINCT batch_no) AS total_batches FROM ({BATCHED_SQL})")
 def g9(spark, sf):
-    index = batches.batch_index(batched(spark, sf), size=SIZE)
-    return index.withColumn("batches", F.array_join(F.sort_array("batches"), ","))
+    return batches.batch_index(batched(spark, sf), size=SIZE)
+
+
+@query("g9_batch_list", f"SELECT batch_no, 'links_batch_' || batch_no || '.json' AS file, count(*) AS n_links FROM ({BATCHED_SQL}) GROUP BY batch_no")
+def g9_list(spark, sf):
+    return batches.batch_list(batched(spark, sf))
 
 
 @query("g10_batch_status", f"""
