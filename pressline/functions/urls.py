@@ -40,25 +40,40 @@ def _without_dot_segments(path: Column) -> Column:
     return F.concat(F.lit("/"), F.array_join(kept, "/"), tail)
 
 
+def base_parts(base: Column | str) -> Column:
+    """struct(url, origin, path, query, directory) of a page URL, for joining many links to it."""
+    base = col(base)
+    path = F.regexp_extract(base, _ORIGIN + r"([^?#]*)", 2)
+    return F.struct(
+        base.alias("url"),
+        F.regexp_extract(base, _ORIGIN, 1).alias("origin"),
+        path.alias("path"),
+        F.regexp_extract(base, _ORIGIN + r"[^?#]*(\?[^#]*)?", 2).alias("query"),
+        F.when(path == "", "/").otherwise(F.regexp_extract(path, r"^.*/", 0)).alias("directory"),
+    )
+
+
 def url_join(base: Column | str, href: Column | str) -> Column:
     """Resolve ``href`` against the page URL ``base`` (RFC 3986 reference forms)."""
-    base, href = col(base), col(href)
-    origin = F.regexp_extract(base, _ORIGIN, 1)
-    base_path = F.regexp_extract(base, _ORIGIN + r"([^?#]*)", 2)
-    base_query = F.regexp_extract(base, _ORIGIN + r"[^?#]*(\?[^#]*)?", 2)
+    return join_parts(base_parts(base), href)
+
+
+def join_parts(base: Column, href: Column | str) -> Column:
+    """``url_join`` with the ``base_parts`` of the page URL."""
+    href = col(href)
     ref_path = F.regexp_extract(href, r"^[^?#]*", 0)
     ref_rest = F.substr(href, F.length(ref_path) + 1)
-    directory = F.when(base_path == "", "/").otherwise(F.regexp_extract(base_path, r"^.*/", 0))
-    relative = F.regexp_replace(F.concat(directory, ref_path), "/{2,}", "/")
+    relative = F.regexp_replace(F.concat(base["directory"], ref_path), "/{2,}", "/")
     full = F.when(F.startswith(href, F.lit("/")), ref_path).otherwise(relative)
-    path = F.when(full.rlike(r"/\.\.?(/|$)"), _without_dot_segments(full)).otherwise(full)
+    dotted = F.contains(href, F.lit("./")) | F.contains(relative, F.lit("./")) | F.endswith(ref_path, F.lit("."))
+    path = F.when(dotted & full.rlike(r"/\.\.?(/|$)"), _without_dot_segments(full)).otherwise(full)
     return (
-        F.when(href == "", base)
-        .when(href.rlike(_SCHEME), href)
-        .when(F.startswith(href, F.lit("//")), F.concat(F.regexp_extract(base, _SCHEME, 0), href))
-        .when(F.startswith(href, F.lit("?")), F.concat(origin, base_path, href))
-        .when(F.startswith(href, F.lit("#")), F.concat(origin, base_path, base_query, href))
-        .otherwise(F.concat(origin, path, ref_rest))
+        F.when(href == "", base["url"])
+        .when(F.contains(href, F.lit(":")) & href.rlike(_SCHEME), href)
+        .when(F.startswith(href, F.lit("//")), F.concat(F.regexp_extract(base["origin"], _SCHEME, 0), href))
+        .when(F.startswith(href, F.lit("?")), F.concat(base["origin"], base["path"], href))
+        .when(F.startswith(href, F.lit("#")), F.concat(base["origin"], base["path"], base["query"], href))
+        .otherwise(F.concat(base["origin"], path, ref_rest))
     )
 
 

@@ -20,30 +20,35 @@ SITE, BLACKLIST = Site(), Blacklist()
 
 
 # --- from pages -------------------------------------------------------------------
-def anchors(dom: DataFrame) -> DataFrame:
-    """Every ``a[href]`` with its absolute URL: (page_id, page_url, node_id, href, url, title)."""
-    rows = F.transform(
-        find_all(sel("a", attr="href")),
-        lambda n: F.struct(n["id"].alias("node_id"), attr(n, "href").alias("href"), text_of(n).alias("title")),
-    )
-    return dom.select("page_id", F.col("url").alias("page_url"), F.inline(rows)).withColumn(
-        "url", U.url_join("page_url", "href")
-    )
+# A page's links are a set.  The set is made inside the page's row, so taking the
+# links out of pages moves no data between tasks.
+def _absolute(dom: DataFrame, hrefs: Column) -> DataFrame:
+    """(page_id, page_url, url): the set of a page's hrefs, resolved against its URL."""
+    based = let(dom, _base=U.base_parts("url"), _hrefs=F.array_distinct(hrefs))
+    return _rows(based, F.array_distinct(F.transform("_hrefs", lambda h: U.join_parts(F.col("_base"), h))))
+
+
+def hrefs_of(anchors: Column) -> Column:
+    return F.transform(anchors, lambda n: attr(n, "href"))
+
+
+def _rows(dom: DataFrame, urls: Column) -> DataFrame:
+    return dom.select("page_id", F.col("url").alias("page_url"), F.explode(urls).alias("url"))
 
 
 def extract_links(dom: DataFrame, *, site: Site | None = None) -> DataFrame:
     """Links that stay on the site's host; without a site, on the page's own host.
 
-    One row per page and URL (a page's links are a set), with the link kind.
+    One row per page and URL, with the link kind.
     """
     host = F.lit(site.domain) if site else U.host("page_url")
-    kept = let(anchors(dom), _same=U.host("url") == host).where("_same")
-    return kept.select("page_id", "page_url", "url").distinct().withColumn("kind", U.link_kind("url"))
+    found = _absolute(dom, hrefs_of(find_all(sel("a", attr="href"))))
+    return found.where(U.host("url") == host).withColumn("kind", U.link_kind("url"))
 
 
 def article_links(links: DataFrame, *, site: Site = SITE) -> DataFrame:
     """Links whose URL looks like an article."""
-    return let(links, _article=U.is_article_url("url", site)).where("_article").drop("_article")
+    return links.where(U.is_article_url("url", site))
 
 
 MODULES = Selector(tags=("article", "div"), cls_like=("item", "td-module"), fold=True)
@@ -51,16 +56,16 @@ HEADINGS = ("h1", "h2", "h3", "h4")
 MAIN_CONTENT = Selector(tags=("div",), id_like="main-content")
 
 
-def _wanted(links: DataFrame, site: Site, bl: Blacklist) -> DataFrame:
-    href = F.col("url")
-    listing = F.contains(href, F.lit("/category/")) | F.contains(href, F.lit("/tag/"))
-    on_site = links.where(F.contains(href, F.lit(site.domain)) & ~listing)
-    judged = U.with_blacklist_reason(on_site, bl, title="title").where(F.col("blacklist_reason").isNull())
-    return judged.select("page_id", "page_url", "url").distinct()
-
+def _wanted(anchors: Column, site: Site, bl: Blacklist) -> Column:
+    """Set of hrefs on the site that are no listings and not blacklisted."""
+    def keep(link: Column) -> Column:
+        url, title = link["url"], F.lower(link["title"])
+        listing = F.contains(url, F.lit("/category/")) | F.contains(url, F.lit("/tag/"))
+        bad = U.blacklist_reason(url, F.lower(url), title, bl).isNotNull()
+        return F.contains(url, F.lit(site.domain)) & ~listing & ~bad
 
-def _link(n: Column) -> Column:
-    return F.struct(attr(n, "href").alias("url"), text_of(n).alias("title"))
+    pairs = F.transform(anchors, lambda n: F.struct(attr(n, "href").alias("url"), text_of(n).alias("title")))
+    return F.array_distinct(F.transform(F.filter(F.array_distinct(pairs), keep), lambda p: p["url"]))
 
 
 def heading_links(dom: DataFrame, *, site: Site = SITE, bl: Blacklist = BLACKLIST) -> DataFrame:
@@ -70,8 +75,7 @@ def heading_links(dom: DataFrame, *, site: Site = SITE, bl: Blacklist = BLACKLIS
 
     headings = find_all(Selector(tags=HEADINGS, within=MODULES))
     found = F.filter(F.flatten(F.transform(headings, first_link)), lambda n: attr(n, "href").isNotNull())
-    rows = dom.select("page_id", F.col("url").alias("page_url"), F.inline(F.transform(found, _link)))
-    return _wanted(rows, site, bl)
+    return _rows(dom, _wanted(found, site, bl))
 
 
 def content_links(dom: DataFrame, *, area: str = "modules", segments: Sequence[str] = tuple(fv.ARTICLE_SEGMENTS),
@@ -84,8 +88,8 @@ def content_links(dom: DataFrame, *, area: str = "modules", segments: Sequence[s
         found = F.filter(
             F.flatten(F.transform(main, descendants)), lambda n: (n["tag"] == "a") & attr(n, "href").isNotNull()
         )
-    rows = dom.select("page_id", F.col("url").alias("page_url"), F.inline(F.transform(found, _link)))
-    return _wanted(rows.where(contains_any("url", segments)), site, bl)
+    dated = F.filter(found, lambda n: contains_any(attr(n, "href"), segments))
+    return _rows(dom, _wanted(dated, site, bl))
 
 
 PAGERS = [sel(cls=c) for c in ("pagination", "nav-links", "page-numbers", "wp-pagenavi", "paging", "page-navigation")]
@@ -93,19 +97,17 @@ PAGERS = [sel(cls=c) for c in ("pagination", "nav-links", "page-numbers", "wp-pa
 
 def pagination_links(dom: DataFrame, visited: DataFrame | None = None) -> DataFrame:
     """Absolute links of the first pager on a page that were not visited yet."""
-    hrefs = lambda n: F.transform(
-        F.filter(descendants(n), lambda a: (a["tag"] == "a") & attr(a, "href").isNotNull()),
-        lambda a: attr(a, "href"),
-    )
-    rows = dom.select("page_id", F.col("url").alias("page_url"), F.explode(cascade(PAGERS, hrefs)).alias("href"))
-    links = rows.select("page_id", "page_url", U.url_join("page_url", "href").alias("url")).distinct()
+    def hrefs(pager: Column) -> Column:
+        return hrefs_of(F.filter(descendants(pager), lambda a: (a["tag"] == "a") & attr(a, "href").isNotNull()))
+
+    links = _absolute(dom, cascade(PAGERS, hrefs))
     return links if visited is None else links.join(visited.select("url").distinct(), "url", "left_anti")
 
 
 def article_page_links(dom: DataFrame, *, site: Site = SITE) -> DataFrame:
     """Links ending in a page number that resolve to article URLs."""
-    paged = anchors(dom).where(F.col("href").rlike(r"/\d+/$"))
-    return article_links(paged.select("page_id", "page_url", "url").distinct(), site=site)
+    paged = F.filter(hrefs_of(find_all(sel("a", attr="href"))), lambda h: h.rlike(r"/\d+/$"))
+    return article_links(_absolute(dom, paged), site=site)
 
 
 # --- filters ------------------------------------------------------------------------
