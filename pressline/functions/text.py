@@ -31,8 +31,8 @@ def strip(c: Column | str) -> Column:
 
 
 def blank_to_null(c: Column | str) -> Column:
-    c = col(c)
-    return F.when(c != "", c)
+    """NULL for a blank text; a computed text is computed once."""
+    return F.get(F.filter(F.array(col(c)), lambda v: v != ""), F.lit(0))
 
 
 def words(c: Column | str) -> Column:

@@ -12,11 +12,13 @@ from pressline.functions import categories as C
 from pressline.functions import dates as D
 from pressline.functions import urls as U
 from pressline.functions.text import (
-    WS, blank_to_null, col, contains_any, count_contained, let, strip,
+    WS, WS_CHARS, any_of, blank_to_null, col, contains_any, count_contained,
+    let, sql_text, strip,
 )
 from pressline.operators.nodes import (
-    Selector, attr, attr_or_null, cascade, content_or_text, descendants,
-    find_all, first, first_element, has_class_like, sel, spaced_text_of, text_of, text_or_null,
+    SPACED_TEXT, TEXT, TEXT_OR_NULL, Selector, attr, cascade, descendants,
+    find_all, find_firsts, first, first_element, has_class_like, sel, sql_attr,
+    sql_content_or_text, sql_or_null, text_of, text_or_null,
 )
 from pressline.params import Blacklist, Rules, Site
 
@@ -41,8 +43,8 @@ TITLE_CASCADE = [
 
 def title_basic() -> Column:
     """Marked heading, else ``og:title`` before the bar; NULL if blank."""
-    heading = first(TITLE_BASIC, text_of)
-    shared = first(meta("og:title"), lambda n: strip(F.substring_index(F.coalesce(attr(n, "content"), F.lit("")), "|", 1)))
+    heading = first(TITLE_BASIC, TEXT)
+    shared = strip(first(meta("og:title"), f"substring_index(coalesce({sql_attr('content')}, ''), '|', 1)"))
     return blank_to_null(F.coalesce(heading, shared))
 
 
@@ -59,8 +61,8 @@ def title_cascade(url: Column | str = "url") -> Column:
 
     slug = F.regexp_extract(F.regexp_replace(col(url), "/+$", ""), "[^/]*$", 0)
     return F.coalesce(
-        cascade(TITLE_CASCADE, text_or_null),
-        strip(first(meta("og:title"), attr_or_null("content"))),
+        cascade(TITLE_CASCADE, TEXT_OR_NULL),
+        strip(first(meta("og:title"), sql_or_null(sql_attr("content")))),
         first(sel("title"), cut),
         C.title_case(F.translate(slug, "-_", "  ")),
     )
@@ -83,10 +85,9 @@ def with_date_basic(dom: DataFrame) -> DataFrame:
     date before the offset.
     """
     published = first(
-        meta("article:published_time"),
-        lambda n: F.substring_index(F.coalesce(attr(n, "content"), F.lit("")), "+", 1),
+        meta("article:published_time"), f"substring_index(coalesce({sql_attr('content')}, ''), '+', 1)"
     )
-    found = let(dom, date_raw=first(DATE_BASIC, text_of), _meta=published)
+    found = let(dom, date_raw=first(DATE_BASIC, TEXT), _meta=published)
     parsed = D.parse_date_basic(found, "date_raw", date="_read", text="_text")
     value = F.when(F.col("date_raw").isNull(), D.iso_date("_meta")).otherwise(F.col("_read"))
     return (
@@ -97,10 +98,9 @@ def with_date_basic(dom: DataFrame) -> DataFrame:
 
 
 def date_cascade_raw() -> Column:
-    def value(n: Column) -> Column:
-        return F.coalesce(attr_or_null("datetime")(n), attr_or_null("content")(n), text_or_null(n))
-
-    return cascade(DATE_CASCADE, value)
+    """Text of the first dated element: ``datetime``, ``content`` or text."""
+    attrs = ", ".join(sql_or_null(sql_attr(name)) for name in ("datetime", "content"))
+    return cascade(DATE_CASCADE, f"coalesce({attrs}, {TEXT_OR_NULL})")
 
 
 def with_date_cascade(dom: DataFrame, *, url: str = "url") -> DataFrame:
@@ -149,21 +149,21 @@ def author_basic(site: Site) -> Column:
 
     in_footer = strip(F.regexp_extract(first(AUTHOR_FOOTER, byline), f"(?iu){fv.BYLINE_IN_TEXT}{_SEP}+(.+)", 2))
     return F.coalesce(
-        named(strip(first(meta("author", "name"), attr_or_null("content")))),
-        named(strip(without_byline(first(AUTHOR_CLASS, text_of)))),
-        named(first(sel("a", attr="rel", token="author"), text_of)),
+        named(strip(first(meta("author", "name"), sql_or_null(sql_attr("content"))))),
+        named(strip(without_byline(first(AUTHOR_CLASS, TEXT)))),
+        named(first(sel("a", attr="rel", token="author"), TEXT)),
         named(in_footer),
         F.lit(site.domain),
     )
 
 
 def author_cascade(site: Site) -> Column:
-    def value(n: Column) -> Column:
-        name = without_byline(text_or_null(n))
-        kept = F.when((name != "") & ~F.lower(name).isin(site.domain, site.name), name)
-        content = blank_to_null(attr(n, "content"))
-        return F.when(content.isNotNull(), strip(content)).otherwise(kept)
-
+    """First author element; texts lose their byline mark and must not name the site."""
+    content = sql_or_null(sql_attr("content"))
+    byline = sql_text(f"(?iu){fv.BYLINE_PREFIX}{_SEP}+")
+    own = ", ".join(sql_text(x) for x in ("", site.domain, site.name))
+    name = f"get(filter(array(regexp_replace({TEXT}, {byline}, '')), v -> lower(v) not in ({own})), 0)"
+    value = f"if({content} is not null, btrim({content}, {sql_text(WS_CHARS)}), {name})"
     return F.coalesce(cascade(AUTHOR_CASCADE, value), F.lit(site.domain))
 
 
@@ -187,14 +187,14 @@ def category_on_page() -> Column:
 
     crumb = F.get(
         F.transform(
-            F.slice(F.filter(F.transform(F.slice(find_all(BREADCRUMBS), 1, 1), second_link), lambda a: a.isNotNull()), 1, 1),
+            F.filter(F.transform(find_firsts(BREADCRUMBS), second_link), lambda a: a.isNotNull()),
             text_or_null,
         ),
         F.lit(0),
     )
     texts = F.transform(find_all(CATEGORY_CLASS), text_of)
     short = F.get(F.filter(texts, lambda t: (t != "") & (F.length(t) < 30)), F.lit(0))
-    return F.coalesce(crumb, first(meta("article:section"), attr_or_null("content")), short)
+    return F.coalesce(crumb, first(meta("article:section"), sql_or_null(sql_attr("content"))), short)
 
 
 def category_raw(on_page: Column, title: Column, rules: Rules, url: Column | str = "url") -> Column:
@@ -229,7 +229,7 @@ def with_category_basic(df: DataFrame, rules: Rules, *, on_page: str = "category
 
 def category_cascade(rules: Rules, url: Column | str = "url") -> Column:
     return F.coalesce(
-        cascade(CATEGORY_CASCADE, content_or_text),
+        cascade(CATEGORY_CASCADE, sql_content_or_text()),
         C.category_from_url_strict(url, rules.categories),
         F.lit(rules.categories.default),
     )
@@ -317,15 +317,13 @@ def subtitle_candidates(bl: Blacklist) -> Column:
         fits = lambda t: valid_subtitle(t, bl) & F.length(t).between(40, 200)
         return texts_of(strong, 5, "strong", fits=fits)
 
-    head = lambda s: F.slice(find_all(s), 1, 1)
-    areas = F.concat(*[head(s) for s in SUBTITLE_AREAS])
     return F.concat(
-        texts_of(F.concat(*[find_all(s) for s in SUBTITLE_DIRECT]), 10, "direct"),
-        texts_of(F.concat(*[head(s) for s in SUBTITLE_META]), 8, "meta", lambda n: strip(attr(n, "content"))),
-        F.flatten(F.transform(areas, lambda a: _paragraph_candidates(a, bl))),
-        texts_of(head(SUBTITLE_INTRO), 7, "intro"),
+        texts_of(find_all(*SUBTITLE_DIRECT), 10, "direct"),
+        texts_of(find_firsts(*SUBTITLE_META), 8, "meta", lambda n: strip(attr(n, "content"))),
+        F.flatten(F.transform(find_firsts(*SUBTITLE_AREAS), lambda a: _paragraph_candidates(a, bl))),
+        texts_of(find_firsts(SUBTITLE_INTRO), 7, "intro"),
         # strong elements count only in the last area of the list
-        F.flatten(F.transform(head(SUBTITLE_AREAS[-1]), of_strong)),
+        F.flatten(F.transform(find_firsts(SUBTITLE_AREAS[-1]), of_strong)),
     )
 
 
@@ -350,12 +348,10 @@ def best_subtitle(df: DataFrame, *, candidates: str = "candidates", out: str = "
 
 
 def subtitle_cascade() -> Column:
-    def value(n: Column) -> Column:
-        content = blank_to_null(attr(n, "content"))
-        t = F.when(content.isNotNull(), strip(content)).otherwise(text_of(n))
-        return F.when((F.length(t) > 20) & (F.length(t) < 300), t)
-
-    return cascade(SUBTITLE_CASCADE, value)
+    """First subtitle element with 21 to 299 characters."""
+    content = sql_or_null(sql_attr("content"))
+    shown = f"coalesce(btrim({content}, {sql_text(WS_CHARS)}), {TEXT})"
+    return cascade(SUBTITLE_CASCADE, f"get(filter(array({shown}), v -> length(v) > 20 and length(v) < 300), 0)")
 
 
 # --- body -----------------------------------------------------------------------
@@ -428,15 +424,11 @@ def body_of(dom: DataFrame) -> DataFrame:
 
 def body_cascade() -> Column:
     """Paragraph-like text of the first container that has any."""
-    def value(area: Column) -> Column:
-        parts = F.transform(
-            F.filter(descendants(area), lambda n: n["tag"].isin("p", "h2", "h3", "h4", "blockquote", "ul", "ol")),
-            text_of,
-        )
-        kept = F.filter(parts, lambda t: (t != "") & ~contains_any(F.lower(t), fv.CASCADE_SKIP_TERMS))
-        return blank_to_null(F.array_join(kept, " "))
-
-    return cascade(BODY_CASCADE, value)
+    blocks = "filter(slice(nodes, n.id + 2, n.last - n.id), d -> d.tag in ('p', 'h2', 'h3', 'h4', 'blockquote', 'ul', 'ol'))"
+    texts = f"transform({blocks}, d -> {TEXT.replace('n.', 'd.')})"
+    skip = sql_text(any_of(fv.CASCADE_SKIP_TERMS))
+    kept = f"filter({texts}, t -> t <> '' and not rlike(lower(t), {skip}))"
+    return cascade(BODY_CASCADE, sql_or_null(f"array_join({kept}, ' ')"))
 
 
 def stop_phrases(site: Site) -> Sequence[str]:
@@ -445,7 +437,7 @@ def stop_phrases(site: Site) -> Sequence[str]:
 
 def body_alternative(site: Site) -> Column:
     """All text of the main area up to the first stop phrase, if longer than 100."""
-    text = F.regexp_replace(cascade(BODY_MAIN, spaced_text_of), WS + "+", " ")
+    text = F.regexp_replace(cascade(BODY_MAIN, SPACED_TEXT), WS + "+", " ")
     for phrase in stop_phrases(site):
         text = F.substring_index(text, phrase, 1)
     return F.get(F.filter(F.array(text), lambda t: F.length(t) > 100), F.lit(0))
@@ -464,7 +456,7 @@ def with_metadata(dom: DataFrame) -> DataFrame:
         F.transform(
             find_all(sel("meta")),
             lambda n: F.struct(
-                F.coalesce(attr_or_null("property")(n), attr_or_null("name")(n)).alias("k"),
+                F.coalesce(blank_to_null(attr(n, "property")), blank_to_null(attr(n, "name"))).alias("k"),
                 F.coalesce(attr(n, "content"), F.lit("")).alias("v"),
             ),
         ),
@@ -488,8 +480,8 @@ def with_html_reason(dom: DataFrame, bl: Blacklist, *, out: str = "html_reason")
     """
     found = let(
         dom,
-        _lang=F.lower(first(sel("html"), attr_or_null("lang"))),
-        _title=F.lower(first(sel("title"), text_of)),
+        _lang=F.lower(first(sel("html"), sql_or_null(sql_attr("lang")))),
+        _title=F.lower(first(sel("title"), TEXT)),
         _classes=first(sel("body"), lambda n: F.array_join(n["classes"], " ")),
     )
     bad_title = contains_any("_title", bl.html_title_b)

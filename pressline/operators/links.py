@@ -12,7 +12,7 @@ from pressline import fixed_values as fv
 from pressline.functions import urls as U
 from pressline.functions.text import contains_any, let
 from pressline.operators.nodes import (
-    Selector, attr, cascade, descendants, find_all, sel, text_of,
+    Selector, attr, cascade, descendants, find_all, find_firsts, sel, text_of,
 )
 from pressline.params import Blacklist, Categories, Site
 
@@ -84,7 +84,7 @@ def content_links(dom: DataFrame, *, area: str = "modules", segments: Sequence[s
     if area == "modules":
         found = find_all(sel("a", attr="href", within=MODULES))
     else:
-        main = F.slice(find_all(MAIN_CONTENT), 1, 1)
+        main = find_firsts(MAIN_CONTENT)
         found = F.filter(
             F.flatten(F.transform(main, descendants)), lambda n: (n["tag"] == "a") & attr(n, "href").isNotNull()
         )

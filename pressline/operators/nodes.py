@@ -8,13 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pressline.functions.text import blank_to_null, contains_any, strip
+from pressline.functions.text import (
+    WS_CHARS, any_of, blank_to_null, contains_any, sql_text,
+)
 
 Value = Callable[[Column], Column]
 NODES = "nodes"
@@ -55,51 +55,86 @@ def has_class_like(n: Column, terms: Sequence[str], fold: bool = False) -> Colum
     return F.exists(n["classes"], lambda c: contains_any(F.lower(c) if fold else c, terms))
 
 
-def matches(n: Column, s: Selector) -> Column:
+# Selectors and the common values are written as SQL text: a page plan has some
+# hundred of them, and one parsed text replaces dozens of calls into the JVM.
+def sql_attr(name: str) -> str:
+    return f"try_element_at(n.attrs, {sql_text(name)})"
+
+
+def sql_or_null(x: str) -> str:
+    return f"get(filter(array({x}), v -> v <> ''), 0)"
+
+
+TEXT = "array_join(slice(pieces, n.t0 + 1, n.t1 - n.t0), '')"
+SPACED_TEXT = "array_join(slice(pieces, n.t0 + 1, n.t1 - n.t0), ' ')"
+TEXT_OR_NULL = sql_or_null(TEXT)
+NODE = "struct(n.id as id, n.last as last)"
+
+
+def sql_matches(s: Selector) -> str:
+    """The selector as a condition on a node ``n``."""
     tests = []
     if s.tags:
-        tests.append(n["tag"].isin(*s.tags))
+        tests.append(f"n.tag in ({', '.join(sql_text(t) for t in s.tags)})")
     if s.nth is not None:
-        tests.append(n["nth"] == s.nth)
+        tests.append(f"n.nth = {s.nth}")
     if s.cls is not None:
-        tests.append(F.array_contains(n["classes"], s.cls))
+        tests.append(f"array_contains(n.classes, {sql_text(s.cls)})")
     if s.cls_like:
-        tests.append(has_class_like(n, s.cls_like, s.fold))
+        shown = "lower(c)" if s.fold else "c"
+        tests.append(f"exists(n.classes, c -> rlike({shown}, {sql_text(any_of(s.cls_like))}))")
     if s.id is not None:
-        tests.append(F.coalesce(attr(n, "id") == s.id, F.lit(False)))
+        tests.append(f"coalesce({sql_attr('id')} = {sql_text(s.id)}, false)")
     if s.id_like is not None:
-        tests.append(F.coalesce(F.contains(attr(n, "id"), F.lit(s.id_like)), F.lit(False)))
+        tests.append(f"coalesce(contains({sql_attr('id')}, {sql_text(s.id_like)}), false)")
     if s.attr is not None:
-        a = attr(n, s.attr)
+        a = sql_attr(s.attr)
         if s.value is not None:
-            tests.append(F.coalesce(a == s.value, F.lit(False)))
+            tests.append(f"coalesce({a} = {sql_text(s.value)}, false)")
         elif s.token is not None:
-            tests.append(F.coalesce(F.array_contains(F.split(a, r"\s+"), s.token), F.lit(False)))
+            tests.append(f"coalesce(array_contains(split({a}, ' +'), {sql_text(s.token)}), false)")
         else:
-            tests.append(a.isNotNull())
-    return reduce(and_, tests)
+            tests.append(f"{a} is not null")
+    return " and ".join(tests)
 
 
-def descendants(n: Column) -> Column:
-    """All nodes below ``n``, in document order: a contiguous slice."""
-    return F.slice(F.col(NODES), n["id"] + 2, n["last"] - n["id"])
-
-
-def find_all(s: Selector, scope: Column | None = None) -> Column:
+def sql_find_all(s: Selector) -> str:
     """Array of matching nodes in document order.
 
     With ``within`` a node below two matching ancestors is listed twice, which
     does not change what the first one is.
     """
+    pool = NODES
     if s.within is not None:
-        below = F.flatten(F.transform(find_all(s.within, scope), descendants))
-        return F.filter(below, lambda n: matches(n, s))
-    return F.filter(F.col(NODES) if scope is None else scope, lambda n: matches(n, s))
+        pool = f"flatten(transform({sql_find_all(s.within)}, a -> slice({NODES}, a.id + 2, a.last - a.id)))"
+    return f"filter({pool}, n -> {sql_matches(s)})"
+
+
+def sql_first(s: Selector, value: str) -> str:
+    return f"get(transform(slice({sql_find_all(s)}, 1, 1), n -> {value}), 0)"
 
 
-def first(s: Selector, value: Value, scope: Column | None = None) -> Column:
-    """``value`` of the first matching node, NULL if there is none."""
-    return F.get(F.transform(F.slice(find_all(s, scope), 1, 1), value), F.lit(0))
+def find_all(*selectors: Selector) -> Column:
+    """Nodes matching the selectors, one selector after the other."""
+    found = [sql_find_all(s) for s in selectors]
+    return F.expr(found[0] if len(found) == 1 else f"concat({', '.join(found)})")
+
+
+def find_firsts(*selectors: Selector) -> Column:
+    """The first node of each selector, as one array."""
+    return F.expr(f"concat({', '.join(f'slice({sql_find_all(s)}, 1, 1)' for s in selectors)})")
+
+
+def descendants(n: Column) -> Column:
+    """All nodes below ``n``, in document order: a contiguous slice."""
+    return F.slice(F.col(NODES), n["id"] + 2, n["last"] - n["id"])
+
+
+def first(s: Selector, value: Value | str) -> Column:
+    """``value`` (SQL on ``n``, or a function of the node) of the first matching node."""
+    if isinstance(value, str):
+        return F.expr(sql_first(s, value))
+    return F.get(F.transform(find_firsts(s), value), F.lit(0))
 
 
 def pieces_of(n: Column) -> Column:
@@ -112,34 +147,29 @@ def text_of(n: Column) -> Column:
     return F.array_join(pieces_of(n), "")
 
 
-def spaced_text_of(n: Column) -> Column:
-    return F.array_join(pieces_of(n), " ")
-
-
 def text_or_null(n: Column) -> Column:
     return blank_to_null(text_of(n))
 
 
-def attr_or_null(name: str) -> Value:
-    return lambda n: blank_to_null(attr(n, name))
-
-
-def content_or_text(n: Column) -> Column:
+def sql_content_or_text() -> str:
     """Trimmed ``content`` attribute if there is one, else the text."""
-    return F.coalesce(strip(blank_to_null(attr(n, "content"))), text_or_null(n))
+    content = f"btrim({sql_or_null(sql_attr('content'))}, {sql_text(WS_CHARS)})"
+    return f"coalesce({content}, {TEXT_OR_NULL})"
 
 
-def cascade(selectors: Sequence[Selector], value: Value) -> Column:
+def cascade(selectors: Sequence[Selector], value: Value | str) -> Column:
     """First non-NULL value; each selector offers only its first node."""
+    if isinstance(value, str):
+        return F.expr(f"coalesce({', '.join(sql_first(s, value) for s in selectors)})")
     return F.coalesce(*[first(s, value) for s in selectors])
 
 
 def first_element(selectors: Sequence[Selector]) -> Column:
     """struct(id, last) of the first node of the first selector that matches at all."""
-    return cascade(selectors, lambda n: F.struct(n["id"].alias("id"), n["last"].alias("last")))
+    return cascade(selectors, NODE)
 
 
-def first_match(dom: DataFrame, selectors: Sequence[Selector], value: Value = text_or_null) -> DataFrame:
+def first_match(dom: DataFrame, selectors: Sequence[Selector], value: Value | str = TEXT_OR_NULL) -> DataFrame:
     """``(page_id, url, value)``: the selector cascade as an operator."""
     return dom.select("page_id", "url", cascade(selectors, value).alias("value"))
 

@@ -118,6 +118,9 @@ class _Nodes(HTMLParser):
     def handle_decl(self, decl):
         self._flush()
 
+    def updatepos(self, i, j):
+        return j  # line numbers are not needed
+
     def finish(self) -> None:
         self.close()
         self._flush()
