@@ -78,23 +78,34 @@ DATE_CASCADE = [
 ]
 
 
+# Rules of several steps come in two parts: their marks, read off the nodes, and
+# the rest, which needs only the marks.  A plan reads the marks of all rules first
+# and goes on with rows that no longer carry the nodes.
+def date_marks_basic() -> dict[str, Column]:
+    published = f"substring_index(coalesce({sql_attr('content')}, ''), '+', 1)"
+    return {
+        "date_raw": first(DATE_BASIC, TEXT),
+        "_published": first(meta("article:published_time"), published),
+    }
+
+
+def finish_date_basic(marked: DataFrame) -> DataFrame:
+    parsed = D.parse_date_basic(marked, "date_raw", date="_read", text="_text")
+    value = F.when(F.col("date_raw").isNull(), D.iso_date("_published")).otherwise(F.col("_read"))
+    return (
+        let(parsed, date_value=value)
+        .withColumn("date", F.coalesce("_text", D.display_date(F.col("date_value"))))
+        .drop("_published", "_read", "_text")
+    )
+
+
 def with_date_basic(dom: DataFrame) -> DataFrame:
     """Add ``date_raw``, ``date`` (text) and ``date_value`` (DATE).
 
     Text of the dated element (itself if unreadable), else the meta tag's ISO
     date before the offset.
     """
-    published = first(
-        meta("article:published_time"), f"substring_index(coalesce({sql_attr('content')}, ''), '+', 1)"
-    )
-    found = let(dom, date_raw=first(DATE_BASIC, TEXT), _meta=published)
-    parsed = D.parse_date_basic(found, "date_raw", date="_read", text="_text")
-    value = F.when(F.col("date_raw").isNull(), D.iso_date("_meta")).otherwise(F.col("_read"))
-    return (
-        let(parsed, date_value=value)
-        .withColumn("date", F.coalesce("_text", D.display_date(F.col("date_value"))))
-        .drop("_meta", "_read", "_text")
-    )
+    return finish_date_basic(let(dom, **date_marks_basic()))
 
 
 def date_cascade_raw() -> Column:
@@ -103,17 +114,20 @@ def date_cascade_raw() -> Column:
     return cascade(DATE_CASCADE, f"coalesce({attrs}, {TEXT_OR_NULL})")
 
 
+def finish_date_cascade(marked: DataFrame, *, url: str = "url") -> DataFrame:
+    parsed = D.parse_date_iso_first(marked, "date_raw", date="_value", text="_text")
+    out = parsed.withColumn("date", F.coalesce("_text", D.date_in_url(url)))
+    return out.withColumn(
+        "date_value", F.coalesce("_value", D.date_of_display(D.date_in_url(url)))
+    ).drop("_value", "_text")
+
+
 def with_date_cascade(dom: DataFrame, *, url: str = "url") -> DataFrame:
     """Add ``date_raw``, ``date`` (text) and ``date_value`` (DATE).
 
     First dated element, else the date path of the page's URL.
     """
-    found = let(dom, date_raw=date_cascade_raw())
-    parsed = D.parse_date_iso_first(found, "date_raw", date="_value", text="_text")
-    out = parsed.withColumn("date", F.coalesce("_text", D.date_in_url(url)))
-    return out.withColumn(
-        "date_value", F.coalesce("_value", D.date_of_display(D.date_in_url(url)))
-    ).drop("_value", "_text")
+    return finish_date_cascade(let(dom, date_raw=date_cascade_raw()), url=url)
 
 
 # --- author ---------------------------------------------------------------------
@@ -283,7 +297,7 @@ def _only(ok: Column, candidate: Column) -> Column:
 
 def _paragraph_candidates(area: Column, bl: Blacklist) -> Column:
     """First paragraph of an area, the second only where the first is unfit."""
-    texts = F.transform(F.filter(descendants(area), lambda n: n["tag"] == "p"), text_of)
+    two = F.slice(F.filter(descendants(area), lambda n: n["tag"] == "p"), 1, 2)
 
     def fit(t: Column) -> Column:
         return valid_subtitle(t, bl) & F.length(t).between(40, 200)
@@ -302,7 +316,7 @@ def _paragraph_candidates(area: Column, bl: Blacklist) -> Column:
             .otherwise(F.filter(F.array(_candidate(F.lit(""), 0, "")), lambda _: F.lit(False)))
         )
 
-    return F.flatten(F.transform(F.array(F.slice(texts, 1, 2)), choose))
+    return F.flatten(F.transform(F.array(F.transform(two, text_of)), choose))
 
 
 def subtitle_candidates(bl: Blacklist) -> Column:
@@ -413,13 +427,16 @@ def body_fallback() -> Column:
     return F.get(F.transform(F.array(unwanted), outside), F.lit(0))
 
 
+def body_in(container: str) -> Column:
+    """Basic body of a known container, the fallback without one; NULL if blank."""
+    known = F.col(container).isNotNull()
+    return blank_to_null(F.when(known, body_basic(container)).otherwise(body_fallback()))
+
+
 def body_of(dom: DataFrame) -> DataFrame:
     """Add ``content``: the basic body, the fallback where no container is known."""
     found = let(dom, container=first_element(BODY_BASIC))
-    return found.withColumn(
-        "content",
-        blank_to_null(F.when(F.col("container").isNotNull(), body_basic("container")).otherwise(body_fallback())),
-    ).drop("container")
+    return found.withColumn("content", body_in("container")).drop("container")
 
 
 def body_cascade() -> Column:
@@ -443,47 +460,57 @@ def body_alternative(site: Site) -> Column:
     return F.get(F.filter(F.array(text), lambda t: F.length(t) > 100), F.lit(0))
 
 
+def body(site: Site) -> Column:
+    """Cascade body, else the alternative."""
+    return F.coalesce(body_cascade(), body_alternative(site))
+
+
+def no_content(content: Column | str) -> Column:
+    return F.when(col(content).isNull(), "No content extracted")
+
+
 def with_body_and_error(dom: DataFrame, site: Site) -> DataFrame:
     """Add ``content`` (main rule, else the alternative) and ``error``."""
-    out = let(dom, content=F.coalesce(body_cascade(), body_alternative(site)))
-    return out.withColumn("error", F.when(F.col("content").isNull(), "No content extracted"))
+    return let(dom, content=body(site)).withColumn("error", no_content("content"))
 
 
 # --- whole page -----------------------------------------------------------------
-def with_metadata(dom: DataFrame) -> DataFrame:
-    """Add ``metadata`` (the last value of a key wins); blank bad ``json_ld``."""
-    entries = F.filter(
-        F.transform(
-            find_all(sel("meta")),
-            lambda n: F.struct(
-                F.coalesce(blank_to_null(attr(n, "property")), blank_to_null(attr(n, "name"))).alias("k"),
-                F.coalesce(attr(n, "content"), F.lit("")).alias("v"),
-            ),
+def metadata_marks() -> dict[str, Column]:
+    """``meta_entries``: key and value of every meta tag that has a key."""
+    entries = F.transform(
+        find_all(sel("meta")),
+        lambda n: F.struct(
+            F.coalesce(blank_to_null(attr(n, "property")), blank_to_null(attr(n, "name"))).alias("k"),
+            F.coalesce(attr(n, "content"), F.lit("")).alias("v"),
         ),
-        lambda e: e["k"].isNotNull(),
     )
-    out = let(dom, _entries=entries)
-    keys = F.array_distinct(F.transform("_entries", lambda e: e["k"]))
-    last = lambda k: F.element_at(F.filter("_entries", lambda e: e["k"] == k), -1)["v"]
+    return {"meta_entries": F.filter(entries, lambda e: e["k"].isNotNull())}
+
+
+def finish_metadata(marked: DataFrame) -> DataFrame:
+    keys = F.array_distinct(F.transform("meta_entries", lambda e: e["k"]))
+    last = lambda k: F.element_at(F.filter("meta_entries", lambda e: e["k"] == k), -1)["v"]
     return (
-        out.withColumn("metadata", F.map_from_arrays(keys, F.transform(keys, last)))
+        marked.withColumn("metadata", F.map_from_arrays(keys, F.transform(keys, last)))
         .withColumn("json_ld", F.when(F.try_parse_json("json_ld").isNotNull(), F.col("json_ld")))
-        .drop("_entries")
+        .drop("meta_entries")
     )
 
 
-def with_html_reason(dom: DataFrame, bl: Blacklist, *, out: str = "html_reason") -> DataFrame:
-    """Add why the page's own markup calls it foreign: 'lang', 'title', 'class' or NULL.
+def with_metadata(dom: DataFrame) -> DataFrame:
+    """Add ``metadata`` (the last value of a key wins); blank bad ``json_ld``."""
+    return finish_metadata(let(dom, **metadata_marks()))
 
-    The language test is exact, so a regional tag such as ``xx-YY`` is foreign
-    unless it is listed.
-    """
-    found = let(
-        dom,
-        _lang=F.lower(first(sel("html"), sql_or_null(sql_attr("lang")))),
-        _title=F.lower(first(sel("title"), TEXT)),
-        _classes=first(sel("body"), lambda n: F.array_join(n["classes"], " ")),
-    )
+
+def html_marks() -> dict[str, Column]:
+    return {
+        "_lang": F.lower(first(sel("html"), sql_or_null(sql_attr("lang")))),
+        "_title": F.lower(first(sel("title"), TEXT)),
+        "_classes": first(sel("body"), "array_join(n.classes, ' ')"),
+    }
+
+
+def finish_html_reason(marked: DataFrame, bl: Blacklist, *, out: str = "html_reason") -> DataFrame:
     bad_title = contains_any("_title", bl.html_title_b)
     if bl.html_title_a:
         bad_title = (count_contained("_title", bl.html_title_a) >= 2) | bad_title
@@ -492,7 +519,16 @@ def with_html_reason(dom: DataFrame, bl: Blacklist, *, out: str = "html_reason")
         .when(bad_title, "title")
         .when(contains_any("_classes", U.slugs(bl.terms)), "class")
     )
-    return let(found, **{out: reason}).drop("_lang", "_title", "_classes")
+    return let(marked, **{out: reason}).drop("_lang", "_title", "_classes")
+
+
+def with_html_reason(dom: DataFrame, bl: Blacklist, *, out: str = "html_reason") -> DataFrame:
+    """Add why the page's own markup calls it foreign: 'lang', 'title', 'class' or NULL.
+
+    The language test is exact, so a regional tag such as ``xx-YY`` is foreign
+    unless it is listed.
+    """
+    return finish_html_reason(let(dom, **html_marks()), bl, out=out)
 
 
 def foreign_by_html(dom: DataFrame, bl: Blacklist) -> DataFrame:

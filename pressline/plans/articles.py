@@ -28,19 +28,21 @@ def scrape_rows(pages: DataFrame, *, rules: Rules = DEFAULT_RULES) -> DataFrame:
     judged = U.with_blacklist_reason(pages.select("page_id", "url", "html"), bl, out="_url")
     dom = parse_pages(judged.withColumn("html", F.when(F.col("_url").isNull(), F.col("html"))))
 
-    fields = let(
-        P.with_html_reason(dom, bl, out="_html"),
+    marked = let(
+        dom,
+        **P.html_marks(),
+        **P.date_marks_basic(),
         title=P.title_basic(),
         author=P.author_basic(rules.site),
         category_on_page=P.category_on_page(),
         candidates=P.subtitle_candidates(bl),
         container=P.first_element(P.BODY_BASIC),
+        _no_page=F.size("nodes") == 0,
     )
-    body = F.when(F.col("container").isNotNull(), P.body_basic("container")).otherwise(P.body_fallback())
-    full = let(P.with_date_basic(fields), content=P.blank_to_null(body), _no_page=F.size("nodes") == 0)
-    rows = P.best_subtitle(P.with_category_basic(full, rules)).select(
-        "page_id", *ARTICLE.names, "date_value", "_html", "_no_page"
-    )
+    # nothing behind this line needs the nodes
+    narrow = let(marked, content=P.body_in("container")).drop("nodes", "pieces", "piece_node", "json_ld", "container")
+    rows = P.finish_date_basic(P.finish_html_reason(narrow, bl, out="_html"))
+    rows = P.best_subtitle(P.with_category_basic(rows, rules))
     return reject_rows(rows, rules).select("page_id", *ARTICLE.names, "date_value", "reject_reason")
 
 
@@ -80,16 +82,18 @@ def reject_rows(rows: DataFrame, rules: Rules) -> DataFrame:
 
 def extract_rows(pages: DataFrame, *, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """Extracted articles: no rejects, but an ``error`` column, and metadata."""
-    dom = P.with_metadata(parse_pages(pages))
-    rows = let(
-        dom,
-        _no_page=F.size("nodes") == 0,
+    marked = let(
+        parse_pages(pages),
+        **P.metadata_marks(),
+        date_raw=P.date_cascade_raw(),
         title=P.title_cascade("url"),
         author=P.author_cascade(rules.site),
         category=P.category_cascade(rules),
         subtitle=P.subtitle_cascade(),
-    )
-    rows = P.with_body_and_error(P.with_date_cascade(rows), rules.site)
+        content=P.body(rules.site),
+        _no_page=F.size("nodes") == 0,
+    ).drop("nodes", "pieces", "piece_node")
+    rows = P.finish_date_cascade(P.finish_metadata(marked)).withColumn("error", P.no_content("content"))
     gone = F.col("_no_page")
     fields = [F.when(~gone, F.col(f)).alias(f) for f in ARTICLE.names if f != "url"]
     error = F.when(gone, "Failed to retrieve page content").otherwise(F.col("error"))
