@@ -10,15 +10,13 @@ from operator import or_
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The white space that ``str.split()`` and ``str.strip()`` know.  Spelled out,
-# because Java's ``\s`` is ASCII-only and ``(?U)\s`` lacks 0x1c-0x1f.
+# The white space that ``str.split()`` and ``str.strip()`` know: Unicode's, and the
+# four separators 0x1c-0x1f.
 WS_CHARS = "\t\n\x0b\f\r \x1c\x1d\x1e\x1f\x85\xa0" + "".join(
     chr(c) for c in (0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
 )
-WS = (
-    r"[\t\n\x0b\f\r \x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
-)
+WS = r"(?U:[\s\x1c-\x1f])"
+WS_RUN = r"(?U)[\s\x1c-\x1f]+"
 
 
 def col(c: Column | str) -> Column:
@@ -38,7 +36,7 @@ def blank_to_null(c: Column | str) -> Column:
 def words(c: Column | str) -> Column:
     """Whitespace-separated words; blank text has none."""
     s = strip(c)
-    return F.when(s != "", F.split(s, WS + "+")).when(s == "", F.array().cast("array<string>"))
+    return F.when(s != "", F.split(s, WS_RUN)).when(s == "", F.array().cast("array<string>"))
 
 
 def literals(values: Iterable[str]) -> Column:
@@ -97,7 +95,7 @@ def first_rule(c: Column | str, rules: Sequence[tuple[Sequence[str], str]]) -> C
 def clean_text(c: Column | str) -> Column:
     """Squeeze 3+ newlines to 2, then drop white space before punctuation."""
     squeezed = F.regexp_replace(col(c), r"\n{3,}", "\n\n")
-    return F.regexp_replace(squeezed, WS + r"+([.,;:!?])", "$1")
+    return F.regexp_replace(squeezed, WS_RUN + r"([.,;:!?])", "$1")
 
 
 def na(c: Column | str, missing: str) -> Column:

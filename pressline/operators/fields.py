@@ -12,7 +12,7 @@ from pressline.functions import categories as C
 from pressline.functions import dates as D
 from pressline.functions import urls as U
 from pressline.functions.text import (
-    WS, WS_CHARS, any_of, blank_to_null, col, contains_any, count_contained,
+    WS, WS_CHARS, WS_RUN, any_of, blank_to_null, col, contains_any, count_contained,
     let, sql_text, strip,
 )
 from pressline.operators.nodes import (
@@ -454,7 +454,7 @@ def stop_phrases(site: Site) -> Sequence[str]:
 
 def body_alternative(site: Site) -> Column:
     """All text of the main area up to the first stop phrase, if longer than 100."""
-    text = F.regexp_replace(cascade(BODY_MAIN, SPACED_TEXT), WS + "+", " ")
+    text = F.regexp_replace(cascade(BODY_MAIN, SPACED_TEXT), WS_RUN, " ")
     for phrase in stop_phrases(site):
         text = F.substring_index(text, phrase, 1)
     return F.get(F.filter(F.array(text), lambda t: F.length(t) > 100), F.lit(0))

@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pressline import fixed_values as fv
-from pressline.functions.text import WS
 from pressline.params import Blacklist, Lexicon, Rules, Site
 from pressline.session import spread
 
@@ -60,6 +59,11 @@ def sql_list(values: Iterable[str]) -> str:
     return "[" + ", ".join(lit(v) for v in values) + "]"
 
 
+# the library's white space, spelled out for a regex dialect without Unicode classes
+WS = (
+    r"[\t\n\x0b\f\r \x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+)
 WS_SQL = lit(WS + "+")
 STRIP_SQL = lit(fv.TOKEN_STRIP_CHARS)
 
