@@ -51,15 +51,11 @@ def batch_dup_counts(df: DataFrame, *, key: str = "url", batch: str = "batch_no"
 
 
 def combine_totals(df: DataFrame, *, key: str = "url", file: str = "file", deduplicate: bool = True) -> DataFrame:
-    """One row: input files, total, unique and duplicate articles."""
-    per_key = df.groupBy(key, file).agg(F.count("*").alias("n"))
-    keys = per_key.groupBy(key).agg(F.sum("n").alias("n"))
-    unique = F.when(F.col(key).isNull(), F.col("n")).otherwise(1) if deduplicate else F.col("n")
-    counts = keys.select(F.lit(0).alias("files"), F.col("n").alias("total"), unique.alias("unique"))
-    files = per_key.select(file).distinct().select(F.lit(1).alias("files"), F.lit(0).alias("total"), F.lit(0).alias("unique"))
-    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
-    return counts.unionByName(files).agg(
-        total("files").alias("input_files"), total("total").alias("total_articles"), total("unique").alias("unique_articles")
+    """One row: input files, total, unique and duplicate articles, in one scan."""
+    total = F.count("*")
+    unique = F.count_distinct(key) + F.count_if(F.col(key).isNull()) if deduplicate else total
+    return df.agg(
+        F.count_distinct(file).alias("input_files"), total.alias("total_articles"), unique.alias("unique_articles")
     ).withColumn("duplicate_articles", F.col("total_articles") - F.col("unique_articles"))
 
 

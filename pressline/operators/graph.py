@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pressline.operators.batches import global_index
 from pressline.session import cut
 
 
@@ -42,7 +43,8 @@ def reachable(edges: DataFrame, seeds: DataFrame, *, max_depth: int, cap: int |
         frontier = cut(candidates)
         found = frontier.count()
         if cap is not None and total + found > cap:
-            frontier = cut(frontier.orderBy("url").limit(cap - total))
+            indexed = global_index(frontier, "url")
+            frontier = cut(indexed.where(F.col("idx") < cap - total).select("url"))
             found = cap - total
         total += found
         level = frontier.withColumn("depth", F.lit(depth).cast("bigint"))

@@ -342,6 +342,14 @@ def a1(spark, sf):
     return read.select(F.regexp_extract("file", r"batch_no=(\d+)", 1).cast("int").alias("batch_no"), "url")
 
 
+@query("a1_read_links_split", with_articles("SELECT DISTINCT url FROM a WHERE url IS NOT NULL"))
+def a1_split(spark, sf):
+    path = new_path(spark, "links")
+    files = link_files(spark, article_urls(spark, sf), size=300).select("batch_no", F.to_json("links").alias("value"))
+    files.repartition("batch_no").write.partitionBy("batch_no").text(path)
+    return readers.read_links_split(spark, path).select("url")
+
+
 @query("a2_read_link_result", f"""
 WITH a AS ({ARTICLES_SQL}), u AS (SELECT DISTINCT url FROM a WHERE url IS NOT NULL),
 b AS (SELECT url, (row_number() OVER (ORDER BY url) - 1) // 100 + 1 AS n FROM u)
@@ -402,7 +410,8 @@ def a14(spark, sf):
     sinks.write_progress(assigned.where("batch_no <= 3"), paths["done"])
     sinks.write_progress(assigned.where("batch_no > 3"), paths["done"])
     schema = "batch_no int, url string"
-    rows = [spark.read.schema(schema).json(p).select(F.lit(k).alias("kind"), "batch_no", "url") for k, p in paths.items()]
+    rows = [spark.read.schema(schema).json(paths[k]).select(F.lit(k).alias("kind"), "batch_no", "url") for k in ("batch", "done")]
+    rows.append(readers.read_link_rows(spark, paths["links"]).select(F.lit("links").alias("kind"), F.lit(None).cast("int").alias("batch_no"), "url"))
     return rows[0].unionByName(rows[1]).unionByName(rows[2])
 
 

@@ -15,6 +15,22 @@ def test_link_files(spark, tmp_path):
     assert readers.read_links(spark, str(tmp_path / "missing.json")).count() == 0
 
 
+def test_split_link_files(spark, tmp_path):
+    urls = [f"https://h/č,{i} x" for i in range(500)]
+    (tmp_path / "plain.json").write_text(json.dumps(urls, indent=4, ensure_ascii=False), encoding="utf-8")
+    (tmp_path / "escaped.json").write_text(json.dumps(urls), encoding="utf-8")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
+    try:
+        split = readers.read_links_split(spark, str(tmp_path))
+        got = sorted(r.url for r in split.collect())
+        assert split.rdd.getNumPartitions() > 2
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == sorted(urls * 2)
+    assert got == sorted(r.url for r in readers.read_links(spark, str(tmp_path)).collect())
+
+
 def test_link_result(spark, tmp_path):
     result = {"links": ["u1", "u2"], "stats": {"pages_visited": 3, "links_found": 2, "unique_links": 2, "categories": 0, "tags": 0, "authors": 0, "errors": 1},
               "failed_urls": {"x": "404", "y": "max_retries_exceeded"}, "timestamp": "2024-05-17T00:00:00"}
