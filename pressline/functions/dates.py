@@ -130,7 +130,7 @@ def parse_date_basic(df: DataFrame, raw: str, *, date: str = "date", text: str =
     s = F.col("_s")
     step = let(
         step,
-        _named=_month_name_parts(s, fv.MONTHS_BASIC, r"(\d+)\.?\s+"),
+        _named=F.when(s.rlike(r"\p{L}{5}"), _month_name_parts(s, fv.MONTHS_BASIC, r"(\d+)\.?\s+")),
         _numbers=F.transform(
             F.regexp_extract_all(s, F.lit(r"\d+"), F.lit(0)),
             lambda d: F.regexp_replace(d, r"^0+(?=\d)", ""),
@@ -156,11 +156,9 @@ def parse_date_iso_first(df: DataFrame, raw: str, *, date: str = "date", text: s
     """
     step = let(df, _s=strip(raw))
     s = F.col("_s")
-    step = let(
-        step,
-        _named=_month_name_parts(s, fv.MONTHS_BOTH_FORMS, r"(\d{1,2})\.?\s*"),
-        _date=F.coalesce(iso_date(s), *[_try_format(s, f) for f in _CASCADE_FORMATS]),
-    )
+    step = let(step, _date=F.coalesce(iso_date(s), *[_try_format(s, f) for f in _CASCADE_FORMATS]))
+    unread = F.col("_date").isNull() & s.rlike(r"\p{L}{5}")
+    step = let(step, _named=F.when(unread, _month_name_parts(s, fv.MONTHS_BOTH_FORMS, r"(\d{1,2})\.?\s*")))
     named = F.col("_named")
     named_text = F.concat_ws(".", F.lpad(named["d"], 2, "0"), F.lpad(named["m"], 2, "0"), named["y"])
     shown = F.coalesce(display_date(F.col("_date")), F.when(named.isNotNull(), named_text), blank_to_null(s))
