@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from pressline.functions.text import col
 from pressline.session import cut
 
-BATCH_IN_PATH = r"batch_(\d+)"
+# a batch in a file or folder name, also as the partition folder our sinks write
+BATCH_IN_PATH = r"batch_(?:no=)?(\d+)"
 
 
 def batch_no_of(path: Column | str, default: int = 0) -> Column:

@@ -96,10 +96,9 @@ def written_archive(spark, sf):
     return path
 
 
-def _read_back(spark, path, **options):
+def _read_back(spark, path):
     """Records of a written archive; the folder names the batch."""
-    found = readers.read_articles(spark, path, glob="*.txt", **options)
-    return found.withColumn("batch_no", F.regexp_extract("file", r"batch_no=(\d+)", 1).cast("int"))
+    return readers.read_articles(spark, path, glob="*.txt")
 
 
 _LINES = f"SELECT batch_no, md5({sql_strip('raw')}) AS digest FROM (SELECT batch_no, {RAW_SQL} AS raw FROM a) WHERE raw IS NOT NULL"
@@ -114,10 +113,7 @@ def archive_round_trip(spark, sf):
 @query("a3_archive_read_whole", with_articles(_LINES))
 def archive_read_whole(spark, sf):
     read = readers.read_articles_whole(spark, written_archive(spark, sf), glob="*.txt")
-    return read.select(
-        F.regexp_extract("file", r"batch_no=(\d+)", 1).cast("int").alias("batch_no"),
-        F.md5(records.strip("raw")).alias("digest"),
-    )
+    return read.select("batch_no", F.md5(records.strip("raw")).alias("digest"))
 
 
 @query("a4_with_marker", with_articles("SELECT doc_id, md5('<***>' || title) AS digest FROM a"))
@@ -152,7 +148,7 @@ def a11(spark, sf):
     read = readers.read_articles(spark, path, glob="*.txt")
     return read.groupBy(
         F.regexp_extract("file", r"lang_side=(\w+)", 1).alias("lang_side"),
-        F.regexp_extract("file", r"batch_no=(\d+)", 1).cast("int").alias("batch_no"),
+        "batch_no",
     ).agg(F.count("*").alias("n"))
 
 

@@ -51,7 +51,7 @@ def test_empty(spark):
 
 
 @pytest.mark.parametrize("path, want", [
-    ("/x/articles_batch_3/News_batch_1.txt", 3), ("/x/a.txt", 0), ("links_batch_12.json", 12), ("/batch_99999999999999/x", 0),
+    ("/x/articles_batch_3/News_batch_1.txt", 3), ("/x/a.txt", 0), ("links_batch_12.json", 12), ("/batch_99999999999999/x", 0), ("/out/batch_no=7/part-0.txt", 7),
 ])
 def test_batch_number_is_the_first_in_the_path(spark, path, want):
     assert spark.range(1).select(batches.batch_no_of(F.lit(path), 0)).first()[0] == want

@@ -10,6 +10,7 @@ import __spark_entry__ as driver
 from tools.check import rows_of
 
 SF_DIR = "/root/testdata/sf0.001"
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "boolean": "BOOLEAN", "double": "DOUBLE", "date": "DATE"}
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables are not here")
 
 
@@ -29,6 +30,8 @@ def test_query(spark, db, name):
     columns = [d[0] for d in cur.description]
     assert sorted(columns) == sorted(df.columns)
     assert got == rows_of(columns, cur.fetchall())
+    types = {r[0]: r[1] for r in db.execute("DESCRIBE " + driver.oracle_sql()[name]).fetchall()}
+    assert {c: TYPES[t] for c, t in df.dtypes} == types
 
 
 def test_every_query_has_an_oracle():
