@@ -48,12 +48,15 @@ def new_path(spark: SparkSession, label: str) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder and go on from the written copy."""
+    """Write ``df`` once to the shared folder and go on from the written copy.
+
+    A table keeps its size and its columns known to the planner, which a
+    checkpointed row set does not.
+    """
     spark = df.sparkSession
-    folder = shared_dir(spark)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    path = new_path(spark, "cut")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def spread(df: DataFrame, *, small_bytes: int = 256 << 20) -> DataFrame:

@@ -238,13 +238,17 @@ _LINKS = "SELECT 'o' || o_orderkey AS url, CAST(o_custkey % 50 AS INTEGER) AS ba
 _DONE = "SELECT DISTINCT 'o' || l_orderkey AS url, CAST(o_custkey % 50 AS INTEGER) AS batch_no FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag = 'R'"
 
 
-def order_links(spark, sf):
-    o = table(spark, sf, "orders")
-    return o.select(
+def link_columns(orders):
+    """Orders as links: the key is the URL, the customer decides the batch."""
+    return orders.select(
         F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("url"), (F.col("o_custkey") % 50).cast("int").alias("batch_no")
     )
 
 
+def order_links(spark, sf):
+    return link_columns(table(spark, sf, "orders"))
+
+
 def done_links(spark, sf):
     returned = table(spark, sf, "lineitem").where("l_returnflag = 'R'").select(
         F.concat(F.lit("o"), F.col("l_orderkey").cast("string")).alias("url")
@@ -257,9 +261,10 @@ def j1(spark, sf):
     return links.remaining(order_links(spark, sf), done_links(spark, sf)).select("batch_no", "url")
 
 
-@query("j2_advance_progress", f"SELECT batch_no, url FROM ({_DONE}) UNION SELECT batch_no, url FROM ({_LINKS}) WHERE batch_no < 25")
+@query("j2_advance_progress", f"SELECT batch_no, url FROM ({_DONE}) UNION SELECT batch_no, url FROM ({_LINKS}) JOIN orders ON url = 'o' || o_orderkey WHERE o_orderstatus = 'F'")
 def j2(spark, sf):
-    return links.advance_progress(done_links(spark, sf), order_links(spark, sf).where("batch_no < 25"))
+    filled = table(spark, sf, "orders").where("o_orderstatus = 'F'")
+    return links.advance_progress(done_links(spark, sf), link_columns(filled))
 
 
 @query("j3_union_links", f"WITH {ANCHORS_SQL} SELECT url FROM pages UNION SELECT url FROM l UNION SELECT base FROM {_SITES}")
@@ -289,11 +294,11 @@ def j4(spark, sf):
 
 @query("j5_reachable", f"""
 WITH RECURSIVE e AS (SELECT * FROM {_EDGES}), r(url, depth) AS (
-  SELECT 'p' || p_partkey, CASE WHEN p_size = 50 THEN 0 ELSE 1 END FROM part WHERE p_size IN (49, 50) AND p_partkey > 100
+  SELECT 'p' || p_partkey, CASE WHEN p_size = 50 THEN 0 ELSE 1 END FROM part WHERE p_size IN (49, 50)
   UNION SELECT dst, depth + 1 FROM r JOIN e ON src = url WHERE depth < 3)
 SELECT url, min(depth)::BIGINT AS depth FROM r GROUP BY url""")
 def j5(spark, sf):
-    seeds = table(spark, sf, "part").where("p_size in (49, 50) and p_partkey > 100").select(
+    seeds = table(spark, sf, "part").where("p_size in (49, 50)").select(
         F.concat(F.lit("p"), F.col("p_partkey").cast("string")).alias("url"),
         F.when(F.col("p_size") == 50, 0).otherwise(1).alias("depth"),
     )

@@ -33,13 +33,12 @@ def g9_list(spark, sf):
 
 
 @query("g10_batch_status", f"""
-WITH a AS ({ARTICLES_SQL}), f AS (SELECT batch_no, count(DISTINCT file) AS n FROM a WHERE batch_no <= 15 GROUP BY 1),
-u AS (SELECT batch_no, count(DISTINCT url) AS n FROM a WHERE batch_no > 5 AND url IS NOT NULL GROUP BY 1)
+WITH a AS ({ARTICLES_SQL}), f AS (SELECT batch_no, count(DISTINCT file) AS n FROM a WHERE title <> '' GROUP BY 1),
+u AS (SELECT batch_no, count(DISTINCT url) AS n FROM a WHERE url IS NOT NULL GROUP BY 1)
 SELECT batch_no, coalesce(f.n, 0) AS output_files, coalesce(u.n, 0) AS processed_urls FROM f FULL JOIN u USING (batch_no)""")
 def g10(spark, sf):
     a = articles(spark, sf)
-    # early batches have no ledger yet, late ones no files
-    return batches.batch_status(a.where("batch_no <= 15"), a.where("batch_no > 5 and url is not null").select("batch_no", "url"))
+    return batches.batch_status(a.where("title <> ''"), a.where("url is not null").select("batch_no", "url"))
 
 
 _RESULTS = "SELECT user_id AS batch_no, NOT bool_or(event_type = 'error' AND value > 60) AS success FROM events GROUP BY 1"
