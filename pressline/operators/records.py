@@ -44,13 +44,14 @@ def render_records(df: DataFrame, *, site: Site = Site(), bl: Blacklist = Blackl
                    extracted: bool = False) -> DataFrame:
     """Add ``raw``: the record text, NULL for an article that is not written.
 
-    Basic articles need a title and a body other than the missing mark; extracted
-    ones must have no ``error``, and keep their subtitle as it is.
+    NULL stands for the missing mark: an article whose title is not known is
+    written with that mark, one with a blank title or without a body is not.
+    Extracted articles must have no ``error``, and keep their subtitle as it is.
     """
     if extracted:
         written, subtitle = F.coalesce("error", F.lit("")) == "", F.col("subtitle")
     else:
-        written = (F.coalesce("title", F.lit("")) != "") & F.coalesce(F.col("content") != fv.MISSING, F.lit(True))
+        written = (na("title", fv.MISSING) != "") & (na("content", fv.MISSING) != fv.MISSING)
         subtitle = mask_subtitle("subtitle", bl)
     return df.withColumn("raw", F.when(written, record_text(site, subtitle=subtitle)))
 

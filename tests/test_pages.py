@@ -269,3 +269,12 @@ def test_allowed_languages_are_a_parameter(spark):
     rules = dataclasses.replace(DEFAULT_RULES, blacklist=Blacklist(allowed_langs=("xx",)))
     df = spark.createDataFrame([(0, "https://news.example/a/", f'<html lang="xx"><p>{words(30)}</p>')], "page_id long, url string, html string")
     assert scrape_rows(df, rules=rules).first().reject_reason is None
+
+
+def test_untitled_article_reaches_the_archive(spark):
+    from pressline.operators.records import parse_records, render_records
+
+    df = spark.createDataFrame([(0, "https://news.example/a/", f'<html lang="hr"><p>{words(30)}</p>')], "page_id long, url string, html string")
+    kept = scrape_rows(df).where("reject_reason is null")
+    back = parse_records(render_records(kept).where("raw is not null").select("raw")).first()
+    assert back.title is None and back.content == words(30) and back.url == "https://news.example/a/"

@@ -23,8 +23,10 @@ def test_record_layout(spark):
 
 
 def test_not_written(spark):
-    rows = [("u", None, None, None, None, None, "b"), ("u", "", None, None, None, None, "b"), ("u", "t", None, None, None, None, "N/A")]
+    rows = [("u", "", None, None, None, None, "b"), ("u", "t", None, None, None, None, "N/A"), ("u", "t", None, None, None, None, None)]
     assert [r.raw for r in rendered(spark, *rows).collect()] == [None, None, None]
+    # an unknown title is not a blank one
+    assert "\nNASLOV: N/A\n" in rendered(spark, ("u", None, None, None, None, None, "b")).first().raw
     failed = spark.createDataFrame([("u", "t", "b", "E: x"), ("u", "t", "b", None)], "url string, title string, content string, error string")
     full = failed.select("*", *[F.lit(None).cast("string").alias(c) for c in ("date", "author", "category", "subtitle")])
     got = records.render_records(full, extracted=True).collect()
