@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from pressline.functions import urls as U
 from pressline.functions.language import indicator_substrings, verdict_reason
-from pressline.functions.text import contains_any, let
+from pressline.functions.text import clean_text, contains_any, let
 from pressline.operators import fields as P
 from pressline.operators.dedup import dedup_first_seen
 from pressline.operators.language import record_verdict, with_mid_reason, with_tokens
+from pressline.operators.records import record_url
 from pressline.params import DEFAULT_RULES, Rules
 from pressline.schemas import ARTICLE, ARTICLE_EXTRACTED
 from pressline.sources.dom import parse_pages
@@ -101,11 +102,17 @@ def extract_rows(pages: DataFrame, *, rules: Rules = DEFAULT_RULES) -> DataFrame
     return out.select("page_id", *ARTICLE_EXTRACTED.names, "date_value")
 
 
-def combine(records: DataFrame, *, rules: Rules = DEFAULT_RULES, deduplicate: bool = True, compat: bool = False) -> DataFrame:
+def combine(records: DataFrame, *, rules: Rules = DEFAULT_RULES, deduplicate: bool = True,
+            clean: bool = False, compat: bool = False) -> DataFrame:
     """Record texts -> local, first-seen records in their input columns plus ``url``.
 
-    Language first (no shuffle), then one aggregation by URL.
+    Language first (no shuffle), then one aggregation by URL.  ``clean`` tidies
+    the texts that are kept.  Records without a URL are all kept; ``compat``
+    takes the missing mark as a URL like any other, so only its first record
+    stays.
     """
-    judged = record_verdict(records, lex=rules.lexicon, compat=compat)
-    local = judged.where(~F.col("is_foreign")).select(*records.columns, "url")
-    return dedup_first_seen(local, order=[c for c in READ_ORDER if c in records.columns], enabled=deduplicate)
+    judged = record_verdict(records, lex=rules.lexicon, compat=compat).where(~F.col("is_foreign"))
+    url = record_url("raw") if compat else F.col("url")
+    local = judged.select(*records.columns, url.alias("url"))
+    first = dedup_first_seen(local, order=[c for c in READ_ORDER if c in records.columns], enabled=deduplicate)
+    return first.withColumn("raw", clean_text("raw")) if clean else first

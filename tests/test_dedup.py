@@ -75,3 +75,11 @@ def test_combine_filters_then_keeps_first(spark):
     got = combine(spark.createDataFrame(rows, "batch_no int, file string, pos long, raw string")).collect()
     # the foreign copy of batch 1 is gone before copies are compared
     assert [(r.batch_no, r.url) for r in got] == [(2, "https://a")]
+
+
+def test_combine_without_urls_and_cleaning(spark):
+    raw = "<***>\nNASLOV: Jedan\nSTRANA: N/A\nAUTOR(I): A\n\ndomaci  tekst , ovdje\n\n\n\n"
+    df = spark.createDataFrame([(b, "f", 0, raw) for b in (1, 2)], "batch_no int, file string, pos long, raw string")
+    assert combine(df).count() == 2
+    assert [r.batch_no for r in combine(df, compat=True).collect()] == [1]
+    assert combine(df, clean=True).first().raw.endswith("domaci  tekst, ovdje\n\n")
