@@ -205,11 +205,12 @@ def parse_pages(pages: DataFrame, *, implicit_close: bool = True) -> DataFrame:
     return pages.select(F.col("page_id").cast("bigint"), "url", "html").mapInArrow(run, schemas.DOM)
 
 
-def node_table(dom: DataFrame) -> DataFrame:
+def node_table(dom: DataFrame, *, ancestors: bool = False) -> DataFrame:
     """Relational form: one row per node, with its own and its whole text.
 
     ``last_id`` closes the descendant range: ``a`` is an ancestor of ``n`` iff
-    ``a.node_id < n.node_id and n.node_id <= a.last_id``.
+    ``a.node_id < n.node_id and n.node_id <= a.last_id``.  ``ancestors`` adds the
+    ids of a node's ancestors as an array, outermost first.
     """
     n = F.col("n")
     start, size = n["t0"] + 1, n["t1"] - n["t0"]
@@ -221,11 +222,16 @@ def node_table(dom: DataFrame) -> DataFrame:
         ),
         "",
     )
-    return dom.select("page_id", "url", "pieces", "piece_node", F.explode("nodes").alias("n")).select(
+    above = F.transform(
+        F.filter("nodes", lambda a: (a["id"] < n["id"]) & (n["id"] <= a["last"])), lambda a: a["id"]
+    )
+    source = ["page_id", "url", "pieces", "piece_node", *(["nodes"] if ancestors else [])]
+    return dom.select(*source, F.explode("nodes").alias("n")).select(
         "page_id", "url",
         n["id"].alias("node_id"), n["parent"].alias("parent_id"), n["last"].alias("last_id"),
         n["depth"].alias("depth"), n["nth"].alias("nth"), n["tag"].alias("tag"),
         n["attrs"].alias("attrs"), n["classes"].alias("classes"),
         own.alias("own_text"),
         F.array_join(F.slice("pieces", start, size), "").alias("text"),
+        *([above.alias("ancestors")] if ancestors else []),
     )

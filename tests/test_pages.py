@@ -41,6 +41,11 @@ def test_unclosed_tags_can_stay_open(page):
     assert [(r.tag, r.text) for r in rows] == [("div", "ab"), ("p", "ab"), ("p", "b")]
 
 
+def test_ancestors(page):
+    rows = node_table(page("<div><p>a<b>c</b></p></div><i>x</i>"), ancestors=True).orderBy("node_id").collect()
+    assert [(r.tag, r.ancestors) for r in rows] == [("div", []), ("p", [0]), ("b", [0, 1]), ("i", [])]
+
+
 def test_attributes_and_entities(page):
     row = node_table(page('<a CLASS="x  y" href="/a?b&amp;c" disabled title=&quot;q&quot;>&copy; &lt;b&gt;</a>')).first()
     assert row.classes == ["x", "y"] and row.attrs == {"class": "x  y", "href": "/a?b&c", "disabled": "", "title": '"q"'}
