@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pressline.llm import bpe, langid, quality, toxicity
+from pressline.llm import bpe, decontaminate, langid, quality, token_counts, toxicity, url_filter
 from pressline.llm.common import held_out, read
+from pressline.session import new_path
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +27,12 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op1_decontamination")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = read(spark, sf_dir, "documents", "doc_id", "text"), read(spark, sf_dir, "benchmark", "item_id", "text")
+    return decontaminate.overlaps(docs, items).select("doc_id", "item_id", "n_hits", "n_words", "first_word", "last_word")
+
+
 @query("op2_bpe")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
@@ -50,6 +57,27 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model).select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "lang_pred", "score")
 
 
+URL_RULES = (
+    url_filter.Rule("allow", "org", "/"), url_filter.Rule("block", "example.org", "/es/"), url_filter.Rule("block", "example.org", "/en/1"),
+    url_filter.Rule("allow", "com", "/fr/"), url_filter.Rule("block", "com", "/de/"),
+)
+
+
+@query("op7_url_filter")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(read(spark, sf_dir, "pages", "page_id", "url"), URL_RULES)
+
+
+END_OF_DOCUMENT = 49407  # <|endoftext|> of the vocabulary
+
+
+@query("op8_token_counts")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "tokens")
+    token_counts.write_flat(read(spark, sf_dir, "documents", "doc_id", "text"), path, tokenizer_path=WORD_BPE, separator=END_OF_DOCUMENT)
+    return token_counts.scan(spark, path, separator=END_OF_DOCUMENT)
+
+
 @query("op9_toxicity")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
