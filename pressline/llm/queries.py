@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pressline.llm import bpe, decontaminate, fingerprint, langid, quality, token_counts, toxicity, url_filter
+from pressline.llm import bpe, decontaminate, fingerprint, langid, ngram_join, quality, token_counts, toxicity, url_filter
 from pressline.llm.common import held_out, read
 from pressline.session import new_path
 
@@ -62,6 +62,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.edited(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+@query("op6_ngram_join")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(read(spark, sf_dir, "documents", "doc_id", "text")).select("doc_id", "n_shingles", "component_id")
+
+
 URL_RULES = (
     url_filter.Rule("allow", "org", "/"), url_filter.Rule("block", "example.org", "/es/"), url_filter.Rule("block", "example.org", "/en/1"),
     url_filter.Rule("allow", "com", "/fr/"), url_filter.Rule("block", "com", "/de/"),
