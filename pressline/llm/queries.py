@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pressline.llm import bpe, decontaminate, fingerprint, langid, ngram_join, quality, token_counts, toxicity, url_filter
+from pressline.llm import bpe, decontaminate, fingerprint, langid, ngram_join, pii, quality, token_counts, toxicity, url_filter
 from pressline.llm.common import held_out, read
 from pressline.session import new_path
 
@@ -94,3 +94,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = read(spark, sf_dir, "labels", "doc_id", "toxic").where(~held_out("doc_id", 5, 0))
     scored = toxicity.score(docs, toxicity.train(docs, labels))
     return scored.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op10_pii")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(pii.spans(read(spark, sf_dir, "documents", "doc_id", "text")))
