@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -165,3 +166,16 @@ def score(df: DataFrame, model: Model, features: Features, *, id_col: str = "doc
             yield pd.DataFrame({"doc_id": batch["doc_id"], "score": found})
 
     return rows.mapInPandas(scored, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, score double")
+
+
+def keep(df: DataFrame, model: Model, features: Features, *, text_col: str = "text", at_least: float = 0.5) -> DataFrame:
+    """The rows of the input, all columns as they are, whose text scores at least so much."""
+    sent, at = df.sparkSession.sparkContext.broadcast(model), df.columns.index(text_col)
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher, fitted = Hasher(), sent.value
+        for batch in batches:
+            found = fitted.scores([vector(hasher, features, t or "") for t in batch.column(at).to_pylist()])
+            yield batch.filter(pa.array(found >= at_least))
+
+    return df.mapInArrow(kept, df.schema)

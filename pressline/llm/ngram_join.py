@@ -290,3 +290,18 @@ def join(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> Da
     by_node = named.join(lowest, "c").select("node", "component_id")
     out = docs.join(by_node, "node", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "node")
+
+
+def one_of_each(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The input without the documents that link, directly or not, to one of lower id.
+
+    Repeated rows (same id and text) become one; rows with an empty set all stay.
+    """
+    linked = join(df, id_col=id_col, text_col=text_col).where("n_shingles > 0")
+    key = [F.col(f"`{id_col}`").alias("_id"), F.xxhash64(text_col).alias("_hash")]
+    below = linked.where("doc_id is null and component_id is not null or doc_id <> component_id").select(F.col("doc_id").alias("_drop")).distinct()
+    rest = df.join(below, df[id_col].eqNullSafe(F.col("_drop")), "left_anti")
+    repeated = df.select(*key).groupBy("_id", "_hash").count().where("count > 1").select("_id", "_hash")
+    same = rest[id_col].eqNullSafe(F.col("_id")) & F.xxhash64(rest[text_col]).eqNullSafe(F.col("_hash"))
+    copies = rest.join(repeated, same, "left_semi").dropDuplicates([id_col, text_col])
+    return rest.join(repeated, same, "left_anti").unionByName(copies)

@@ -60,3 +60,7 @@ def train(docs: DataFrame, labels: DataFrame, *, label_col: str = "quality", max
 
 def score(df: DataFrame, model: fm.Model, **columns) -> DataFrame:
     return fm.score(df, model, features, **columns)
+
+
+def keep(df: DataFrame, model: fm.Model, **options) -> DataFrame:
+    return fm.keep(df, model, features, **options)
