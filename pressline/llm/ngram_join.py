@@ -12,9 +12,10 @@ A text's set has its distinct shingles of four words.  Two sets link when
 * ``boundary`` is where the subsets to list and the lists to scan cost least together, from the
   histogram of set sizes and the mean length of the lists.
 
-A list of near copies is not expanded into all its pairs: neighbours in size are compared first, and
-then only pairs of nodes that are not yet in one component.  A pair is dropped when a 512-bit parity
-sketch proves it too far apart, else its sets are compared.
+A list of near copies is not expanded into all its pairs.  Long lists are cut into tiles, which first
+give a spanning forest of the pairs that a 1024-bit parity sketch can't tell apart; their sets are
+compared, and then only pairs of nodes that are not yet in one component come up.  A sketch can prove
+two sets too far apart to link, never the contrary, so no link is lost.
 
 Shingles, sets and subsets are told apart by 64-bit hashes.
 
@@ -41,10 +42,13 @@ from pressline.llm.components import components
 
 SHINGLE = 4
 HEAVY = 24  # a shingle with so many texts comes last in the order
+COUNTED = 0.4  # share of the order, by hash, from which first shingles come; only these are counted
+LONG_LIST = 32  # longer lists are compared in tiles
+TILE = 2048
 MASK_BITS = 24  # of the table of heavy shingles; shingles that share a place share its mark
 MAX_BOUNDARY = 36
 CACHED_WORDS = 300_000
-WORDS_64 = 8  # longs of a sketch
+WORDS_64 = 16  # longs of a sketch
 
 _WORDS: dict[bytes, int] = {}
 
@@ -84,8 +88,8 @@ def signed(x: np.ndarray) -> np.ndarray:
 
 
 def sketch(s: np.ndarray) -> list[int]:
-    """Parity of the shingles in each of 512 places."""
-    places = np.bincount((s >> np.uint64(55)).astype(np.int64), minlength=512) & 1
+    """Parity of the shingles in each of 1024 places."""
+    places = np.bincount((s >> np.uint64(54)).astype(np.int64), minlength=1024) & 1
     return np.packbits(places.astype(np.uint8)).view(np.int64).tolist()
 
 
@@ -133,22 +137,33 @@ def per_text(rows: DataFrame, make, schema: str) -> DataFrame:
     return rows.mapInPandas(run, schema)
 
 
-def heavy_table(rows: DataFrame) -> tuple[np.ndarray, float]:
-    """Bit table of the shingles that many texts have, and the mean list length of the others.
+def heavy_table(rows: DataFrame) -> tuple[np.ndarray, float, dict[int, int]]:
+    """Bit table of the shingles that many texts have, the mean list length, and the small set sizes.
 
-    The table has a fixed size; only its words come to the driver.
+    Shingles are told apart by 32 bits here, which only shapes the order.  The table has a fixed size;
+    only its words come to the driver.
     """
-    counted = per_text(rows, lambda _, s: [((s & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32),)], "h array<int>")
-    counts = counted.select(F.explode("h").alias("h")).groupBy("h").agg(F.count("*").alias("c"))
-    place = F.col("h").bitwiseAND(F.lit((1 << MASK_BITS) - 1))
-    heavy = F.when(F.col("c") >= HEAVY, F.expr("shiftleft(1L, h & 63)")).otherwise(F.lit(0).cast("long"))
+    size_mark, low = 1 << 40, np.uint64(0xFFFFFFFF)
+    limit = np.uint64(int(COUNTED * (1 << 64)))
+
+    def entries(_, s):
+        h = (s[s < limit] & low).astype(np.int64)
+        return [(np.append(h, size_mark + len(s)) if 0 < len(s) <= 2 * MAX_BOUNDARY else h,)]
+
+    counts = per_text(rows, entries, "h array<long>").select(F.explode("h").alias("h")).groupBy("h").agg(F.count("*").alias("c"))
+    is_size = F.col("h") >= size_mark
+    word = F.when(is_size, size_mark - F.col("h")).otherwise(F.shiftright(F.col("h").bitwiseAND(F.lit((1 << MASK_BITS) - 1)), 6))
+    heavy = F.when(~is_size & (F.col("c") >= HEAVY), F.expr("shiftleft(1L, int(h & 63))")).otherwise(F.lit(0).cast("long"))
     light = F.least("c", F.lit(HEAVY))
-    words = counts.groupBy(F.shiftright(place, 6).alias("word")).agg(F.bit_or(heavy).alias("bits"), F.sum(light).alias("s"), F.sum(light * light).alias("q"))
-    table, s, q = np.zeros(1 << (MASK_BITS - 6), np.int64), 0, 0
+    words = counts.groupBy(word.alias("word")).agg(F.bit_or(heavy).alias("bits"), F.sum("c").alias("c"), F.sum(light).alias("s"), F.sum(light * light).alias("q"))
+    table, sizes, total, square = np.zeros(1 << (MASK_BITS - 6), np.int64), {}, 0, 0
     for r in words.collect():
-        table[r["word"]] = r["bits"]
-        s, q = s + r["s"], q + r["q"]
-    return table, q / max(1, s)
+        if r["word"] < 0:
+            sizes[-r["word"]] = r["c"]
+        else:
+            table[r["word"]] = r["bits"]
+            total, square = total + r["s"], square + r["q"]
+    return table, square / max(1, total), sizes
 
 
 def is_heavy(table: np.ndarray, s: np.ndarray) -> np.ndarray:
@@ -157,63 +172,133 @@ def is_heavy(table: np.ndarray, s: np.ndarray) -> np.ndarray:
 
 
 def light_keys(s: np.ndarray, boundary: int) -> list[tuple[int, bool]]:
-    """(hash of a subset and the two sizes that ask for it, whether the set has the lower size)."""
+    """(hash of a subset and the two sizes that ask for it, whether the set has the lower size).
+
+    The last bit of the hash is set if the two sizes are one.
+    """
     n, out = len(s), []
     for b in range(1, boundary + 1):
         c = overlap_needed(n, b)
         if may_link(n, b) and c <= min(n, b):
             sizes = f"{min(n, b)}:{max(n, b)}:".encode()
-            out += [(xxhash.xxh64_intdigest(sizes + s[list(part)].tobytes()) - (1 << 63), n <= b) for part in combinations(range(n), c)]
+            for part in combinations(range(n), c):
+                h = xxhash.xxh64_intdigest(sizes + s[list(part)].tobytes())
+                out.append(((h & ~1 | (n == b)) - (1 << 63), n <= b))
     return out
 
 
-def light_links(rows: DataFrame, boundary: int) -> DataFrame:
+def light_links(docs: DataFrame) -> DataFrame:
     """Edges (u, v) that connect what the shared subsets link; each is a true link."""
-
-    def keys(_, s):
-        if not 0 < len(s) <= boundary:
-            return []
-        node, n = node_of(s), len(s)
-        return [(k, node, n, low) for k, low in light_keys(s, boundary)]
-
-    listed = per_text(rows, keys, "key long, node long, n long, low boolean").distinct()
+    listed = docs.select("node", F.col("n_shingles").alias("n"), F.explode(F.arrays_zip("keys", "low")).alias("e")).select("node", "n", "e.keys", "e.low")
+    listed = listed.withColumnRenamed("keys", "key").distinct()
     # sets of one size link among themselves, sets of two sizes with each other
     ends = listed.groupBy("key").agg(
-        F.min(F.when(F.col("low"), F.col("node"))).alias("a"), F.min(F.when(~F.col("low"), F.col("node"))).alias("b"),
-        F.min("n").alias("least"), F.max("n").alias("most"), F.count("*").alias("f")).where("f > 1")
-    met = listed.join(ends, "key")
-    same = F.col("least") == F.col("most")
-    other = F.when(same & F.col("low"), F.col("a")).when(~same, F.when(F.col("low"), F.col("b")).otherwise(F.col("a")))
-    # a group of one size has links only if that size asks for the subset by itself
-    own = F.col("b").isNotNull() | same
-    return met.where(own).select(F.col("node").alias("u"), other.alias("v")).where("v is not null and u <> v")
+        F.min(F.when(F.col("low"), F.col("node"))).alias("a"), F.min(F.when(~F.col("low"), F.col("node"))).alias("b"), F.count("*").alias("f"))
+    met = listed.join(ends.where("f > 1"), "key")
+    other = F.when(F.col("low"), F.coalesce(F.col("b"), F.when(F.pmod("key", F.lit(2)) == 1, F.col("a")))).otherwise(F.col("a"))
+    return met.select(F.col("node").alias("u"), other.alias("v")).where("v is not null and u <> v")
 
 
-def heavy_lists(rows: DataFrame, boundary: int, table) -> DataFrame:
-    """(token, node, n): the inverted lists over the first shingles of each node."""
+def list_entries(s: np.ndarray, boundary: int, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first shingles of a set in the common order, and what stands before each."""
+    n = len(s)
+    if n == 0 or (n <= boundary and 100 * n < 85 * (boundary + 1)):
+        return np.zeros(0, np.int64), np.zeros(0, np.int32)
+    late = is_heavy(table, s)
+    first = np.concatenate([s[~late], s[late]])[: prefix_length(n)]
+    before = np.insert((first[:-1] & np.uint64(0x7FFFFFFF)).astype(np.int32), 0, -1)
+    return signed(first), before
 
-    def entries(_, s):
-        n = len(s)
-        if n == 0 or (n <= boundary and 100 * n < 85 * (boundary + 1)):
-            return []
-        node = node_of(s)
-        late = is_heavy(table.value, s)
-        first = np.concatenate([s[~late], s[late]])[: prefix_length(n)]
-        return [(int(t), node, n) for t in signed(first)]
 
-    return per_text(rows, entries, "token long, node long, n long").distinct()
+def lists_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(token, f, node, n, pos, before, sketch): the inverted lists that have at least two nodes."""
+    entries = docs.select("node", F.col("n_shingles").alias("n"), F.posexplode(F.arrays_zip("tokens", "before")).alias("pos", "e"))
+    lists = entries.groupBy(F.col("e.tokens").alias("token")).agg(F.collect_set(F.struct("node", "n", "pos", F.col("e.before").alias("before"))).alias("l"))
+    rows = lists.where(F.size("l") > 1).select("token", F.size("l").alias("f"), F.explode("l").alias("e")).select("token", "f", "e.*")
+    return rows.join(nodes.select("node", "sketch"), "node")
+
+
+def needed(a: str, b: str) -> str:
+    return f"((17 * ({a} + {b}) + 36) div 37)"
+
+
+def short_list_pairs(lists: DataFrame) -> DataFrame:
+    """Pairs (u, v) of a short list that may link.
+
+    A pair is looked at where its shared shingles begin: not where both have the same one before, and only
+    at places that leave room for the overlap it needs.
+    """
+    short = lists.where(F.col("f") <= LONG_LIST)
+    apart = " + ".join(f"bit_count(a.sketch[{k}] ^ b.sketch[{k}])" for k in range(WORDS_64))
+    need = needed("a.n", "b.n")
+    on = (f"a.token = b.token and a.node < b.node and 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n) and (a.before <> b.before or a.pos = 0 or b.pos = 0) "
+          f"and a.pos <= a.n - {need} and b.pos <= b.n - {need} and a.n + b.n - ({apart}) >= 2 * {need}")
+    return short.alias("a").join(short.alias("b"), F.expr(on)).select(F.col("a.node").alias("u"), F.col("b.node").alias("v")).distinct()
+
+
+def long_list_pairs(lists: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Pairs (u, v) of the long lists that may link, as far as they are needed for the components.
+
+    A list is cut into blocks by a hash, and each pair of blocks is a tile of its own.  Without labels a
+    tile gives a spanning forest of its pairs, nearest sketches first; with labels (components found so
+    far) it gives the pairs between components.
+    """
+    named = lists.where(F.col("f") > LONG_LIST)
+    label = F.col("node")
+    if labels is not None:
+        named, label = named.join(labels, "node", "left"), F.coalesce("component", "node")
+    blocks = F.ceil(F.col("f") / float(TILE)).cast("int")
+    named = named.select("token", "node", label.alias("c"), "n", "pos", "before", "sketch", blocks.alias("blocks"), F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block"))
+    tiles = named.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    tiles = tiles.withColumn("t1", F.least("block", "other")).withColumn("t2", F.greatest("block", "other"))
+    forest = labels is None
+
+    def compare(tile: pd.DataFrame) -> pd.DataFrame:
+        tile = tile.sort_values("node", kind="stable").reset_index(drop=True)
+        bits = np.array(tile["sketch"].tolist(), np.int64).view(np.uint64)
+        node, c, n, pos, before, block = (tile[x].to_numpy() for x in ("node", "c", "n", "pos", "before", "block"))
+        one = tile["t1"].iat[0] == tile["t2"].iat[0]
+        us, vs, far = [], [], []
+        for k in range(len(tile) - 1):
+            rest = slice(k + 1, None)
+            need = -(-17 * (n[k] + n[rest]) // 37)
+            ok = (100 * np.minimum(n[k], n[rest]) >= 85 * np.maximum(n[k], n[rest])) & (pos[k] <= n[k] - need) & (pos[rest] <= n[rest] - need)
+            ok &= (before[rest] != before[k]) | (pos[k] == 0) | (pos[rest] == 0)
+            ok &= (one | (block[rest] != block[k])) & (node[rest] != node[k])
+            if not forest:
+                ok &= c[rest] != c[k]
+            at = np.flatnonzero(ok)
+            if not len(at):
+                continue
+            d = np.bitwise_count(bits[k] ^ bits[k + 1 + at]).sum(1)
+            near = n[k] + n[k + 1 + at] - d.astype(np.int64) >= 2 * need[at]
+            us.append(np.full(near.sum(), k)), vs.append(k + 1 + at[near]), far.append(d[near])
+        if not us:
+            return pd.DataFrame({"u": np.zeros(0, np.int64), "v": np.zeros(0, np.int64)})
+        u, v, d = np.concatenate(us), np.concatenate(vs), np.concatenate(far)
+        if forest:
+            top, keep = list(range(len(tile))), []
+
+            def root(x: int) -> int:
+                while top[x] != x:
+                    top[x] = top[top[x]]
+                    x = top[x]
+                return x
+
+            for e in np.argsort(d, kind="stable"):
+                a, b = root(int(u[e])), root(int(v[e]))
+                if a != b:
+                    top[b] = a
+                    keep.append(e)
+            u, v = u[keep], v[keep]
+        return pd.DataFrame({"u": node[u], "v": node[v]})
+
+    return tiles.groupBy("token", "t1", "t2").applyInPandas(compare, "u long, v long").distinct()
 
 
 def verified(pairs: DataFrame, nodes: DataFrame, rows: DataFrame) -> DataFrame:
     """Those of the distinct pairs (u, v) that link."""
-    a = nodes.select(F.col("node").alias("u"), F.col("n").alias("n_u"), F.col("sketch").alias("s_u"))
-    b = nodes.select(F.col("node").alias("v"), F.col("n").alias("n_v"), F.col("sketch").alias("s_v"))
-    apart = F.lit(0)
-    for k in range(WORDS_64):
-        apart = apart + F.bit_count(F.get("s_u", F.lit(k)).bitwiseXOR(F.get("s_v", F.lit(k))))
-    total = F.col("n_u") + F.col("n_v")
-    near = pairs.join(a, "u").join(b, "v").where((100 * F.least("n_u", "n_v") >= 85 * F.greatest("n_u", "n_v")) & (37 * (total - apart) >= 34 * total))
-    near = cut(near.select("u", "v"))
+    near = cut(pairs)
     wanted = near.select(F.col("u").alias("node")).unionByName(near.select(F.col("v").alias("node"))).distinct()
     one = wanted.join(nodes.select("node", "any_id"), "node").select("any_id").distinct()
     texts = rows.join(one, rows["doc_id"].eqNullSafe(one["any_id"])).select("doc_id", "text")
@@ -234,61 +319,36 @@ def verified(pairs: DataFrame, nodes: DataFrame, rows: DataFrame) -> DataFrame:
     return met.mapInPandas(compare, "u long, v long")
 
 
-def ordered(u: str, v: str) -> list:
-    return [F.least(u, v).alias("u"), F.greatest(u, v).alias("v")]
-
-
-def neighbour_pairs(lists: DataFrame) -> DataFrame:
-    """Each node of a list with the next node in size, as far as their sizes allow a link."""
-    later = F.array_sort(F.collect_list(F.struct("n", "node")))
-    runs = lists.groupBy("token").agg(later.alias("l")).select(F.col("l"), F.explode(F.sequence(F.lit(1), F.size("l") - 1)).alias("k"))
-    a, b = F.get("l", F.col("k") - 1), F.get("l", F.col("k"))
-    return runs.select(a.alias("a"), b.alias("b")).where("100 * a.n >= 85 * b.n").select(*ordered("a.node", "b.node")).distinct()
-
-
-def cross_pairs(lists: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of a list whose nodes are in different components."""
-    named = lists.join(labels, "node", "left").select("token", "node", "n", F.coalesce("component", "node").alias("c"))
-    groups = named.select("token", "c").distinct()
-    mixed_lists = groups.groupBy("token").count().where("count > 1").select("token")
-    named = cut(named.join(mixed_lists, "token", "left_semi"))
-    groups = named.select("token", "c").distinct()
-    both = groups.select("token", F.col("c").alias("c1")).join(groups.select("token", F.col("c").alias("c2")), "token").where("c1 < c2")
-    first = named.select("token", F.col("c").alias("c1"), F.col("node").alias("u"), F.col("n").alias("n1"))
-    second = named.select("token", F.col("c").alias("c2"), F.col("node").alias("v"), F.col("n").alias("n2"))
-    pairs = both.join(first, ["token", "c1"]).join(second, ["token", "c2"])
-    return pairs.where("100 * least(n1, n2) >= 85 * greatest(n1, n2)").select(*ordered("u", "v")).distinct()
-
-
 def join(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, node) for every row."""
-    spark = df.sparkSession
     rows = text_rows(df, id_col, text_col)
     kind = rows.schema["doc_id"].dataType.simpleString()
-
-    def summary(doc_id, s):
-        return [(doc_id, len(s), node_of(s) if len(s) else None, sketch(s) if len(s) else None)]
-
-    docs = cut(per_text(rows, summary, f"doc_id {kind}, n_shingles long, node long, sketch array<long>"))
-    nodes = cut(docs.where("n_shingles > 0").groupBy("node").agg(
-        F.min("doc_id").alias("any_id"), F.max("n_shingles").alias("n"), F.max("sketch").alias("sketch")))
-    sizes = {r["n"]: r["c"] for r in nodes.where(F.col("n") <= 2 * MAX_BOUNDARY).groupBy("n").agg(F.count("*").alias("c")).collect()}
-    bits, mean_list = heavy_table(rows)
+    bits, mean_list, sizes = heavy_table(rows)
     boundary = choose_boundary(sizes, mean_list)
-    table = spark.sparkContext.broadcast(bits)  # of fixed size
-    entries = heavy_lists(rows, boundary, table)
-    # a list of one node has no pair; what is left is small beside the texts
-    runs = entries.groupBy("token").agg(F.collect_list(F.struct("node", "n")).alias("l")).where(F.size("l") > 1)
-    lists = cut(runs.select("token", F.explode("l").alias("e")).select("token", "e.node", "e.n"))
-    light = cut(light_links(rows, boundary))
-    first = cut(verified(neighbour_pairs(lists), nodes, rows).unionByName(light))
+    table = df.sparkSession.sparkContext.broadcast(bits)  # of fixed size
+
+    def entries(doc_id, s):
+        if not len(s):
+            return [(doc_id, 0, None, None, [], [], [], [])]
+        tokens, before = list_entries(s, boundary, table.value)
+        keys = light_keys(s, boundary) if len(s) <= boundary else []
+        return [(doc_id, len(s), node_of(s), sketch(s), tokens, before, [k for k, _ in keys], [x for _, x in keys])]
+
+    docs = cut(per_text(rows, entries, f"doc_id {kind}, n_shingles long, node long, sketch array<long>, tokens array<long>, before array<int>, keys array<long>, low array<boolean>"))
+    nodes = cut(docs.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("any_id"), F.max("sketch").alias("sketch")))
+    lists = cut(lists_of(docs, nodes))
+    light = light_links(docs)
+    candidates = short_list_pairs(lists).unionByName(long_list_pairs(lists, None)).distinct()
+    first = cut(verified(candidates, nodes, rows).unionByName(light))
     labels = components(first)
-    second = verified(cross_pairs(lists, labels), nodes, rows)
-    merged = components(first.unionByName(second))
+    merged = labels
+    if lists.where(F.col("f") > LONG_LIST).limit(1).count():
+        second = verified(long_list_pairs(lists, labels), nodes, rows)
+        merged = components(first.unionByName(second))
     named = nodes.join(merged, "node", "left").select("node", "any_id", F.coalesce("component", "node").alias("c"))
     lowest = named.groupBy("c").agg(F.min("any_id").alias("component_id"))
     by_node = named.join(lowest, "c").select("node", "component_id")
-    out = docs.join(by_node, "node", "left")
+    out = docs.select("doc_id", "n_shingles", "node").join(by_node, "node", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "node")
 
 
