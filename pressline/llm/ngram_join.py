@@ -152,11 +152,14 @@ def heavy_table(rows: DataFrame) -> tuple[np.ndarray, float, dict[int, int]]:
 
     counts = per_text(rows, entries, "h array<long>").select(F.explode("h").alias("h")).groupBy("h").agg(F.count("*").alias("c"))
     is_size = F.col("h") >= size_mark
-    word = F.when(is_size, size_mark - F.col("h")).otherwise(F.shiftright(F.col("h").bitwiseAND(F.lit((1 << MASK_BITS) - 1)), 6))
-    heavy = F.when(~is_size & (F.col("c") >= HEAVY), F.expr("shiftleft(1L, int(h & 63))")).otherwise(F.lit(0).cast("long"))
+    place = F.shiftright(F.col("h").bitwiseAND(F.lit((1 << MASK_BITS) - 1)), 6)
+    many = ~is_size & (F.col("c") >= HEAVY)
+    nowhere = 1 << (MASK_BITS - 6)  # where the counts of all others are summed
+    word = F.when(is_size, size_mark - F.col("h")).when(many, place).otherwise(nowhere)
+    heavy = F.when(many, F.expr("shiftleft(1L, int(h & 63))")).otherwise(F.lit(0).cast("long"))
     light = F.least("c", F.lit(HEAVY))
     words = counts.groupBy(word.alias("word")).agg(F.bit_or(heavy).alias("bits"), F.sum("c").alias("c"), F.sum(light).alias("s"), F.sum(light * light).alias("q"))
-    table, sizes, total, square = np.zeros(1 << (MASK_BITS - 6), np.int64), {}, 0, 0
+    table, sizes, total, square = np.zeros(nowhere + 1, np.int64), {}, 0, 0
     for r in words.collect():
         if r["word"] < 0:
             sizes[-r["word"]] = r["c"]
@@ -210,40 +213,44 @@ def list_entries(s: np.ndarray, boundary: int, table: np.ndarray) -> tuple[np.nd
     return signed(first), before
 
 
-def lists_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(token, f, node, n, pos, before, sketch): the inverted lists that have at least two nodes."""
+def lists_of(docs: DataFrame) -> DataFrame:
+    """(token, f, node, n, pos, before): the inverted lists that have at least two nodes."""
     entries = docs.select("node", F.col("n_shingles").alias("n"), F.posexplode(F.arrays_zip("tokens", "before")).alias("pos", "e"))
-    lists = entries.groupBy(F.col("e.tokens").alias("token")).agg(F.collect_set(F.struct("node", "n", "pos", F.col("e.before").alias("before"))).alias("l"))
-    rows = lists.where(F.size("l") > 1).select("token", F.size("l").alias("f"), F.explode("l").alias("e")).select("token", "f", "e.*")
-    return rows.join(nodes.select("node", "sketch"), "node")
+    # dealt before they are gathered: lists mostly have one node, so gathering first would only add bytes
+    entries = entries.select(F.col("e.tokens").alias("token"), "node", "n", "pos", F.col("e.before").alias("before")).repartition("token")
+    lists = entries.groupBy("token").agg(F.collect_set(F.struct("node", "n", "pos", "before")).alias("l"))
+    return lists.where(F.size("l") > 1).select("token", F.size("l").alias("f"), F.explode("l").alias("e")).select("token", "f", "e.*")
 
 
 def needed(a: str, b: str) -> str:
     return f"((17 * ({a} + {b}) + 36) div 37)"
 
 
-def short_list_pairs(lists: DataFrame) -> DataFrame:
+def short_list_pairs(lists: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs (u, v) of a short list that may link.
 
     A pair is looked at where its shared shingles begin: not where both have the same one before, and only
     at places that leave room for the overlap it needs.
     """
     short = lists.where(F.col("f") <= LONG_LIST)
-    apart = " + ".join(f"bit_count(a.sketch[{k}] ^ b.sketch[{k}])" for k in range(WORDS_64))
     need = needed("a.n", "b.n")
     on = (f"a.token = b.token and a.node < b.node and 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n) and (a.before <> b.before or a.pos = 0 or b.pos = 0) "
-          f"and a.pos <= a.n - {need} and b.pos <= b.n - {need} and a.n + b.n - ({apart}) >= 2 * {need}")
-    return short.alias("a").join(short.alias("b"), F.expr(on)).select(F.col("a.node").alias("u"), F.col("b.node").alias("v")).distinct()
+          f"and a.pos <= a.n - {need} and b.pos <= b.n - {need}")
+    pairs = short.alias("a").join(short.alias("b"), F.expr(on)).select(F.col("a.node").alias("u"), F.col("b.node").alias("v"), F.expr(f"a.n + b.n - 2 * {need}").alias("room")).distinct()
+    u = nodes.select(F.col("node").alias("u"), F.col("sketch").alias("s_u"))
+    v = nodes.select(F.col("node").alias("v"), F.col("sketch").alias("s_v"))
+    apart = " + ".join(f"bit_count(s_u[{k}] ^ s_v[{k}])" for k in range(WORDS_64))
+    return pairs.join(u, "u").join(v, "v").where(f"{apart} <= room").select("u", "v")
 
 
-def long_list_pairs(lists: DataFrame, labels: DataFrame | None) -> DataFrame:
+def long_list_pairs(lists: DataFrame, nodes: DataFrame, labels: DataFrame | None) -> DataFrame:
     """Pairs (u, v) of the long lists that may link, as far as they are needed for the components.
 
     A list is cut into blocks by a hash, and each pair of blocks is a tile of its own.  Without labels a
     tile gives a spanning forest of its pairs, nearest sketches first; with labels (components found so
     far) it gives the pairs between components.
     """
-    named = lists.where(F.col("f") > LONG_LIST)
+    named = lists.where(F.col("f") > LONG_LIST).join(nodes.select("node", "sketch"), "node")
     label = F.col("node")
     if labels is not None:
         named, label = named.join(labels, "node", "left"), F.coalesce("component", "node")
@@ -336,14 +343,14 @@ def join(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> Da
 
     docs = cut(per_text(rows, entries, f"doc_id {kind}, n_shingles long, node long, sketch array<long>, tokens array<long>, before array<int>, keys array<long>, low array<boolean>"))
     nodes = cut(docs.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("any_id"), F.max("sketch").alias("sketch")))
-    lists = cut(lists_of(docs, nodes))
+    lists = cut(lists_of(docs))
     light = light_links(docs)
-    candidates = short_list_pairs(lists).unionByName(long_list_pairs(lists, None)).distinct()
+    candidates = short_list_pairs(lists, nodes).unionByName(long_list_pairs(lists, nodes, None)).distinct()
     first = cut(verified(candidates, nodes, rows).unionByName(light))
     labels = components(first)
     merged = labels
     if lists.where(F.col("f") > LONG_LIST).limit(1).count():
-        second = verified(long_list_pairs(lists, labels), nodes, rows)
+        second = verified(long_list_pairs(lists, nodes, labels), nodes, rows)
         merged = components(first.unionByName(second))
     named = nodes.join(merged, "node", "left").select("node", "any_id", F.coalesce("component", "node").alias("c"))
     lowest = named.groupBy("c").agg(F.min("any_id").alias("component_id"))
