@@ -11,7 +11,7 @@ passes over the texts, not a larger broadcast).
 
 Cases: words are runs of letters and digits, lower-cased; null and empty texts have none and no hits;
 benchmark items under ``MIN_ITEM`` words are no evidence and are left out, and those under the span of
-the masks are searched as a whole; repeated rows of a text count together, by id; empty tables give no
+the masks are searched as a whole; repeated rows (same id and text) count as one; empty tables give no
 rows; extra columns are not read.
 """
 
@@ -22,7 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pressline.llm.common import text_rows
+from pressline.llm.common import cut, text_rows
 
 MASKS = ("11101101011", "11010111101")
 MIN_ITEM = 5
@@ -41,17 +41,16 @@ def seed(h: Column, at: Column, mask: str) -> Column:
     return F.xxhash64(F.lit(mask), *[F.get(h, at + k) for k, m in enumerate(mask) if m == "1"])
 
 
-def seeds(rows: DataFrame, masks: tuple[str, ...]) -> DataFrame:
-    """A row for each place and mask whose window lies in the words ``h``."""
-    n = len(masks)
-    last = F.size("h") * n - 1
-    places = rows.where(F.size("h") >= min(map(len, masks))).select(
-        "*", F.explode_outer(F.sequence(F.lit(0), last)).alias("_k")).select("*", (F.col("_k") / n).cast("int").alias("at"), (F.col("_k") % n).alias("mask"))
-    found = F.lit(None).cast("long")
-    for m, mask in enumerate(masks):
-        inside = (F.col("mask") == m) & (F.col("at") + len(mask) <= F.size("h"))
-        found = F.when(inside, seed(F.col("h"), F.col("at"), mask)).otherwise(found)
-    return places.withColumn("seed", found).where("seed is not null").drop("_k")
+def seeds(rows: DataFrame, masks: tuple[str, ...], *keep: str) -> DataFrame:
+    """(.., n, at, mask, seed) for each place and mask whose window lies in the words ``h``.
+
+    The words stay behind: what follows carries the hashes only.
+    """
+    shortest = min(map(len, masks))
+    places = rows.where(F.size("h") >= shortest).select(*keep, "h", F.explode_outer(F.sequence(F.lit(0), F.size("h") - shortest)).alias("at"))
+    each = F.array(*[F.when(F.col("at") + len(m) <= F.size("h"), seed(F.col("h"), F.col("at"), m)) for m in masks])
+    hashed = places.select(*keep, F.size("h").alias("n"), "at", each.alias("seeds"))
+    return hashed.select(*keep, "n", "at", F.posexplode("seeds").alias("mask", "seed")).where("seed is not null")
 
 
 def agreeing(first: int, last: int, shift: Column) -> Column:
@@ -69,16 +68,21 @@ def overlaps(df: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", tex
     short = [r["n"] for r in items.where(F.size("h") < span).select(F.size("h").alias("n")).distinct().collect()]
     whole = tuple("1" * n for n in sorted(short))  # at most span - MIN_ITEM of them
     every = masks + whole
-    seeded = seeds(items, every).where((F.col("mask") < len(masks)) | ((F.col("at") == 0) & (F.size("h") == F.element_at(F.array(*[F.lit(len(m)) for m in every]), F.col("mask") + 1))))
-    seeded = seeded.select("item_id", F.col("at").alias("item_at"), F.col("mask").alias("item_mask"), "seed", F.col("h").alias("t"))
+    length = F.element_at(F.array(*[F.lit(len(m)) for m in every]), F.col("mask") + 1)
+    seeded = seeds(items, every, "item_id").where((F.col("mask") < len(masks)) | ((F.col("at") == 0) & (F.col("n") == length)))
+    seeded = seeded.select("item_id", F.col("at").alias("item_at"), F.col("mask").alias("item_mask"), "seed")
     parts = max(1, -(-seeded.count() // BROADCAST_SEEDS))
-    hits = None
-    places = seeds(rows, every)
+    met = None
+    places = seeds(rows, every, "doc_id", "text_hash")
     for part in range(parts):
         side = seeded.where(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == part)
-        met = places.join(F.broadcast(side), "seed").where("mask = item_mask")
-        hits = met if hits is None else hits.unionByName(met)
-    length = F.element_at(F.array(*[F.lit(len(m)) for m in every]), F.col("mask") + 1)
+        one = places.join(F.broadcast(side), "seed").where("mask = item_mask").select("doc_id", "text_hash", "at", "mask", "item_id", "item_at")
+        met = one if met is None else met.unionByName(one)
+    met = cut(met.distinct())  # few beside the texts; only their texts are read again
+    texts = rows.join(met.select("doc_id", "text_hash").distinct().withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"}),
+                      F.expr("doc_id <=> _id and text_hash = _hash"), "left_semi").dropDuplicates(["doc_id", "text_hash"])
+    texts = texts.withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"})
+    hits = met.join(texts, F.expr("doc_id <=> _id and text_hash = _hash")).join(items.select("item_id", F.col("h").alias("t")), "item_id")
     # blocks beside the window: the left ones at fixed distances, the right ones behind the mask's length
     core = reduce(lambda a, b: a + b, [F.when(F.lit(k) < length, agreeing(k, k + 1, F.lit(0))).otherwise(0) for k in range(max(map(len, every)))])
     sides = hits.select("doc_id", "text_hash", "item_id", "at", "item_at", length.alias("length"), F.size("t").alias("item_words"), core.alias("core"),
