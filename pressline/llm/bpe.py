@@ -26,11 +26,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pressline.llm.common import text_rows
+from pressline.llm.common import id_as_text, id_as_was, text_rows
 
 BLOCK_CHARS = 32_768
 WINDOW = 32
-CACHED_WORDS = 500_000
+CACHED_WORDS = 200_000
 
 # Python counts four control characters as white space that the vocabulary's pattern keeps
 CONTROL = re.compile("[\x1c-\x1f]")
@@ -63,8 +63,6 @@ class WordBpe:
         self.lib.encode_special_tokens = literal_special
         self.model = Tokenizer(self.lib.model)
         self.letters = byte_letters()
-        size = self.lib.get_vocab_size(with_added_tokens=True)
-        self.tokens = [self.lib.id_to_token(i) or "" for i in range(size)]
         self.words: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
@@ -110,10 +108,6 @@ class WordBpe:
         e = self.lib.encode(text, add_special_tokens=False)
         return np.array(e.ids, np.int64), np.array(e.offsets, np.int64).reshape(-1, 2)
 
-    def decode(self, ids: bytes) -> str:
-        tokens = self.tokens
-        return " ".join([tokens[i] for i in np.frombuffer(ids, "<u4").tolist()])
-
 
 def split_words(text: str) -> list[str]:
     if CONTROL.search(text):
@@ -132,6 +126,23 @@ def encoder(path: str, literal_special: bool = False) -> WordBpe:
     return _ENCODERS[key]
 
 
+_TOKENS: dict[str, list[str]] = {}
+
+
+def tokens_of(path: str) -> list[str]:
+    """Token of each id; the vocabulary has no decoder, so a text is its tokens between spaces."""
+    if path not in _TOKENS:
+        from tokenizers import Tokenizer
+
+        lib = Tokenizer.from_file(path)
+        _TOKENS[path] = [lib.id_to_token(i) or "" for i in range(lib.get_vocab_size(with_added_tokens=True))]
+    return _TOKENS[path]
+
+
+def decode_ids(tokens: list[str], ids: bytes) -> str:
+    return " ".join([tokens[i] for i in np.frombuffer(ids, "<u4").tolist()])
+
+
 # --- joins --------------------------------------------------------------------
 def _shared(a: tuple, b: tuple, shift: int, last: bool, lo: int, hi: int) -> tuple[int, int] | None:
     """Indexes of a token that both sides have at the same place, strictly between lo and hi.
@@ -227,7 +238,8 @@ def encode(
 ) -> DataFrame:
     """Ids of every whole text: (doc_id, ids binary of little-endian unsigned 32-bit integers)."""
     rows = text_rows(df, id_col, text_col)
-    schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids binary"
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    rows, schema = id_as_text(rows), "doc_id string, ids binary"
 
     def short(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bpe = encoder(tokenizer_path, literal_special)
@@ -239,7 +251,7 @@ def encode(
             for at, doc_id, text in zip(batch["row"], batch["doc_id"], batch["text"], strict=True):
                 for k in range(0, len(text), 16 * block_chars):
                     cuts = [text[i : i + block_chars] for i in range(k, min(len(text), k + 16 * block_chars), block_chars)]
-                    yield pd.DataFrame({"row": at, "doc_id": pd.Series([doc_id] * len(cuts), dtype=batch["doc_id"].dtype), "block": range(k // block_chars, k // block_chars + len(cuts)), "text": cuts})
+                    yield pd.DataFrame({"row": at, "doc_id": [doc_id] * len(cuts), "block": range(k // block_chars, k // block_chars + len(cuts)), "text": cuts})
 
     def encoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bpe = encoder(tokenizer_path, literal_special)
@@ -256,15 +268,14 @@ def encode(
         for batch in batches:
             for doc_id, parts in zip(batch["doc_id"], batch["parts"], strict=True):
                 ids = assemble(bpe, [(p["spaced"], p["head"], p["ids"], p["tail"]) for p in parts])
-                yield pd.DataFrame({"doc_id": pd.Series([doc_id], dtype=batch["doc_id"].dtype), "ids": [ids]})
+                yield pd.DataFrame({"doc_id": [doc_id], "ids": [ids]})
 
-    kind = rows.schema["doc_id"].dataType.simpleString()
     long = rows.where(F.length("text") > block_chars).withColumn("row", F.monotonically_increasing_id())
-    cuts = long.mapInPandas(blocks, f"row long, doc_id {kind}, block long, text string").repartition("row", "block")
-    parts = cuts.mapInPandas(encoded, f"row long, doc_id {kind}, block long, spaced boolean, head string, ids binary, tail string")
+    cuts = long.mapInPandas(blocks, "row long, doc_id string, block long, text string").repartition("row", "block")
+    parts = cuts.mapInPandas(encoded, "row long, doc_id string, block long, spaced boolean, head string, ids binary, tail string")
     whole = parts.groupBy("row", "doc_id").agg(F.sort_array(F.collect_list(F.struct("block", "spaced", "head", "ids", "tail"))).alias("parts"))
-    return rows.where(F.length("text") <= block_chars).mapInPandas(short, schema).unionByName(
-        whole.select("doc_id", "parts").mapInPandas(joined, schema))
+    return id_as_was(rows.where(F.length("text") <= block_chars).mapInPandas(short, schema).unionByName(
+        whole.select("doc_id", "parts").mapInPandas(joined, schema)), kind)
 
 
 def decode(df: DataFrame, *, tokenizer_path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -272,8 +283,9 @@ def decode(df: DataFrame, *, tokenizer_path: str, id_col: str = "doc_id", ids_co
     rows = df.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{ids_col}`"), F.lit(b"")).alias("ids"))
 
     def texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bpe = encoder(tokenizer_path)
+        tokens = tokens_of(tokenizer_path)
         for batch in batches:
-            yield batch.assign(decoded=[bpe.decode(i) for i in batch["ids"]])
+            yield batch.assign(decoded=[decode_ids(tokens, i) for i in batch["ids"]])
 
-    return rows.mapInPandas(texts, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids binary, decoded string")
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return id_as_was(id_as_text(rows).mapInPandas(texts, "doc_id string, ids binary, decoded string"), kind)

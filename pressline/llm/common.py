@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pressline.session import cut
 
-__all__ = ["broadcast_if", "cut", "held_out", "id_sample", "read", "text_rows", "xxhash_unit"]
+__all__ = ["broadcast_if", "cut", "held_out", "id_as_text", "id_as_was", "id_sample", "read", "text_rows", "xxhash_unit"]
 
 
 def read(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -19,6 +19,15 @@ def text_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return df.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
 
 
+def id_as_text(df: DataFrame) -> DataFrame:
+    """Ids as text for a Python stage, where whole numbers beside nulls would become floats."""
+    return df.withColumn("doc_id", F.col("doc_id").cast("string"))
+
+
+def id_as_was(df: DataFrame, kind: str) -> DataFrame:
+    return df.withColumn("doc_id", F.col("doc_id").cast(kind))
+
+
 def held_out(id_col: str | Column, mod: int, remainder: int) -> Column:
     """True where crc32 of the id as text leaves this remainder; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % mod == remainder

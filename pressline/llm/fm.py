@@ -21,14 +21,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pressline.llm.common import id_sample, text_rows
+from pressline.llm.common import id_as_text, id_as_was, id_sample, text_rows
 
 BITS = 17
 FACTORS = 8
 MAX_ROWS = 8192
 MAX_FEATURES = 8192
 MIN_Z = 3.0
-CACHED_NAMES = 400_000
+CACHED_NAMES = 200_000
 
 #: gives the features of a text as (names with weight 1/sqrt(their number), names with weight 1)
 Features = Callable[[str], tuple[set[str], list[str]]]
@@ -165,7 +165,8 @@ def score(df: DataFrame, model: Model, features: Features, *, id_col: str = "doc
             found = fitted.scores([vector(hasher, features, t) for t in batch["text"]])
             yield pd.DataFrame({"doc_id": batch["doc_id"], "score": found})
 
-    return rows.mapInPandas(scored, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, score double")
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return id_as_was(id_as_text(rows).mapInPandas(scored, "doc_id string, score double"), kind)
 
 
 def keep(df: DataFrame, model: Model, features: Features, *, text_col: str = "text", at_least: float = 0.5) -> DataFrame:

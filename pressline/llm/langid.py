@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pressline.llm.common import id_sample, text_rows
+from pressline.llm.common import id_as_text, id_as_was, id_sample, text_rows
 
 ORDERS = 4
 BITS = 16
@@ -157,4 +157,5 @@ def predict(df: DataFrame, model: Model | None, *, id_col: str = "doc_id", text_
                     langs[n], scores[n] = fitted.langs[b], s
             yield pd.DataFrame({"doc_id": batch["doc_id"], "lang_pred": langs, "score": scores})
 
-    return rows.mapInPandas(predicted, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, lang_pred string, score double")
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return id_as_was(id_as_text(rows).mapInPandas(predicted, "doc_id string, lang_pred string, score double"), kind)

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pressline.llm.common import cut, text_rows
+from pressline.llm.common import cut, id_as_text, id_as_was, text_rows
 from pressline.llm.components import components
 
 SHINGLE = 4
@@ -47,7 +47,7 @@ LONG_LIST = 32  # longer lists are compared in tiles
 TILE = 2048
 MASK_BITS = 24  # of the table of heavy shingles; shingles that share a place share its mark
 MAX_BOUNDARY = 36
-CACHED_WORDS = 300_000
+CACHED_WORDS = 150_000
 WORDS_64 = 16  # longs of a sketch
 
 _WORDS: dict[bytes, int] = {}
@@ -132,9 +132,9 @@ def per_text(rows: DataFrame, make, schema: str) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = [r for d, t in zip(batch["doc_id"], batch["text"], strict=True) for r in make(d, shingles(t))]
-            yield pd.DataFrame(found, columns=names)
+            yield pd.DataFrame(found, columns=names, dtype=object)  # beside nulls, numbers would become floats
 
-    return rows.mapInPandas(run, schema)
+    return id_as_text(rows).mapInPandas(run, schema)
 
 
 def heavy_table(rows: DataFrame) -> tuple[np.ndarray, float, dict[int, int]]:
@@ -341,7 +341,7 @@ def join(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> Da
         keys = light_keys(s, boundary) if len(s) <= boundary else []
         return [(doc_id, len(s), node_of(s), sketch(s), tokens, before, [k for k, _ in keys], [x for _, x in keys])]
 
-    docs = cut(per_text(rows, entries, f"doc_id {kind}, n_shingles long, node long, sketch array<long>, tokens array<long>, before array<int>, keys array<long>, low array<boolean>"))
+    docs = cut(id_as_was(per_text(rows, entries, "doc_id string, n_shingles long, node long, sketch array<long>, tokens array<long>, before array<int>, keys array<long>, low array<boolean>"), kind))
     nodes = cut(docs.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("any_id"), F.max("sketch").alias("sketch")))
     lists = cut(lists_of(docs))
     light = light_links(docs)
