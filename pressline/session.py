@@ -57,15 +57,3 @@ def cut(df: DataFrame) -> DataFrame:
     path = new_path(spark, "cut")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame, *, small_bytes: int = 256 << 20) -> DataFrame:
-    """Give a small input to all cores; leave a large one as it is read.
-
-    A small file often is a single row group, hence a single task.  Moving a few
-    megabytes costs less than computing on one core.  The size comes from the
-    file listing; large inputs have row groups enough and are never moved.
-    """
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if size <= small_bytes else df

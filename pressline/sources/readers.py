@@ -35,19 +35,6 @@ def read_links(spark: SparkSession, path: str) -> DataFrame:
     return whole.select(F.col("_metadata.file_path").alias("file"), F.explode(links).alias("url"))
 
 
-def read_links_split(spark: SparkSession, path: str) -> DataFrame:
-    """``(file, url)`` of link files that are too large to be read as one row.
-
-    The quote is the line separator, so one array is read by many tasks; the
-    pieces between the links are brackets, commas and white space.  Links must
-    not hold quotes, and a damaged file gives its readable links.
-    """
-    pieces = spark.read.option("recursiveFileLookup", True).option("lineSep", '"').text(path)
-    links = pieces.where(~F.col("value").rlike(r"^[\s\[\],]*$"))
-    plain = F.from_json(F.concat(F.lit('["'), "value", F.lit('"]')), "array<string>")
-    return links.select(F.col("_metadata.file_path").alias("file"), F.get(plain, F.lit(0)).alias("url"))
-
-
 def read_link_rows(spark: SparkSession, path: str) -> DataFrame:
     """Links as ``sinks.write_links`` leaves them: one JSON row each."""
     return spark.read.schema("url string").json(path)

@@ -35,19 +35,26 @@ def run_incremental(stream: DataFrame, out: str, checkpoint: str, *,
     """Process everything that is new and stop.
 
     The checkpoint commits the input files together with the output rows, so a
-    restart neither repeats nor loses a record.
+    restart neither repeats nor loses a record.  A run that is not done within
+    ``timeout`` seconds is stopped and raises ``TimeoutError``; the next run on the
+    checkpoint goes on from there.
     """
     query = (
         transform(stream).writeStream.format("parquet").option("path", out)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
-    query.awaitTermination(timeout)
+    if timeout is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout):
+        query.stop()
+        raise TimeoutError(f"the run was not done after {timeout} s")
 
 
 def stream_dedup(stream: DataFrame, *, key: str = "url", watermark: tuple[str, str] | None = None) -> DataFrame:
-    """First-seen rows by key across runs; rows without a key pass through.
+    """One row per key across runs; rows without a key all pass through.
 
-    Without a watermark the result is exact and the state keeps every key seen.
+    Of rows that come in one run any may be the one that is kept; a key seen in an
+    earlier run brings none.  Without a watermark the state keeps every key seen.
     With ``(time column, delay)`` only repeats within the delay are removed and
     the state stays bounded: weaker, but fit for endless streams.
     """
@@ -59,5 +66,7 @@ def stream_dedup(stream: DataFrame, *, key: str = "url", watermark: tuple[str, s
     return keyed.unionByName(stream.where(F.col(key).isNull()))
 
 
-def with_url(stream: DataFrame, *, raw: str = "raw") -> DataFrame:
-    return stream.withColumn("url", record_url(raw))
+def with_url(stream: DataFrame, *, raw: str = "raw", compat: bool = False) -> DataFrame:
+    """The URL of each record; NULL where it is missing, or the missing mark with ``compat``."""
+    url = record_url(raw)
+    return stream.withColumn("url", url if compat else F.nullif(url, F.lit(fv.MISSING)))

@@ -148,8 +148,7 @@ def e11(spark, sf):
     # white space, which no rule looks at
     records = render_records(articles(spark, sf).withColumn("url", F.lit("u")), site=SITE)
     whole = records.where(F.col("raw").isNotNull()).select("doc_id", "lang", "raw")
-    lost = records.where(F.col("raw").isNull()).select("doc_id", "lang")
-    return OP.local_only(whole, lex=LEX).select("doc_id", "lang").unionByName(lost)
+    return OP.local_only(whole, lex=LEX).select("doc_id", "lang")
 
 
 @query("e12_split_sides", f"""WITH {VERDICT_CTE}

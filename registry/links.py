@@ -305,13 +305,13 @@ def j5(spark, sf):
     return graph.reachable(edges(spark, sf), seeds, max_depth=3)
 
 
-@query("j6_lookup_equi", """SELECT doc_id, item_id FROM documents JOIN (SELECT substr(text, 1, 1) AS term, min(item_id) AS item_id FROM benchmark GROUP BY 1)
-ON substr(documents.text, 1, 1) = term""")
+@query("j6_lookup_equi", """SELECT doc_id, item_id FROM documents JOIN (SELECT split_part(text, ' ', 1) AS term, min(item_id) AS item_id FROM benchmark GROUP BY 1)
+ON split_part(documents.text, ' ', 1) = term""")
 def j6(spark, sf):
-    # one rule per initial letter: a lookup table has unique keys
-    rules = table(spark, sf, "benchmark").groupBy(F.substring("text", 1, 1).alias("term")).agg(F.min("item_id").alias("item_id"))
-    docs = table(spark, sf, "documents").select("doc_id", F.substring("text", 1, 1).alias("initial"))
-    return links.lookup(docs, rules, column="initial").select("doc_id", "item_id")
+    # one rule per first word: a lookup table has unique keys
+    rules = table(spark, sf, "benchmark").groupBy(F.substring_index("text", " ", 1).alias("term")).agg(F.min("item_id").alias("item_id"))
+    docs = table(spark, sf, "documents").select("doc_id", F.substring_index("text", " ", 1).alias("first"))
+    return links.lookup(docs, rules, column="first").select("doc_id", "item_id")
 
 
 _RULES = (("tion", "tion"), ("eux", "eux"), ("ung", "ung"), ("os", "os"))
@@ -349,10 +349,10 @@ def a1(spark, sf):
 
 @query("a1_read_links_split", with_articles("SELECT DISTINCT url FROM a WHERE url IS NOT NULL"))
 def a1_split(spark, sf):
+    # a link list of any size: one JSON row for each link, so that a file splits
     path = new_path(spark, "links")
-    files = link_files(spark, article_urls(spark, sf), size=300).select("batch_no", F.to_json("links").alias("value"))
-    files.repartition("batch_no").write.partitionBy("batch_no").text(path)
-    return readers.read_links_split(spark, path).select("url")
+    sinks.write_links(article_urls(spark, sf).select("url").distinct(), path)
+    return readers.read_link_rows(spark, path).select("url")
 
 
 @query("a2_read_link_result", f"""

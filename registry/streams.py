@@ -30,7 +30,7 @@ def s1(spark, sf):
 
 
 @query("s2_stream_dedup", f"""WITH a AS ({ARTICLES_SQL}) SELECT url FROM (
-  SELECT DISTINCT coalesce(url, 'N/A') AS url FROM a WHERE title <> '')""")
+  SELECT DISTINCT url FROM a WHERE title <> '' AND url IS NOT NULL UNION ALL SELECT url FROM a WHERE title <> '' AND url IS NULL)""")
 def s2(spark, sf):
     done = run(spark, sf, "s2", lambda df: incremental.stream_dedup(incremental.with_url(df)))
     return done.select("url")

@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from pressline.sources import readers, sinks
@@ -15,20 +16,26 @@ def test_link_files(spark, tmp_path):
     assert readers.read_links(spark, str(tmp_path / "missing.json")).count() == 0
 
 
-def test_split_link_files(spark, tmp_path):
-    urls = [f"https://h/č,{i} x" for i in range(500)]
-    (tmp_path / "plain.json").write_text(json.dumps(urls, indent=4, ensure_ascii=False), encoding="utf-8")
-    (tmp_path / "escaped.json").write_text(json.dumps(urls), encoding="utf-8")
+def test_link_rows_split_and_keep_every_character(spark, tmp_path):
+    urls = [f'https://h/č,"{i}\\ x' for i in range(500)] + [""]
+    sinks.write_links(spark.createDataFrame([(u,) for u in urls], "url string").coalesce(1), str(tmp_path / "rows"))
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
     try:
-        split = readers.read_links_split(spark, str(tmp_path))
-        got = sorted(r.url for r in split.collect())
-        assert split.rdd.getNumPartitions() > 2
+        rows = readers.read_link_rows(spark, str(tmp_path / "rows"))
+        got = sorted(r.url for r in rows.collect())
+        assert rows.rdd.getNumPartitions() > 2
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
-    assert got == sorted(urls * 2)
-    assert got == sorted(r.url for r in readers.read_links(spark, str(tmp_path)).collect())
+    assert got == sorted(urls)
+
+
+def test_unfinished_run_is_reported(spark, tmp_path):
+    (tmp_path / "src").mkdir()
+    (tmp_path / "src" / "News_batch_1.txt").write_text(record(1, "https://a"))
+    with pytest.raises(TimeoutError):
+        incremental.run_incremental(
+            incremental.stream_articles(spark, str(tmp_path / "src")), str(tmp_path / "out"), str(tmp_path / "ckpt"), timeout=0.001)
 
 
 def test_link_result(spark, tmp_path):
