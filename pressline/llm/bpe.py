@@ -30,7 +30,7 @@ from pressline.llm.common import id_as_text, id_as_was, text_rows
 
 BLOCK_CHARS = 32_768
 WINDOW = 32
-CACHED_WORDS = 200_000
+CACHED_WORDS = 150_000
 
 # Python counts four control characters as white space that the vocabulary's pattern keeps
 CONTROL = re.compile("[\x1c-\x1f]")
@@ -234,17 +234,28 @@ def encode_text(bpe: WordBpe, text: str, block_chars: int = BLOCK_CHARS) -> byte
 # --- operators ------------------------------------------------------------------
 def encode(
     df: DataFrame, *, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
-    block_chars: int = BLOCK_CHARS, literal_special: bool = False,
+    block_chars: int = BLOCK_CHARS, literal_special: bool = False, with_text: bool = False,
 ) -> DataFrame:
-    """Ids of every whole text: (doc_id, ids binary of little-endian unsigned 32-bit integers)."""
+    """Ids of every whole text: (doc_id, ids binary of little-endian unsigned 32-bit integers).
+
+    ``with_text`` adds ``decoded``, the text of the ids, in the same Python process: a stage of its own
+    would keep a second worker, with a second vocabulary, beside each first one.
+    """
     rows = text_rows(df, id_col, text_col)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    rows, schema = id_as_text(rows), "doc_id string, ids binary"
+    rows, schema = id_as_text(rows), "doc_id string, ids binary" + (", decoded string" if with_text else "")
+
+    def result(doc_ids, ids: list[bytes]) -> pd.DataFrame:
+        out = pd.DataFrame({"doc_id": doc_ids, "ids": ids})
+        if with_text:
+            tokens = tokens_of(tokenizer_path)
+            out["decoded"] = [decode_ids(tokens, i) for i in ids]
+        return out
 
     def short(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bpe = encoder(tokenizer_path, literal_special)
         for batch in batches:
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "ids": bpe.encode_many(list(batch["text"]))})
+            yield result(batch["doc_id"], bpe.encode_many(list(batch["text"])))
 
     def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -268,7 +279,7 @@ def encode(
         for batch in batches:
             for doc_id, parts in zip(batch["doc_id"], batch["parts"], strict=True):
                 ids = assemble(bpe, [(p["spaced"], p["head"], p["ids"], p["tail"]) for p in parts])
-                yield pd.DataFrame({"doc_id": [doc_id], "ids": [ids]})
+                yield result([doc_id], [ids])
 
     long = rows.where(F.length("text") > block_chars).withColumn("row", F.monotonically_increasing_id())
     cuts = long.mapInPandas(blocks, "row long, doc_id string, block long, text string").repartition("row", "block")

@@ -36,7 +36,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_bpe")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
-    out = bpe.decode(bpe.encode(docs, tokenizer_path=WORD_BPE), tokenizer_path=WORD_BPE)
+    out = bpe.encode(docs, tokenizer_path=WORD_BPE, with_text=True)
     return out.select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))

@@ -36,6 +36,8 @@ def test_operator(spark, docs, word_bpe):
     got = bpe.decode(bpe.encode(docs(*rows), tokenizer_path=PATH, block_chars=1000), tokenizer_path=PATH).collect()
     want = sorted((str(i), bytes(np.array(whole(word_bpe, t or ""), "<u4")), word_bpe.lib.decode(whole(word_bpe, t or ""), skip_special_tokens=False)) for i, t in rows)
     assert sorted((str(r.doc_id), bytes(r.ids), r.decoded) for r in got) == want
+    both = bpe.encode(docs(*rows), tokenizer_path=PATH, block_chars=1000, with_text=True).collect()
+    assert sorted((str(r.doc_id), bytes(r.ids), r.decoded) for r in both) == want
     assert bpe.encode(docs(), tokenizer_path=PATH).count() == 0
 
 
