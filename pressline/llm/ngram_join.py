@@ -46,6 +46,7 @@ COUNTED = 0.4  # share of the order, by hash, from which first shingles come; on
 LONG_LIST = 32  # longer lists are compared in tiles
 TILE = 2048
 MASK_BITS = 24  # of the table of heavy shingles; shingles that share a place share its mark
+ID_BITS = 24  # of the table of ids whose texts are read again, which is broadcast: 4 MB at most
 MAX_BOUNDARY = 36
 CACHED_WORDS = 150_000
 WORDS_64 = 16  # longs of a sketch
@@ -303,12 +304,29 @@ def long_list_pairs(lists: DataFrame, nodes: DataFrame, labels: DataFrame | None
     return tiles.groupBy("token", "t1", "t2").applyInPandas(compare, "u long, v long").distinct()
 
 
+def perhaps_among(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows with an id of ``ids``, and few others, without moving a text.
+
+    A bit table of the hashed ids has a fixed number of words, whatever the input's size; ids that share a
+    place are told apart by the join that follows.
+    """
+
+    def place(name: str) -> tuple:
+        at = F.xxhash64(name).bitwiseAND(F.lit((1 << ID_BITS) - 1))
+        return F.shiftright(at, 6).alias("_word"), F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(F.lit(63)).cast("int")).alias("_bit")
+
+    words = ids.select(*place("any_id")).groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
+    met = rows.select("*", *place("doc_id")).join(F.broadcast(words), "_word")
+    return met.where(F.col("_bits").bitwiseAND(F.col("_bit")) != 0).select(*rows.columns)
+
+
 def verified(pairs: DataFrame, nodes: DataFrame, rows: DataFrame) -> DataFrame:
     """Those of the distinct pairs (u, v) that link."""
     near = cut(pairs)
     wanted = near.select(F.col("u").alias("node")).unionByName(near.select(F.col("v").alias("node"))).distinct()
-    one = wanted.join(nodes.select("node", "any_id"), "node").select("any_id").distinct()
-    texts = rows.join(one, rows["doc_id"].eqNullSafe(one["any_id"])).select("doc_id", "text")
+    one = cut(wanted.join(nodes.select("node", "any_id"), "node").select("any_id").distinct())
+    maybe = perhaps_among(rows, one)
+    texts = maybe.join(one, maybe["doc_id"].eqNullSafe(one["any_id"]), "left_semi").select("doc_id", "text")
     sets = per_text(texts, lambda _, s: [(node_of(s), s.tobytes())] if len(s) else [], "node long, s binary")
     sets = sets.join(wanted, "node", "left_semi").dropDuplicates(["node"])
     met = near.join(sets.select(F.col("node").alias("u"), F.col("s").alias("s_u")), "u").join(
@@ -366,9 +384,9 @@ def one_of_each(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     """
     linked = join(df, id_col=id_col, text_col=text_col).where("n_shingles > 0")
     key = [F.col(f"`{id_col}`").alias("_id"), F.xxhash64(text_col).alias("_hash")]
-    below = linked.where("doc_id is null and component_id is not null or doc_id <> component_id").select(F.col("doc_id").alias("_drop")).distinct()
+    below = cut(linked.where("doc_id is null and component_id is not null or doc_id <> component_id").select(F.col("doc_id").alias("_drop")).distinct())
     rest = df.join(below, df[id_col].eqNullSafe(F.col("_drop")), "left_anti")
-    repeated = df.select(*key).groupBy("_id", "_hash").count().where("count > 1").select("_id", "_hash")
+    repeated = cut(df.select(*key).groupBy("_id", "_hash").count().where("count > 1").select("_id", "_hash"))
     same = rest[id_col].eqNullSafe(F.col("_id")) & F.xxhash64(rest[text_col]).eqNullSafe(F.col("_hash"))
     copies = rest.join(repeated, same, "left_semi").dropDuplicates([id_col, text_col])
     return rest.join(repeated, same, "left_anti").unionByName(copies)
