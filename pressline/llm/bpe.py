@@ -30,7 +30,8 @@ from pressline.llm.common import id_as_text, id_as_was, text_rows
 
 BLOCK_CHARS = 32_768
 WINDOW = 32
-CACHED_WORDS = 150_000
+CACHED_WORDS = 80_000
+TEXTS_AT_ONCE = 64  # whose words are held together
 
 # Python counts four control characters as white space that the vocabulary's pattern keeps
 CONTROL = re.compile("[\x1c-\x1f]")
@@ -48,7 +49,7 @@ def byte_letters() -> list[str]:
 
 
 class WordBpe:
-    """The library's encoder behind two bounded caches: words, and pre-tokens of plain words."""
+    """The library's encoder behind a bounded cache of words; a pre-token of a plain word is a word, too."""
 
     def __init__(self, path: str, literal_special: bool = False):
         # one worker has one core; ids are packed in the machine's order, which must be the result's
@@ -64,7 +65,6 @@ class WordBpe:
         self.model = Tokenizer(self.lib.model)
         self.letters = byte_letters()
         self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
 
     def _learn(self, words: list[str]) -> None:
         """Encode words that the cache lacks."""
@@ -76,24 +76,24 @@ class WordBpe:
                 split.append((w, PRE_TOKEN.findall(w.lower())))
             else:
                 odd.append(w)
-        pieces, letters = self.pieces, self.letters
-        new = list({p for _, parts in split for p in parts if p not in pieces})
+        known, letters = self.words, self.letters
+        new = list({p for _, parts in split for p in parts if p not in known})
         mapped = [p if p.isascii() else "".join([letters[b] for b in p.encode()]) for p in new]
         for piece, e in zip(new, self.model.encode_batch_fast(mapped, add_special_tokens=False), strict=True):
-            pieces[piece] = array("I", e.ids).tobytes()
+            known[piece] = array("I", e.ids).tobytes()
         for word, parts in split:
-            self.words[word] = pieces[parts[0]] if len(parts) == 1 else b"".join([pieces[p] for p in parts])
+            known[word] = known[parts[0]] if len(parts) == 1 else b"".join([known[p] for p in parts])
         for word in odd:
             self.words[word] = array("I", self.lib.encode(word, add_special_tokens=False).ids).tobytes()
 
     def encode_many(self, texts: list[str]) -> list[bytes]:
-        """Ids of texts, as little-endian unsigned 32-bit integers.
+        """Ids of texts, as little-endian unsigned 32-bit integers; a few texts at a time."""
+        return [ids for k in range(0, len(texts), TEXTS_AT_ONCE) for ids in self._encode_some(texts[k : k + TEXTS_AT_ONCE])]
 
-        The caches are bounded: beyond the limit they start anew before the next texts.
-        """
-        for cache in (self.words, self.pieces):
-            if len(cache) > CACHED_WORDS:
-                cache.clear()
+    def _encode_some(self, texts: list[str]) -> list[bytes]:
+        """The cache is bounded: beyond the limit it starts anew before the next texts."""
+        if len(self.words) > CACHED_WORDS:
+            self.words.clear()
         split, words = [split_words(t) for t in texts], self.words
         new = {w for part in split for w in part if w not in words}
         if new:
@@ -119,7 +119,7 @@ _ENCODERS: dict[tuple[str, bool], WordBpe] = {}
 
 
 def encoder(path: str, literal_special: bool = False) -> WordBpe:
-    """One encoder for each Python worker; its caches serve all tasks of the worker."""
+    """One encoder for each Python worker; its cache serves all tasks of the worker."""
     key = (path, literal_special)
     if key not in _ENCODERS:
         _ENCODERS[key] = WordBpe(path, literal_special)
@@ -129,12 +129,17 @@ def encoder(path: str, literal_special: bool = False) -> WordBpe:
 _TOKENS: dict[str, list[str]] = {}
 
 
+def _library(path: str):
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
 def tokens_of(path: str) -> list[str]:
     """Token of each id; the vocabulary has no decoder, so a text is its tokens between spaces."""
     if path not in _TOKENS:
-        from tokenizers import Tokenizer
-
-        lib = Tokenizer.from_file(path)
+        loaded = next((bpe.lib for (at, _), bpe in _ENCODERS.items() if at == path), None)
+        lib = loaded or _library(path)
         _TOKENS[path] = [lib.id_to_token(i) or "" for i in range(lib.get_vocab_size(with_added_tokens=True))]
     return _TOKENS[path]
 
