@@ -48,7 +48,7 @@ TILE = 2048
 MASK_BITS = 24  # of the table of heavy shingles; shingles that share a place share its mark
 ID_BITS = 24  # of the table of ids whose texts are read again, which is broadcast: 4 MB at most
 MAX_BOUNDARY = 36
-CACHED_WORDS = 150_000
+CACHED_WORDS = 50_000
 WORDS_64 = 16  # longs of a sketch
 
 _WORDS: dict[bytes, int] = {}
