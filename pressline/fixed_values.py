@@ -325,3 +325,24 @@ STOP_PHRASES = [
 ]
 BYLINE_PREFIX = r"^(By|Autor|Piše)"
 BYLINE_IN_TEXT = r"(autor|piše|by)"
+
+# lines of the report on a combined archive, filled in by format
+REPORT_LINES = (
+    "=== {NAME} REPORT ===",
+    "Generated: %s",
+    "",
+    "SUMMARY:",
+    "- Total input files processed: %d",
+    "- Total articles found: %d",
+    "- Unique articles saved: %d",
+    "- Duplicate articles removed: %d",
+    "",
+    "OUTPUT:",
+    "- Combined articles saved to: %s",
+    "",
+    "COMPLETION RATE:",
+    "- Articles successfully processed: %d / %d",
+    "- Success rate: %.2f%%",
+    "",
+    "This report was generated automatically by {name}.",
+)

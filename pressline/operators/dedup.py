@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pressline import fixed_values as fv
+
 
 ORDER = ("batch_no", "file", "pos")
 
@@ -78,14 +80,7 @@ def report_rows(summary: DataFrame, *, name: str, generated: Column) -> DataFram
     """Human-readable report of a summary: one row per line, with its number."""
     rate = success_rate("unique_articles", "total_articles")
     text = F.format_string(
-        "\n".join((
-            f"=== {name.upper()} REPORT ===", "Generated: %s", "", "SUMMARY:",
-            "- Total input files processed: %d", "- Total articles found: %d",
-            "- Unique articles saved: %d", "- Duplicate articles removed: %d", "",
-            "OUTPUT:", "- Combined articles saved to: %s", "", "COMPLETION RATE:",
-            "- Articles successfully processed: %d / %d", "- Success rate: %.2f%%", "",
-            f"This report was generated automatically by {name}.",
-        )),
+        "\n".join(fv.REPORT_LINES).replace("{NAME}", name.upper()).replace("{name}", name),
         F.date_format(generated, "yyyy-MM-dd HH:mm:ss"),
         "input_files", "total_articles", "unique_articles", "duplicate_articles",
         "output_file", "unique_articles", "total_articles", rate,
