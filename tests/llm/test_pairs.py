@@ -1,5 +1,6 @@
 import random
 import re
+from itertools import combinations_with_replacement
 
 from pressline.llm import decontaminate, fingerprint, ngram_join
 from pressline.llm.components import components
@@ -108,6 +109,47 @@ def test_decontamination(spark, docs):
     assert decontaminate.overlaps(docs(), bench).count() == 0 and decontaminate.overlaps(docs(*rows), bench.limit(0)).count() == 0
 
 
+def longest_stretch(item, text):
+    """Agreeing words of the longest stretches, side by side at any shift, of which four fifths agree."""
+    best = 0
+    for shift in range(-len(item), len(text)):
+        same = [item[k] == text[k + shift] if 0 <= k + shift < len(text) else None for k in range(len(item))]
+        for i in range(len(item)):
+            good = 0
+            for j in range(i, len(item)):
+                if same[j] is None:
+                    break
+                good += same[j]
+                if 5 * good >= 4 * (j + 1 - i):
+                    best = max(best, good)
+    return best
+
+
+def test_decontamination_equals_brute_force(spark, docs):
+    rng = random.Random(6)
+    items = {n: [f"i{n}x{k}" for k in range(n)] for n in (5, 6, 9, 10, 11, 13, 14, 20, 30, 60)}
+    noise = lambda n: rng.choices(WORDS, k=n)
+    texts = []
+    for item in items.values():
+        passages = [item[:n] for n in range(5, 18)] + [item[-n:] for n in (12, 13)]
+        passages += [["other" if k % step == at else w for k, w in enumerate(item)] for step in (3, 4, 5, 6, 7, 9) for at in range(step)]
+        passages += [[rng.choice(WORDS) if rng.random() < share else w for w in item] for share in (0.1, 0.15, 0.2, 0.25, 0.3) for _ in range(6)]
+        texts += [noise(rng.randrange(9)) + p + noise(rng.randrange(9)) for p in passages]
+    want = {(d, n) for d, t in enumerate(texts) for n, item in items.items() if longest_stretch(item, t) >= min(13, -(-9 * n // 10))}
+    bench = spark.createDataFrame([(n, " ".join(t)) for n, t in items.items()], "item_id long, text string")
+    got = decontaminate.overlaps(docs(*((d, " ".join(t)) for d, t in enumerate(texts))), bench).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == want
+    assert all(r.n_words <= r.last_word - r.first_word + 1 <= r.n_words * 1.25 for r in got)
+
+
+def test_masks_miss_no_admitted_change():
+    windows = [re.compile("(?=" + m.replace("0", ".") + ")") for m in decontaminate.MASKS]
+    for ones, zeros in ((9, 1), (10, 1), (11, 1), (12, 1), (13, 0), (13, 1), (13, 2), (13, 3), (16, 4), (20, 5), (24, 6)):
+        for gaps in combinations_with_replacement(range(1, ones), zeros):
+            words = "".join("0" * gaps.count(k) + "1" for k in range(ones)) if zeros else "1" * ones
+            assert any(w.search(words) for w in windows), words
+
+
 def test_fingerprints(docs):
     a, b = " ".join(WORDS[:200]), " ".join(WORDS[200:])
     rows = [(1, a), (2, a), (3, b), (4, None), (5, ""), (6, "one"), (9, a + " tail"), (9, a + " tail"), (None, "é🎉 x")]
