@@ -34,7 +34,7 @@ from math import comb
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pressline.llm.common import cut, id_as_text, id_as_was, text_rows
@@ -127,12 +127,12 @@ def choose_boundary(sizes: dict[int, int], mean_list: float) -> int:
 
 
 def per_text(rows: DataFrame, make, schema: str) -> DataFrame:
-    """make(doc_id, shingles) gives the rows of a text, as a list of tuples; a frame for each batch."""
+    """make(.., shingles) gives the rows of a text from its other columns, as a list of tuples; a frame for each batch."""
     names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [r for d, t in zip(batch["doc_id"], batch["text"], strict=True) for r in make(d, shingles(t))]
+            found = [r for *key, t in zip(*(batch[c] for c in batch), strict=True) for r in make(*key, shingles(t))]
             yield pd.DataFrame(found, columns=names, dtype=object)  # beside nulls, numbers would become floats
 
     return id_as_text(rows).mapInPandas(run, schema)
@@ -344,23 +344,33 @@ def verified(pairs: DataFrame, nodes: DataFrame, rows: DataFrame) -> DataFrame:
     return met.mapInPandas(compare, "u long, v long")
 
 
-def join(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, node) for every row."""
+def in_order() -> Column:
+    """What the rows of a component are put in order by; null ids come last."""
+    return F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+
+
+def linked(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, text_hash, n_shingles, node, lowest) for every row.
+
+    ``lowest`` is the (id is null, id, text hash) that comes first in the row's component, null for an empty set.
+    """
     rows = text_rows(df, id_col, text_col)
     kind = rows.schema["doc_id"].dataType.simpleString()
     bits, mean_list, sizes = heavy_table(rows)
     boundary = choose_boundary(sizes, mean_list)
     table = df.sparkSession.sparkContext.broadcast(bits)  # of fixed size
 
-    def entries(doc_id, s):
+    def entries(doc_id, text_hash, s):
         if not len(s):
-            return [(doc_id, 0, None, None, [], [], [], [])]
+            return [(doc_id, text_hash, 0, None, None, [], [], [], [])]
         tokens, before = list_entries(s, boundary, table.value)
         keys = light_keys(s, boundary) if len(s) <= boundary else []
-        return [(doc_id, len(s), node_of(s), sketch(s), tokens, before, [k for k, _ in keys], [x for _, x in keys])]
+        return [(doc_id, text_hash, len(s), node_of(s), sketch(s), tokens, before, [k for k, _ in keys], [x for _, x in keys])]
 
-    docs = cut(id_as_was(per_text(rows, entries, "doc_id string, n_shingles long, node long, sketch array<long>, tokens array<long>, before array<int>, keys array<long>, low array<boolean>"), kind))
-    nodes = cut(docs.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("any_id"), F.max("sketch").alias("sketch")))
+    hashed = rows.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    docs = cut(id_as_was(per_text(hashed, entries, "doc_id string, text_hash long, n_shingles long, node long, sketch array<long>, tokens array<long>, before array<int>, keys array<long>, low array<boolean>"), kind))
+    nodes = cut(docs.where("n_shingles > 0").groupBy("node").agg(F.min(in_order()).alias("first"), F.max("sketch").alias("sketch")))
+    nodes = nodes.select("node", "first", F.col("first.doc_id").alias("any_id"), "sketch")
     lists = cut(lists_of(docs))
     light = light_links(docs)
     candidates = short_list_pairs(lists, nodes).unionByName(long_list_pairs(lists, nodes, None)).distinct()
@@ -370,22 +380,28 @@ def join(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> Da
     if lists.where(F.col("f") > LONG_LIST).limit(1).count():
         second = verified(long_list_pairs(lists, nodes, labels), nodes, rows)
         merged = components(first.unionByName(second))
-    named = nodes.join(merged, "node", "left").select("node", "any_id", F.coalesce("component", "node").alias("c"))
-    lowest = named.groupBy("c").agg(F.min("any_id").alias("component_id"))
-    by_node = named.join(lowest, "c").select("node", "component_id")
-    out = docs.select("doc_id", "n_shingles", "node").join(by_node, "node", "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "node")
+    named = nodes.join(merged, "node", "left").select("node", "first", F.coalesce("component", "node").alias("c"))
+    lowest = named.groupBy("c").agg(F.min("first").alias("lowest"))
+    by_node = named.join(lowest, "c").select("node", "lowest")
+    return docs.select("doc_id", "text_hash", "n_shingles", "node").join(by_node, "node", "left")
+
+
+def join(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, n_shingles, component_id, node) for every row."""
+    out = linked(df, id_col, text_col)
+    return out.select("doc_id", "n_shingles", F.coalesce("lowest.doc_id", "doc_id").alias("component_id"), "node")
 
 
 def one_of_each(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The input without the documents that link, directly or not, to one of lower id.
+    """The input without the documents that link, directly or not, to one that comes before.
 
-    Repeated rows (same id and text) become one; rows with an empty set all stay.
+    The lowest id stays, null ids come last, and texts of one id are told apart by their hash.  Repeated
+    rows (same id and text) become one; rows with an empty set all stay.
     """
-    linked = join(df, id_col=id_col, text_col=text_col).where("n_shingles > 0")
+    below = linked(df, id_col, text_col).where((F.col("n_shingles") > 0) & ~F.col("lowest").eqNullSafe(in_order()))
+    below = cut(below.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct())
     key = [F.col(f"`{id_col}`").alias("_id"), F.xxhash64(text_col).alias("_hash")]
-    below = cut(linked.where("doc_id is null and component_id is not null or doc_id <> component_id").select(F.col("doc_id").alias("_drop")).distinct())
-    rest = df.join(below, df[id_col].eqNullSafe(F.col("_drop")), "left_anti")
+    rest = df.join(below, df[id_col].eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce(df[text_col], F.lit(""))) == F.col("_hash")), "left_anti")
     repeated = cut(df.select(*key).groupBy("_id", "_hash").count().where("count > 1").select("_id", "_hash"))
     same = rest[id_col].eqNullSafe(F.col("_id")) & F.xxhash64(rest[text_col]).eqNullSafe(F.col("_hash"))
     copies = rest.join(repeated, same, "left_semi").dropDuplicates([id_col, text_col])

@@ -84,6 +84,19 @@ def test_repeated_rows_and_one_of_each(docs):
     assert ngram_join.join(docs()).count() == 0
 
 
+def test_one_of_each_with_null_and_repeated_ids(docs):
+    text, other, third, nulls = (" ".join(WORDS[k : k + 50]) for k in (0, 60, 120, 180))
+    rows = [
+        (3, text), (None, text), (None, text + " more"), (None, "a b c d e"), (None, ""), (None, None), (None, other),
+        (7, third), (7, text + " tail"), (7, third.upper()), (None, nulls), (None, nulls + " end"), (None, nulls + " last"), (2, other + " x"),
+    ]
+    kept = [(r.doc_id, r.text) for r in ngram_join.one_of_each(docs(*rows)).collect()]
+    groups = [(None, nulls), (None, nulls + " end"), (None, nulls + " last")], [(7, third), (7, third.upper())]
+    assert all(sum(r in g for r in kept) == 1 for g in groups)
+    rest = [r for r in kept if not any(r in g for g in groups)]
+    assert sorted(map(str, rest)) == sorted(map(str, [(3, text), (None, "a b c d e"), (None, ""), (None, None), (2, other + " x")]))
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 160)] + [(7, 7)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
