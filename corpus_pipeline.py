@@ -17,6 +17,10 @@ from pressline.llm.common import cut, read
 #: learned labels and the sketches of near copies have no SQL form; the tests compare with plain loops
 ORACLE_SQL = None
 
+#: near copies share this percentage of their shingles of so many words
+NEAR_SHINGLE = 5
+NEAR_PERCENT = 80
+
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that the classifier rejects."""
@@ -26,7 +30,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, the one of the lowest id."""
-    return ngram_join.one_of_each(docs)
+    return ngram_join.one_of_each(docs, shingle=NEAR_SHINGLE, percent=NEAR_PERCENT)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

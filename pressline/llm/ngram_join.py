@@ -1,12 +1,12 @@
 """N-gram Jaccard join of documents: size-aware, heavy and light.
 
-A text's set has its distinct shingles of four words.  Two sets link when
-100 * intersection >= 85 * union.
+A text's set has its distinct shingles of ``shingle`` words (four).  Two sets link when
+100 * intersection >= ``percent`` (85) * union.
 
 * Equal sets are one node.
 * Light: two sets of at most ``boundary`` shingles link exactly if they share a subset of the size that
   their two sizes ask for.  All such subsets are listed, and those that are equal meet.
-* Heavy: if one of the sets is larger, both have, among their first n - ceil(0.85 n) + 1 shingles in one
+* Heavy: if one of the sets is larger, both have, among their first n - ceil(n * percent / 100) + 1 shingles in one
   common order, a shingle in common.  The inverted lists of these shingles are scanned.  Shingles that
   many texts have come last in the order, so their long lists are hardly used.
 * ``boundary`` is where the subsets to list and the lists to scan cost least together, from the
@@ -20,7 +20,7 @@ two sets too far apart to link, never the contrary, so no link is lost.
 Shingles, sets and subsets are told apart by 64-bit hashes.
 
 Cases: null and empty texts, and texts without words, have an empty set (size 0) and link with nothing;
-texts with fewer than four words have one shingle; repeated rows and copies are one node and get a
+texts with fewer words than a shingle have one; repeated rows and copies are one node and get a
 row each; a null id never names a component while another id is there; empty tables give no rows; extra
 columns are not read.
 """
@@ -40,7 +40,8 @@ from pyspark.sql import functions as F
 from pressline.llm.common import cut, id_as_text, id_as_was, text_rows
 from pressline.llm.components import components
 
-SHINGLE = 4
+SHINGLE = 4  # words, unless the caller asks for others
+PERCENT = 85  # of the union that two sets share if they link, likewise
 HEAVY = 24  # a shingle with so many texts comes last in the order
 COUNTED = 0.4  # share of the order, by hash, from which first shingles come; only these are counted
 LONG_LIST = 32  # longer lists are compared in tiles
@@ -61,7 +62,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingles(text: str) -> np.ndarray:
+def shingles(text: str, shingle: int = SHINGLE) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the shingles of a text."""
     words = text.encode("utf-8", "surrogatepass").lower().split()  # A-Z and ASCII white space only
     if not words:
@@ -72,11 +73,11 @@ def shingles(text: str) -> np.ndarray:
         if w not in _WORDS:
             _WORDS[w] = xxhash.xxh64_intdigest(w)
     h = np.fromiter((_WORDS[w] for w in words), np.uint64, len(words))
-    if len(h) <= SHINGLE:
-        h = np.append(h, np.full(SHINGLE - len(h), len(h), np.uint64))
-    out = h[: len(h) - SHINGLE + 1].copy()
-    for k in range(1, SHINGLE):
-        out = mixed(out) + h[k : len(h) - SHINGLE + 1 + k] * np.uint64(0x9E3779B97F4A7C15)
+    if len(h) <= shingle:
+        h = np.append(h, np.full(shingle - len(h), len(h), np.uint64))
+    out = h[: len(h) - shingle + 1].copy()
+    for k in range(1, shingle):
+        out = mixed(out) + h[k : len(h) - shingle + 1 + k] * np.uint64(0x9E3779B97F4A7C15)
     return np.unique(mixed(out))
 
 
@@ -94,51 +95,52 @@ def sketch(s: np.ndarray) -> list[int]:
     return np.packbits(places.astype(np.uint8)).view(np.int64).tolist()
 
 
-def overlap_needed(a: int, b: int) -> int:
-    return -(-17 * (a + b) // 37)
+def overlap_needed(a, b, percent: int = PERCENT):
+    return -(-percent * (a + b) // (100 + percent))
 
 
-def may_link(a: int, b: int) -> bool:
-    return 100 * min(a, b) >= 85 * max(a, b)
+def may_link(a: int, b: int, percent: int = PERCENT) -> bool:
+    return 100 * min(a, b) >= percent * max(a, b)
 
 
-def prefix_length(n: int) -> int:
-    return n - (85 * n + 99) // 100 + 1
+def prefix_length(n: int, percent: int = PERCENT) -> int:
+    return n - (percent * n + 99) // 100 + 1
 
 
-def subsets_listed(n: int, boundary: int) -> int:
+def subsets_listed(n: int, boundary: int, percent: int = PERCENT) -> int:
     """How many subsets a set of n shingles lists."""
-    return sum(comb(n, overlap_needed(n, b)) for b in range(1, boundary + 1) if may_link(n, b) and overlap_needed(n, b) <= min(n, b))
+    asked = ((b, overlap_needed(n, b, percent)) for b in range(1, boundary + 1) if may_link(n, b, percent))
+    return sum(comb(n, c) for b, c in asked if c <= min(n, b))
 
 
-def choose_boundary(sizes: dict[int, int], mean_list: float) -> int:
+def choose_boundary(sizes: dict[int, int], mean_list: float, percent: int = PERCENT) -> int:
     """The boundary at which listing subsets and scanning lists cost least together."""
 
     def cost(x: int) -> float:
         total = 0.0
         for n, count in sizes.items():
             if n <= x:
-                total += count * subsets_listed(n, x)
-            if n > x or 100 * n >= 85 * (x + 1):
-                total += count * prefix_length(n) * (1 + mean_list)
+                total += count * subsets_listed(n, x, percent)
+            if n > x or 100 * n >= percent * (x + 1):
+                total += count * prefix_length(n, percent) * (1 + mean_list)
         return total
 
     return min(range(MAX_BOUNDARY + 1), key=cost)
 
 
-def per_text(rows: DataFrame, make, schema: str) -> DataFrame:
+def per_text(rows: DataFrame, make, schema: str, shingle: int = SHINGLE) -> DataFrame:
     """make(.., shingles) gives the rows of a text from its other columns, as a list of tuples; a frame for each batch."""
     names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [r for *key, t in zip(*(batch[c] for c in batch), strict=True) for r in make(*key, shingles(t))]
+            found = [r for *key, t in zip(*(batch[c] for c in batch), strict=True) for r in make(*key, shingles(t, shingle))]
             yield pd.DataFrame(found, columns=names, dtype=object)  # beside nulls, numbers would become floats
 
     return id_as_text(rows).mapInPandas(run, schema)
 
 
-def heavy_table(rows: DataFrame) -> tuple[np.ndarray, float, dict[int, int]]:
+def heavy_table(rows: DataFrame, shingle: int = SHINGLE) -> tuple[np.ndarray, float, dict[int, int]]:
     """Bit table of the shingles that many texts have, the mean list length, and the small set sizes.
 
     Shingles are told apart by 32 bits here, which only shapes the order.  The table has a fixed size;
@@ -151,7 +153,7 @@ def heavy_table(rows: DataFrame) -> tuple[np.ndarray, float, dict[int, int]]:
         h = (s[s < limit] & low).astype(np.int64)
         return [(np.append(h, size_mark + len(s)) if 0 < len(s) <= 2 * MAX_BOUNDARY else h,)]
 
-    counts = per_text(rows, entries, "h array<long>").select(F.explode("h").alias("h")).groupBy("h").agg(F.count("*").alias("c"))
+    counts = per_text(rows, entries, "h array<long>", shingle).select(F.explode("h").alias("h")).groupBy("h").agg(F.count("*").alias("c"))
     is_size = F.col("h") >= size_mark
     place = F.shiftright(F.col("h").bitwiseAND(F.lit((1 << MASK_BITS) - 1)), 6)
     many = ~is_size & (F.col("c") >= HEAVY)
@@ -175,15 +177,15 @@ def is_heavy(table: np.ndarray, s: np.ndarray) -> np.ndarray:
     return (table.view(np.uint64)[(h >> np.uint64(6)).astype(np.int64)] >> (h & np.uint64(63))) & np.uint64(1) == 1
 
 
-def light_keys(s: np.ndarray, boundary: int) -> list[tuple[int, bool]]:
+def light_keys(s: np.ndarray, boundary: int, percent: int = PERCENT) -> list[tuple[int, bool]]:
     """(hash of a subset and the two sizes that ask for it, whether the set has the lower size).
 
     The last bit of the hash is set if the two sizes are one.
     """
     n, out = len(s), []
     for b in range(1, boundary + 1):
-        c = overlap_needed(n, b)
-        if may_link(n, b) and c <= min(n, b):
+        c = overlap_needed(n, b, percent)
+        if may_link(n, b, percent) and c <= min(n, b):
             sizes = f"{min(n, b)}:{max(n, b)}:".encode()
             for part in combinations(range(n), c):
                 h = xxhash.xxh64_intdigest(sizes + s[list(part)].tobytes())
@@ -203,13 +205,13 @@ def light_links(docs: DataFrame) -> DataFrame:
     return met.select(F.col("node").alias("u"), other.alias("v")).where("v is not null and u <> v")
 
 
-def list_entries(s: np.ndarray, boundary: int, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def list_entries(s: np.ndarray, boundary: int, table: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
     """The first shingles of a set in the common order, and what stands before each."""
     n = len(s)
-    if n == 0 or (n <= boundary and 100 * n < 85 * (boundary + 1)):
+    if n == 0 or (n <= boundary and 100 * n < percent * (boundary + 1)):
         return np.zeros(0, np.int64), np.zeros(0, np.int32)
     late = is_heavy(table, s)
-    first = np.concatenate([s[~late], s[late]])[: prefix_length(n)]
+    first = np.concatenate([s[~late], s[late]])[: prefix_length(n, percent)]
     before = np.insert((first[:-1] & np.uint64(0x7FFFFFFF)).astype(np.int32), 0, -1)
     return signed(first), before
 
@@ -223,19 +225,19 @@ def lists_of(docs: DataFrame) -> DataFrame:
     return lists.where(F.size("l") > 1).select("token", F.size("l").alias("f"), F.explode("l").alias("e")).select("token", "f", "e.*")
 
 
-def needed(a: str, b: str) -> str:
-    return f"((17 * ({a} + {b}) + 36) div 37)"
+def needed(a: str, b: str, percent: int) -> str:
+    return f"(({percent} * ({a} + {b}) + {99 + percent}) div {100 + percent})"
 
 
-def short_list_pairs(lists: DataFrame, nodes: DataFrame) -> DataFrame:
+def short_list_pairs(lists: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Pairs (u, v) of a short list that may link.
 
     A pair is looked at where its shared shingles begin: not where both have the same one before, and only
     at places that leave room for the overlap it needs.
     """
     short = lists.where(F.col("f") <= LONG_LIST)
-    need = needed("a.n", "b.n")
-    on = (f"a.token = b.token and a.node < b.node and 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n) and (a.before <> b.before or a.pos = 0 or b.pos = 0) "
+    need = needed("a.n", "b.n", percent)
+    on = (f"a.token = b.token and a.node < b.node and 100 * least(a.n, b.n) >= {percent} * greatest(a.n, b.n) and (a.before <> b.before or a.pos = 0 or b.pos = 0) "
           f"and a.pos <= a.n - {need} and b.pos <= b.n - {need}")
     pairs = short.alias("a").join(short.alias("b"), F.expr(on)).select(F.col("a.node").alias("u"), F.col("b.node").alias("v"), F.expr(f"a.n + b.n - 2 * {need}").alias("room")).distinct()
     u = nodes.select(F.col("node").alias("u"), F.col("sketch").alias("s_u"))
@@ -244,7 +246,7 @@ def short_list_pairs(lists: DataFrame, nodes: DataFrame) -> DataFrame:
     return pairs.join(u, "u").join(v, "v").where(f"{apart} <= room").select("u", "v")
 
 
-def long_list_pairs(lists: DataFrame, nodes: DataFrame, labels: DataFrame | None) -> DataFrame:
+def long_list_pairs(lists: DataFrame, nodes: DataFrame, labels: DataFrame | None, percent: int) -> DataFrame:
     """Pairs (u, v) of the long lists that may link, as far as they are needed for the components.
 
     A list is cut into blocks by a hash, and each pair of blocks is a tile of its own.  Without labels a
@@ -269,8 +271,8 @@ def long_list_pairs(lists: DataFrame, nodes: DataFrame, labels: DataFrame | None
         us, vs, far = [], [], []
         for k in range(len(tile) - 1):
             rest = slice(k + 1, None)
-            need = -(-17 * (n[k] + n[rest]) // 37)
-            ok = (100 * np.minimum(n[k], n[rest]) >= 85 * np.maximum(n[k], n[rest])) & (pos[k] <= n[k] - need) & (pos[rest] <= n[rest] - need)
+            need = overlap_needed(n[k], n[rest], percent)
+            ok = (100 * np.minimum(n[k], n[rest]) >= percent * np.maximum(n[k], n[rest])) & (pos[k] <= n[k] - need) & (pos[rest] <= n[rest] - need)
             ok &= (before[rest] != before[k]) | (pos[k] == 0) | (pos[rest] == 0)
             ok &= (one | (block[rest] != block[k])) & (node[rest] != node[k])
             if not forest:
@@ -320,14 +322,14 @@ def perhaps_among(rows: DataFrame, ids: DataFrame) -> DataFrame:
     return met.where(F.col("_bits").bitwiseAND(F.col("_bit")) != 0).select(*rows.columns)
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, rows: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Those of the distinct pairs (u, v) that link."""
     near = cut(pairs)
     wanted = near.select(F.col("u").alias("node")).unionByName(near.select(F.col("v").alias("node"))).distinct()
     one = cut(wanted.join(nodes.select("node", "any_id"), "node").select("any_id").distinct())
     maybe = perhaps_among(rows, one)
     texts = maybe.join(one, maybe["doc_id"].eqNullSafe(one["any_id"]), "left_semi").select("doc_id", "text")
-    sets = per_text(texts, lambda _, s: [(node_of(s), s.tobytes())] if len(s) else [], "node long, s binary")
+    sets = per_text(texts, lambda _, s: [(node_of(s), s.tobytes())] if len(s) else [], "node long, s binary", shingle)
     sets = sets.join(wanted, "node", "left_semi").dropDuplicates(["node"])
     met = near.join(sets.select(F.col("node").alias("u"), F.col("s").alias("s_u")), "u").join(
         sets.select(F.col("node").alias("v"), F.col("s").alias("s_v")), "v")
@@ -338,7 +340,7 @@ def verified(pairs: DataFrame, nodes: DataFrame, rows: DataFrame) -> DataFrame:
             for x, y in zip(batch["s_u"], batch["s_v"], strict=True):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= 85 * (len(x) + len(y) - both))
+                keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.loc[keep, ["u", "v"]]
 
     return met.mapInPandas(compare, "u long, v long")
@@ -349,36 +351,36 @@ def in_order() -> Column:
     return F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
 
 
-def linked(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def linked(df: DataFrame, id_col: str, text_col: str, shingle: int, percent: int) -> DataFrame:
     """(doc_id, text_hash, n_shingles, node, lowest) for every row.
 
     ``lowest`` is the (id is null, id, text hash) that comes first in the row's component, null for an empty set.
     """
     rows = text_rows(df, id_col, text_col)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    bits, mean_list, sizes = heavy_table(rows)
-    boundary = choose_boundary(sizes, mean_list)
+    bits, mean_list, sizes = heavy_table(rows, shingle)
+    boundary = choose_boundary(sizes, mean_list, percent)
     table = df.sparkSession.sparkContext.broadcast(bits)  # of fixed size
 
     def entries(doc_id, text_hash, s):
         if not len(s):
             return [(doc_id, text_hash, 0, None, None, [], [], [], [])]
-        tokens, before = list_entries(s, boundary, table.value)
-        keys = light_keys(s, boundary) if len(s) <= boundary else []
+        tokens, before = list_entries(s, boundary, table.value, percent)
+        keys = light_keys(s, boundary, percent) if len(s) <= boundary else []
         return [(doc_id, text_hash, len(s), node_of(s), sketch(s), tokens, before, [k for k, _ in keys], [x for _, x in keys])]
 
     hashed = rows.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    docs = cut(id_as_was(per_text(hashed, entries, "doc_id string, text_hash long, n_shingles long, node long, sketch array<long>, tokens array<long>, before array<int>, keys array<long>, low array<boolean>"), kind))
+    docs = cut(id_as_was(per_text(hashed, entries, "doc_id string, text_hash long, n_shingles long, node long, sketch array<long>, tokens array<long>, before array<int>, keys array<long>, low array<boolean>", shingle), kind))
     nodes = cut(docs.where("n_shingles > 0").groupBy("node").agg(F.min(in_order()).alias("first"), F.max("sketch").alias("sketch")))
     nodes = nodes.select("node", "first", F.col("first.doc_id").alias("any_id"), "sketch")
     lists = cut(lists_of(docs))
     light = light_links(docs)
-    candidates = short_list_pairs(lists, nodes).unionByName(long_list_pairs(lists, nodes, None)).distinct()
-    first = cut(verified(candidates, nodes, rows).unionByName(light))
+    candidates = short_list_pairs(lists, nodes, percent).unionByName(long_list_pairs(lists, nodes, None, percent)).distinct()
+    first = cut(verified(candidates, nodes, rows, shingle, percent).unionByName(light))
     labels = components(first)
     merged = labels
     if lists.where(F.col("f") > LONG_LIST).limit(1).count():
-        second = verified(long_list_pairs(lists, nodes, labels), nodes, rows)
+        second = verified(long_list_pairs(lists, nodes, labels, percent), nodes, rows, shingle, percent)
         merged = components(first.unionByName(second))
     named = nodes.join(merged, "node", "left").select("node", "first", F.coalesce("component", "node").alias("c"))
     lowest = named.groupBy("c").agg(F.min("first").alias("lowest"))
@@ -386,19 +388,19 @@ def linked(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select("doc_id", "text_hash", "n_shingles", "node").join(by_node, "node", "left")
 
 
-def join(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def join(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, node) for every row."""
-    out = linked(df, id_col, text_col)
+    out = linked(df, id_col, text_col, shingle, percent)
     return out.select("doc_id", "n_shingles", F.coalesce("lowest.doc_id", "doc_id").alias("component_id"), "node")
 
 
-def one_of_each(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def one_of_each(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The input without the documents that link, directly or not, to one that comes before.
 
     The lowest id stays, null ids come last, and texts of one id are told apart by their hash.  Repeated
     rows (same id and text) become one; rows with an empty set all stay.
     """
-    below = linked(df, id_col, text_col).where((F.col("n_shingles") > 0) & ~F.col("lowest").eqNullSafe(in_order()))
+    below = linked(df, id_col, text_col, shingle, percent).where((F.col("n_shingles") > 0) & ~F.col("lowest").eqNullSafe(in_order()))
     below = cut(below.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct())
     key = [F.col(f"`{id_col}`").alias("_id"), F.xxhash64(text_col).alias("_hash")]
     rest = df.join(below, df[id_col].eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce(df[text_col], F.lit(""))) == F.col("_hash")), "left_anti")

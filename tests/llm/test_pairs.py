@@ -1,7 +1,8 @@
 import random
 import re
-from itertools import combinations_with_replacement
+from itertools import combinations, combinations_with_replacement
 
+import corpus_pipeline
 from pressline.llm import decontaminate, fingerprint, ngram_join
 from pressline.llm.components import components
 
@@ -97,6 +98,35 @@ def test_one_of_each_with_null_and_repeated_ids(docs):
     assert sorted(map(str, rest)) == sorted(map(str, [(3, text), (None, "a b c d e"), (None, ""), (None, None), (2, other + " x")]))
 
 
+def test_the_stage_links_what_lies_between_the_two_thresholds(spark, docs):
+    base = [f"b{k}" for k in range(200)]
+    rows = [(1, " ".join(base)), (2, " ".join(base + [f"n{k}" for k in range(44)])), (3, " ".join(base[:80] + [f"m{k}" for k in range(15)] + base[95:])), (4, " ".join(base[:120]))]
+    rows += [(10, "a b c d e f g h i j k l m"), (11, "a b c d e f g h i j k l m n"), (12, "a b c d e f g h i j k x y")]
+    assert {r.doc_id for r in ngram_join.one_of_each(docs(*rows)).collect()} == {1, 2, 3, 4, 10, 12}
+    assert {r.doc_id for r in corpus_pipeline.near_copies(spark, docs(*rows), "").collect()} == {1, 4, 10, 12}
+
+
+def test_other_parameters_equal_brute_force(docs, monkeypatch):
+    monkeypatch.setattr(ngram_join, "LONG_LIST", 8)
+    monkeypatch.setattr(ngram_join, "TILE", 16)
+    rows = corpus(4)
+    got = {r.doc_id: r.component_id for r in ngram_join.join(docs(*rows), shingle=5, percent=80).collect()}
+    sets = {}
+    for i, text in rows:
+        words = (text or "").lower().split()
+        sets[i] = {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
+    low = {i: i for i in sets}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in combinations(sets, 2):
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= 80 * len(sets[a] | sets[b]) and low[a] != low[b]:
+                low[a] = low[b] = min(low[a], low[b])
+                changed = True
+    assert got == low
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 160)] + [(7, 7)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
