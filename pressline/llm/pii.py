@@ -1,9 +1,9 @@
 """Personal data: fixed patterns, and bootstrapped extraction from their contexts; DataFrame functions only.
 
 The fixed patterns (email, ip, card, phone) give the base spans, which always stay.  They are also the
-seeds: every identifier-like word (at least ``MIN_ID`` characters, with a digit) is an instance, and the
-words before it, after it and its own head before the first digit are the lexical patterns in which it
-occurs.  A pattern's score is the smoothed share of known identifiers among its instances; an instance in a
+seeds.  They and every identifier-like word (at least ``MIN_ID`` characters, with a digit) are instances, and
+the words before an instance, after it and its own head before the first digit are the lexical patterns in
+which it occurs; a word that a base span overlaps counts as one with that span.  A pattern's score is the smoothed share of known identifiers among its instances; an instance in a
 pattern of high score that enough known ones support becomes known itself, with kind ``id``, and the scores
 are computed again, for ``ROUNDS`` rounds.  Patterns and instances are a graph of two sides that is scored
 with joins and partial sums; only word neighbourhoods are moved, not texts.
@@ -85,7 +85,7 @@ def matches(rows: DataFrame) -> DataFrame:
     kinds = F.array(
         kind("email", EMAIL, F.contains(text, F.lit("@")), F.regexp_replace("text", DOTS, "_")),
         kind("ip", IP, text.rlike(r"[0-9]\.[0-9]")),
-        kind("card", CARD, text.rlike("[0-9][0-9 -]{12}"), F.regexp_replace("text", SEPARATORS, "x")),
+        kind("card", CARD, text.rlike("[0-9][0-9 -]{12}"), F.regexp_replace("text", SEPARATORS, "\t")),
         kind("phone", PHONE, F.contains(text, F.lit("+"))),
         kind("id", ID, digit),
     )
@@ -100,7 +100,11 @@ def matches(rows: DataFrame) -> DataFrame:
     run = Window.partitionBy("row", "kind").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     end = F.sum(F.col("gap") + F.length("match")).over(run)
     word = lambda c, n: F.lower(F.regexp_replace(F.substring_index(F.trim(F.translate(c, "\n\t", "  ")), " ", n), r"[^\p{L}\p{N}=:#]", ""))
-    placed = moved.select(*keep, "kind", (end - F.length("match")).alias("start"), end.alias("end"), "match", word("left", -1).alias("before"), word("right", 1).alias("after"))
+    # signs that touch a base span belong to its word, as they do in words that are candidates
+    base = F.col("kind") != "id"
+    left = F.when(base, F.regexp_replace("left", r"[^\s\p{L}\p{N}=:#]+$", "")).otherwise(F.col("left"))
+    right = F.when(base, F.regexp_replace("right", r"^[^\s\p{L}\p{N}=:#]+", "")).otherwise(F.col("right"))
+    placed = moved.select(*keep, "kind", (end - F.length("match")).alias("start"), end.alias("end"), "match", word(left, -1).alias("before"), word(right, 1).alias("after"))
     return placed.where(F.col("match").isNull() | passes(F.col("kind"), F.col("match")))
 
 
@@ -109,25 +113,29 @@ def discovered(spans: DataFrame) -> DataFrame:
     base = F.col("kind") != "id"
     run = Window.partitionBy("row").orderBy("start", "kind")
     # base spans that begin before, or inside, an instance and reach into it make it known
-    reach = F.max(F.when(base, F.col("end"))).over(run.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    begin = F.min(F.when(base, F.col("start"))).over(run.rowsBetween(Window.currentRow, Window.unboundedFollowing))
-    placed = spans.where("match is not null").select("*", F.coalesce(reach > F.col("start"), F.lit(False)).alias("under"), F.coalesce(begin < F.col("end"), F.lit(False)).alias("over"))
-    head = F.lower(F.regexp_extract("match", r"^[^0-9]*", 0))
+    ends, starts = F.struct("end", "match"), F.struct("start", "match")
+    reach = F.max(F.when(base, ends)).over(run.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    begin = F.min(F.when(base, starts)).over(run.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    placed = spans.where("match is not null").select("*", reach.alias("reach"), begin.alias("begin"))
+    under, over = F.coalesce(F.col("reach.end") > F.col("start"), F.lit(False)), F.coalesce(F.col("begin.start") < F.col("end"), F.lit(False))
+    # the base span that a place stands for; written without signs, so that two kinds at one place count once
+    stands_for = F.lower(F.regexp_replace(F.when(under, F.col("reach.match")).when(over, F.col("begin.match")), r"[^\p{L}\p{N}@.]", ""))
+    head = F.lower(F.regexp_extract("match", r"^([^0-9]*)[0-9]", 1))
     patterns = F.array(
         F.when(F.col("before") != "", F.concat(F.lit("before "), "before")), F.when(F.col("after") != "", F.concat(F.lit("after "), "after")),
         F.when(F.length(head) > 2, F.concat(F.lit("head "), head)))
-    edges = placed.where(~base).select("row", "start", "end", F.lower("match").alias("instance"), (F.col("under") | F.col("over")).alias("seed"), F.explode(F.array_compact(patterns)).alias("pattern"))
+    edges = placed.select("row", "start", "end", F.lower("match").alias("instance"), (under | over).alias("seed"), stands_for.alias("of"), F.explode(F.array_compact(patterns)).alias("pattern"))
     # one row for each pattern and instance, with its places apart: the graph is smaller than the texts
     edges = cut(edges)
-    graph = edges.groupBy("pattern", "instance").agg(F.max("seed").alias("known"))
+    graph = edges.groupBy("pattern", "instance").agg(F.max("seed").alias("known"), F.coalesce(F.min("of"), "instance").alias("of"))
     for _ in range(ROUNDS):
-        scores = graph.groupBy("pattern").agg(F.count_if("known").alias("good"), F.count("*").alias("all"))
+        scores = graph.groupBy("pattern", "of").agg(F.max("known").alias("known")).groupBy("pattern").agg(F.count_if("known").alias("good"), F.count("*").alias("all"))
         strong = cut(scores.where((F.col("good") >= MIN_SUPPORT) & (F.col("good") / (F.col("all") + SMOOTHING) >= MIN_SCORE)).select("pattern"))
         rows = strong.count()
         near = F.broadcast(strong) if rows <= BROADCAST_PATTERNS else strong
         found = cut(graph.join(near, "pattern").where("not known").select("instance").distinct())
         graph = graph.join(found.withColumn("new", F.lit(True)), "instance", "left").select(
-            "pattern", "instance", (F.col("known") | F.coalesce("new", F.lit(False))).alias("known"))
+            "pattern", "instance", "of", (F.col("known") | F.coalesce("new", F.lit(False))).alias("known"))
     known = graph.where("known").select("instance").distinct()
     return edges.where("not seed").join(known, "instance", "left_semi").select("row", "start", "end").distinct()
 

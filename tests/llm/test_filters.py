@@ -45,6 +45,19 @@ def test_contexts_find_what_the_patterns_miss(docs):
     assert got[50] == (0, 1, "id:14:24") and got[51] == (0, 0, "") and got[3][:2] == (1, 0)
 
 
+def test_contexts_of_every_kind_of_base_span(docs):
+    names = [a + b for a in ("anna", "berta", "carla", "dora") for b in ("", "lou", "rose", "may", "bell")]
+    cards = [f"4{i}11 1111 1111 11{d}" for i in range(6) for d in (f"{k:02d}" for k in range(100)) if passes("card", f"4{i}11 1111 1111 11{d}")]
+    rows = [(i, f"text {n} ring +1 (97{i % 10}) 555-34{i:02d} today") for i, n in enumerate(names)]
+    rows += [(60 + i, f"text {n} write <{n}@corp.com>, please") for i, n in enumerate(names)]
+    rows += [(20 + i, f"text {n} charge  {cards[3 * i]}. Thanks") for i, n in enumerate(names)]
+    rows += [(40 + i, f"text {n} few +1 (98{i}) 555-77{i}6, rarely") for i, n in enumerate(names[:4])]
+    rows += [(50, "ring 5550-1234x again"), (51, "write user77at now"), (52, "charge 9999x8888 here"), (53, "few 5551-4321y here"), (54, "chapter 123456 ends")]
+    got = {r.doc_id: r.spans for r in pii.report(pii.spans(docs(*rows))).collect()}
+    assert [got[k] for k in range(50, 55)] == ["id:5:15", "id:6:14", "id:7:16", "", ""]
+    assert all(got[i] == base(t) for i, t in rows[:-5])
+
+
 def test_masked_text(docs):
     rows = [(1, "mail a@b.co or +1 (988) 555-2485."), (2, None), (3, "none"), (1, "other 1.2.3.4"), (4, "+4111111111111111")]
     df = docs(*rows)
