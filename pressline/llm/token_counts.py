@@ -1,8 +1,9 @@
 """Token counts by a scan for separators in flat token files without an index.
 
 A flat file is nothing but token ids of two bytes, with an end-of-document id after each document.
-The files are cut into blocks of one size; a task looks for the separators of a block in one vector
-operation; a prefix scan over the blocks of a file (running count and running maximum of the last
+The files are listed without their content and cut into blocks of one size; a task reads the byte range of
+a block alone, from the shared file system, so a file may have any size, and looks for its separators in one
+vector operation; a prefix scan over the blocks of a file (running count and running maximum of the last
 separator's place) gives each block the number of its first document and where that began, so a
 document that spans blocks is counted whole.
 
@@ -17,6 +18,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -26,6 +29,8 @@ from pressline.llm.common import text_rows
 TOKEN_BYTES = 2
 BLOCK_TOKENS = 1 << 19
 FILE_ROWS = 20_000
+TASK_BLOCKS = 16
+MAX_TASKS = 10_000
 
 
 def write_flat(df: DataFrame, path: str, *, tokenizer_path: str, separator: int, id_col: str = "doc_id", text_col: str = "text") -> None:
@@ -43,19 +48,52 @@ def write_flat(df: DataFrame, path: str, *, tokenizer_path: str, separator: int,
         "maxRecordsPerFile", FILE_ROWS).text(path)
 
 
+def opened(path: str) -> pa.NativeFile:
+    """A file as Spark names it, by Arrow's own file systems."""
+    scheme, _, rest = path.partition(":")
+    if scheme == "file":  # file:/x and file:///x
+        return fs.LocalFileSystem().open_input_file("/" + rest.lstrip("/"))
+    system, name = fs.FileSystem.from_uri(path)
+    return system.open_input_file(name)
+
+
+def ranges_open(path: str) -> bool:
+    """Whether Arrow reaches the store of this file; else only Spark's reader does, which takes files whole."""
+    try:
+        opened(path).close()
+    except (OSError, pa.ArrowException):
+        return False
+    return True
+
+
 def scan(spark: SparkSession, path: str, *, separator: int, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """(file, doc_no, first_token, n_tokens, closed) of every document in the flat files below ``path``."""
     size = block_tokens * TOKEN_BYTES
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
-    cuts = files.where("length > 0").select(
-        F.element_at(F.split("path", "/"), -1).alias("file"), F.floor((F.col("length") - 1) / size).alias("last_block"),
-        (F.col("length") / TOKEN_BYTES).cast("long").alias("file_tokens"), "content",
-    ).select("file", "last_block", "file_tokens", "content", F.explode(F.sequence(F.lit(0).cast("long"), F.col("last_block"))).alias("block"))
-    cuts = cuts.select("file", "block", "last_block", "file_tokens", F.expr(f"substring(content, int(block * {size} + 1), {size})").alias("bytes"))
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).where("length > 0")
+    last = F.floor((F.col("length") - 1) / size)
+    listed = files.agg(F.sum(last + 1).alias("blocks"), F.min("path").alias("path")).first()
+    by_range = listed["path"] is None or ranges_open(listed["path"])
+    names = [F.element_at(F.split("path", "/"), -1).alias("file"), last.alias("last_block"), F.floor(F.col("length") / TOKEN_BYTES).cast("long").alias("file_tokens")]
+    cuts = files.select("path", *names, *([] if by_range else ["content"])).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("last_block"))))
+    if by_range:  # a few numbers a row; a number of tasks is given, as rows so small would all be put in one
+        tasks = min(MAX_TASKS, -(-(listed["blocks"] or 1) // TASK_BLOCKS))
+        cuts = cuts.repartition(max(tasks, spark.sparkContext.defaultParallelism), "path", "block")
+    else:
+        cuts = cuts.withColumn("content", F.expr(f"substring(content, int(block * {size} + 1), {size})"))
+
+    def read(row) -> bytes:
+        if not by_range:
+            return row.content
+        with opened(row.path) as file:
+            return file.read_at(size, row.block * size)
 
     def ends(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [np.flatnonzero(np.frombuffer(b, "<u2") == separator).astype(np.int64) + k * block_tokens for k, b in zip(batch["block"], batch["bytes"], strict=True)]
+            found = []
+            for row in batch.itertuples():
+                data = read(row)
+                ids = np.frombuffer(data, "<u2", len(data) // TOKEN_BYTES)
+                found.append(np.flatnonzero(ids == separator).astype(np.int64) + row.block * block_tokens)
             yield batch[["file", "block", "last_block", "file_tokens"]].assign(ends=found)
 
     blocks = cuts.mapInPandas(ends, "file string, block long, last_block long, file_tokens long, ends array<long>")

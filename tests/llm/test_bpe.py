@@ -56,3 +56,22 @@ def test_scan_of_an_open_end(spark, tmp_path):
     (tmp_path / "part-0").write_bytes(np.array([5, 9, 7, 7, 9, 9, 1, 2, 3], "<u2").tobytes())
     got = token_counts.scan(spark, str(tmp_path), separator=9, block_tokens=2).orderBy("doc_no").collect()
     assert [(r.first_token, r.n_tokens, r.closed) for r in got] == [(0, 1, True), (2, 2, True), (5, 0, True), (6, 3, False)]
+
+
+def test_scan_of_a_file_beyond_two_gigabytes(spark, tmp_path):
+    path, tokens = tmp_path / "part-0", 1_100_000_000  # 2.2 GB, nearly all of it a hole in the file
+    with path.open("wb") as file:
+        for at in (5, 700_000_000, tokens - 3):
+            file.seek(2 * at)
+            file.write(np.array([9], "<u2").tobytes())
+        file.truncate(2 * tokens)
+    got = token_counts.scan(spark, str(tmp_path), separator=9, block_tokens=1 << 23).orderBy("doc_no").collect()
+    path.unlink()
+    assert [(r.first_token, r.n_tokens, r.closed) for r in got] == [(0, 5, True), (6, 699_999_994, True), (700_000_001, tokens - 3 - 700_000_001, True), (tokens - 2, 2, False)]
+
+
+def test_scan_where_only_spark_reads(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(token_counts, "ranges_open", lambda path: False)
+    (tmp_path / "part-0").write_bytes(np.array([5, 9, 7, 7, 9, 9, 1, 2, 3], "<u2").tobytes())
+    got = token_counts.scan(spark, str(tmp_path), separator=9, block_tokens=2).orderBy("doc_no").collect()
+    assert [(r.first_token, r.n_tokens) for r in got] == [(0, 1), (2, 2), (5, 0), (6, 3)]
