@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pressline.llm import bpe, decontaminate, fingerprint, langid, ngram_join, pii, quality, token_counts, toxicity, url_filter
+from pressline.llm import bpe, decontaminate, fingerprint, hard_negatives, langid, ngram_join, pii, quality, token_counts, toxicity, url_filter
 from pressline.llm.common import held_out, read
 from pressline.session import new_path
 
@@ -99,3 +99,34 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_pii")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(pii.spans(read(spark, sf_dir, "documents", "doc_id", "text")))
+
+
+OP11_SQL = """
+WITH part AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+         list_dot_product(a.v, b.v)::BIGINT AS score
+  FROM part a JOIN part b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5),
+ranked AS (
+  SELECT p.anchor_id, p.positive_id,
+         row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other_id)::INTEGER AS rank,
+         s.other_id AS negative_id, p.positive_score, s.score AS negative_score
+  FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+   AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score)
+SELECT * FROM ranked WHERE rank <= 3
+"""
+
+
+@query("op11_hard_negatives", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", moved), anchors=F.col("vec_id") % 50 == 0)
