@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pressline.llm import bpe, decontaminate, fingerprint, hard_negatives, langid, ngram_join, pii, quality, token_counts, toxicity, url_filter
+from pressline.llm import bpe, decontaminate, fingerprint, hard_negatives, langid, ngram_join, pii, quality, spelling, token_counts, toxicity, url_filter
 from pressline.llm.common import held_out, read
 from pressline.session import new_path
 
@@ -130,3 +130,8 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives.mine(vectors.withColumn("label", moved), anchors=F.col("vec_id") % 50 == 0)
+
+
+@query("op13_spelling")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(read(spark, sf_dir, "documents", "doc_id", "text"))
