@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pressline.llm import bpe, decontaminate, fingerprint, hard_negatives, langid, ngram_join, pii, quality, spelling, token_counts, toxicity, url_filter
+from pressline.llm import bpe, decontaminate, fingerprint, hard_negatives, langid, main_text, ngram_join, pii, quality, spelling, token_counts, toxicity, url_filter
 from pressline.llm.common import held_out, read
 from pressline.session import new_path
 
@@ -132,6 +132,12 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(vectors.withColumn("label", moved), anchors=F.col("vec_id") % 50 == 0)
 
 
+@query("op12_main_text")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages", "page_id", "url", "html")
+    return main_text.extract(pages, main_text.train(pages))
+
+
 @query("op13_spelling")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(read(spark, sf_dir, "documents", "doc_id", "text"))
