@@ -170,13 +170,13 @@ def score(df: DataFrame, model: Model, features: Features, *, id_col: str = "doc
 
 
 def keep(df: DataFrame, model: Model, features: Features, *, text_col: str = "text", at_least: float = 0.5) -> DataFrame:
-    """The rows of the input, all columns as they are, whose text scores at least so much."""
-    sent, at = df.sparkSession.sparkContext.broadcast(model), df.columns.index(text_col)
+    """The rows of the input, all columns as they are, whose text scores at least so much; only the text goes through Python."""
+    sent = df.sparkSession.sparkContext.broadcast(model)
 
-    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("double")
+    def scored(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         hasher, fitted = Hasher(), sent.value
-        for batch in batches:
-            found = fitted.scores([vector(hasher, features, t or "") for t in batch.column(at).to_pylist()])
-            yield batch.filter(pa.array(found >= at_least))
+        for batch in texts:
+            yield pa.array(fitted.scores([vector(hasher, features, t or "") for t in batch.to_pylist()]), pa.float64())
 
-    return df.mapInArrow(kept, df.schema)
+    return df.where(scored(F.col(f"`{text_col}`")) >= at_least)

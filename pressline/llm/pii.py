@@ -173,7 +173,8 @@ def masked(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
     before = F.coalesce(F.max("end").over(run.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     cuts = found.withColumn("from", before).where(F.col("end") > F.col("from"))
     lists = cuts.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_list(F.struct("from", "start", "end", "kind"))).alias("_cuts"))
-    lists = lists.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "_cuts")
+    # written first: its size decides whether the texts have to be shuffled
+    lists = cut(lists.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "_cuts"))
     text = F.col(f"`{text_col}`")
     joined = df.join(lists, df[id_col].eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_hash")), "left")
     parts = F.transform("_cuts", lambda c: F.concat(
