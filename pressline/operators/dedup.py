@@ -3,53 +3,78 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pressline import fixed_values as fv
-
+from pressline.session import cut
 
 ORDER = ("batch_no", "file", "pos")
 
 
-def dedup_first_seen(df: DataFrame, *, key: str = "url", order: Sequence[str] = ORDER,
-                     enabled: bool = True) -> DataFrame:
-    """Keep the first row per key in ``order``; rows without a key are all kept.
+def first_rows(df: DataFrame, *, key: str = "url", order: Sequence[str] = ORDER) -> DataFrame:
+    """``dedup_first_seen`` for narrow rows that are costly to compute, in one aggregation over them.
 
-    One aggregation: every task keeps only its own first row of a key before the
-    shuffle, so a key that holds a large part of the table arrives as one row
-    per task.  Rows without a key are spread by their order columns, which must
-    identify a row.
+    Every task keeps only its own first row of a key before the shuffle, so a
+    key that holds a large part of the table arrives as one row per task.  Rows
+    without a key are spread by their order columns, which must identify a row.
     """
-    if not enabled:
-        return df
     rank = F.struct(*order)
-    row = F.struct(*df.columns)
     lone = F.when(F.col(key).isNull(), rank)
-    first = df.groupBy(F.col(key).alias("_key"), lone.alias("_lone")).agg(
-        F.min_by(row, rank).alias("_row")
-    )
+    first = df.groupBy(F.col(key).alias("_key"), lone.alias("_lone")).agg(F.min_by(F.struct(*df.columns), rank).alias("_row"))
     return first.select("_row.*")
 
 
+def later_copies(df: DataFrame, *, key: str = "url", order: Sequence[str] = ORDER) -> DataFrame:
+    """The order columns of the rows whose key occurs earlier; rows without a key are never among them.
+
+    Only the key and the order columns are read.  Keys that occur once end in the
+    aggregation; what is left meets the rows again in a join that adaptive
+    execution splits where one key holds a large part of them.
+    """
+    rows = df.where(F.col(key).isNotNull()).select(key, *order)
+    rank = F.struct(*order)
+    first = rows.groupBy(key).agg(F.min(rank).alias("_first"), F.count("*").alias("_n")).where("_n > 1")
+    return rows.join(first, key).where(rank > F.col("_first")).select(*order)
+
+
+def without(df: DataFrame, dropped: DataFrame, order: Sequence[str] = ORDER) -> DataFrame:
+    """The rows whose order columns are not among ``dropped``.
+
+    ``dropped`` is written first, so that its measured size decides the join: as
+    long as it can be broadcast, the rows are neither shuffled nor sorted.
+    """
+    positions = cut(dropped.select(*[F.col(c).alias(f"_{c}") for c in order]))
+    return df.join(positions, reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in order]), "left_anti")
+
+
+def dedup_first_seen(df: DataFrame, *, key: str = "url", order: Sequence[str] = ORDER,
+                     enabled: bool = True) -> DataFrame:
+    """Keep the first row per key in ``order``; rows without a key are all kept.
+
+    The order columns must identify a row, and be the same each time the input is
+    read.  Rows to drop are found among the key and order columns alone, so texts
+    stay where they are.
+    """
+    return without(df, later_copies(df, key=key, order=order), order) if enabled else df
+
+
 def batch_dup_counts(df: DataFrame, *, key: str = "url", batch: str = "batch_no") -> DataFrame:
-    """Per batch: articles added and duplicates skipped, batches in order.
+    """Per batch: articles added and duplicates skipped.
 
-    Works on counts per (key, batch), never on the articles; a key is added in
-    its lowest batch.
+    One scan gives counts per (key, batch), which are written; all else works on
+    that narrow table.  A key is added in its lowest batch, and rows without a
+    key all are.
     """
-    per_key = df.groupBy(key, batch).agg(F.count("*").alias("n"))
-    with_key = per_key.where(F.col(key).isNotNull())
-    first = with_key.groupBy(key).agg(F.min(batch).alias(batch)).groupBy(batch).agg(F.count("*").alias("firsts"))
-    totals = per_key.groupBy(batch).agg(
-        F.sum("n").alias("total"),
-        F.sum(F.when(F.col(key).isNull(), F.col("n")).otherwise(0)).alias("keyless"),
-    )
-    added = F.coalesce("firsts", F.lit(0)) + F.col("keyless")
-    return totals.join(first, batch, "left").select(
-        batch, added.cast("bigint").alias("added"), (F.col("total") - added).cast("bigint").alias("duplicates")
-    )
+    per_key = cut(df.groupBy(F.col(key).alias("key"), F.col(batch).alias("batch")).agg(F.count("*").alias("n")))
+    firsts = per_key.where(F.col("key").isNotNull()).groupBy("key").agg(F.min("batch").alias("batch")).select(
+        "batch", F.lit(0).cast("long").alias("n"), F.lit(1).cast("long").alias("added"))
+    every = per_key.select("batch", "n", F.when(F.col("key").isNull(), F.col("n")).otherwise(0).alias("added"))
+    return every.unionByName(firsts).groupBy(F.col("batch").alias(batch)).agg(
+        F.sum("added").alias("added"), (F.sum("n") - F.sum("added")).alias("duplicates"))
 
 
 def combine_totals(df: DataFrame, *, key: str = "url", file: str = "file", deduplicate: bool = True) -> DataFrame:

@@ -70,6 +70,11 @@ def _header_value(raw: Column, field: str, line_start: bool) -> Column:
     return F.when(raw.rlike(anchor + re.escape(_header(field)) + "."), value)
 
 
+def record_header(raw: Column | str, field: str) -> Column:
+    """Value of a header at a line's start, as ``parse_records`` reads it."""
+    return _header_value(col(raw), field, True)
+
+
 def record_url(raw: Column | str) -> Column:
     """URL of a record text, NULL if it has none."""
     return F.nullif(F.coalesce(_header_value(col(raw), "url", False), F.lit("")), F.lit(""))

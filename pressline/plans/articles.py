@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pressline import fixed_values as fv
 from pressline.functions import urls as U
 from pressline.functions.language import indicator_substrings, verdict_reason
 from pressline.functions.text import clean_text, contains_any, let
 from pressline.operators import fields as P
-from pressline.operators.dedup import dedup_first_seen
+from pressline.operators.dedup import later_copies, without
 from pressline.operators.language import record_verdict, with_mid_reason, with_tokens
-from pressline.operators.records import record_url
+from pressline.operators.records import record_header, record_url
 from pressline.params import DEFAULT_RULES, Rules
+from pressline.session import cut
 from pressline.schemas import ARTICLE, ARTICLE_EXTRACTED
 from pressline.sources.dom import parse_pages
 from pressline.sources.readers import READ_ORDER
@@ -106,13 +108,23 @@ def combine(records: DataFrame, *, rules: Rules = DEFAULT_RULES, deduplicate: bo
             clean: bool = False, compat: bool = False) -> DataFrame:
     """Record texts -> local, first-seen records in their input columns plus ``url``.
 
-    Language first (no shuffle), then one aggregation by URL.  ``clean`` tidies
-    the texts that are kept.  Records without a URL are all kept; ``compat``
-    takes the missing mark as a URL like any other, so only its first record
-    stays.
+    The texts are judged once.  What is written then is a table without texts,
+    which tells the foreign records and the later copies among the local ones;
+    the texts are only read a second time, against the list of those to drop.
+    ``clean`` tidies the texts that are kept.  Records without a URL are all
+    kept; ``compat`` takes the missing mark as a URL like any other, so only its
+    first record stays.
     """
-    judged = record_verdict(records, lex=rules.lexicon, compat=compat).where(~F.col("is_foreign"))
-    url = record_url("raw") if compat else F.col("url")
-    local = judged.select(*records.columns, url.alias("url"))
-    first = dedup_first_seen(local, order=[c for c in READ_ORDER if c in records.columns], enabled=deduplicate)
+    order = [c for c in READ_ORDER if c in records.columns]
+
+    def url_of(parsed: str) -> Column:
+        return record_url("raw") if compat else F.col(parsed)
+
+    judged = cut(record_verdict(records, lex=rules.lexicon, compat=compat).select(*order, url_of("url").alias("url"), "is_foreign"))
+    dropped = judged.where("is_foreign").select(*order)
+    if deduplicate:
+        dropped = dropped.unionByName(later_copies(judged.where(~F.col("is_foreign")), order=order))
+    kept = without(records, dropped, order)
+    own_url = record_url("raw") if compat else F.nullif(record_header("raw", "url"), F.lit(fv.MISSING))
+    first = kept.withColumn("url", own_url)
     return first.withColumn("raw", clean_text("raw")) if clean else first

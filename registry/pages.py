@@ -11,7 +11,7 @@ from pressline.functions import urls as U
 from pressline.functions.text import let
 from pressline.operators import fields as P
 from pressline.operators import links, nodes, stats
-from pressline.operators.dedup import dedup_first_seen, filter_rollup
+from pressline.operators.dedup import filter_rollup, first_rows
 from pressline.operators.language import language_verdict
 from pressline.params import Blacklist, Categories
 from pressline.plans.articles import extract_rows, scrape_rows
@@ -545,6 +545,6 @@ def flagship(spark, sf):
         F.regexp_extract("url", "^https?://[^/?#]*/([a-z]+)", 1).alias("batch_dir"),
     ).withColumn("file", F.regexp_extract("path", "[^/]*/?$", 0))
     judged = language_verdict(keyed, lex=LEX).select("page_id", "path", "batch_dir", "file", "is_foreign")
-    return filter_rollup(dedup_first_seen(judged, key="path", order=("batch_dir", "page_id")))
+    return filter_rollup(first_rows(judged, key="path", order=("batch_dir", "page_id")))
 
 

@@ -43,19 +43,48 @@ def test_report(spark):
     assert "- Articles successfully processed: 4 / 5" in lines
 
 
-def test_hot_key_reaches_the_shuffle_once_per_task(spark):
-    n = 20000
-    df = spark.range(0, n, 1, 8).select(
+def hot_rows(spark, n=20000):
+    return spark.range(0, n, 1, 8).select(
         F.lit(1).alias("batch_no"), F.lit("f").alias("file"), F.col("id").alias("pos"),
         F.when(F.col("id") % 3 == 0, "https://hot").when(F.col("id") % 3 == 1, F.concat(F.lit("https://"), F.col("id").cast("string"))).alias("url"),
+        F.repeat(F.lit("text "), 20).alias("body"),
     )
-    out = dedup.dedup_first_seen(df)
+
+
+def steps(df):
+    """(operator, what it reads) of a formatted plan."""
+    import re
+
+    text = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    return [(name, tail) for name, tail in re.findall(r"\n\(\d+\) ([A-Za-z]+)[^\n]*\n(.*?)(?=\n\n|\Z)", text, re.S)]
+
+
+def test_hot_key(spark):
+    out = dedup.dedup_first_seen(hot_rows(spark))
     assert out.where("url = 'https://hot'").first().pos == 0
-    assert out.where("url is null").count() == n // 3
-    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert out.where("url is null").count() == 20000 // 3
+    narrow = hot_rows(spark).drop("body")
+    assert dedup.first_rows(narrow).exceptAll(out.drop("body")).isEmpty() and out.count() == dedup.first_rows(narrow).count()
+    plan = dedup.first_rows(narrow)._jdf.queryExecution().executedPlan().toString()
     assert "partial_min_by" in plan and "Window" not in plan and plan.count("Exchange") == 1
 
 
+def test_texts_are_neither_sorted_nor_shuffled(spark, tmp_path):
+    hot_rows(spark).write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    moving = [tail for name, tail in steps(dedup.dedup_first_seen(stored)) if "Exchange" in name or "Sort" in name]
+    assert moving and not any("body" in tail for tail in moving)
+    reads = [tail for name, tail in steps(dedup.later_copies(stored)) if name == "Scan"]
+    assert reads and not any("body" in tail for tail in reads)
+
+
+def test_equal_order_columns_in_other_batches(spark):
+    rows = [(b, f, p, u, f"{b}{f}{p}") for b in (1, 2) for f in ("f", None) for p in (0, 1) for u in ("https://a",)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert [r.body for r in dedup.dedup_first_seen(df).collect()] == ["1None0"]  # no file comes before all files
+    assert dedup.dedup_first_seen(df.where("false")).count() == 0
+
+
 def test_rollup_levels(spark):
     rows = [("d1", "f1", True), ("d1", "f1", False), ("d1", "f2", False), ("d2", "f1", False)]
     df = spark.createDataFrame(rows, "batch_dir string, file string, is_foreign boolean")
