@@ -5,6 +5,9 @@ from __future__ import annotations
 import posixpath
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,6 +50,21 @@ def new_path(spark: SparkSession, label: str) -> str:
     return posixpath.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
 
 
+#: paths written since the innermost ``tidy`` began
+_written: ContextVar[list[str] | None] = ContextVar("written", default=None)
+
+
+@contextmanager
+def tidy(spark: SparkSession) -> Iterator[None]:
+    """Remove at the end what ``cut`` writes inside; for work whose result is written before that."""
+    token = _written.set([])
+    try:
+        yield
+    finally:
+        remove(spark, *_written.get())
+        _written.reset(token)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and go on from the written copy.
 
@@ -55,5 +73,26 @@ def cut(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_path(spark, "cut")
+    if (written := _written.get()) is not None:
+        written.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def _path_of(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether any file matches the path or pattern."""
+    at, fs = _path_of(spark, path)
+    found = fs.globStatus(at)
+    return found is not None and len(found) > 0
+
+
+def remove(spark: SparkSession, *paths: str) -> None:
+    """Delete tables that this job has written for itself."""
+    for path in paths:
+        at, fs = _path_of(spark, path)
+        fs.delete(at, True)

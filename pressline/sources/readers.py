@@ -11,24 +11,18 @@ from pressline.functions import urls as U
 from pressline.functions.text import strip
 from pressline.operators.batches import batch_no_of
 from pressline.operators.records import with_marker
+from pressline.session import exists
 
 ARCHIVE_GLOB = "*_batch_*.txt"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jvm_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    found = fs.globStatus(jvm_path)
-    return found is not None and len(found) > 0
-
-
 def read_links(spark: SparkSession, path: str) -> DataFrame:
     """``(file, url)`` from JSON arrays of strings; a missing or bad file is empty.
 
     A link file is one JSON value and cannot be split; a big link list is kept
     as many batch files, and each is its own task.
     """
-    if not _exists(spark, path):
+    if not exists(spark, path):
         return spark.createDataFrame([], "file string, url string")
     whole = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
     links = F.from_json("value", "array<string>", {"mode": "PERMISSIVE"})
@@ -138,6 +132,6 @@ def read_robots(spark: SparkSession, path: str, *, base_url: str) -> DataFrame:
 
 def read_progress(spark: SparkSession, path: str) -> DataFrame:
     """Progress ledger; an empty one if nothing was processed yet."""
-    if not _exists(spark, path):
+    if not exists(spark, path):
         return spark.createDataFrame([], schemas.PROGRESS)
     return spark.read.schema(schemas.PROGRESS).json(path)

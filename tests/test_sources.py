@@ -122,3 +122,61 @@ def test_watermark_variant_bounds_its_state(spark, tmp_path):
         incremental.with_url(d).withColumn("seen", F.to_timestamp(F.lit("2024-05-17 00:00:00"))), watermark=("seen", "1 day"))
     incremental.run_incremental(incremental.stream_articles(spark, str(src)), str(out), str(ckpt), transform=timed)
     assert spark.read.parquet(str(out)).count() == 1
+
+
+def first_seen(spark, src, out, ckpt):
+    incremental.run_first_seen(incremental.with_url(incremental.stream_articles(spark, str(src))), str(out), str(ckpt))
+    return spark.read.parquet(str(out))
+
+
+def test_first_seen_keeps_the_first_in_reading_order(spark, tmp_path):
+    import os
+
+    from pressline.operators.dedup import dedup_first_seen
+    from pressline.session import shared_dir
+
+    src, out, ckpt = (tmp_path / n for n in ("src", "out", "ckpt"))
+    src.mkdir()
+    (src / "News_batch_2.txt").write_text(record(1, "https://a") + record(2, None) + record(3, "https://a") + record(4, "https://b"))
+    (src / "News_batch_1.txt").write_text(record(5, "https://b") + record(6, "https://b") + record(7, "https://d"))
+    left = lambda: {f for f in os.listdir(shared_dir(spark).removeprefix("file:")) if f.startswith("cut")}
+    before = left()
+    first_seen(spark, src, out, ckpt)
+    first_seen(spark, src, out, ckpt)  # nothing new
+    assert left() == before
+    (src / "News_batch_3.txt").write_text(record(8, "https://a") + record(9, None) + record(10, "https://c") + record(11, "https://c"))
+    first_seen(spark, src, out, ckpt)
+    # late file: its place in the order comes first, but its keys are known
+    (src / "News_batch_0.txt").write_text(record(12, "https://c") + record(13, "https://e"))
+    got = first_seen(spark, src, out, ckpt)
+    number = lambda rows: sorted(int(r.raw.split("NASLOV: T")[1].split("\n")[0]) for r in rows)
+    assert number(got.collect()) == [1, 2, 5, 7, 9, 10, 13]
+    whole = incremental.with_url(readers.read_articles(spark, str(src)).where("batch_no > 0"))
+    assert number(dedup_first_seen(whole, order=readers.READ_ORDER).collect()) == [1, 2, 5, 7, 9, 10]
+
+
+def test_a_broken_run_repeats_and_loses_nothing(spark, tmp_path, monkeypatch):
+
+    src, out, ledger, ckpt = (tmp_path / n for n in ("src", "out", "ledger", "ckpt"))
+    src.mkdir()
+    run = lambda: incremental.run_with_ledger(
+        incremental.stream_articles(spark, str(src)), str(out), str(ledger), str(ckpt), transform=incremental.with_url)
+    (src / "News_batch_1.txt").write_text(record(1, "https://a") + record(2, None))
+    run()
+    (src / "News_batch_2.txt").write_text(record(3, "https://b") + record(4, "https://b") + record(5, "https://c"))
+    real = incremental.run_path
+
+    def broken(table, number):
+        if table == str(ledger) and number == 1:
+            raise OSError("ended between rows and ledger")
+        return real(table, number)
+
+    monkeypatch.setattr(incremental, "run_path", broken)
+    with pytest.raises(Exception, match="ended between"):
+        run()
+    assert spark.read.parquet(str(out)).count() == 5 and readers.read_progress(spark, str(ledger)).count() == 1
+    monkeypatch.setattr(incremental, "run_path", real)
+    run()
+    run()
+    assert spark.read.parquet(str(out)).count() == 5
+    assert {(r.batch_no, r.url) for r in readers.read_progress(spark, str(ledger)).collect()} == {(1, "https://a"), (2, "https://b"), (2, "https://c")}
