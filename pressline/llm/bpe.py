@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pressline.llm.common import id_as_text, id_as_was, text_rows
+from pressline.llm.common import id_as_text, id_as_was, released, text_rows
 
 BLOCK_CHARS = 32_768
 WINDOW = 32
@@ -119,7 +119,7 @@ _ENCODERS: dict[tuple[str, bool], WordBpe] = {}
 
 
 def encoder(path: str, literal_special: bool = False) -> WordBpe:
-    """One encoder for each Python worker; its cache serves all tasks of the worker."""
+    """One encoder for each Python worker, until its task ends."""
     key = (path, literal_special)
     if key not in _ENCODERS:
         _ENCODERS[key] = WordBpe(path, literal_special)
@@ -144,6 +144,12 @@ def tokens_of(path: str) -> list[str]:
     return _TOKENS[path]
 
 
+def forget() -> None:
+    """Vocabularies and caches of this worker."""
+    _ENCODERS.clear()
+    _TOKENS.clear()
+
+
 def decode_ids(tokens: list[str], ids: bytes) -> str:
     return " ".join([tokens[i] for i in np.frombuffer(ids, "<u4").tolist()])
 
@@ -288,10 +294,10 @@ def encode(
 
     long = rows.where(F.length("text") > block_chars).withColumn("row", F.monotonically_increasing_id())
     cuts = long.mapInPandas(blocks, "row long, doc_id string, block long, text string").repartition("row", "block")
-    parts = cuts.mapInPandas(encoded, "row long, doc_id string, block long, spaced boolean, head string, ids binary, tail string")
+    parts = cuts.mapInPandas(released(encoded, forget), "row long, doc_id string, block long, spaced boolean, head string, ids binary, tail string")
     whole = parts.groupBy("row", "doc_id").agg(F.sort_array(F.collect_list(F.struct("block", "spaced", "head", "ids", "tail"))).alias("parts"))
-    return id_as_was(rows.where(F.length("text") <= block_chars).mapInPandas(short, schema).unionByName(
-        whole.select("doc_id", "parts").mapInPandas(joined, schema)), kind)
+    return id_as_was(rows.where(F.length("text") <= block_chars).mapInPandas(released(short, forget), schema).unionByName(
+        whole.select("doc_id", "parts").mapInPandas(released(joined, forget), schema)), kind)
 
 
 def decode(df: DataFrame, *, tokenizer_path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:

@@ -2,18 +2,48 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pressline.session import cut
 
-__all__ = ["broadcast_if", "cut", "held_out", "id_as_text", "id_as_was", "id_sample", "read", "text_rows", "xxhash_unit"]
+__all__ = ["broadcast_if", "cut", "held_out", "id_as_text", "id_as_was", "id_sample", "read", "released", "text_rows", "xxhash_unit"]
 
 
 def read(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+def _give_back() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not this C library
+        pass
+
+
+def released(run: Callable[[Iterator], Iterator], forget: Callable[[], None] = gc.collect) -> Callable[[Iterator], Iterator]:
+    """A Python stage that ends a task with an empty hand: ``forget`` drops what its module holds, and freed memory is given back.
+
+    Workers live on and serve the stages that follow, beside an executor that has grown meanwhile.
+    """
+
+    def stage(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            forget()
+            _give_back()
+
+    return stage
+
+
 def text_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the id and the text, so that no other column of the input can clash; null texts are empty."""
     return df.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pressline.llm.common import id_as_text, id_as_was, id_sample, text_rows
+from pressline.llm.common import id_as_text, id_as_was, id_sample, released, text_rows
 
 BITS = 17
 FACTORS = 8
@@ -149,7 +149,7 @@ def train(docs: DataFrame, labels: DataFrame, features: Features, *, label_col:
             yield pd.DataFrame({"doc_id": batch["doc_id"], "y": batch["y"], "i": [i.tobytes() for i, _ in found], "x": [x.tobytes() for _, x in found]})
 
     kind = texts.schema["doc_id"].dataType.simpleString()
-    got = texts.mapInPandas(vectors, f"doc_id {kind}, y int, i binary, x binary").collect()
+    got = texts.mapInPandas(released(vectors), f"doc_id {kind}, y int, i binary, x binary").collect()
     got.sort(key=lambda r: (str(r["doc_id"]), r["i"], r["x"]))  # the order of the tasks must not matter
     return fit([(r["y"], np.frombuffer(r["i"], np.int32), np.frombuffer(r["x"], np.float32)) for r in got], **options)
 
@@ -166,17 +166,20 @@ def score(df: DataFrame, model: Model, features: Features, *, id_col: str = "doc
             yield pd.DataFrame({"doc_id": batch["doc_id"], "score": found})
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return id_as_was(id_as_text(rows).mapInPandas(scored, "doc_id string, score double"), kind)
+    return id_as_was(id_as_text(rows).mapInPandas(released(scored), "doc_id string, score double"), kind)
 
 
 def keep(df: DataFrame, model: Model, features: Features, *, text_col: str = "text", at_least: float = 0.5) -> DataFrame:
     """The rows of the input, all columns as they are, whose text scores at least so much; only the text goes through Python."""
     sent = df.sparkSession.sparkContext.broadcast(model)
 
-    @F.arrow_udf("double")
-    def scored(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         hasher, fitted = Hasher(), sent.value
-        for batch in texts:
+        for batch in batches:
             yield pa.array(fitted.scores([vector(hasher, features, t or "") for t in batch.to_pylist()]), pa.float64())
 
-    return df.where(scored(F.col(f"`{text_col}`")) >= at_least)
+    @F.arrow_udf("double")
+    def udf(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return released(scored)(texts)
+
+    return df.where(udf(F.col(f"`{text_col}`")) >= at_least)

@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pressline.llm.common import released
+
 MAX_PAGES = 160
 MAX_SAMPLE_CHARS = 65_536
 #: layouts in which each sampled page is shown, besides its own
@@ -517,4 +519,4 @@ def extract(pages: DataFrame, labeller: Labeller, *, id_col: str = "page_id", ur
                 yield pa.RecordBatch.from_arrays(
                     [rest.column(0), rest.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
-    return rows.mapInArrow(run, f"page_id {kinds['page_id']}, url {kinds['url']}, text string, n_chars long")
+    return rows.mapInArrow(released(run), f"page_id {kinds['page_id']}, url {kinds['url']}, text string, n_chars long")

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pressline.llm.common import cut, id_as_text, id_as_was, text_rows
+from pressline.llm.common import cut, id_as_text, id_as_was, released, text_rows
 from pressline.llm.components import components
 
 SHINGLE = 4  # words, unless the caller asks for others
@@ -62,6 +62,11 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def forget() -> None:
+    """The words of this worker."""
+    _WORDS.clear()
+
+
 def shingles(text: str, shingle: int = SHINGLE) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the shingles of a text."""
     words = text.encode("utf-8", "surrogatepass").lower().split()  # A-Z and ASCII white space only
@@ -137,7 +142,7 @@ def per_text(rows: DataFrame, make, schema: str, shingle: int = SHINGLE) -> Data
             found = [r for *key, t in zip(*(batch[c] for c in batch), strict=True) for r in make(*key, shingles(t, shingle))]
             yield pd.DataFrame(found, columns=names, dtype=object)  # beside nulls, numbers would become floats
 
-    return id_as_text(rows).mapInPandas(run, schema)
+    return id_as_text(rows).mapInPandas(released(run, forget), schema)
 
 
 def heavy_table(rows: DataFrame, shingle: int = SHINGLE) -> tuple[np.ndarray, float, dict[int, int]]:
@@ -343,7 +348,7 @@ def verified(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, shingle: int,
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.loc[keep, ["u", "v"]]
 
-    return met.mapInPandas(compare, "u long, v long")
+    return met.mapInPandas(released(compare), "u long, v long")
 
 
 def in_order() -> Column:
@@ -403,8 +408,8 @@ def one_of_each(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     below = linked(df, id_col, text_col, shingle, percent).where((F.col("n_shingles") > 0) & ~F.col("lowest").eqNullSafe(in_order()))
     below = cut(below.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct())
     key = [F.col(f"`{id_col}`").alias("_id"), F.xxhash64(text_col).alias("_hash")]
-    rest = df.join(below, df[id_col].eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce(df[text_col], F.lit(""))) == F.col("_hash")), "left_anti")
+    rest = df.join(below, df[id_col].eqNullSafe(below["_id"]) & (F.xxhash64(F.coalesce(df[text_col], F.lit(""))) == below["_hash"]), "left_anti")
     repeated = cut(df.select(*key).groupBy("_id", "_hash").count().where("count > 1").select("_id", "_hash"))
-    same = rest[id_col].eqNullSafe(F.col("_id")) & F.xxhash64(rest[text_col]).eqNullSafe(F.col("_hash"))
+    same = rest[id_col].eqNullSafe(repeated["_id"]) & F.xxhash64(rest[text_col]).eqNullSafe(repeated["_hash"])
     copies = rest.join(repeated, same, "left_semi").dropDuplicates([id_col, text_col])
     return rest.join(repeated, same, "left_anti").unionByName(copies)

@@ -175,11 +175,11 @@ def masked(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
     lists = cuts.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_list(F.struct("from", "start", "end", "kind"))).alias("_cuts"))
     # written first: its size decides whether the texts have to be shuffled
     lists = cut(lists.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "_cuts"))
-    text = F.col(f"`{text_col}`")
-    joined = df.join(lists, df[id_col].eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_hash")), "left")
-    parts = F.transform("_cuts", lambda c: F.concat(
+    text, cuts_of = df[text_col], lists["_cuts"]
+    joined = df.join(lists, df[id_col].eqNullSafe(lists["_id"]) & (F.xxhash64(text) == lists["_hash"]), "left")
+    parts = F.transform(cuts_of, lambda c: F.concat(
         F.substr(text, (c["from"] + 1).cast("int"), F.greatest(c["start"] - c["from"], F.lit(0)).cast("int")),
         F.when(c["start"] >= c["from"], F.concat(F.lit("<"), c["kind"], F.lit(">"))).otherwise("")))
-    rest = F.substr(text, (F.element_at("_cuts", -1)["end"] + 1).cast("int"))
-    new = F.when(F.col("_cuts").isNull(), text).otherwise(F.concat(F.array_join(parts, ""), rest))
-    return joined.select(*[new.alias(c) if c == text_col else F.col(f"`{c}`") for c in df.columns])
+    rest = F.substr(text, (F.element_at(cuts_of, -1)["end"] + 1).cast("int"))
+    new = F.when(cuts_of.isNull(), text).otherwise(F.concat(F.array_join(parts, ""), rest))
+    return joined.select(*[new.alias(c) if c == text_col else df[c] for c in df.columns])

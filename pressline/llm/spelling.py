@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pressline.llm.common import cut, id_as_text, text_rows
+from pressline.llm.common import cut, id_as_text, released, text_rows
 
 LETTERS = "A-Za-zÀ-ÿ"
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -94,7 +94,7 @@ def count_words(shortest: int, one_in: int):
 def vocabulary(docs: DataFrame, *, shortest: int = 6, least: int = 5, one_in: int = 199, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(word, n) of the words of at least ``shortest`` code points that occur ``least`` times."""
     rows = id_as_text(text_rows(docs, id_col, text_col).where(F.length("text") >= shortest))
-    words = rows.mapInArrow(count_words(shortest, one_in), "word string, n long").where(F.length("word") >= shortest)
+    words = rows.mapInArrow(released(count_words(shortest, one_in)), "word string, n long").where(F.length("word") >= shortest)
     return words.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
 
 
@@ -378,7 +378,7 @@ def near_words(words: DataFrame) -> DataFrame:
     ranges.split({(r["way"], r["k"]): r["n"] for r in crowds}, CROWD * RANGE_WORDS)
     dealt = words.select("word", "n").mapInArrow(deal(ranges), DEALT)
     cells = dealt.repartition("way", "k", "task").sortWithinPartitions("way", "k", "task", "is_pattern")
-    return cells.mapInArrow(near_in_ranges, NEAR)
+    return cells.mapInArrow(released(near_in_ranges), NEAR)
 
 
 # ---- forms and roots ---------------------------------------------------------------------------------------
