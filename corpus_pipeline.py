@@ -38,7 +38,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     found = decontaminate.overlaps(docs, read(spark, sf_dir, "benchmark", "item_id", "text")).select(
         F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
     found = cut(found)  # its size decides whether the texts have to be shuffled
-    return docs.join(found, docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_hash")), "left_anti")
+    return docs.join(found, docs["doc_id"].eqNullSafe(found["_id"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == found["_hash"]), "left_anti")
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
