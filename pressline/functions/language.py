@@ -11,9 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from pressline.functions.text import (
-    col, contains_any, count_contained, sql_text, text_contains_any, words,
-)
+from pressline.functions.terms import terms_in
+from pressline.functions.text import col, contains_any, sql_text, words
 from pressline.params import Lexicon
 
 
@@ -26,9 +25,14 @@ def title_keyword(title: Column | str, lex: Lexicon) -> Column:
     return F.coalesce(contains_any(F.lower(col(title)), lex.title_keywords), F.lit(False))
 
 
-def strong_phrase(low: Column | str, phrases) -> Column:
-    """Any phrase in the lower-cased text."""
-    return F.coalesce(text_contains_any(low, phrases), F.lit(False))
+def body_terms(low: Column | str, lex: Lexicon) -> Column:
+    """Counts of B terms, B phrases and all phrases in the lower-cased text, in one pass over it."""
+    return terms_in(low, terms_b=lex.terms_b, phrases_b=lex.phrases_b, phrases=lex.phrases)
+
+
+def strong_phrase(n_phrases: Column | str) -> Column:
+    """Any phrase in a text, from its count of phrases."""
+    return F.coalesce(col(n_phrases) > 0, F.lit(False))
 
 
 def title_word_hits(title: Column | str, lex: Lexicon) -> Column:
@@ -85,26 +89,26 @@ def max_run_folded(body: Column | str, lex: Lexicon) -> Column:
     return F.aggregate(words(F.lower(col(body))), acc, step, lambda a: a["best"]).cast("bigint")
 
 
-def verdict_reason(title: Column | str | None, body: Column | str, low: Column | str,
+def verdict_reason(title: Column | str | None, body: Column | str, terms: Column | str,
                    mask: Column | str, lex: Lexicon) -> Column:
     """First rule that calls the article foreign, NULL for a local one.
 
-    ``low`` is the lower-cased body and ``mask`` its hit mask; both are columns
-    of their own, so the branches below share one pass over the text.  The
-    second phrase rule repeats the B phrases, which an earlier rule has already
-    taken, so it can only name A phrases.
+    ``terms`` are the ``body_terms`` of the lower-cased body and ``mask`` its hit
+    mask; both are columns of their own, so the branches below share one pass
+    over the text.  The second phrase rule repeats the B phrases, which an
+    earlier rule has already taken, so it can only name A phrases.
     """
-    low, mask = col(low), col(mask)
+    terms, mask = col(terms), col(mask)
     reason = F.when(~has_body(body), F.lit(None).cast("string"))
     if title is not None:
         reason = reason.when(title_keyword(title, lex), "title_keyword")
-    reason = reason.when(strong_phrase(low, lex.phrases_b), "strong_phrase")
+    reason = reason.when(strong_phrase(terms["phrases_b"]), "strong_phrase")
     if title is not None:
         reason = reason.when(title_tokens_hit(title, lex), "title_tokens")
     return (
         reason.when(over_share(mask, lex), "token_share")
         .when(mask_hits(mask) >= lex.min_hits, "token_hits")
-        .when(strong_phrase(low, lex.phrases), "phrase_ab")
+        .when(strong_phrase(terms["phrases"]), "phrase_ab")
         .when(mask_has_run(mask, lex.min_run), "consecutive")
     )
 
@@ -124,8 +128,3 @@ def mid_words(words_column: str, mask: Column | str, lex: Lexicon) -> Column:
 def mid_mask(mask: Column | str, lex: Lexicon) -> Column:
     """The hit mask of ``mid_words``."""
     return F.substr(col(mask), mid_start(mask), F.lit(lex.sample_size))
-
-
-def indicator_substrings(low: Column | str, lex: Lexicon) -> Column:
-    """Distinct B terms occurring as substrings of the lower-cased text."""
-    return count_contained(low, lex.terms_b)

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Sequence
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -54,16 +52,6 @@ def contains_any(c: Column | str, terms: Sequence[str]) -> Column:
     return col(c).rlike(any_of(terms)) if terms else F.lit(False)
 
 
-def text_contains_any(c: Column | str, terms: Sequence[str]) -> Column:
-    """``contains_any`` for long texts held in a column of their own.
-
-    A chain of plain searches in generated code is faster there than one pattern
-    of many branches.
-    """
-    c = col(c)
-    return reduce(or_, [F.contains(c, F.lit(t)) for t in terms]) if terms else F.lit(False)
-
-
 def starts_with_any(c: Column | str, terms: Sequence[str]) -> Column:
     return col(c).rlike(f"^(?:{any_of(terms)})")
 

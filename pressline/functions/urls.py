@@ -8,9 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pressline import fixed_values as fv
-from pressline.functions.text import (
-    any_of, col, contains_any, count_contained, let, starts_with_any,
-)
+from pressline.functions.terms import terms_in
+from pressline.functions.text import any_of, col, contains_any, count_contained, let, starts_with_any
 from pressline.params import Blacklist, Site
 
 _SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:"
@@ -102,7 +101,7 @@ def title_starts_foreign(title: Column | str, bl: Blacklist) -> Column:
 
 
 def title_indicator_count(title: Column | str, bl: Blacklist) -> Column:
-    return count_contained(F.lower(col(title)), bl.title_indicators)
+    return terms_in(F.lower(col(title)), n=bl.title_indicators)["n"]
 
 
 def title_has_term(title: Column | str, bl: Blacklist) -> Column:
@@ -121,33 +120,61 @@ def slugs(terms: Sequence[str]) -> list[str]:
     return [t.replace(" ", "-") for t in terms]
 
 
+def url_terms(low_url: Column | str, bl: Blacklist) -> Column:
+    """Counts of the terms that make a lower-cased URL unwanted, in one pass over it."""
+    return terms_in(low_url, terms=slugs(bl.terms), lang_paths=bl.lang_paths, patterns=bl.url_patterns)
+
+
+def title_terms(low_title: Column | str, bl: Blacklist) -> Column:
+    """Counts of the terms that make a lower-cased title unwanted, in one pass over it."""
+    return terms_in(low_title, indicators=bl.title_indicators, terms=bl.terms, rejects=[t.lower() for t in bl.title_rejects])
+
+
 def blacklist_reason(url: Column | str, low_url: Column | str, low_title: Column | str | None, bl: Blacklist) -> Column:
-    """First reason why a link is unwanted, NULL if it is fine.
+    """First reason why a link is unwanted, NULL if it is fine: for links inside an array, with one search a list.
 
-    Takes the lower-cased URL and title as columns of their own.  Title rules
-    run only where a title is known and not blank.
+    Takes the lower-cased URL and title.  For rows ``with_blacklist_reason`` does
+    the same in one pass over each.
     """
-    url, low = col(url), col(low_url)
+    low, title = col(low_url), None if low_title is None else col(low_title)
+    of_url = {"terms": contains_any(low, slugs(bl.terms)), "lang_paths": contains_any(low, bl.lang_paths)}
+    of_title = None if title is None else {
+        "indicators": count_contained(title, bl.title_indicators) >= bl.title_indicator_min, "terms": contains_any(title, bl.terms)}
+    return _reason(col(url), of_url, title, of_title, bl)
+
+
+def _reason(url: Column, of_url, title: Column | None, of_title, bl: Blacklist) -> Column:
+    """The rules in order; title rules run only where a title is known and not blank."""
     reason = F.when(url.isin(*bl.urls) if bl.urls else F.lit(False), "url")
-    if low_title is not None:
-        t = col(low_title)
-        known = F.coalesce(t != "", F.lit(False))
+    if title is not None:
+        known = F.coalesce(title != "", F.lit(False))
         reason = (
-            reason.when(known & starts_with_any(t, bl.title_starters), "title_start")
-            .when(known & (count_contained(t, bl.title_indicators) >= bl.title_indicator_min), "title_indicators")
-            .when(known & contains_any(t, bl.terms), "title_term")
+            reason.when(known & starts_with_any(title, bl.title_starters), "title_start")
+            .when(known & of_title["indicators"], "title_indicators")
+            .when(known & of_title["terms"], "title_term")
         )
-    return reason.when(contains_any(low, slugs(bl.terms)), "url_term").when(contains_any(low, bl.lang_paths), "url_lang")
+    return reason.when(of_url["terms"], "url_term").when(of_url["lang_paths"], "url_lang")
 
 
 def with_blacklist_reason(df: DataFrame, bl: Blacklist, *, url: str = "url", title: str | None = None,
                           out: str = "blacklist_reason") -> DataFrame:
     """Add the first reason why a link is unwanted, NULL if it is fine."""
-    lowered = {"_low_url": F.lower(url)}
+    return let(with_terms(df, bl, url=url, title=title), **{out: reason_of(url, title, bl)}).drop("_of_url", "_low_title", "_of_title")
+
+
+def with_terms(df: DataFrame, bl: Blacklist, *, url: str = "url", title: str | None = None) -> DataFrame:
+    """Add what the rules on URL and title look at: ``_of_url``, and with a title ``_low_title`` and ``_of_title``."""
+    found = {"_of_url": url_terms(F.lower(url), bl)}
     if title is not None:
-        lowered["_low_title"] = F.lower(title)
-    reason = blacklist_reason(url, "_low_url", "_low_title" if title is not None else None, bl)
-    return let(let(df, **lowered), **{out: reason}).drop("_low_url", "_low_title")
+        found |= {"_low_title": F.lower(title), "_of_title": title_terms(F.lower(title), bl)}
+    return let(df, **found)
+
+
+def reason_of(url: str, title: str | None, bl: Blacklist) -> Column:
+    """``blacklist_reason`` on the columns of ``with_terms``."""
+    of_url = {k: F.col(f"_of_url.{k}") > 0 for k in ("terms", "lang_paths")}
+    of_title = {"indicators": F.col("_of_title.indicators") >= bl.title_indicator_min, "terms": F.col("_of_title.terms") > 0}
+    return _reason(F.col(url), of_url, None if title is None else F.col("_low_title"), of_title, bl)
 
 
 def title_reject(title: Column | str, bl: Blacklist) -> Column:

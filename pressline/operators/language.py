@@ -14,13 +14,13 @@ LEX = Lexicon()
 
 
 def with_tokens(df: DataFrame, *, body: Column | str = "content", lex: Lexicon = LEX) -> DataFrame:
-    """Add the lower-cased body, its words and their hit mask, the input of all token rules."""
+    """Add the lower-cased body, its terms, its words and their hit mask, the input of all rules on the text."""
     lowered = let(df, body_lower=F.lower(body))
-    split = let(lowered, body_words=words("body_lower"))
+    split = let(lowered, body_words=words("body_lower"), body_terms=L.body_terms("body_lower", lex))
     return let(split, hit_mask=L.hit_mask("body_words", lex))
 
 
-TOKEN_COLUMNS = ("body_lower", "body_words", "hit_mask")
+TOKEN_COLUMNS = ("body_lower", "body_words", "body_terms", "hit_mask")
 
 
 def language_verdict(
@@ -30,7 +30,7 @@ def language_verdict(
     """Add ``is_foreign`` and ``foreign_reason``; with ``metrics`` the counts too."""
     out = let(
         with_tokens(df, body=body, lex=lex),
-        foreign_reason=L.verdict_reason(title, body, "body_lower", "hit_mask", lex),
+        foreign_reason=L.verdict_reason(title, body, "body_terms", "hit_mask", lex),
     ).withColumn("is_foreign", F.col("foreign_reason").isNotNull())
     if metrics:
         out = (
@@ -61,8 +61,9 @@ def with_mid_reason(tokens: DataFrame, *, lex: Lexicon = LEX, only: Column | Non
         _mid_words=F.when(wanted, L.mid_words("body_words", "hit_mask", lex)),
         _mid_mask=F.when(wanted, L.mid_mask("hit_mask", lex)),
     )
-    reason = L.verdict_reason(None, "_mid_words", "_mid_words", "_mid_mask", lex)
-    return let(sampled, mid_reason=reason).drop("_mid_words", "_mid_mask")
+    searched = let(sampled, _mid_terms=L.body_terms("_mid_words", lex))
+    reason = L.verdict_reason(None, "_mid_words", "_mid_terms", "_mid_mask", lex)
+    return let(searched, mid_reason=reason).drop("_mid_words", "_mid_terms", "_mid_mask")
 
 
 def record_verdict(records: DataFrame, *, raw: str = "raw", lex: Lexicon = LEX, compat: bool = False) -> DataFrame:

@@ -125,8 +125,8 @@ def filter_links(links: DataFrame, *, site: Site = SITE, bl: Blacklist = BLACKLI
     u = F.col("url")
     listing = F.contains(u, F.lit("/author/")) | F.contains(u, F.lit("/tag/"))
     on_site = links.where(~listing & F.contains(u, F.lit(site.domain)))
-    judged = U.with_blacklist_reason(on_site, bl).where(F.col("blacklist_reason").isNull())
-    return judged.where(~contains_any(F.lower(u), bl.url_patterns)).drop("blacklist_reason")
+    judged = let(U.with_terms(on_site, bl), _bad=U.reason_of("url", None, bl).isNotNull() | (F.col("_of_url.patterns") > 0))
+    return judged.where(~F.col("_bad")).drop("_of_url", "_bad")
 
 
 # --- seeds --------------------------------------------------------------------------

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from pressline import fixed_values as fv
 from pressline.functions import urls as U
-from pressline.functions.language import indicator_substrings, verdict_reason
-from pressline.functions.text import clean_text, contains_any, let
+from pressline.functions.language import verdict_reason
+from pressline.functions.text import clean_text, let
 from pressline.operators import fields as P
 from pressline.operators.dedup import later_copies, without
 from pressline.operators.language import record_verdict, with_mid_reason, with_tokens
@@ -52,24 +52,23 @@ def scrape_rows(pages: DataFrame, *, rules: Rules = DEFAULT_RULES) -> DataFrame:
 def reject_rows(rows: DataFrame, rules: Rules) -> DataFrame:
     """Add ``reject_reason`` to assembled rows."""
     bl, lex = rules.blacklist, rules.lexicon
-    low = let(rows, _low_url=F.lower("url"), _low_title=F.lower("title"))
     early = let(
-        low,
-        _early=F.when(U.blacklist_reason("url", "_low_url", None, bl).isNotNull(), "url_blacklist")
+        U.with_terms(rows, bl, title="title"),
+        _early=F.when(U.reason_of("url", None, bl).isNotNull(), "url_blacklist")
         .when(F.col("_no_page"), "no_page")
         .when(F.col("_html").isNotNull(), "html_foreign")
-        .when(U.blacklist_reason("url", "_low_url", "_low_title", bl).isNotNull(), "title_blacklist")
-        .when(contains_any("_low_title", [t.lower() for t in bl.title_rejects]), "title_reject")
+        .when(U.reason_of("url", "title", bl).isNotNull(), "title_blacklist")
+        .when(F.col("_of_title.rejects") > 0, "title_reject")
         .when(F.col("content").isNull(), "empty_body"),
     )
     # rejected rows have no text to look at from here on
     tokens = with_tokens(early, body=F.when(F.col("_early").isNull(), F.col("content")), lex=lex)
-    terms = let(tokens, _terms=indicator_substrings("body_lower", lex) > lex.max_substrings)
+    terms = tokens.withColumn("_terms", F.col("body_terms.terms_b") > lex.max_substrings)
     # the missing mark stands in for an unknown title, as it does in a record
     shown_title = F.coalesce("title", F.lit("N/A"))
     language = let(
         terms,
-        _lang=F.when(~F.col("_terms"), verdict_reason(shown_title, "body_lower", "body_lower", "hit_mask", lex)),
+        _lang=F.when(~F.col("_terms"), verdict_reason(shown_title, "body_lower", "body_terms", "hit_mask", lex)),
     )
     still = ~F.col("_terms") & F.col("_lang").isNull()
     judged = with_mid_reason(language, lex=lex, only=still)

@@ -64,7 +64,7 @@ def e1(spark, sf):
 @query("e2_strong_phrase", with_articles(f"SELECT doc_id, {sql_any('lower(content)', LEX.phrases_b)} AS hit FROM a"))
 def e2(spark, sf):
     low = let(articles(spark, sf), low=F.lower("content"))
-    return low.select("doc_id", L.strong_phrase("low", LEX.phrases_b).alias("hit"))
+    return let(low, t=L.body_terms("low", LEX)).select("doc_id", L.strong_phrase("t.phrases_b").alias("hit"))
 
 
 @query("e3_title_tokens_hit", with_articles(
@@ -91,7 +91,7 @@ def e5(spark, sf):
 @query("e6_strong_phrase_ab", with_articles(f"SELECT doc_id, {sql_any('lower(content)', LEX.phrases)} AS hit FROM a"))
 def e6(spark, sf):
     low = let(articles(spark, sf), low=F.lower("content"))
-    return low.select("doc_id", L.strong_phrase("low", LEX.phrases).alias("hit"))
+    return let(low, t=L.body_terms("low", LEX)).select("doc_id", L.strong_phrase("t.phrases").alias("hit"))
 
 
 @query("e7_max_run", f"WITH {VERDICT_CTE} SELECT doc_id, max_run, max_run >= 3 AS hit FROM v")
@@ -138,7 +138,7 @@ def e9(spark, sf):
 @query("e10_indicator_substrings", with_articles(
     f"SELECT doc_id, {sql_count('lower(content)', LEX.terms_b)} AS n, {sql_count('lower(content)', LEX.terms_b)} > 20 AS hit FROM a"))
 def e10(spark, sf):
-    n = let(let(articles(spark, sf), low=F.lower("content")), n=L.indicator_substrings("low", LEX))
+    n = let(let(articles(spark, sf), low=F.lower("content")), n=L.body_terms("low", LEX)["terms_b"])
     return n.select("doc_id", "n", (F.col("n") > LEX.max_substrings).alias("hit"))
 
 
