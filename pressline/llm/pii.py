@@ -40,6 +40,8 @@ MIN_SCORE = 0.8
 MIN_SUPPORT = 5
 SMOOTHING = 2.0
 BROADCAST_PATTERNS = 50_000
+#: spans, of some 60 bytes each
+BROADCAST_SPANS = 250_000
 
 LOCAL = "[A-Za-z0-9._%+-]"
 EMAIL = rf"(?:(?<!{LOCAL})|\G){LOCAL}++@[A-Za-z0-9-]++\.[A-Za-z0-9-][A-Za-z0-9.-]*(?<!\.)"
@@ -173,8 +175,10 @@ def masked(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
     before = F.coalesce(F.max("end").over(run.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     cuts = found.withColumn("from", before).where(F.col("end") > F.col("from"))
     lists = cuts.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_list(F.struct("from", "start", "end", "kind"))).alias("_cuts"))
-    # written first: its size decides whether the texts have to be shuffled
+    # written first: texts are only shuffled where the spans are too many to be sent to all tasks
     lists = cut(lists.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "_cuts"))
+    if (lists.agg(F.sum(F.size("_cuts"))).first()[0] or 0) <= BROADCAST_SPANS:
+        lists = F.broadcast(lists)
     text, cuts_of = df[text_col], lists["_cuts"]
     joined = df.join(lists, df[id_col].eqNullSafe(lists["_id"]) & (F.xxhash64(text) == lists["_hash"]), "left")
     parts = F.transform(cuts_of, lambda c: F.concat(
