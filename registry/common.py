@@ -111,7 +111,7 @@ SELECT doc_id, lang, source,
     THEN 'https://news.example/2024/05/' || trim(regexp_replace(lower(split_part(text, chr(10), 1)), '[^a-z]+', '-', 'g'), '-') || '/' END AS url,
   strftime(DATE '2024-01-01' + CAST(doc_id % 365 AS INTEGER), '%d.%m.%Y') AS date,
   source AS author, lang AS category,
-  substr(split_part(text, chr(10), 1), 1, 60) AS subtitle
+  split_part(text, chr(10), 1) AS subtitle
 FROM documents
 """
 
@@ -135,7 +135,7 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format(day, "dd.MM.yyyy").alias("date"),
         F.col("source").alias("author"),
         F.col("lang").alias("category"),
-        F.substring(title, 1, 60).alias("subtitle"),
+        title.alias("subtitle"),
     )
 
 

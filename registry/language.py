@@ -145,9 +145,9 @@ def e10(spark, sf):
 @query("e11_local_only", f"WITH {VERDICT_CTE} SELECT doc_id, lang FROM v WHERE foreign_reason IS NULL")
 def e11(spark, sf):
     # titles and bodies survive the trip through record text only up to outer
-    # white space, which no rule looks at
-    records = render_records(articles(spark, sf).withColumn("url", F.lit("u")), site=SITE)
-    whole = records.where(F.col("raw").isNotNull()).select("doc_id", "lang", "raw")
+    # white space, which no rule looks at; a blank title is written as an unknown one
+    titled = articles(spark, sf).withColumns({"url": F.lit("u"), "title": F.nullif("title", F.lit(""))})
+    whole = render_records(titled, site=SITE).select("doc_id", "lang", "raw")
     return OP.local_only(whole, lex=LEX).select("doc_id", "lang")
 
 

@@ -125,11 +125,24 @@ def c4(spark, sf):
     return dom(spark, sf).select("page_id", P.title_cascade("url").alias("title"))
 
 
-@query("c4_title_cascade_press", with_press(
-    f"SELECT doc_id AS page_id, CASE WHEN lang = 'es' OR shown_title = '' THEN {_CUT} ELSE shown_title END AS title FROM p WHERE title <> ''"))
+# without a heading the shared title counts as it stands, then what the page's own title has before its bar
+TITLE4 = f"CASE WHEN lang = 'en' AND shown_title = '' THEN '| Site' WHEN lang = 'es' OR shown_title = '' THEN {_CUT} ELSE shown_title END"
+
+
+@query("c4_title_cascade_press", with_press(f"SELECT doc_id AS page_id, {TITLE4} AS title FROM p"))
 def c4_press(spark, sf):
-    return parse_pages(press_pages(spark, sf).join(articles(spark, sf).where("title <> ''").select(F.col("doc_id").alias("page_id")), "page_id", "left_semi")).select(
-        "page_id", P.title_cascade("url").alias("title"))
+    return press(spark, sf).select("page_id", P.title_cascade("url").alias("title"))
+
+
+_LAST_PART = "regexp_extract(regexp_replace(url, '/+$', ''), '[^/]*$')"
+
+
+@query("c4_title_slug", f"""SELECT page_id, array_to_string(list_transform(string_split(translate({_LAST_PART}, '-_', '  '), ''),
+  lambda x, i: CASE WHEN i = 1 OR NOT regexp_matches(translate({_LAST_PART}, '-_', '  ')[i - 1], '[A-Za-z]') THEN upper(x) ELSE lower(x) END), '') AS title FROM pages""")
+def c4_slug(spark, sf):
+    """Pages that have lost their headings and their title: the last part of the URL names them."""
+    bare = pages(spark, sf).withColumn("html", F.regexp_replace("html", "<(/?)(h1|title)>", "<$1h5>"))
+    return parse_pages(bare).select("page_id", P.title_cascade("url").alias("title"))
 
 
 # --- date -------------------------------------------------------------------------------
@@ -359,7 +372,7 @@ def c20(spark, sf):
     return P.best_subtitle(found).select("page_id", "subtitle")
 
 
-SUB21 = "CASE WHEN lang = 'de' AND len(lead) > 20 THEN lead END"
+SUB21 = "CASE WHEN lang = 'de' AND len(lead) > 20 AND len(lead) < 300 THEN lead END"
 
 
 @query("c21_subtitle_cascade", with_press(f"SELECT doc_id AS page_id, {SUB21} AS subtitle FROM p"))
@@ -371,20 +384,29 @@ def c21(spark, sf):
 _LINES = f"list_transform(string_split(content, chr(10)), lambda x: {sql_strip('x')})"
 _BASIC = f"array_to_string(list_filter({_LINES}, lambda x: len(x) > 15 AND NOT {sql_any('lower(x)', fv.BODY_SKIP_TERMS)}), ' ')"
 _NOISE = sql_list([SHARE, SCRIPTED, ADVERT])
-_FALLBACK = f"array_to_string(list_filter(list_concat({_LINES}, {_NOISE}), lambda x: len(x) > 20), ' ')"
+# paragraphs before the text: an intro, or a subtitle
+_BEFORE = "CASE WHEN lang IN ('en', 'de') THEN [lead] ELSE [] END"
+_FALLBACK = f"array_to_string(list_filter(list_concat({_BEFORE}, {_LINES}, {_NOISE}), lambda x: len(x) > 20), ' ')"
 BODY_SQL = f"nullif(CASE WHEN lang = 'es' THEN {_FALLBACK} ELSE {_BASIC} END, '')"
 
 
-@query("c22_body_basic", with_press(f"SELECT doc_id AS page_id, md5(nullif({_BASIC}, '')) AS digest FROM p WHERE lang <> 'es'"))
+@query("c22_body_basic", with_press(f"SELECT doc_id AS page_id, md5(CASE WHEN lang <> 'es' THEN nullif({_BASIC}, '') END) AS digest FROM p"))
 def c22(spark, sf):
-    kept = press_pages(spark, sf).where(~F.contains("html", F.lit('<html lang="es">')))
-    return P.body_of(parse_pages(kept)).select("page_id", F.md5("content").alias("digest"))
+    """The rule of known containers on every page; a page without one has no such body."""
+    found = let(press(spark, sf), box=P.first_element(P.BODY_BASIC))
+    text = F.when(F.col("box").isNotNull(), F.nullif(P.body_basic("box"), F.lit("")))
+    return found.select("page_id", F.md5(text).alias("digest"))
 
 
-@query("c23_body_fallback", with_press(f"SELECT doc_id AS page_id, md5({_FALLBACK}) AS digest FROM p WHERE lang = 'es'"))
+@query("c23_body_fallback", with_press(f"SELECT doc_id AS page_id, md5({_FALLBACK}) AS digest FROM p"))
 def c23(spark, sf):
-    kept = press_pages(spark, sf).where(F.contains("html", F.lit('<html lang="es">')))
-    return P.body_of(parse_pages(kept)).select("page_id", F.md5("content").alias("digest"))
+    """The rule of all paragraphs on every page, known container or not."""
+    return press(spark, sf).select("page_id", F.md5(P.body_fallback()).alias("digest"))
+
+
+@query("c23_body_either", with_press(f"SELECT doc_id AS page_id, md5({BODY_SQL}) AS digest FROM p"))
+def c23_either(spark, sf):
+    return P.body_of(press(spark, sf)).select("page_id", F.md5("content").alias("digest"))
 
 
 # pages: a paragraph ends at its end tag, at the next paragraph or with its parent
@@ -479,19 +501,24 @@ SCRAPE_CTE = ", ".join((
 ))
 
 
+# a page with a blacklisted URL is not parsed: only its URL names a category
+_UNPARSED = f"CASE WHEN {_BY_URL} IS NOT NULL THEN {_BY_URL} ELSE {sql_standard(f'coalesce({_BY_URL}, {_NAMED})', 'page_url')} END"
+
+
 @query("c30_scrape_rows", f"""WITH {SCRAPE_CTE}
-SELECT doc_id AS page_id, page_url AS url, title3 AS title, {DATE5} AS date, writer AS author, {CATEGORY_SQL} AS category,
-  best_subtitle AS subtitle, md5(nullif(z.content, '')) AS digest, reject_reason
-FROM (SELECT *, {RAW11} AS raw FROM p) JOIN (SELECT doc_id, title3, content, reject_reason FROM z) z USING (doc_id) LEFT JOIN sub USING (doc_id)
-WHERE reject_reason IS DISTINCT FROM 'url_blacklist'""")
+SELECT doc_id AS page_id, page_url AS url, CASE WHEN parsed THEN title3 END AS title, CASE WHEN parsed THEN {DATE5} END AS date,
+  CASE WHEN parsed THEN writer ELSE 'news.example' END AS author, CASE WHEN parsed THEN {CATEGORY_SQL} ELSE {_UNPARSED} END AS category,
+  CASE WHEN parsed THEN best_subtitle END AS subtitle, CASE WHEN parsed THEN md5(nullif(z.content, '')) END AS digest, reject_reason
+FROM (SELECT *, {RAW11} AS raw FROM p) JOIN (SELECT doc_id, title3, content, reject_reason, reject_reason IS DISTINCT FROM 'url_blacklist' AS parsed FROM z) z USING (doc_id)
+  LEFT JOIN sub USING (doc_id)""")
 def c30(spark, sf):
-    rows = scrape_rows(press_pages(spark, sf), rules=RULES).where("reject_reason is distinct from 'url_blacklist'")
+    rows = scrape_rows(press_pages(spark, sf), rules=RULES)
     return rows.select("page_id", "url", "title", "date", "author", "category", "subtitle", F.md5("content").alias("digest"), "reject_reason")
 
 
 @query("c30_reject_counts", f"WITH {SCRAPE_CTE} SELECT reject_reason, count(*) AS n FROM z GROUP BY ALL")
 def c30_counts(spark, sf):
-    return scrape_rows(press_pages(spark, sf), rules=RULES).groupBy("reject_reason").agg(F.count("*").alias("n"))
+    return scrape_rows(press_pages(spark, sf), rules=RULES, columns=("reject_reason",)).groupBy("reject_reason").agg(F.count("*").alias("n"))
 
 
 @query("c31_extract_rows", f"""
@@ -504,20 +531,18 @@ def c31(spark, sf):
 
 
 @query("c31_extract_press", with_press(f"""
-SELECT doc_id AS page_id, CASE WHEN lang = 'es' THEN {_CUT} ELSE shown_title END AS title, {DATE6} AS date,
+SELECT doc_id AS page_id, {TITLE4} AS title, {DATE6} AS date,
   CASE WHEN lang IN ('en', 'fr') THEN writer ELSE 'news.example' END AS author,
-  CASE WHEN lang IN ('en', 'de') THEN section ELSE {DEFAULT} END AS category, {SUB21} AS subtitle FROM p WHERE title <> ''"""))
+  CASE WHEN lang IN ('en', 'de') THEN section ELSE {DEFAULT} END AS category, {SUB21} AS subtitle FROM p"""))
 def c31_press(spark, sf):
-    titled = articles(spark, sf).where("title <> ''").select(F.col("doc_id").alias("page_id"))
-    rows = extract_rows(press_pages(spark, sf).join(titled, "page_id", "left_semi"), rules=RULES)
-    return rows.select("page_id", "title", "date", "author", "category", "subtitle")
+    return extract_rows(press_pages(spark, sf), rules=RULES, columns=("page_id", "title", "date", "author", "category", "subtitle"))
 
 
 # --- statistics over pages ----------------------------------------------------------------
 @query("g13_extraction_stats", f"""SELECT count(*) AS total_attempted, count(body) AS successful_scrapes, count(*) - count(body) AS failed_scrapes,
   count(*) - count(body) AS empty_content FROM ({_alternative_sql()})""")
 def g13(spark, sf):
-    return stats.extraction_stats(extract_rows(pages(spark, sf), rules=RULES))
+    return stats.extraction_stats(extract_rows(pages(spark, sf), rules=RULES, columns=("content", "error")))
 
 
 @query("g14_batch_tallies", f"""WITH {SCRAPE_CTE}
@@ -525,7 +550,7 @@ SELECT batch_no, count(*) AS processed, count(*) FILTER (reject_reason IS NULL)
 FROM z JOIN (SELECT doc_id, batch_no FROM p) USING (doc_id) GROUP BY batch_no""")
 def g14(spark, sf):
     batch = articles(spark, sf).select(F.col("doc_id").alias("page_id"), "batch_no")
-    return stats.batch_tallies(scrape_rows(press_pages(spark, sf), rules=RULES).join(batch, "page_id"))
+    return stats.batch_tallies(scrape_rows(press_pages(spark, sf), rules=RULES, columns=("page_id", "reject_reason")).join(batch, "page_id"))
 
 
 # --- flagship -----------------------------------------------------------------------------
@@ -538,7 +563,7 @@ SELECT CASE WHEN grouping(lang, f) = 0 THEN 'file' WHEN grouping(lang, f) = 1 TH
 FROM (SELECT *, regexp_extract(path, '[^/]*/?$') AS f FROM k WHERE rn = 1) GROUP BY ROLLUP (lang, f)""")
 def flagship(spark, sf):
     """Pages -> extracted articles -> language -> first seen by path -> counts."""
-    rows = extract_rows(pages(spark, sf), rules=RULES)
+    rows = extract_rows(pages(spark, sf), rules=RULES, columns=("page_id", "url", "title", "content"))
     path = F.regexp_extract("url", "^https?://[^/]*([^?#]*)", 1)
     keyed = rows.select(
         "page_id", "title", "content", path.alias("path"),

@@ -21,7 +21,7 @@ FOOTER = "all the usual words of a page footer"
 MONTHS = [name for name, _ in fv.MONTHS_BASIC]
 
 PRESS_SQL = f"""
-SELECT *, {sql_strip("substr(split_part(content, chr(10), 1), 1, 120)")} AS lead,
+SELECT *, {sql_strip("split_part(content, chr(10), 1)")} AS lead,
   CASE lang WHEN 'en' THEN 'https://news.example/sport/' || doc_id || '/'
     WHEN 'es' THEN CASE WHEN s < 10 THEN 'https://news.example/vjera/' || doc_id || '/'
       ELSE 'https://news.example/' || strftime(day, '%Y/%m/%d') || '/post-' || doc_id || '/' END
@@ -50,7 +50,7 @@ def press_pages(spark, sf_dir):
     doc = F.col("doc_id").cast("string")
     lang = F.col("lang")
     title, sub = _esc(F.col("title")), _esc(F.col("subtitle"))
-    lead = _esc(F.substring(F.substring_index("content", "\n", 1), 1, 120))
+    lead = _esc(F.substring_index("content", "\n", 1))
     writer = F.when(s == 0, "news.example").otherwise(F.col("source"))
     section = F.array(*[F.lit(x) for x in SECTIONS])[s % 4]
     month_name = F.array(*[F.lit(m) for m in MONTHS])[F.month(day) - 1]

@@ -12,7 +12,7 @@ from pressline.plans.articles import combine
 from pressline.session import new_path
 from pressline.sources import readers, sinks
 from registry.common import (
-    ARTICLES_SQL, LEX, SITE, articles, lit, query, sql_any, sql_strip, with_articles,
+    ARTICLES_SQL, LEX, SITE, articles, lit, query, sql_any, sql_list, sql_strip, with_articles,
 )
 from registry.language import VERDICT_CTE
 
@@ -217,17 +217,14 @@ def g5(spark, sf):
 
 @query("g6_report_rows", f"""WITH a AS ({ARTICLES_SQL}), {FIRST_SQL},
 t AS (SELECT (SELECT count(DISTINCT file) FROM a) AS f, count(*) AS n, count(*) FILTER (url IS NULL OR rn = 1) AS u FROM k),
-l AS (SELECT unnest([
-  [3, 0], [4, f], [5, n], [6, u], [7, n - u]]) AS x, n, u FROM t)
-SELECT x[1]::INTEGER AS line_no, CASE x[1] WHEN 3 THEN 'SUMMARY:' WHEN 4 THEN '- Total input files processed: ' || x[2]
-  WHEN 5 THEN '- Total articles found: ' || x[2] WHEN 6 THEN '- Unique articles saved: ' || x[2]
-  ELSE '- Duplicate articles removed: ' || x[2] END AS line FROM l
-UNION ALL SELECT 13, '- Articles successfully processed: ' || u || ' / ' || n FROM t
-UNION ALL SELECT 14, '- Success rate: ' || printf('%.2f', round(100.0 * u / n, 2)) || '%' FROM t""")
+l AS (SELECT *, unnest({sql_list(fv.REPORT_LINES)}) AS line, generate_subscripts({sql_list(fv.REPORT_LINES)}, 1) - 1 AS i FROM t)
+SELECT i::INTEGER AS line_no, CASE i WHEN 0 THEN replace(line, '{{NAME}}', 'ARCHIVE') WHEN 1 THEN replace(line, '%s', '2024-05-17 08:30:00')
+  WHEN 4 THEN replace(line, '%d', f::VARCHAR) WHEN 5 THEN replace(line, '%d', n::VARCHAR) WHEN 6 THEN replace(line, '%d', u::VARCHAR)
+  WHEN 7 THEN replace(line, '%d', (n - u)::VARCHAR) WHEN 10 THEN replace(line, '%s', 'all.txt') WHEN 13 THEN replace(line, '%d / %d', u || ' / ' || n)
+  WHEN 14 THEN replace(line, '%.2f%%', printf('%.2f', round(100.0 * u / n, 2)) || '%') ELSE replace(line, '{{name}}', 'Archive') END AS line FROM l""")
 def g6(spark, sf):
     summary = dedup.combine_summary(dedup.combine_totals(articles(spark, sf)), "all.txt", F.current_timestamp())
-    report = dedup.report_rows(summary, name="Archive", generated=F.current_timestamp())
-    return report.where(F.col("line_no").between(3, 7) | F.col("line_no").isin(13, 14))
+    return dedup.report_rows(summary, name="Archive", generated=F.to_timestamp(F.lit("2024-05-17 08:30:00")))
 
 
 @query("g16_marker_count", with_articles(f"SELECT count(*) AS markers FROM a WHERE title <> ''"))
