@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator, Sequence
-from functools import lru_cache
 
 import ahocorasick
 import pyarrow as pa
@@ -25,30 +24,29 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 Lists = tuple[tuple[str, tuple[str, ...]], ...]
 
 
-@lru_cache(maxsize=64)
-def _automaton(lists: Lists) -> tuple[ahocorasick.Automaton | None, list[frozenset[int]]]:
-    """The automaton over all different terms, and the numbers of each list's terms."""
-    numbers = {t: k for k, t in enumerate(dict.fromkeys(t for _, terms in lists for t in terms))}
-    found = ahocorasick.Automaton()
-    for term, k in numbers.items():
-        if term:
-            found.add_word(term, k)
-    found.make_automaton()
-    return (found if len(found) else None), [frozenset(numbers[t] for t in terms) for _, terms in lists]
-
-
-def term_counts(texts: Sequence[str | None], lists: Lists) -> list[list[int | None]]:
-    """For each list, how many of its different terms occur in each text as substrings; the empty term occurs in every text."""
-    found, members = _automaton(lists)
-    always = {k for k, t in enumerate(dict.fromkeys(t for _, terms in lists for t in terms)) if not t}
-    rows = []
-    for text in texts:
-        if text is None:
-            rows.append([None] * len(members))
-            continue
-        seen = {k for _, k in found.iter(text)} | always if found is not None and text else always
-        rows.append([len(seen & m) for m in members] if seen else [0] * len(members))
-    return [list(c) for c in zip(*rows)] if rows else [[] for _ in members]
+class TermSearch:
+    """The automaton over all different terms of the lists."""
+
+    def __init__(self, lists: Lists) -> None:
+        numbers = {t: k for k, t in enumerate(dict.fromkeys(t for _, terms in lists for t in terms))}
+        self.members = [frozenset(numbers[t] for t in terms) for _, terms in lists]
+        self.always = {k for t, k in numbers.items() if not t}
+        self.found = ahocorasick.Automaton()
+        for term, k in numbers.items():
+            if term:
+                self.found.add_word(term, k)
+        self.found.make_automaton()
+
+    def counts(self, texts: Sequence[str | None]) -> list[list[int | None]]:
+        """For each list, how many of its different terms occur in each text as substrings; the empty term occurs in every text."""
+        rows = []
+        for text in texts:
+            if text is None:
+                rows.append([None] * len(self.members))
+                continue
+            seen = {k for _, k in self.found.iter(text)} | self.always if text and len(self.found) else self.always
+            rows.append([len(seen & m) for m in self.members])
+        return [list(c) for c in zip(*rows)] if rows else [[] for _ in self.members]
 
 
 def terms_in(c: Column | str, **lists: Sequence[str]) -> Column:
@@ -61,8 +59,9 @@ def terms_in(c: Column | str, **lists: Sequence[str]) -> Column:
 
     @F.arrow_udf(f"struct<{kind.replace(' bigint', ': bigint')}>")
     def search(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        terms = TermSearch(fixed)
         for batch in texts:
-            counts = term_counts(batch.to_pylist(), fixed)
+            counts = terms.counts(batch.to_pylist())
             yield pa.StructArray.from_arrays([pa.array(n, pa.int64()) for n in counts], names=[name for name, _ in fixed])
 
     return search(col(c))

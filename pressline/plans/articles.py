@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,39 +16,56 @@ from pressline.operators.dedup import later_copies, without
 from pressline.operators.language import record_verdict, with_mid_reason, with_tokens
 from pressline.operators.records import record_header, record_url
 from pressline.params import DEFAULT_RULES, Rules
+from pressline.plans.steps import Marks, Step, built, mark
 from pressline.session import cut
 from pressline.schemas import ARTICLE, ARTICLE_EXTRACTED
 from pressline.sources.dom import parse_pages
 from pressline.sources.readers import READ_ORDER
 
 
-def scrape_rows(pages: DataFrame, *, rules: Rules = DEFAULT_RULES) -> DataFrame:
+# what no step behind the marks may carry on: the nodes are by far the largest part of a row
+HEAVY = ("nodes", "pieces", "piece_node", "container")
+
+
+def _scrape_steps(rules: Rules) -> list[Marks | Step]:
+    bl = rules.blacklist
+
+    def content(dom: DataFrame) -> DataFrame:
+        return let(dom, content=P.body_in("container"))
+
+    return [
+        Marks(("_lang", "_title", "_classes"), P.html_marks),
+        Marks(("date_raw", "_published"), P.date_marks_basic),
+        mark("title", P.title_basic),
+        mark("author", lambda: P.author_basic(rules.site)),
+        mark("category_on_page", P.category_on_page),
+        mark("candidates", lambda: P.subtitle_candidates(bl)),
+        mark("container", lambda: P.first_element(P.BODY_BASIC)),
+        mark("_no_page", lambda: F.size("nodes") == 0),
+        Step(("content",), ("container",), content),
+        Step(("narrow",), (), lambda df: df.drop(*HEAVY, "json_ld")),
+        Step(("_html",), ("_lang", "_title", "_classes"), lambda df: P.finish_html_reason(df, bl, out="_html")),
+        Step(("date", "date_value"), ("date_raw", "_published"), P.finish_date_basic),
+        Step(("category",), ("category_on_page", "title"), lambda df: P.with_category_basic(df, rules)),
+        Step(("subtitle",), ("candidates",), P.best_subtitle),
+        Step(("reject_reason",), ("title", "content", "_html", "_no_page"), lambda df: reject_rows(df, rules)),
+    ]
+
+
+SCRAPED = ("page_id", *ARTICLE.names, "date_value", "reject_reason")
+
+
+def scrape_rows(pages: DataFrame, *, rules: Rules = DEFAULT_RULES, columns: Sequence[str] = SCRAPED) -> DataFrame:
     """Basic articles with ``reject_reason`` (NULL = kept), one row per page.
 
     The reject rules run in their fixed order, and a rule only looks at pages
     that no earlier rule has rejected.  Pages with a blacklisted URL are emptied
-    before parsing, so they cost next to nothing.
+    before parsing, so they cost next to nothing.  Only what ``columns`` call for
+    is planned.
     """
-    bl, lex = rules.blacklist, rules.lexicon
-    judged = U.with_blacklist_reason(pages.select("page_id", "url", "html"), bl, out="_url")
+    judged = U.with_blacklist_reason(pages.select("page_id", "url", "html"), rules.blacklist, out="_url")
     dom = parse_pages(judged.withColumn("html", F.when(F.col("_url").isNull(), F.col("html"))))
-
-    marked = let(
-        dom,
-        **P.html_marks(),
-        **P.date_marks_basic(),
-        title=P.title_basic(),
-        author=P.author_basic(rules.site),
-        category_on_page=P.category_on_page(),
-        candidates=P.subtitle_candidates(bl),
-        container=P.first_element(P.BODY_BASIC),
-        _no_page=F.size("nodes") == 0,
-    )
-    # nothing behind this line needs the nodes
-    narrow = let(marked, content=P.body_in("container")).drop("nodes", "pieces", "piece_node", "json_ld", "container")
-    rows = P.finish_date_basic(P.finish_html_reason(narrow, bl, out="_html"))
-    rows = P.best_subtitle(P.with_category_basic(rows, rules))
-    return reject_rows(rows, rules).select("page_id", *ARTICLE.names, "date_value", "reject_reason")
+    return built(dom, _scrape_steps(rules), {*columns, "narrow"}).select(*columns)
 
 
 def reject_rows(rows: DataFrame, rules: Rules) -> DataFrame:
@@ -82,25 +101,35 @@ def reject_rows(rows: DataFrame, rules: Rules) -> DataFrame:
     )
 
 
-def extract_rows(pages: DataFrame, *, rules: Rules = DEFAULT_RULES) -> DataFrame:
-    """Extracted articles: no rejects, but an ``error`` column, and metadata."""
-    marked = let(
-        parse_pages(pages),
-        **P.metadata_marks(),
-        date_raw=P.date_cascade_raw(),
-        title=P.title_cascade("url"),
-        author=P.author_cascade(rules.site),
-        category=P.category_cascade(rules),
-        subtitle=P.subtitle_cascade(),
-        content=P.body(rules.site),
-        _no_page=F.size("nodes") == 0,
-    ).drop("nodes", "pieces", "piece_node")
-    rows = P.finish_date_cascade(P.finish_metadata(marked)).withColumn("error", P.no_content("content"))
-    gone = F.col("_no_page")
-    fields = [F.when(~gone, F.col(f)).alias(f) for f in ARTICLE.names if f != "url"]
-    error = F.when(gone, "Failed to retrieve page content").otherwise(F.col("error"))
-    out = rows.select("page_id", "url", *fields, "metadata", "json_ld", error.alias("error"), "date_value")
-    return out.select("page_id", *ARTICLE_EXTRACTED.names, "date_value")
+def _extract_steps(rules: Rules) -> list[Marks | Step]:
+    def error(df: DataFrame) -> DataFrame:
+        found = F.when(F.col("_no_page"), "Failed to retrieve page content").otherwise(P.no_content("content"))
+        return df.withColumn("error", found)
+
+    return [
+        Marks(("meta_entries",), P.metadata_marks),
+        mark("date_raw", P.date_cascade_raw),
+        mark("title", lambda: P.title_cascade("url")),
+        mark("author", lambda: P.author_cascade(rules.site)),
+        mark("category", lambda: P.category_cascade(rules)),
+        mark("subtitle", P.subtitle_cascade),
+        mark("content", lambda: P.body(rules.site)),
+        mark("_no_page", lambda: F.size("nodes") == 0),
+        Step(("narrow",), (), lambda df: df.drop(*HEAVY)),
+        Step(("metadata", "json_ld"), ("meta_entries",), P.finish_metadata),
+        Step(("date", "date_value"), ("date_raw",), P.finish_date_cascade),
+        Step(("error",), ("content", "_no_page"), error),
+    ]
+
+
+EXTRACTED = ("page_id", *ARTICLE_EXTRACTED.names, "date_value")
+
+
+def extract_rows(pages: DataFrame, *, rules: Rules = DEFAULT_RULES, columns: Sequence[str] = EXTRACTED) -> DataFrame:
+    """Extracted articles: no rejects, but an ``error`` column, and metadata.  Only what ``columns`` call for is planned."""
+    rows = built(parse_pages(pages), _extract_steps(rules), {*columns, "_no_page", "narrow"})
+    blank = {f for f in ARTICLE.names if f != "url"}
+    return rows.select(*[F.when(~F.col("_no_page"), F.col(c)).alias(c) if c in blank else c for c in columns])
 
 
 def combine(records: DataFrame, *, rules: Rules = DEFAULT_RULES, deduplicate: bool = True,

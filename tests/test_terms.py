@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from pressline.functions import urls as U
 from pressline.functions.language import body_terms
-from pressline.functions.terms import term_counts, terms_in
+from pressline.functions.terms import TermSearch, terms_in
 from pressline.functions.text import contains_any, count_contained, let
 from pressline.params import Blacklist, Lexicon
 
@@ -27,9 +27,9 @@ def test_counts_equal_one_search_a_term(spark):
 
 def test_overlapping_empty_and_shared_terms():
     lists = (("a", ("he", "she", "hers", "he")), ("b", ("", "his")), ("c", ()))
-    assert term_counts(["ushers", "", None, "his"], lists) == [[3, 0, None, 0], [1, 1, None, 2], [0, 0, None, 0]]
-    assert term_counts([], lists) == [[], [], []]
-    assert term_counts(["x", None], (("none", ()),)) == [[0, None]]
+    assert TermSearch(lists).counts(["ushers", "", None, "his"]) == [[3, 0, None, 0], [1, 1, None, 2], [0, 0, None, 0]]
+    assert TermSearch(lists).counts([]) == [[], [], []]
+    assert TermSearch((("none", ()),)).counts(["x", None]) == [[0, None]]
 
 
 def test_reasons_equal_the_form_for_arrays(spark):
