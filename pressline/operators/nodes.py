@@ -1,6 +1,6 @@
 """Finding nodes in a parsed page: selectors as data, matches as columns.
 
-All functions work on the columns of a ``DOM`` row (``nodes``, ``pieces``).
+All functions work on the columns of a ``DOM`` row (``nodes``, ``pieces``, ``places``).
 Values are computed in one pass per selector, so a page never leaves its row.
 """
 
@@ -15,9 +15,11 @@ from pyspark.sql import functions as F
 from pressline.functions.text import (
     WS_CHARS, any_of, blank_to_null, contains_any, sql_text,
 )
+from pressline.sources.dom import KEYED
 
 Value = Callable[[Column], Column]
 NODES = "nodes"
+PLACES = "places"
 
 
 @dataclass(frozen=True)
@@ -71,43 +73,74 @@ TEXT_OR_NULL = sql_or_null(TEXT)
 NODE = "struct(n.id as id, n.last as last)"
 
 
-def sql_matches(s: Selector) -> str:
-    """The selector as a condition on a node ``n``."""
-    tests = []
+def sql_tests(s: Selector) -> dict[str, str]:
+    """The conditions of a selector on a node ``n``, each under the part of the selector it stands for."""
+    tests = {}
     if s.tags:
-        tests.append(f"n.tag in ({', '.join(sql_text(t) for t in s.tags)})")
+        tests["tags"] = f"n.tag in ({', '.join(sql_text(t) for t in s.tags)})"
     if s.nth is not None:
-        tests.append(f"n.nth = {s.nth}")
+        tests["nth"] = f"n.nth = {s.nth}"
     if s.cls is not None:
-        tests.append(f"array_contains(n.classes, {sql_text(s.cls)})")
+        tests["cls"] = f"array_contains(n.classes, {sql_text(s.cls)})"
     if s.cls_like:
         shown = "lower(c)" if s.fold else "c"
-        tests.append(f"exists(n.classes, c -> rlike({shown}, {sql_text(any_of(s.cls_like))}))")
+        tests["cls_like"] = f"exists(n.classes, c -> rlike({shown}, {sql_text(any_of(s.cls_like))}))"
     if s.id is not None:
-        tests.append(f"coalesce({sql_attr('id')} = {sql_text(s.id)}, false)")
+        tests["id"] = f"coalesce({sql_attr('id')} = {sql_text(s.id)}, false)"
     if s.id_like is not None:
-        tests.append(f"coalesce(contains({sql_attr('id')}, {sql_text(s.id_like)}), false)")
+        tests["id_like"] = f"coalesce(contains({sql_attr('id')}, {sql_text(s.id_like)}), false)"
     if s.attr is not None:
         a = sql_attr(s.attr)
         if s.value is not None:
-            tests.append(f"coalesce({a} = {sql_text(s.value)}, false)")
+            tests["attr"] = f"coalesce({a} = {sql_text(s.value)}, false)"
         elif s.token is not None:
-            tests.append(f"coalesce(array_contains(split({a}, ' +'), {sql_text(s.token)}), false)")
+            tests["attr"] = f"coalesce(array_contains(split({a}, ' +'), {sql_text(s.token)}), false)"
         else:
-            tests.append(f"{a} is not null")
-    return " and ".join(tests)
+            tests["attr"] = f"{a} is not null"
+    return tests
+
+
+def probe(s: Selector) -> tuple[list[str], str | None]:
+    """Keys of the page's index that hold all nodes of a selector, and the part of it that they already answer.
+
+    The rarest kind of key is taken: an id, a class, an attribute with its value,
+    an attribute, any class or id, then tags.
+    """
+    if s.id is not None:
+        return ["#" + s.id], "id"
+    if s.cls is not None and s.cls.split() == [s.cls]:
+        return ["." + s.cls], "cls"
+    if s.attr is not None and s.attr in KEYED and s.value is not None:
+        return [f"@{s.attr}={s.value}"], "attr"
+    if s.attr is not None:
+        return ["@" + s.attr], None if s.value is not None or s.token is not None else "attr"
+    if s.cls_like:
+        return ["*."], None
+    if s.id_like is not None:
+        return ["*#"], None
+    return list(s.tags), "tags"
+
+
+def sql_pool(keys: Sequence[str]) -> str:
+    """The nodes under some keys of the index, in document order."""
+    lists = [f"coalesce(try_element_at({PLACES}, {sql_text(k)}), cast(array() as array<int>))" for k in keys]
+    found = lists[0] if len(lists) == 1 else f"array_sort(concat({', '.join(lists)}))"
+    return f"transform({found}, i -> get({NODES}, i))"
 
 
 def sql_find_all(s: Selector) -> str:
     """Array of matching nodes in document order.
 
-    With ``within`` a node below two matching ancestors is listed twice, which
-    does not change what the first one is.
+    Only the nodes under the selector's index keys are looked at; ancestors are
+    found once and compared by their ranges.
     """
-    pool = NODES
+    keys, answered = probe(s)
+    tests = [test for part, test in sql_tests(s).items() if part != answered]
+    pool = sql_pool(keys) if keys else NODES
     if s.within is not None:
-        pool = f"flatten(transform({sql_find_all(s.within)}, a -> slice({NODES}, a.id + 2, a.last - a.id)))"
-    return f"filter({pool}, n -> {sql_matches(s)})"
+        below = " and ".join([*tests, "exists(above, a -> a.id < n.id and n.id <= a.last)"])
+        return f"get(transform(array({sql_find_all(s.within)}), above -> filter({pool}, n -> {below})), 0)"
+    return f"filter({pool}, n -> {' and '.join(tests)})" if tests else pool
 
 
 def sql_first(s: Selector, value: str) -> str:

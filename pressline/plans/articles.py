@@ -24,7 +24,7 @@ from pressline.sources.readers import READ_ORDER
 
 
 # what no step behind the marks may carry on: the nodes are by far the largest part of a row
-HEAVY = ("nodes", "pieces", "piece_node", "container")
+HEAVY = ("nodes", "pieces", "piece_node", "places", "container")
 
 
 def _scrape_steps(rules: Rules) -> list[Marks | Step]:

@@ -45,4 +45,6 @@ NODE = _struct(
 DOM = _struct(
     page_id=_L, url=_S, nodes=T.ArrayType(NODE), pieces=T.ArrayType(_S),
     piece_node=T.ArrayType(T.IntegerType()), json_ld=_S,
+    # ids of the nodes with a tag, a class, an id or an attribute, in document order
+    places=T.MapType(_S, T.ArrayType(T.IntegerType())),
 )

@@ -28,6 +28,8 @@ SCOPES = {
     "p": frozenset("article aside blockquote body div footer header li main nav section table td th ul ol".split()),
     "li": frozenset("ul ol menu body".split()),
 }
+# attributes whose values are part of the index, for selectors such as meta[property=..]
+KEYED = ("property", "name", "itemprop", "rel")
 NO_TEXT = frozenset(("script", "style", "template"))
 PAGES_PER_BATCH = 128
 
@@ -128,6 +130,29 @@ class _Nodes(HTMLParser):
             self._pop()
 
 
+def node_keys(tag: str, attrs: dict[str, str]) -> Iterator[str]:
+    """What a node is found by: ``tag``, ``.class``, ``#id``, ``@attribute``, ``@attribute=value``; ``*.`` and ``*#`` for any class or id."""
+    yield tag
+    for name, value in attrs.items():
+        yield "@" + name
+        if name in KEYED:
+            yield f"@{name}={value}"
+    if classes := attrs.get("class", "").split():
+        yield "*."
+        yield from ("." + c for c in dict.fromkeys(classes))
+    if "id" in attrs:
+        yield "*#"
+        yield "#" + attrs["id"]
+
+
+def _places(rows: list[list]) -> dict[str, list[int]]:
+    found: dict[str, list[int]] = {}
+    for r in rows:
+        for key in node_keys(r[5], r[6]):
+            found.setdefault(key, []).append(r[0])
+    return found
+
+
 def _offsets(lengths: list[int]) -> pa.Array:
     out = [0]
     for n in lengths:
@@ -158,6 +183,13 @@ def _to_batch(ids: pa.Array, urls: pa.Array, parsed: list[_Nodes], schema: pa.Sc
         "tag": pa.array([r[5] for r in rows], pa.string()),
         "attrs": attrs, "classes": classes, "t0": ints(7), "t1": ints(8),
     }
+    places = [_places(p.rows) for p in parsed]
+    lists = [ids for found in places for ids in found.values()]
+    index = pa.MapArray.from_arrays(
+        _offsets([len(found) for found in places]),
+        pa.array([k for found in places for k in found], pa.string()),
+        pa.ListArray.from_arrays(_offsets([len(ids) for ids in lists]), pa.array([i for ids in lists for i in ids], pa.int32())),
+    )
     structs = pa.StructArray.from_arrays(
         [values[f.name].cast(f.type) for f in node_type], fields=list(node_type)
     )
@@ -174,6 +206,7 @@ def _to_batch(ids: pa.Array, urls: pa.Array, parsed: list[_Nodes], schema: pa.Sc
             pa.array([n for p in parsed for n in p.piece_node], pa.int32()),
         ),
         pa.array([p.json_ld for p in parsed], pa.string()),
+        index,
     ]
     return pa.RecordBatch.from_arrays(
         [c if c.type == f.type else c.cast(f.type) for c, f in zip(columns, schema)], schema=schema

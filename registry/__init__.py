@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("language", "records", "links", "pages", "stats", "streams")
+MODULES = ("language", "records", "links", "pages", "stats", "streams", "occurring")
 
 
 def load():

@@ -9,6 +9,7 @@ from pressline.functions.text import clean_text, let
 from pressline.operators import dedup
 from pressline.operators import language as OP
 from pressline.operators.records import render_records
+from pressline.params import Lexicon
 from registry.common import (
     ARTICLES_SQL, LEX, SITE, STRIP_SQL, articles, lit, query, sql_any, sql_count,
     sql_list, sql_words, with_articles, table,
@@ -21,8 +22,8 @@ _TITLE_WORDS = sql_words("lower(title)")
 _TITLE_HITS = f"len(list_filter({_TITLE_WORDS}, lambda w: list_contains({LEX_SQL}, w)))"
 
 # tokens, hits and longest run per article; the run by gaps and islands
-def verdict_cte(articles_sql: str) -> str:
-    """CTEs ``a`` .. ``v``: the verdict of every article of a relation."""
+def verdict_cte(articles_sql: str, lex: Lexicon = LEX) -> str:
+    """CTEs ``a`` .. ``v``: the verdict of every article of a relation; the lexicons differ in titles' keywords and phrases only."""
     return f"""
 a AS ({articles_sql}),
 m AS (SELECT doc_id, {_MASK} AS mask FROM a),
@@ -37,12 +38,12 @@ t AS (
 v AS (
   SELECT *, CASE
     WHEN NOT {_HAS_BODY} THEN NULL
-    WHEN {sql_any('lower(title)', LEX.title_keywords)} THEN 'title_keyword'
-    WHEN {sql_any('lower(content)', LEX.phrases_b)} THEN 'strong_phrase'
+    WHEN {sql_any('lower(title)', lex.title_keywords)} THEN 'title_keyword'
+    WHEN {sql_any('lower(content)', lex.phrases_b)} THEN 'strong_phrase'
     WHEN title <> '' AND (title_hits >= 2 OR (title_hits > 0 AND title_words < 5)) THEN 'title_tokens'
     WHEN n_hits * 100 > 8 * n_words THEN 'token_share'
     WHEN n_hits >= 15 THEN 'token_hits'
-    WHEN {sql_any('lower(content)', LEX.phrases)} THEN 'phrase_ab'
+    WHEN {sql_any('lower(content)', lex.phrases)} THEN 'phrase_ab'
     WHEN max_run >= 3 THEN 'consecutive' END AS foreign_reason
   FROM t
 )"""
@@ -122,14 +123,18 @@ def e8_by_lang(spark, sf):
 
 
 # the sample rule: words n div 2 + 1 .. + 50 of bodies over 100 words, no title
-SAMPLE_CTE = f"""
+def sample_cte(lex: Lexicon = LEX) -> str:
+    return f"""
 s AS (SELECT doc_id, w[len(w) // 2 + 1 : len(w) // 2 + 50] AS w FROM
   (SELECT doc_id, {sql_words('content')} AS w FROM a) WHERE len(w) > 100),
 sm AS (SELECT doc_id, array_to_string(w, ' ') AS txt, list_transform(w, lambda x: CASE WHEN list_contains({LEX_SQL}, trim(lower(x), {STRIP_SQL})) THEN 1 ELSE 0 END) AS mask FROM s),
-sj AS (SELECT doc_id, ({sql_any('lower(txt)', LEX.phrases)} OR list_sum(mask) * 100 > 8 * len(mask)
+sj AS (SELECT doc_id, ({sql_any('lower(txt)', lex.phrases)} OR list_sum(mask) * 100 > 8 * len(mask)
   OR list_sum(mask) >= 15 OR contains(array_to_string(mask, ''), '111')) AS mid FROM sm)"""
 
 
+SAMPLE_CTE = sample_cte()
+
+
 @query("e9_mid_sample", f"WITH a AS ({ARTICLES_SQL}), {SAMPLE_CTE} SELECT doc_id, coalesce(mid, false) AS mid_foreign FROM a LEFT JOIN sj USING (doc_id)")
 def e9(spark, sf):
     return OP.mid_sample_verdict(articles(spark, sf), lex=LEX).select("doc_id", "mid_foreign")

@@ -127,7 +127,7 @@ def b11(spark, sf):
 
 def blacklist_sql(url: str, title: str, bl: Blacklist) -> str:
     return f"""CASE WHEN {title} <> '' AND {sql_starts(f'lower({title})', bl.title_starters)} THEN 'title_start'
-  WHEN {title} <> '' AND {sql_count(f'lower({title})', bl.title_indicators)} >= 3 THEN 'title_indicators'
+  WHEN {title} <> '' AND {sql_count(f'lower({title})', bl.title_indicators)} >= {bl.title_indicator_min} THEN 'title_indicators'
   WHEN {title} <> '' AND {sql_any(f'lower({title})', bl.terms)} THEN 'title_term'
   WHEN {sql_any(f'lower({url})', U.slugs(bl.terms))} THEN 'url_term'
   WHEN {sql_any(f'lower({url})', bl.lang_paths)} THEN 'url_lang' END"""

@@ -13,14 +13,14 @@ from pressline.operators import fields as P
 from pressline.operators import links, nodes, stats
 from pressline.operators.dedup import filter_rollup, first_rows
 from pressline.operators.language import language_verdict
-from pressline.params import Blacklist, Categories
+from pressline.params import Blacklist, Categories, Rules
 from pressline.plans.articles import extract_rows, scrape_rows
 from pressline.sources.dom import node_table, parse_pages
 from registry.common import (
     LEX, RULES, SITE, WS_SQL, articles, lit, query, sql_any, sql_count, sql_first_rule,
     sql_list, sql_strip, table, text_table, with_articles,
 )
-from registry.language import SAMPLE_CTE, verdict_cte
+from registry.language import sample_cte, verdict_cte
 from registry.links import blacklist_sql, dom, pages
 from registry.press import ADVERT, PRESS_SQL, SCRIPTED, SHARE, press_pages
 
@@ -372,6 +372,19 @@ def c20(spark, sf):
     return P.best_subtitle(found).select("page_id", "subtitle")
 
 
+# the same pages with a description that counts, and for English a marked text in the last kind of area
+STRONG = "An emphasised beginning of some forty and more characters"
+STRONG_CTE = CANDIDATES_CTE.replace("list_concat(string_split(content, chr(10)),", f"list_concat(CASE WHEN lang = 'en' THEN [{lit(STRONG)}] ELSE [] END, string_split(content, chr(10)),") + f""",
+cand2 AS (SELECT doc_id, text, score, source FROM cand
+  UNION ALL SELECT doc_id, sub, 8, 'meta' FROM g2 WHERE {sql_valid('sub')} UNION ALL SELECT doc_id, {lit(STRONG)}, 5, 'strong' FROM g2 WHERE lang = 'en')"""
+
+
+def strong_pages(spark, sf):
+    html = F.replace("html", F.lit('<meta property="og:description" content="old">'), F.lit(""))
+    marked = F.replace(html, F.lit('<div class="entry-content">'), F.lit(f'<div class="post-content"><p><b>{STRONG}</b></p>'))
+    return press_pages(spark, sf).withColumn("html", marked)
+
+
 SUB21 = "CASE WHEN lang = 'de' AND len(lead) > 20 AND len(lead) < 300 THEN lead END"
 
 
@@ -458,6 +471,11 @@ def c26(spark, sf):
     )
 
 
+def HTML_TERMS_SQL(bl: Blacklist) -> str:
+    return f"""CASE WHEN NOT list_contains({sql_list(bl.allowed_langs)}, lang) THEN 'lang' WHEN {sql_count(_LOW, bl.html_title_a)} >= 2 OR {sql_any(_LOW, bl.html_title_b)} THEN 'title'
+  WHEN {sql_any("'single post-' || source", U.slugs(bl.terms))} THEN 'class' END"""
+
+
 _HTML_BL = Blacklist(allowed_langs=("fr", "de"), terms=("post src1",))
 _LOW = "lower(title || ' | Site')"
 HTML_SQL = f"""CASE WHEN lang NOT IN ('fr', 'de') THEN 'lang' WHEN {sql_count(_LOW, fv.HTML_TITLE_TERMS_A)} >= 2 OR {sql_any(_LOW, fv.HTML_TITLE_TERMS_B)} THEN 'title'
@@ -486,19 +504,24 @@ def c29(spark, sf):
 
 
 # --- assembly -----------------------------------------------------------------------------
-_BL = RULES.blacklist
-_HTML30 = f"{sql_count(_LOW, fv.HTML_TITLE_TERMS_A)} >= 2 OR {sql_any(_LOW, fv.HTML_TITLE_TERMS_B)}"
-SCRAPE_CTE = ", ".join((
-    f"p AS ({PRESS_SQL})", CANDIDATES_CTE, BEST_CTE,
-    f"f AS (SELECT doc_id, {TITLE3} AS title3, {BODY_SQL} AS body, ({_HTML30}) AS html_bad FROM p)",
-    verdict_cte("SELECT doc_id, coalesce(title3, 'N/A') AS title, coalesce(body, '') AS content, title3, html_bad FROM f"), SAMPLE_CTE,
-    f"""z AS (SELECT v.*, CASE WHEN {blacklist_sql('page_url', "''", _BL)} IS NOT NULL THEN 'url_blacklist'
-  WHEN html_bad THEN 'html_foreign' WHEN {blacklist_sql('page_url', "coalesce(title3, '')", _BL)} IS NOT NULL THEN 'title_blacklist'
-  WHEN title3 IS NOT NULL AND {sql_any('lower(title3)', fv.TITLE_REJECTS)} THEN 'title_reject'
-  WHEN v.content = '' THEN 'empty_body' WHEN {sql_count('lower(v.content)', LEX.terms_b)} > 20 THEN 'indicator_terms'
+def scrape_cte(rules: Rules, pages_sql: str = PRESS_SQL) -> str:
+    """CTEs up to ``z``: every derived page with its reject reason."""
+    bl, lex = rules.blacklist, rules.lexicon
+    html = f"{sql_count(_LOW, bl.html_title_a)} >= 2 OR {sql_any(_LOW, bl.html_title_b)} OR NOT list_contains({sql_list(bl.allowed_langs)}, lang)"
+    return ", ".join((
+        f"p AS ({pages_sql})", CANDIDATES_CTE, BEST_CTE,
+        f"f AS (SELECT doc_id, {TITLE3} AS title3, {BODY_SQL} AS body, ({html}) AS html_bad FROM p)",
+        verdict_cte("SELECT doc_id, coalesce(title3, 'N/A') AS title, coalesce(body, '') AS content, title3, html_bad FROM f", lex), sample_cte(lex),
+        f"""z AS (SELECT v.*, CASE WHEN {blacklist_sql('page_url', "''", bl)} IS NOT NULL THEN 'url_blacklist'
+  WHEN html_bad THEN 'html_foreign' WHEN {blacklist_sql('page_url', "coalesce(title3, '')", bl)} IS NOT NULL THEN 'title_blacklist'
+  WHEN title3 IS NOT NULL AND {sql_any('lower(title3)', [t.lower() for t in bl.title_rejects])} THEN 'title_reject'
+  WHEN v.content = '' THEN 'empty_body' WHEN {sql_count('lower(v.content)', lex.terms_b)} > {lex.max_substrings} THEN 'indicator_terms'
   WHEN foreign_reason IS NOT NULL THEN 'language' WHEN mid THEN 'mid_sample' END AS reject_reason
   FROM v JOIN (SELECT doc_id, page_url FROM p) USING (doc_id) LEFT JOIN sj USING (doc_id))""",
-))
+    ))
+
+
+SCRAPE_CTE = scrape_cte(RULES)
 
 
 # a page with a blacklisted URL is not parsed: only its URL names a category

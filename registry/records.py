@@ -21,16 +21,16 @@ SUBTITLES = Blacklist(subtitles=("The the", "Ing ", "Un "))
 _MASKED = f"CASE WHEN NOT {sql_any('subtitle', SUBTITLES.subtitles)} THEN subtitle END"
 
 
-def _raw_sql(subtitle: str = "subtitle") -> str:
+def raw_sql(subtitle: str = "subtitle", title: str = "title") -> str:
     values = {
         "source": lit(SITE.domain), "overline": lit(fv.MISSING), "subtitle": f"coalesce({subtitle}, 'N/A')",
-        "url": "coalesce(url, 'N/A')",
+        "url": "coalesce(url, 'N/A')", "title": f"coalesce({title}, 'N/A')",
     }
     lines = " || chr(10) || ".join(f"{lit(key + ': ')} || {values.get(f, f)}" for f, key in fv.RECORD_KEYS)
     return f"'<***>' || chr(10) || {lines} || chr(10) || chr(10) || content || chr(10) || chr(10)"
 
 
-RAW_SQL = f"CASE WHEN title <> '' AND content <> 'N/A' THEN {_raw_sql()} END"
+RAW_SQL = f"CASE WHEN title <> '' AND content <> 'N/A' THEN {raw_sql()} END"
 
 
 def rendered(spark, sf):
@@ -43,7 +43,7 @@ def d1(spark, sf):
 
 
 @query("d1_render_extracted", with_articles(
-    f"SELECT doc_id, md5(CASE WHEN content <> '' THEN {_raw_sql()} END) AS digest FROM a"))
+    f"SELECT doc_id, md5(CASE WHEN content <> '' THEN {raw_sql()} END) AS digest FROM a"))
 def d1_extracted(spark, sf):
     failed = articles(spark, sf).withColumn("error", F.when(F.col("content") == "", "No content extracted"))
     return records.render_records(failed, site=SITE, extracted=True).select("doc_id", F.md5("raw").alias("digest"))

@@ -283,3 +283,68 @@ def test_untitled_article_reaches_the_archive(spark):
     kept = scrape_rows(df).where("reject_reason is null")
     back = parse_records(render_records(kept).where("raw is not null").select("raw")).first()
     assert back.title is None and back.content == words(30) and back.url == "https://news.example/a/"
+
+
+def random_page(rng, size=60):
+    tags = ("div", "p", "span", "a", "meta", "article", "h1", "section")
+    attrs = lambda: rng.sample([
+        f'class="{" ".join(rng.sample(["lead", "Post-Title", "meta", "author", "x"], rng.randrange(4)))}"', f'id="{rng.choice(["main", "main-content", "", "b"])}"',
+        f'property="{rng.choice(["og:title", "og:description"])}"', 'content="c"', f'rel="{rng.choice(["author", "author nofollow", "tag"])}"'], rng.randrange(4))
+    out, open_tags = [], []
+    for k in range(size):
+        if open_tags and rng.random() < 0.35:
+            out.append(f"</{open_tags.pop()}>")
+        tag = rng.choice(tags)
+        out.append(f"<{' '.join([tag, *attrs()])}>t{k}")
+        if tag != "meta":
+            open_tags.append(tag)
+    return "".join(out)
+
+
+def plain_match(s, nodes, n):
+    a, classes = n["attrs"], n["classes"]
+    return (
+        (not s.tags or n["tag"] in s.tags) and (s.nth is None or n["nth"] == s.nth) and (s.cls is None or s.cls in classes)
+        and (not s.cls_like or any(t in (c.lower() if s.fold else c) for c in classes for t in s.cls_like))
+        and (s.id is None or a.get("id") == s.id) and (s.id_like is None or s.id_like in a.get("id", ""))
+        and (s.attr is None or s.attr in a) and (s.value is None or a[s.attr] == s.value) and (s.token is None or s.token in a[s.attr].split(" "))
+        and (s.within is None or any(b["id"] < n["id"] <= b["last"] and plain_match(s.within, nodes, b) for b in nodes)))
+
+
+def test_index_finds_what_a_walk_over_all_nodes_finds(page):
+    import random
+
+    from pressline.operators.nodes import Selector, find_all, probe
+
+    rng = random.Random(5)
+    selectors = [
+        Selector(tags=("p",)), Selector(tags=("h1", "a", "div")), Selector(cls="lead"), Selector(tags=("span",), cls="author"),
+        Selector(cls_like=("title", "meta"), fold=True), Selector(tags=("div",), cls_like=("Post",)), Selector(id="main"), Selector(id=""),
+        Selector(tags=("div", "p"), id_like="main"), Selector(tags=("meta",), attr="property", value="og:title"), Selector(attr="rel", token="author"),
+        Selector(attr="content"), Selector(attr="content", value="c"), Selector(tags=("a",), nth=2), Selector(nth=1), Selector(tags=("section",), within=Selector(cls="lead")),
+        Selector(cls="x", within=Selector(tags=("div",), within=Selector(tags=("article", "section")))), Selector(cls="no such"), Selector(cls="two words"),
+    ]
+    dom = page(*[random_page(rng) for _ in range(40)], "", "text only")
+    found = dom.select("nodes", *[F.transform(find_all(s), lambda n: n["id"]).alias(f"s{k}") for k, s in enumerate(selectors)]).collect()
+    hits = 0
+    for row in found:
+        for k, s in enumerate(selectors):
+            assert row[f"s{k}"] == [n["id"] for n in row.nodes if plain_match(s, row.nodes, n)], s
+            hits += len(row[f"s{k}"])
+    assert hits > 2000 and probe(selectors[9]) == (["@property=og:title"], "attr")
+
+
+def test_only_wanted_fields_are_planned(spark):
+    import time
+
+    df = spark.createDataFrame([(1, "https://news.example/a/", "<h1>x</h1>")], "page_id long, url string, html string")
+    text = lambda out: out._sc._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "extended")
+    began = time.time()
+    reasons = scrape_rows(df, columns=("reject_reason",))
+    took = time.time() - began
+    plan, whole = text(reasons), text(scrape_rows(df))
+    for mark in ("candidates", "category_on_page", "author", "date_raw"):
+        assert mark not in plan and mark in whole
+    assert "piece_node" in plan and took < 5
+    assert "meta_entries" not in text(extract_rows(df, columns=("content", "error"))) and "meta_entries" in text(extract_rows(df))
+    assert scrape_rows(df, columns=("page_id", "title")).columns == ["page_id", "title"]
