@@ -305,6 +305,23 @@ def j5(spark, sf):
     return graph.reachable(edges(spark, sf), seeds, max_depth=3)
 
 
+_FETCHED = "(SELECT 'p' || p_partkey AS url FROM part WHERE p_partkey % 3 <> 0)"
+
+
+@query("j5_reachable_capped", f"""
+WITH RECURSIVE e AS (SELECT * FROM {_EDGES}), f AS {_FETCHED}, r(url, depth) AS (
+  SELECT 'p' || p_partkey, CASE WHEN p_size = 50 THEN 0 ELSE 1 END FROM part WHERE p_size IN (49, 50) AND 'p' || p_partkey IN (SELECT url FROM f)
+  UNION SELECT dst, depth + 1 FROM r JOIN e ON src = r.url WHERE depth < 4 AND dst IN (SELECT url FROM f)),
+d AS (SELECT url, min(depth)::BIGINT AS depth FROM r GROUP BY url)
+SELECT url, depth FROM (SELECT *, row_number() OVER (ORDER BY depth, url) AS n, count(*) OVER () AS total FROM d) WHERE n <= 60""")
+def j5_capped(spark, sf):
+    """Only pages that have content, and the first 60 of them."""
+    node = F.concat(F.lit("p"), F.col("p_partkey").cast("string")).alias("url")
+    part = table(spark, sf, "part")
+    seeds = part.where("p_size in (49, 50)").select(node, F.when(F.col("p_size") == 50, 0).otherwise(1).alias("depth"))
+    return graph.reachable(edges(spark, sf), seeds, max_depth=4, cap=60, fetched=part.where("p_partkey % 3 <> 0").select(node))
+
+
 @query("j6_lookup_equi", """SELECT doc_id, item_id FROM documents JOIN (SELECT split_part(text, ' ', 1) AS term, min(item_id) AS item_id FROM benchmark GROUP BY 1)
 ON split_part(documents.text, ' ', 1) = term""")
 def j6(spark, sf):

@@ -47,3 +47,27 @@ def test_against_breadth_first_search(spark, seed):
                 dist[d] = dist[u] + 1
                 queue.append(d)
     assert run(spark, edges, [("n0", 0)], max_depth=3) == set(dist.items())
+
+
+def test_nothing_is_left_behind_and_reads_are_constant(spark):
+    import os
+
+    from pressline.operators.graph import Visited
+    from pressline.session import shared_dir
+
+    folder = shared_dir(spark).removeprefix("file:")
+    before, tables = set(os.listdir(folder)), {t.name for t in spark.catalog.listTables()}
+    chain = [(f"n{i}", f"n{i + 1}") for i in range(9)]
+    assert run(spark, chain, [("n0", 0), (None, 0)], max_depth=20, cap=7) == {(f"n{i}", i) for i in range(7)}
+    assert [x.split("-")[0] for x in sorted(set(os.listdir(folder)) - before)] == ["walk"]
+    assert {t.name for t in spark.catalog.listTables()} == tables
+    # after several levels the table is one scan in buckets, which the anti join takes as it comes
+    visited = Visited(spark.createDataFrame([], "url string"))
+    for depth in range(4):
+        assert visited.append(spark.createDataFrame([(f"n{depth}",), (f"m{depth}",)], "url string"), depth) == 2
+    new = spark.range(3000).selectExpr("concat('n', id) as url").distinct()
+    out = new.join(visited.table().select("url").hint("merge"), "url", "left_anti")
+    assert out.count() == 2996
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange hashpartitioning") <= 2 and "Bucketed: true" in plan
+    visited.close()
