@@ -107,9 +107,14 @@ def parse_records(df: DataFrame, *, raw: str = "raw", compat: bool = False) -> D
     )
 
 
+def markers_in(text: Column | str, marker: str = fv.RECORD_MARKER) -> Column:
+    """How often the record marker occurs in a text."""
+    return F.regexp_count(col(text), F.lit(re.escape(marker)))
+
+
 def marker_count(df: DataFrame, *, text: str = "raw", marker: str = fv.RECORD_MARKER) -> DataFrame:
     """How often the record marker occurs in an archive text."""
-    n = F.regexp_count(text, F.lit(re.escape(marker)))
+    n = markers_in(text, marker)
     return df.agg(F.coalesce(F.sum(n), F.lit(0)).cast("bigint").alias("markers"))
 
 

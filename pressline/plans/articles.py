@@ -55,17 +55,17 @@ def _scrape_steps(rules: Rules) -> list[Marks | Step]:
 SCRAPED = ("page_id", *ARTICLE.names, "date_value", "reject_reason")
 
 
-def scrape_rows(pages: DataFrame, *, rules: Rules = DEFAULT_RULES, columns: Sequence[str] = SCRAPED) -> DataFrame:
+def scrape_rows(pages: DataFrame, *, rules: Rules = DEFAULT_RULES, columns: Sequence[str] = SCRAPED, keep: Sequence[str] = ()) -> DataFrame:
     """Basic articles with ``reject_reason`` (NULL = kept), one row per page.
 
     The reject rules run in their fixed order, and a rule only looks at pages
     that no earlier rule has rejected.  Pages with a blacklisted URL are emptied
     before parsing, so they cost next to nothing.  Only what ``columns`` call for
-    is planned.
+    is planned; ``keep`` names columns of the input that go along.
     """
-    judged = U.with_blacklist_reason(pages.select("page_id", "url", "html"), rules.blacklist, out="_url")
-    dom = parse_pages(judged.withColumn("html", F.when(F.col("_url").isNull(), F.col("html"))))
-    return built(dom, _scrape_steps(rules), {*columns, "narrow"}).select(*columns)
+    judged = U.with_blacklist_reason(pages.select("page_id", "url", "html", *keep), rules.blacklist, out="_url")
+    dom = parse_pages(judged.withColumn("html", F.when(F.col("_url").isNull(), F.col("html"))), keep=keep)
+    return built(dom, _scrape_steps(rules), {*columns, "narrow"}).select(*columns, *keep)
 
 
 def reject_rows(rows: DataFrame, rules: Rules) -> DataFrame:

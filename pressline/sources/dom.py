@@ -7,7 +7,7 @@ rule downstream is a column expression on that row and no rule needs a shuffle.
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -15,6 +15,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from pressline import schemas
 
@@ -213,13 +214,16 @@ def _to_batch(ids: pa.Array, urls: pa.Array, parsed: list[_Nodes], schema: pa.Sc
     )
 
 
-def parse_pages(pages: DataFrame, *, implicit_close: bool = True) -> DataFrame:
+def parse_pages(pages: DataFrame, *, implicit_close: bool = True, keep: Sequence[str] = ()) -> DataFrame:
     """``pages(page_id, url, html)`` -> one ``DOM`` row per page.
 
     Void tags never open.  ``implicit_close`` lets a new ``p`` or ``li`` end an
     open one, as HTML does; ``False`` keeps unclosed tags open to the end of
-    their parent.  Pages without HTML give an empty node list.
+    their parent.  Pages without HTML give an empty node list.  ``keep`` names
+    further columns of the input that go along.
     """
+    rows = pages.select(F.col("page_id").cast("bigint"), "url", "html", *keep)
+    out = StructType(schemas.DOM.fields + [rows.schema[c] for c in keep])
     schema = to_arrow_schema(schemas.DOM)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,9 +237,12 @@ def parse_pages(pages: DataFrame, *, implicit_close: bool = True) -> DataFrame:
                     p.feed(html.as_py() or "")
                     p.finish()
                     parsed.append(p)
-                yield _to_batch(batch.column("page_id"), batch.column("url"), parsed, schema)
+                made = _to_batch(batch.column("page_id"), batch.column("url"), parsed, schema)
+                for name in keep:
+                    made = made.append_column(batch.schema.field(name), batch.column(name))
+                yield made
 
-    return pages.select(F.col("page_id").cast("bigint"), "url", "html").mapInArrow(run, schemas.DOM)
+    return rows.mapInArrow(run, out)
 
 
 def node_table(dom: DataFrame, *, ancestors: bool = False) -> DataFrame:

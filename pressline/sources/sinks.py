@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from pressline.operators.records import markers_in
 from pressline.sources.readers import READ_ORDER
 
 
@@ -24,10 +25,15 @@ def _spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.hint("rebalance", *keys)
 
 
-def write_articles(records: DataFrame, path: str, *, raw: str = "raw") -> None:
-    """Append the records of a batch to its own file set; no file is replaced."""
-    rows = records.where(F.col(raw).isNotNull()).select("batch_no", _line(F.col(raw)).alias("value"))
-    _spread(rows, "batch_no").write.mode("append").partitionBy("batch_no").text(path)
+def write_articles(records: DataFrame, path: str, *, raw: str = "raw", order: Sequence[str] = (), mode: str = "append") -> None:
+    """Append the records of a batch to its own file set; no file is replaced.
+
+    With ``order`` the records of a file stand in that order.
+    """
+    rows = _spread(records.where(F.col(raw).isNotNull()).select("batch_no", *order, _line(F.col(raw)).alias("value")), "batch_no")
+    if order:
+        rows = rows.sortWithinPartitions("batch_no", *order).drop(*order)
+    rows.write.mode(mode).partitionBy("batch_no").text(path)
 
 
 def write_split(judged: DataFrame, path: str, *, raw: str = "raw") -> None:
@@ -37,11 +43,17 @@ def write_split(judged: DataFrame, path: str, *, raw: str = "raw") -> None:
 
 
 def write_archive(records: DataFrame, path: str, *, raw: str = "raw", order: Sequence[str] = READ_ORDER,
-                  compression: str | None = None) -> None:
-    """Combined archive in reading order: the part files follow one another."""
-    rows = records.orderBy(*order).select(_line(F.col(raw)).alias("value"))
+                  compression: str | None = None) -> dict[str, int]:
+    """Combined archive in reading order: the part files follow one another; the written records and record markers.
+
+    Counted behind the sort, whose sampling reads the rows once more.
+    """
+    seen = Observation()
+    rows = records.orderBy(*order).select(_line(F.col(raw)).alias("value")).observe(
+        seen, F.count("*").alias("records"), F.coalesce(F.sum(markers_in("value")), F.lit(0)).alias("markers"))
     out = rows.write.mode("overwrite")
     (out.option("compression", compression) if compression else out).text(path)
+    return seen.get
 
 
 def write_summary(summary: DataFrame, path: str) -> None:
@@ -63,6 +75,6 @@ def write_batches(batches: DataFrame, path: str) -> None:
     _spread(batches, "batch_no").write.mode("overwrite").partitionBy("batch_no").json(path)
 
 
-def write_progress(done: DataFrame, path: str) -> None:
+def write_progress(done: DataFrame, path: str, *, mode: str = "append") -> None:
     """Append processed URLs to the ledger."""
-    done.select("batch_no", "url").write.mode("append").json(path)
+    done.select("batch_no", "url").write.mode(mode).json(path)

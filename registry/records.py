@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from pressline import fixed_values as fv
 from pressline.operators import batches, dedup, records
 from pressline.operators.language import language_verdict, split_sides
 from pressline.params import Blacklist
+from pressline.plans.archive import build_archive
 from pressline.plans.articles import combine
 from pressline.session import new_path
 from pressline.sources import readers, sinks
@@ -247,3 +250,45 @@ SELECT doc_id, url FROM d""")
 def plan_combine(spark, sf):
     whole = rendered(spark, sf).where(F.col("raw").isNotNull()).select("doc_id", "batch_no", "file", "pos", "raw")
     return combine(whole).select("doc_id", "url")
+
+
+_LOCAL = FIRST_SQL.replace("FROM a)", "FROM v WHERE foreign_reason IS NULL AND title <> '')")
+
+
+@query("plan_build_archive", f"""WITH {VERDICT_CTE}, {_LOCAL},
+w AS (SELECT * FROM v WHERE title <> ''),
+n AS (SELECT (SELECT count(*) FROM w) AS every, (SELECT count(*) FROM k) AS loc, (SELECT count(*) FROM d) AS uniq, (SELECT count(DISTINCT file) FROM k) AS files,
+  (SELECT count(DISTINCT batch_no) FROM w) AS dirs)
+SELECT 'record' AS part, lpad((row_number() OVER (ORDER BY batch_no, file, pos))::VARCHAR, 9, '0') AS key, md5({sql_strip('raw')}) AS value FROM (SELECT *, {RAW_SQL} AS raw FROM d)
+UNION ALL SELECT 'side', lang_side || ' ' || batch_no, count(*)::VARCHAR FROM (SELECT batch_no, CASE WHEN foreign_reason IS NULL THEN 'local' ELSE 'foreign' END AS lang_side FROM w) GROUP BY ALL
+UNION ALL SELECT 'file', batch_no || ' ' || file, count(*) FILTER (foreign_reason IS NULL) || ' ' || count(foreign_reason) FROM w GROUP BY batch_no, file
+UNION ALL SELECT 'summary', unnest(['input_files', 'total_articles', 'unique_articles', 'duplicate_articles']), unnest([files, loc, uniq, loc - uniq])::VARCHAR FROM n
+UNION ALL SELECT 'filter', unnest(['total_processed', 'local_articles', 'foreign_articles', 'batch_dirs_processed']), unnest([every, loc, every - loc, dirs])::VARCHAR FROM n
+UNION ALL SELECT 'report', '13', '- Articles successfully processed: ' || uniq || ' / ' || loc FROM n
+UNION ALL SELECT 'counts', 'markers', every || ' ' || uniq FROM n""")
+def plan_build(spark, sf):
+    """A whole run over the records of ``documents``, read back from what it has written."""
+    out = new_path(spark, "archive")
+    whole = rendered(spark, sf).where(F.col("raw").isNotNull()).select("batch_no", "file", "pos", "raw")
+    counts = build_archive(whole, out, name="Archive", compression="gzip", timestamp=F.to_timestamp(F.lit("2024-05-17 08:30:00")))
+
+    def rows(df, part, key, value):
+        return df.select(F.lit(part).alias("part"), key.alias("key"), value.cast("string").alias("value"))
+
+    def fields(path, part, *names):
+        one = spark.read.schema(", ".join(f"{n} bigint" for n in names)).json(f"{out}/{path}")
+        return rows(one.select(F.inline(F.array(*[F.struct(F.lit(n).alias("k"), F.col(n).alias("v")) for n in names]))), part, F.col("k"), F.col("v"))
+
+    read = readers.read_articles(spark, f"{out}/archive", glob="*.txt.gz").select(F.struct("file", "block", "pos").alias("key"), "raw")
+    record = rows(batches.global_index(read, "key"), "record", F.lpad((F.col("idx") + 1).cast("string"), 9, "0"), F.md5(records.strip("raw")))
+    sides = readers.read_articles(spark, f"{out}/sides", glob="*.txt").withColumn("side", F.regexp_extract("file", r"lang_side=(\w+)", 1))
+    sides = sides.groupBy(F.concat_ws(" ", "side", "batch_no").alias("k")).agg(F.count("*").alias("v"))
+    files = spark.read.schema("level string, batch_no int, file string, local_articles bigint, foreign_articles bigint").json(f"{out}/filter_counts").where("level = 'file'")
+    line = spark.read.text(f"{out}/report").where("value like '- Articles successfully%'")
+    markers = spark.range(1).select(F.lit(f"{counts['markers']} {counts['archive_markers']}").alias("v"))
+    parts = [
+        record, rows(sides, "side", F.col("k"), F.col("v")), rows(files, "file", F.concat_ws(" ", "batch_no", "file"), F.concat_ws(" ", "local_articles", "foreign_articles")),
+        fields("summary", "summary", "input_files", "total_articles", "unique_articles", "duplicate_articles"),
+        fields("filter_summary", "filter", "total_processed", "local_articles", "foreign_articles", "batch_dirs_processed"),
+        rows(line, "report", F.lit("13"), F.col("value")), rows(markers, "counts", F.lit("markers"), F.col("v"))]
+    return reduce(lambda a, b: a.unionByName(b), parts)
