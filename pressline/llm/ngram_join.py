@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pressline.llm.common import cut, id_as_text, id_as_was, released, text_rows
+from pressline.llm.common import broadcast_if, cut, id_as_text, id_as_was, released, text_rows
 from pressline.llm.components import components
 
 SHINGLE = 4  # words, unless the caller asks for others
@@ -50,6 +50,8 @@ MASK_BITS = 24  # of the table of heavy shingles; shingles that share a place sh
 ID_BITS = 24  # of the table of ids whose texts are read again, which is broadcast: 4 MB at most
 MAX_BOUNDARY = 36
 CACHED_WORDS = 50_000
+#: pairs of id and hash, of 16 bytes each
+BROADCAST_KEYS = 2_000_000
 WORDS_64 = 16  # longs of a sketch
 
 _WORDS: dict[bytes, int] = {}
@@ -399,6 +401,11 @@ def join(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shing
     return out.select("doc_id", "n_shingles", F.coalesce("lowest.doc_id", "doc_id").alias("component_id"), "node")
 
 
+def few(keys: DataFrame) -> DataFrame:
+    """Written keys of documents, sent to all tasks while they are few; the texts are only shuffled beyond that."""
+    return broadcast_if(keys, keys.count(), BROADCAST_KEYS)
+
+
 def one_of_each(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The input without the documents that link, directly or not, to one that comes before.
 
@@ -406,10 +413,10 @@ def one_of_each(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     rows (same id and text) become one; rows with an empty set all stay.
     """
     below = linked(df, id_col, text_col, shingle, percent).where((F.col("n_shingles") > 0) & ~F.col("lowest").eqNullSafe(in_order()))
-    below = cut(below.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct())
+    below = few(cut(below.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()))
     key = [F.col(f"`{id_col}`").alias("_id"), F.xxhash64(text_col).alias("_hash")]
     rest = df.join(below, df[id_col].eqNullSafe(below["_id"]) & (F.xxhash64(F.coalesce(df[text_col], F.lit(""))) == below["_hash"]), "left_anti")
-    repeated = cut(df.select(*key).groupBy("_id", "_hash").count().where("count > 1").select("_id", "_hash"))
+    repeated = few(cut(df.select(*key).groupBy("_id", "_hash").count().where("count > 1").select("_id", "_hash")))
     same = rest[id_col].eqNullSafe(repeated["_id"]) & F.xxhash64(rest[text_col]).eqNullSafe(repeated["_hash"])
     copies = rest.join(repeated, same, "left_semi").dropDuplicates([id_col, text_col])
     return rest.join(repeated, same, "left_anti").unionByName(copies)
