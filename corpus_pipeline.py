@@ -37,7 +37,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Without the documents that hold a benchmark passage."""
     found = decontaminate.overlaps(docs, read(spark, sf_dir, "benchmark", "item_id", "text")).select(
         F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    found = cut(found)  # its size decides whether the texts have to be shuffled
+    found = ngram_join.few(cut(found))
     return docs.join(found, docs["doc_id"].eqNullSafe(found["_id"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == found["_hash"]), "left_anti")
 
 
