@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pressline import fixed_values as fv
@@ -11,22 +11,87 @@ from pressline.functions import urls as U
 from pressline.functions.text import strip
 from pressline.operators.batches import batch_no_of
 from pressline.operators.records import with_marker
-from pressline.session import exists
+from pressline.session import cut, exists
 
 ARCHIVE_GLOB = "*_batch_*.txt"
 
 
+#: one row for each split of the link files; beyond that the join is left to the planner
+BROADCAST_SPLITS = 1_000_000
+JSON_SPACE = r"[ \t\r\n]*"
+
+
+def _between_quotes(spark: SparkSession, path: str) -> DataFrame:
+    """(file, block, id, value): the pieces of JSON files between quotation marks.
+
+    The quotation mark is the line separator, so a large file is read by many
+    tasks.  ``id`` grows by one from piece to piece of a split.
+    """
+    pieces = spark.read.option("lineSep", '"').option("recursiveFileLookup", True).text(path)
+    return pieces.select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"), "value")
+
+
+def _unescaped(value: Column) -> Column:
+    """Content of a JSON string, NULL where its escapes are wrong."""
+    return F.when(~F.contains(value, F.lit("\\")), value).otherwise(
+        F.get(F.from_json(F.concat(F.lit('["'), value, F.lit('"]')), "array<string>", {"mode": "PERMISSIVE"}), F.lit(0)))
+
+
+def _string_arrays(pieces: DataFrame) -> DataFrame:
+    """(file, block, first, before, regular): one row for each split of the files.
+
+    Pieces of an array of strings lie outside and inside strings in turn.  Which
+    of a split's pieces are which is known once the pieces of the splits before
+    it are counted (``before``); until then both readings are checked.  A file is
+    ``regular`` if all its pieces fit: brackets at its ends, commas outside and
+    whole JSON strings inside.
+    """
+    odd, value = F.col("id") % 2, F.col("value")
+    no_comma = ~value.rlike(f"^{JSON_SPACE},{JSON_SPACE}$")
+    no_string = value.rlike(r"[\x00-\x1f]") | value.rlike(r"(?<!\\)(?:\\\\)*\\$") | _unescaped(value).isNull()
+
+    def bad(parity: int, test: Column) -> Column:
+        return F.count_if((odd == parity) & test)
+
+    splits = pieces.groupBy("file", "block").agg(
+        F.min("id").alias("first"), F.count("*").alias("n"), F.min_by("value", "id").alias("head"), F.max_by("value", "id").alias("tail"),
+        # pieces with an even id outside and the others inside, and the other way round
+        (bad(0, no_comma) + bad(1, no_string)).alias("bad_even"), (bad(1, no_comma) + bad(0, no_string)).alias("bad_odd"))
+    in_file = Window.partitionBy("file").orderBy("block")  # one row a split
+    before = F.coalesce(F.sum("n").over(in_file.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = splits.withColumn("before", before)
+    misfits = F.when((F.col("first") - F.col("before")) % 2 == 0, F.col("bad_even")).otherwise(F.col("bad_odd"))
+    whole = Window.partitionBy("file")
+    head = F.min_by("head", "block").over(whole).rlike(rf"^{JSON_SPACE}\[{JSON_SPACE}$")
+    tail = F.max_by("tail", "block").over(whole).rlike(rf"^{JSON_SPACE}\]{JSON_SPACE}$")
+    # the brackets are the two pieces that are no commas
+    regular = head & tail & (F.sum("n").over(whole) % 2 == 1) & (F.sum(misfits).over(whole) == 2)
+    return placed.select("file", "block", "first", "before", regular.alias("regular"))
+
+
 def read_links(spark: SparkSession, path: str) -> DataFrame:
     """``(file, url)`` from JSON arrays of strings; a missing or bad file is empty.
 
-    A link file is one JSON value and cannot be split; a big link list is kept
-    as many batch files, and each is its own task.
+    Arrays of plain strings are read split by split, however large a file is.
+    Files with anything else between the strings (numbers, nested values,
+    damage) are read whole, one task a file.
     """
     if not exists(spark, path):
         return spark.createDataFrame([], "file string, url string")
-    whole = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
-    links = F.from_json("value", "array<string>", {"mode": "PERMISSIVE"})
-    return whole.select(F.col("_metadata.file_path").alias("file"), F.explode(links).alias("url"))
+    pieces = _between_quotes(spark, path)
+    splits = cut(_string_arrays(pieces))
+    regular = splits.where("regular").select(F.col("file").alias("_file"), F.col("block").alias("_block"), (F.col("before") - F.col("first")).alias("_shift"))
+    if splits.count() <= BROADCAST_SPLITS:
+        regular = F.broadcast(regular)
+    placed = pieces.join(regular, (F.col("file") == F.col("_file")) & (F.col("block") == F.col("_block")))
+    links = placed.where(F.pmod(F.col("id") + F.col("_shift"), F.lit(2)) == 1).select("file", _unescaped(F.col("value")).alias("url"))
+    others = splits.where(~F.col("regular")).select("file").distinct()
+    if others.isEmpty():
+        return links
+    whole = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True).withColumn("file", F.col("_metadata.file_path"))
+    array = F.from_json("value", "array<string>", {"mode": "PERMISSIVE"})
+    return links.unionByName(whole.join(others, "file", "left_semi").select("file", F.explode(array).alias("url")))
 
 
 def read_link_rows(spark: SparkSession, path: str) -> DataFrame:
@@ -101,19 +166,35 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.PAGES).parquet(path)
 
 
+#: text that is XML as it stands, and so can be given to the XML functions
+XML_TEXT = r"^[^<&]*+(?:&(?:#[0-9]{1,6}|#x[0-9a-fA-F]{1,5}|amp|lt|gt|quot|apos);[^<&]*+)*+$"
+
+
+def _loc(after: Column) -> Column:
+    """Address at the beginning of the text behind ``<loc>``: white space trimmed, references and CDATA resolved."""
+    inner = strip(F.substring_index(after, "</loc>", 1))
+    data = F.regexp_extract(inner, r"(?s)^<!\[CDATA\[(.*)\]\]>$", 1)
+    decoded = F.when(F.contains(inner, F.lit("&")) & inner.rlike(XML_TEXT), F.xpath_string(F.concat(F.lit("<a>"), inner, F.lit("</a>")), F.lit("/a")))
+    return strip(F.when(F.startswith(inner, F.lit("<![CDATA[")), data).otherwise(F.coalesce(decoded, inner)))
+
+
 def read_sitemap(spark: SparkSession, path: str) -> DataFrame:
-    """Every ``<loc>`` of url sets and of sitemap indexes as a URL row."""
-    def rows(tag: str) -> DataFrame:
-        return spark.read.format("xml").option("rowTag", tag).schema(schemas.SITEMAP_URL).load(path)
+    """Every ``<loc>`` of url sets and of sitemap indexes as a URL row.
 
-    found = rows("url").unionByName(rows("sitemap"))
-    return found.where(F.col("loc").isNotNull()).select(F.col("loc").alias("url")).distinct()
+    The start tag is the line separator: one scan finds the addresses of both
+    kinds, and a large file is read by many tasks.  Tags of other name spaces
+    (``<image:loc>``) are other tags.
+    """
+    pieces = spark.read.option("lineSep", "<loc>").option("recursiveFileLookup", True).text(path)
+    found = pieces.where(F.contains("value", F.lit("</loc>"))).select(_loc(F.col("value")).alias("url"))
+    return found.where("url <> ''").distinct()
 
 
 def sitemap_locs(texts: DataFrame, *, text: str = "value") -> DataFrame:
     """``<loc>`` values of sitemap documents held as text."""
-    locs = F.regexp_extract_all(text, F.lit(r"(?s)<loc>(.*?)</loc>"), F.lit(1))
-    return texts.select(F.explode(locs).alias("url")).distinct()
+    pieces = texts.select(F.explode(F.slice(F.split(text, "<loc>"), 2, 2**31 - 1)).alias("value"))
+    found = pieces.where(F.contains("value", F.lit("</loc>"))).select(_loc(F.col("value")).alias("url"))
+    return found.where("url <> ''").distinct()
 
 
 def parse_robots(texts: DataFrame, *, base: str = "base", text: str = "value") -> DataFrame:

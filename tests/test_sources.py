@@ -180,3 +180,52 @@ def test_a_broken_run_repeats_and_loses_nothing(spark, tmp_path, monkeypatch):
     run()
     assert spark.read.parquet(str(out)).count() == 5
     assert {(r.batch_no, r.url) for r in readers.read_progress(spark, str(ledger)).collect()} == {(1, "https://a"), (2, "https://b"), (2, "https://c")}
+
+
+@pytest.fixture
+def small_splits(spark):
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    yield
+    spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_link_arrays_are_read_split_by_split(spark, tmp_path, small_splits):
+    import random
+
+    rng = random.Random(1)
+    odd = ['a"b', "back\\slash", "end\\", "\\\"", "č 中", "tab\t", "", "[x]", ",", " , ", "]", "{}", " ", "/"]
+    files = {}
+    for k in range(6):
+        links = [rng.choice(odd) if rng.random() < (0, 0, 0.1, 0.5, 1, 0.02)[k] else f"https://h/{k}/{rng.randrange(10**6)}/" for _ in range(120)]
+        files[f"array{k}"] = (json.dumps(links, ensure_ascii=bool(k % 2), indent=k % 3 or None), links)
+    files |= {"empty": ("", []), "none": (" [ ] ", []), "one": ('["x"]', ["x"]), "numbers": ('["a", 1, null, true, "b"]', ["a", "1", None, "true", "b"])}
+    good = json.dumps([f"https://h/{k}" for k in range(100)])
+    damaged = {"cut": good[:-1], "no comma": good.replace('", "https://h/50', '" "https://h/50'), "escape": good.replace("/70", "\\q70"), "line": good.replace("/70", "\n70"),
+               "object": '{"a": "b"}', "open": good.replace('/60"', "/60"), "no bracket": good[1:]}
+    for name, text in [*((n, t) for n, (t, _) in files.items()), *damaged.items()]:
+        (tmp_path / f"{name}.json").write_text(text)
+    got = {}
+    table = readers.read_links(spark, str(tmp_path))
+    for r in table.collect():
+        got.setdefault(r.file.rsplit("/", 1)[1].replace("%20", " ").removesuffix(".json"), []).append(r.url)
+    for name, (_, want) in files.items():
+        assert sorted(got.get(name, []), key=str) == sorted(want, key=str), name
+    whole = spark.read.text([str(tmp_path / f"{n}.json") for n in damaged], wholetext=True)
+    before = whole.select(F.explode(F.from_json("value", "array<string>")).alias("url")).collect()
+    assert sorted((u for n in damaged for u in got.get(n, [])), key=str) == sorted((r.url for r in before), key=str)
+    one = readers.read_links(spark, str(tmp_path / "array0.json"))
+    assert one.rdd.getNumPartitions() > 3 and one.count() == 120
+
+
+def test_sitemaps_are_read_in_one_scan(spark, tmp_path, small_splits):
+    urls = [f"https://h/{k}?a=1&b={k}" for k in range(80)]
+    body = "".join(f"<url>\n  <loc>\n {u.replace('&', '&amp;')}</loc><image:image><image:loc>https://i/{k}</image:loc></image:image></url>" for k, u in enumerate(urls))
+    (tmp_path / "a.xml").write_text(f'<?xml version="1.0"?><urlset xmlns:image="x">{body}</urlset>')
+    (tmp_path / "b.xml").write_text("<sitemapindex><sitemap><loc><![CDATA[https://h/c?x&y]]></loc></sitemap><sitemap><loc>https://h/&#x10D;&#269;</loc></sitemap><loc> </loc><loc>bad & end</loc><loc>cut")
+    found = readers.read_sitemap(spark, str(tmp_path))
+    want = {*urls, "https://h/c?x&y", "https://h/čč", "bad & end"}
+    assert found._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert {r.url for r in found.collect()} == want
+    held = spark.read.text(str(tmp_path), wholetext=True)
+    assert {r.url for r in readers.sitemap_locs(held).collect()} == want
