@@ -96,25 +96,29 @@ def pages_until_empty(pages: DataFrame, *, by: Sequence[str] = ("listing",), k:
                       max_page: int | None = None, first_must_have_links: bool = False) -> DataFrame:
     """Pages that a walk over a listing visits.
 
-    ``pages(<by>, page, n_links)`` numbers the pages of a listing without gaps;
-    they are taken up to and including the ``k``-th empty one in a row, and up to
+    ``pages(<by>, page, n_links)`` numbers the pages of a listing; numbers may be
+    missing, and the pages that are there follow one another.  They are taken up
+    to and including the ``k``-th empty one in a row, and up to page number
     ``max_page``.  With ``first_must_have_links`` a listing whose first page is
     empty stops there.
 
-    Page ``p`` ends a run of ``k`` empty pages iff ``k`` empty pages lie in
-    ``p-k+1 .. p``.  Each empty page votes for the places it could count for, so
-    the runs are found by a partial aggregation on (listing, page) and no listing
-    is ever sorted in one task.
+    All pages get their place in the order of listings and page numbers, without
+    a window over a listing.  The page at place ``p`` ends a run of ``k`` empty
+    ones iff the places ``p-k+1 .. p`` of its listing are empty.  Each empty page
+    votes for the places it could count for, so the runs are found by a partial
+    aggregation on (listing, place).
     """
     kept = pages if max_page is None else pages.where(F.col("page") <= max_page)
-    empty = kept.where(F.col("n_links") == 0).select(*by, "page")
-    votes = empty.select(*by, F.explode(F.sequence(F.col("page"), F.col("page") + (k - 1))).alias("page"))
-    stops = votes.groupBy(*by, "page").agg(F.count("*").alias("_n")).where(F.col("_n") == k).select(*by, "page")
+    placed = global_index(kept.withColumn("_key", F.struct(*by, "page")), "_key").drop("_key")
+    empty = placed.where(F.col("n_links") == 0).select(*by, "idx")
+    votes = empty.select(*by, F.explode(F.sequence(F.col("idx"), F.col("idx") + (k - 1))).alias("idx"))
+    stops = votes.groupBy(*by, "idx").agg(F.count("*").alias("_n")).where(F.col("_n") == k).select(*by, "idx")
     if first_must_have_links:
-        stops = stops.unionByName(empty.where(F.col("page") == 1))
-    cuts = stops.groupBy(*by).agg(F.min("page").alias("_cut"))
+        first = placed.groupBy(*by).agg(F.min("idx").alias("idx"), F.min_by("n_links", "idx").alias("_links"))
+        stops = stops.unionByName(first.where(F.col("_links") == 0).select(*by, "idx"))
+    cuts = stops.groupBy(*by).agg(F.min("idx").alias("_cut"))
     return (
-        kept.join(cuts, list(by), "left").where(F.col("_cut").isNull() | (F.col("page") <= F.col("_cut")))
+        placed.join(cuts, list(by), "left").where(F.col("_cut").isNull() | (F.col("idx") <= F.col("_cut")))
         .select(*pages.columns)
     )
 

@@ -126,35 +126,24 @@ def g17(spark, sf):
     )
 
 
-# a user's days are the pages of a listing, the user's clicks the links on them
+# the days on which a user does anything are the pages of a listing, the user's clicks and views the links on them; days without are missing
 _PAGES_CTE = """
-span AS (SELECT min(ts)::DATE AS d0, date_diff('day', min(ts)::DATE, max(ts)::DATE) + 1 AS n FROM events),
-users AS (SELECT DISTINCT user_id FROM events),
-hits AS (SELECT user_id, date_diff('day', d0, ts::DATE) + 1 AS page, count(*) AS c FROM events, span WHERE event_type IN ('click', 'view') GROUP BY ALL),
-lp AS (SELECT users.user_id AS listing, p AS page, coalesce(c, 0) AS n_links FROM users, span, LATERAL (SELECT unnest(range(1, n + 1)) AS p) LEFT JOIN hits ON hits.user_id = users.user_id AND hits.page = p)"""
+span AS (SELECT min(ts)::DATE AS d0 FROM events),
+lp AS (SELECT user_id AS listing, date_diff('day', d0, ts::DATE) + 1 AS page, count(*) FILTER (event_type IN ('click', 'view')) AS n_links FROM events, span GROUP BY ALL)"""
 
 
 def listing_pages(spark, sf):
     e = table(spark, sf, "events").select("user_id", F.to_date("ts").alias("day"), "event_type")
-    first, last = e.select(F.min("day")).scalar(), e.select(F.max("day")).scalar()
-    page = lambda d: F.datediff(d, first) + 1
-    grid = e.select("user_id").distinct().select(
-        F.col("user_id").alias("listing"), F.explode(F.sequence(F.lit(1), page(last))).alias("page")
-    )
-    hits = e.where("event_type in ('click', 'view')").groupBy(
-        F.col("user_id").alias("listing"), page(F.col("day")).alias("page")
-    ).agg(F.count("*").alias("c"))
-    return grid.join(hits, ["listing", "page"], "left").select(
-        "listing", F.col("page").cast("bigint").alias("page"), F.coalesce("c", F.lit(0)).alias("n_links")
-    )
+    first = e.select(F.min("day")).scalar()
+    return e.groupBy(F.col("user_id").alias("listing"), (F.datediff("day", first) + 1).cast("bigint").alias("page")).agg(
+        F.count_if(F.col("event_type").isin("click", "view")).alias("n_links"))
 
 
 def _walk(k, max_page, first=False):
-    stop = "first_page_empty OR " if first else ""
     return f"""WITH {_PAGES_CTE},
-w AS (SELECT *, sum((n_links > 0)::INTEGER) OVER (PARTITION BY listing ORDER BY page) AS island FROM lp WHERE page <= {max_page}),
+w AS (SELECT *, sum((n_links > 0)::INTEGER) OVER (PARTITION BY listing ORDER BY page) AS island, min(page) OVER (PARTITION BY listing) AS first_page FROM lp WHERE page <= {max_page}),
 r AS (SELECT *, row_number() OVER (PARTITION BY listing, island ORDER BY page) - (island > 0)::INTEGER AS run FROM w),
-c AS (SELECT listing, min(page) FILTER ((n_links = 0 AND run >= {k}) {'OR (page = 1 AND n_links = 0)' if first else ''}) AS cut FROM r GROUP BY listing)
+c AS (SELECT listing, min(page) FILTER ((n_links = 0 AND run >= {k}) {'OR (page = first_page AND n_links = 0)' if first else ''}) AS cut FROM r GROUP BY listing)
 SELECT listing, page, n_links FROM w JOIN c USING (listing) WHERE cut IS NULL OR page <= cut"""
 
 

@@ -39,7 +39,19 @@ def test_walk_against_a_loop(spark, k):
 
 def test_no_listing_is_sorted_in_one_task(spark):
     df = spark.createDataFrame([("l", 1, 0)], "listing string, page int, n_links int")
-    assert "Window" not in stats.pages_until_empty(df)._jdf.queryExecution().executedPlan().toString()
+    plan = stats.pages_until_empty(df)._jdf.queryExecution().executedPlan().toString()
+    assert not [x for x in plan.split("\n") if "Window" in x and "listing" in x]
+
+
+def test_walk_over_gaps(spark):
+    rows = [("a", 2, 0), ("a", 4, 0), ("a", 5, 7), ("b", 1, 3), ("b", 9, 0), ("b", 11, 4), ("b", 12, 0), ("b", 15, 0), ("b", 16, 1), ("c", 7, 0), ("c", 8, 1)]
+    df = spark.createDataFrame(rows, "listing string, page int, n_links int")
+    visited = lambda **o: sorted((r.listing, r.page) for r in stats.pages_until_empty(df, **o).collect())
+    # page 3 is absent: pages 2 and 4 are empty one after the other
+    assert visited(k=2) == [("a", 2), ("a", 4), ("b", 1), ("b", 9), ("b", 11), ("b", 12), ("b", 15), ("c", 7), ("c", 8)]
+    assert visited(k=2, first_must_have_links=True) == [("a", 2), ("b", 1), ("b", 9), ("b", 11), ("b", 12), ("b", 15), ("c", 7)]
+    assert visited(k=2, max_page=12) == [("a", 2), ("a", 4), ("b", 1), ("b", 9), ("b", 11), ("b", 12), ("c", 7), ("c", 8)]
+    assert stats.pages_until_empty(df.where("false")).count() == 0
 
 
 def test_set_growth(spark):
