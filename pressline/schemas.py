@@ -27,6 +27,9 @@ LINK_RESULT = _struct(
     links=T.ArrayType(_S), stats=LINK_STATS, failed_urls=T.MapType(_S, _S), timestamp=_S,
 )
 
+BATCH_TOTALS = _struct(total_links=_L, batch_size=_L, total_batches=_L)
+BATCH_INDEX = _struct(total_links=_L, batch_size=_L, total_batches=_L, batches=T.ArrayType(_S))
+BATCH_FILE = _struct(batch_no=T.IntegerType(), file=_S, n_links=_L)
 PROGRESS = _struct(batch_no=T.IntegerType(), url=_S)
 RECORD = _struct(batch_no=T.IntegerType(), file=_S, pos=_L, raw=_S)
 ATTEMPT = _struct(url=_S, attempt=T.IntegerType(), status=T.IntegerType(), error=_S)

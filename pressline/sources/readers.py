@@ -107,6 +107,42 @@ def read_link_result(spark: SparkSession, path: str) -> tuple[DataFrame, DataFra
     return links, failed, result.select("stats.*", "timestamp")
 
 
+def read_batch_index(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame] | None:
+    """(totals, files) of the batch index in a folder, None where there is none that can be read.
+
+    ``totals`` is one row, ``files`` has (batch_no, file, n_links).  The index is
+    what ``sinks.write_batch_index`` leaves, or one ``batch_index.json`` with the
+    totals and an array ``batches`` of paths.
+    """
+    if exists(spark, f"{path}/_batch_list") and exists(spark, f"{path}/_batch_index"):
+        return spark.read.schema(schemas.BATCH_TOTALS).json(f"{path}/_batch_index"), spark.read.schema(schemas.BATCH_FILE).json(f"{path}/_batch_list")
+    if not exists(spark, f"{path}/batch_index.json"):
+        return None
+    index = spark.read.schema(schemas.BATCH_INDEX).json(f"{path}/batch_index.json", multiLine=True)
+    if index.where(F.col("batches").isNull()).limit(1).count() or index.isEmpty():
+        return None
+    files = index.select(F.explode("batches").alias("file"))
+    return index.drop("batches"), files.select(batch_no_of("file").alias("batch_no"), "file", F.lit(None).cast("bigint").alias("n_links"))
+
+
+def discover_batches(spark: SparkSession, path: str) -> DataFrame:
+    """(batch_no, file) of the link batches in a folder: as the index has them, without a readable index as the folder has them.
+
+    A listing gives the files ``links_batch_<n>.json`` and the folders
+    ``batch_no=<n>``; it reads no content.
+    """
+    index = read_batch_index(spark, path)
+    if index is not None:
+        return index[1].select("batch_no", "file")
+    if not exists(spark, path):
+        return spark.createDataFrame([], "batch_no int, file string")
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select(F.col("path").alias("file"))
+    own = F.regexp_extract("file", r"(.*/batch_no=\d+)/part-[^/]*\.json[^/]*$", 1)
+    named = F.col("file").rlike(r"/links_batch_[^/]*\.json$")
+    found = listed.select(F.when(named, F.col("file")).otherwise(F.nullif(own, F.lit(""))).alias("file")).where("file is not null").distinct()
+    return found.select(batch_no_of("file").alias("batch_no"), "file")
+
+
 def read_articles(spark: SparkSession, path: str, *, glob: str = ARCHIVE_GLOB, recursive: bool = True,
                   marker: str = fv.RECORD_MARKER, default_batch: int = 0) -> DataFrame:
     """Archive records: (batch_no, file, block, pos, raw).

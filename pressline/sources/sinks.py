@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from pressline.operators.batches import batch_list
 from pressline.operators.records import markers_in
 from pressline.sources.readers import READ_ORDER
 
@@ -78,3 +79,18 @@ def write_batches(batches: DataFrame, path: str) -> None:
 def write_progress(done: DataFrame, path: str, *, mode: str = "append") -> None:
     """Append processed URLs to the ledger."""
     done.select("batch_no", "url").write.mode(mode).json(path)
+
+
+def write_batch_index(batches: DataFrame, path: str, *, size: int) -> dict[str, int]:
+    """Index of the written batches in the folder ``path``: ``batch_index`` with the totals, ``batch_list`` with a row for each batch.
+
+    The list grows with the links, so it is rows and not one array.  Both begin
+    with an underscore on disk, and readers of the batches pass them over.
+    """
+    listed = batch_list(batches)
+    listed.write.mode("overwrite").json(f"{path}/_batch_list")
+    written = batches.sparkSession.read.schema(listed.schema).json(f"{path}/_batch_list")
+    totals = written.agg(
+        F.coalesce(F.sum("n_links"), F.lit(0)).cast("bigint").alias("total_links"), F.lit(size).cast("bigint").alias("batch_size"), F.count("*").alias("total_batches"))
+    write_summary(totals, f"{path}/_batch_index")
+    return batches.sparkSession.read.schema(totals.schema).json(f"{path}/_batch_index").first().asDict()

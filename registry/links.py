@@ -10,6 +10,7 @@ from pressline import fixed_values as fv
 from pressline.functions import urls as U
 from pressline.operators import batches, graph, links
 from pressline.params import Blacklist
+from pressline.plans.links import link_run, read_batches
 from pressline.session import new_path
 from pressline.sources import readers, sinks
 from pressline.sources.dom import parse_pages
@@ -437,3 +438,26 @@ def a14(spark, sf):
     return rows[0].unionByName(rows[1]).unionByName(rows[2])
 
 
+
+
+_RUN_LINKS = f"""WITH {ANCHORS_SQL}, f AS (SELECT url FROM pages UNION SELECT url FROM l),
+k AS (SELECT url FROM f WHERE NOT contains(url, '/author/') AND NOT contains(url, '/tag/') AND contains(url, {lit(PAGES_SITE.domain)})
+  AND NOT {sql_any('lower(url)', U.slugs(BL.terms))} AND NOT {sql_any('lower(url)', BL.lang_paths)} AND NOT {sql_any('lower(url)', BL.url_patterns)}),
+b AS (SELECT url, ((row_number() OVER (ORDER BY url) - 1) // 40 + 1)::INTEGER AS batch_no FROM k)"""
+
+
+@query("plan_link_run", _RUN_LINKS + """
+SELECT batch_no, count(*) AS n_links, count(*) FILTER (NOT (batch_no = 2 OR batch_no % 3 = 0 AND url LIKE '%7')) AS to_do,
+  (SELECT count(*) FROM b) AS total_links, (SELECT max(batch_no) FROM b)::BIGINT AS total_batches FROM b GROUP BY batch_no""")
+def plan_link_run(spark, sf):
+    """Links of the given pages to batches, index and what is left to do, read back by the index."""
+    out, ledger = new_path(spark, "link-run"), new_path(spark, "ledger")
+    found = [table(spark, sf, "pages").select("url"), links.extract_links(dom(spark, sf)).select("url")]
+    link_run(found, out, site=PAGES_SITE, bl=BL, size=40)
+    batches = read_batches(spark, f"{out}/link_batches")
+    sinks.write_progress(batches.where("batch_no = 2 or batch_no % 3 = 0 and url like '%7'"), ledger)
+    counts = link_run(found, out, site=PAGES_SITE, bl=BL, size=40, progress=ledger)
+    _, files = readers.read_batch_index(spark, f"{out}/link_batches")
+    to_do = read_batches(spark, f"{out}/to_do").groupBy("batch_no").agg(F.count("*").alias("to_do"))
+    return files.join(to_do, "batch_no", "left").select(
+        "batch_no", "n_links", F.coalesce("to_do", F.lit(0)).alias("to_do"), *[F.lit(counts[k]).cast("bigint").alias(k) for k in ("total_links", "total_batches")])

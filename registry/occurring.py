@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pressline.functions import language as L
 from pressline.functions import urls as U
 from pressline.functions.text import let
-from pressline.operators import dedup, fields, records
+from pressline.operators import dedup, fields, links, records
 from pressline.operators import language as OP
 from pressline.params import Blacklist, Lexicon, Rules
 from pressline.plans.articles import scrape_rows
@@ -20,7 +20,7 @@ from pressline.sources.dom import parse_pages
 from registry.common import ARTICLES_SQL, ALL_LANGS, SITE, articles, query, sql_any, sql_count, table, with_articles
 from registry.language import verdict_cte
 from registry.links import blacklist_sql
-from registry.pages import HTML_TERMS_SQL, STRONG_CTE, strong_pages, scrape_cte, with_press
+from registry.pages import HREF, HTML_TERMS_SQL, NO_TERMS, STRONG_CTE, WANTED, strong_pages, scrape_cte, with_press
 from registry.press import press_pages
 from registry.records import FIRST_SQL, raw_sql
 
@@ -66,6 +66,14 @@ def b10(spark, sf):
     return table(spark, sf, "pages").select("page_id", U.url_has_term("url", bl).alias("term"), U.url_lang_path("url", bl).alias("lang"))
 
 
+@query("b5_content_links_main", with_press(f"SELECT doc_id AS page_id, page_url, {HREF} AS url FROM p WHERE {WANTED}"))
+def b5_main(spark, sf):
+    """The area of category pages: the same links, in a main content of their own."""
+    boxed = F.replace("html", F.lit('<article class="td-module-1">'), F.lit('<div class="x" id="tdi-main-content-2">'))
+    dom = parse_pages(press_pages(spark, sf).withColumn("html", boxed))
+    return links.content_links(dom, area="main", segments=["2024/"], site=SITE, bl=NO_TERMS)
+
+
 @query("c27_title_occurring", with_press(f"SELECT doc_id AS page_id, {HTML_TERMS_SQL(BL)} AS html_reason FROM p"))
 def c27(spark, sf):
     return fields.with_html_reason(parse_pages(press_pages(spark, sf)), BL).select("page_id", "html_reason")

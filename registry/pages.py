@@ -87,16 +87,16 @@ def w5_rows(spark, sf):
 
 # --- links of listing pages -------------------------------------------------------------
 NO_TERMS = Blacklist(title_indicator_min=10**6, title_starters=("the the",), terms=("of the",))
-_HREF = "'https://news.example/2024/' || doc_id || '.html'"
-_WANTED = f"""lang IN ('fr', 'de') AND NOT (shown_title <> '' AND (starts_with(lower(shown_title), 'the the') OR contains(lower(shown_title), 'of the')))"""
+HREF = "'https://news.example/2024/' || doc_id || '.html'"
+WANTED = f"""lang IN ('fr', 'de') AND NOT (shown_title <> '' AND (starts_with(lower(shown_title), 'the the') OR contains(lower(shown_title), 'of the')))"""
 
 
-@query("b4_heading_links", with_press(f"SELECT doc_id AS page_id, page_url, {_HREF} AS url FROM p WHERE {_WANTED}"))
+@query("b4_heading_links", with_press(f"SELECT doc_id AS page_id, page_url, {HREF} AS url FROM p WHERE {WANTED}"))
 def b4(spark, sf):
     return links.heading_links(press(spark, sf), site=SITE, bl=NO_TERMS)
 
 
-@query("b5_content_links", with_press(f"SELECT doc_id AS page_id, page_url, {_HREF} AS url FROM p WHERE {_WANTED}"))
+@query("b5_content_links", with_press(f"SELECT doc_id AS page_id, page_url, {HREF} AS url FROM p WHERE {WANTED}"))
 def b5(spark, sf):
     return links.content_links(press(spark, sf), segments=["2024/"], site=SITE, bl=NO_TERMS)
 

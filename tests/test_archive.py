@@ -87,3 +87,47 @@ def test_input_is_read_by_one_job(spark, tmp_path, monkeypatch):
     empty = archive.build_archive(df.where("false"), str(tmp_path / "c"), rules=RULES)
     assert (empty["records"], empty["unique"], empty["markers"], empty["input_files"]) == (0, 0, 0, 0)
     assert lines(tmp_path / "c" / "summary")[0]["total_articles"] == 0
+
+
+def test_link_run_index_and_rest(spark, tmp_path):
+    from pressline.plans.links import link_run, listing_links, read_batches
+    from pressline.sources import sinks
+
+    site = SITE
+    listing = spark.createDataFrame([(1, "https://news.example/", '<article class="item"><h2><a href="https://news.example/2024/05/x/">T</a></h2></article><div id="main-content"><a href="https://news.example/2023/y.html">u</a>'
+                                      '<a href="https://news.example/2024/05/tag/z/">t</a></div><a href="/2022/07/w/">w</a>')], "page_id long, url string, html string")
+    more = spark.createDataFrame([(f"https://news.example/2024/05/n{k:02}/",) for k in range(20)] + [("https://news.example/author/a/",), ("https://other/2024/05/x/",)], "url string")
+    out = str(tmp_path / "run")
+    counts = link_run([*[d.select("url") for d in listing_links(listing, site=site)], more, more], out, site=site, size=10)
+    assert counts == {"total_links": 23, "batch_size": 10, "total_batches": 3, "to_do": 23}
+    urls = [r.url for r in read_batches(spark, f"{out}/link_batches").orderBy("batch_no", "url").collect()]
+    assert urls == sorted(urls) and urls[:2] == ["https://news.example/2022/07/w/", "https://news.example/2023/y.html"] and urls[-1] == "https://news.example/2024/05/x/"
+    totals, files = readers.read_batch_index(spark, f"{out}/link_batches")
+    assert totals.first().asDict() == {"total_links": 23, "batch_size": 10, "total_batches": 3}
+    assert [(r.batch_no, r.n_links) for r in files.orderBy("batch_no").collect()] == [(1, 10), (2, 10), (3, 3)]
+    sinks.write_progress(read_batches(spark, f"{out}/link_batches").where("batch_no < 3"), f"{out}/progress")
+    again = link_run([more, listing.select("url")], out, site=site, size=10)
+    assert (again["total_links"], again["to_do"]) == (21, 21 - 18)
+
+
+def test_batches_are_discovered_with_and_without_an_index(spark, tmp_path):
+    found = lambda d: sorted((r.batch_no, r.file.rsplit("/", 1)[1]) for r in readers.discover_batches(spark, str(d)).collect())
+    folder = tmp_path / "link_batches"
+    folder.mkdir()
+    for k in (1, 2, 10):
+        (folder / f"links_batch_{k}.json").write_text('["https://h/"]')
+    (folder / "other.json").write_text("[]")
+    listed = [(1, "links_batch_1.json"), (2, "links_batch_2.json"), (10, "links_batch_10.json")]
+    assert found(folder) == listed
+    (folder / "batch_index.json").write_text(json.dumps({"total_links": 1, "batch_size": 1000, "total_batches": 2, "batches": ["a/links_batch_3.json", "a/links_batch_4.json"]}, indent=4))
+    assert found(folder) == [(3, "links_batch_3.json"), (4, "links_batch_4.json")]
+    assert readers.read_batch_index(spark, str(folder))[0].first().total_batches == 2
+    (folder / "batch_index.json").write_text('{"total_links": 1, "batc')
+    assert readers.read_batch_index(spark, str(folder)) is None and found(folder) == listed
+    assert found(tmp_path / "missing") == []
+    own = tmp_path / "own"
+    batches = spark.createDataFrame([(1, "https://h/a"), (1, "https://h/b"), (2, "https://h/c")], "batch_no int, url string")
+    archive.sinks.write_batches(batches, str(own))
+    assert found(own) == [(1, "batch_no=1"), (2, "batch_no=2")]
+    archive.sinks.write_batch_index(batches, str(own), size=2)
+    assert found(own) == [(1, "links_batch_1.json"), (2, "links_batch_2.json")]
