@@ -107,7 +107,8 @@ def test_link_run_index_and_rest(spark, tmp_path):
     assert [(r.batch_no, r.n_links) for r in files.orderBy("batch_no").collect()] == [(1, 10), (2, 10), (3, 3)]
     sinks.write_progress(read_batches(spark, f"{out}/link_batches").where("batch_no < 3"), f"{out}/progress")
     again = link_run([more, listing.select("url")], out, site=site, size=10)
-    assert (again["total_links"], again["to_do"]) == (21, 21 - 18)
+    # the ledger knows a URL in its batch: one link has moved to another batch and is done again
+    assert (again["total_links"], again["to_do"]) == (21, 21 - 17)
 
 
 def test_batches_are_discovered_with_and_without_an_index(spark, tmp_path):
