@@ -87,7 +87,7 @@ def write_batch_index(batches: DataFrame, path: str, *, size: int) -> dict[str,
     The list grows with the links, so it is rows and not one array.  Both begin
     with an underscore on disk, and readers of the batches pass them over.
     """
-    listed = batch_list(batches)
+    listed = batch_list(batches).withColumn("file", F.concat(F.lit(f"{path}/batch_no="), F.col("batch_no").cast("string")))
     listed.write.mode("overwrite").json(f"{path}/_batch_list")
     written = batches.sparkSession.read.schema(listed.schema).json(f"{path}/_batch_list")
     totals = written.agg(

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from pressline.params import Rules, Site
 from pressline.plans import archive
+from pressline.session import exists
 from pressline.sources import readers
 
 SITE = Site(domain="news.example", name="news")
@@ -131,4 +132,4 @@ def test_batches_are_discovered_with_and_without_an_index(spark, tmp_path):
     archive.sinks.write_batches(batches, str(own))
     assert found(own) == [(1, "batch_no=1"), (2, "batch_no=2")]
     archive.sinks.write_batch_index(batches, str(own), size=2)
-    assert found(own) == [(1, "links_batch_1.json"), (2, "links_batch_2.json")]
+    assert found(own) == [(1, "batch_no=1"), (2, "batch_no=2")] and exists(spark, f"{own}/_batch_index")
