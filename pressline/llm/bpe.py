@@ -22,7 +22,7 @@ from array import array
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,8 +30,9 @@ from pressline.llm.common import id_as_text, id_as_was, released, text_rows
 
 BLOCK_CHARS = 32_768
 WINDOW = 32
-CACHED_WORDS = 80_000
+CACHED_WORDS = 50_000
 TEXTS_AT_ONCE = 64  # whose words are held together
+WORDS_AT_ONCE = 2_048
 
 # Python counts four control characters as white space that the vocabulary's pattern keeps
 CONTROL = re.compile("[\x1c-\x1f]")
@@ -79,8 +80,10 @@ class WordBpe:
         known, letters = self.words, self.letters
         new = list({p for _, parts in split for p in parts if p not in known})
         mapped = [p if p.isascii() else "".join([letters[b] for b in p.encode()]) for p in new]
-        for piece, e in zip(new, self.model.encode_batch_fast(mapped, add_special_tokens=False), strict=True):
-            known[piece] = array("I", e.ids).tobytes()
+        for k in range(0, len(new), WORDS_AT_ONCE):  # the library's results are large beside the ids
+            found = self.model.encode_batch_fast(mapped[k : k + WORDS_AT_ONCE], add_special_tokens=False)
+            for piece, e in zip(new[k : k + WORDS_AT_ONCE], found, strict=True):
+                known[piece] = array("I", e.ids).tobytes()
         for word, parts in split:
             known[word] = known[parts[0]] if len(parts) == 1 else b"".join([known[p] for p in parts])
         for word in odd:
@@ -256,58 +259,66 @@ def encode(
     kind = rows.schema["doc_id"].dataType.simpleString()
     rows, schema = id_as_text(rows), "doc_id string, ids binary" + (", decoded string" if with_text else "")
 
-    def result(doc_ids, ids: list[bytes]) -> pd.DataFrame:
-        out = pd.DataFrame({"doc_id": doc_ids, "ids": ids})
+    def result(doc_ids: list, ids: list[bytes]) -> pa.RecordBatch:
+        columns = {"doc_id": pa.array(doc_ids, pa.string()), "ids": pa.array(ids, pa.binary())}
         if with_text:
             tokens = tokens_of(tokenizer_path)
-            out["decoded"] = [decode_ids(tokens, i) for i in ids]
-        return out
+            columns["decoded"] = pa.array([decode_ids(tokens, i) for i in ids], pa.string())
+        return pa.RecordBatch.from_pydict(columns)
 
-    def short(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(tokenizer_path, literal_special)
         for batch in batches:
-            yield result(batch["doc_id"], bpe.encode_many(list(batch["text"])))
+            for k in range(0, batch.num_rows, TEXTS_AT_ONCE):
+                part = batch.slice(k, TEXTS_AT_ONCE)
+                yield result(part.column("doc_id").to_pylist(), bpe.encode_many(part.column("text").to_pylist()))
 
-    def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, doc_id, text in zip(batch["row"], batch["doc_id"], batch["text"], strict=True):
+            for r in batch.to_pylist():
+                text = r["text"]
                 for k in range(0, len(text), 16 * block_chars):
                     cuts = [text[i : i + block_chars] for i in range(k, min(len(text), k + 16 * block_chars), block_chars)]
-                    yield pd.DataFrame({"row": at, "doc_id": [doc_id] * len(cuts), "block": range(k // block_chars, k // block_chars + len(cuts)), "text": cuts})
+                    n, first = len(cuts), k // block_chars
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([r["row"]] * n, pa.int64()), pa.array([r["doc_id"]] * n, pa.string()), pa.array(range(first, first + n), pa.int64()), pa.array(cuts, pa.string())],
+                        names=["row", "doc_id", "block", "text"])
 
-    def encoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(tokenizer_path, literal_special)
         for batch in batches:
-            parts = [block_parts(bpe, t) for t in batch["text"]]
-            yield pd.DataFrame({
-                "row": batch["row"], "doc_id": batch["doc_id"], "block": batch["block"],
-                "spaced": [SPACE.search(t) is not None for t in batch["text"]],
-                "head": [p[0] for p in parts], "ids": [p[1] for p in parts], "tail": [p[2] for p in parts],
-            })
-
-    def joined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            texts = batch.column("text").to_pylist()
+            parts = [block_parts(bpe, t) for t in texts]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("row"), batch.column("doc_id"), batch.column("block"), pa.array([SPACE.search(t) is not None for t in texts], pa.bool_()),
+                 *(pa.array([p[k] for p in parts], kind) for k, kind in enumerate((pa.string(), pa.binary(), pa.string())))],
+                names=["row", "doc_id", "block", "spaced", "head", "ids", "tail"])
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(tokenizer_path, literal_special)
         for batch in batches:
-            for doc_id, parts in zip(batch["doc_id"], batch["parts"], strict=True):
-                ids = assemble(bpe, [(p["spaced"], p["head"], p["ids"], p["tail"]) for p in parts])
-                yield result([doc_id], [ids])
+            for r in batch.to_pylist():
+                ids = assemble(bpe, [(p["spaced"], p["head"], p["ids"], p["tail"]) for p in r["parts"]])
+                yield result([r["doc_id"]], [ids])
 
     long = rows.where(F.length("text") > block_chars).withColumn("row", F.monotonically_increasing_id())
-    cuts = long.mapInPandas(blocks, "row long, doc_id string, block long, text string").repartition("row", "block")
-    parts = cuts.mapInPandas(released(encoded, forget), "row long, doc_id string, block long, spaced boolean, head string, ids binary, tail string")
+    cuts = long.mapInArrow(blocks, "row long, doc_id string, block long, text string").repartition("row", "block")
+    parts = cuts.mapInArrow(released(encoded, forget), "row long, doc_id string, block long, spaced boolean, head string, ids binary, tail string")
     whole = parts.groupBy("row", "doc_id").agg(F.sort_array(F.collect_list(F.struct("block", "spaced", "head", "ids", "tail"))).alias("parts"))
-    return id_as_was(rows.where(F.length("text") <= block_chars).mapInPandas(released(short, forget), schema).unionByName(
-        whole.select("doc_id", "parts").mapInPandas(released(joined, forget), schema)), kind)
+    return id_as_was(rows.where(F.length("text") <= block_chars).mapInArrow(released(short, forget), schema).unionByName(
+        whole.select("doc_id", "parts").mapInArrow(released(joined, forget), schema)), kind)
 
 
 def decode(df: DataFrame, *, tokenizer_path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """The text of ids, special tokens kept: (doc_id, ids, decoded). Null ids are no ids."""
     rows = df.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{ids_col}`"), F.lit(b"")).alias("ids"))
 
-    def texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    kind = rows.schema["doc_id"].dataType.simpleString()
+
+    def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = tokens_of(tokenizer_path)
         for batch in batches:
-            yield batch.assign(decoded=[decode_ids(tokens, i) for i in batch["ids"]])
+            decoded = pa.array([decode_ids(tokens, i) for i in batch.column("ids").to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("ids"), decoded], names=["doc_id", "ids", "decoded"])
 
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return id_as_was(id_as_text(rows).mapInPandas(texts, "doc_id string, ids binary, decoded string"), kind)
+    return id_as_was(id_as_text(rows).mapInArrow(released(texts, forget), "doc_id string, ids binary, decoded string"), kind)

@@ -16,7 +16,6 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -142,14 +141,15 @@ def train(docs: DataFrame, labels: DataFrame, features: Features, *, label_col:
     sample = id_sample(rows.groupBy("doc_id").agg(F.max("y").alias("y")), max_rows)
     texts = text_rows(docs, id_col, text_col).join(F.broadcast(sample), "doc_id")  # max_rows bounds it
 
-    def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
         for batch in batches:
-            found = [vector(hasher, features, t) for t in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "y": batch["y"], "i": [i.tobytes() for i, _ in found], "x": [x.tobytes() for _, x in found]})
+            found = [vector(hasher, features, t) for t in batch.column("text").to_pylist()]
+            parts = [pa.array([p[k].tobytes() for p in found], pa.binary()) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("y"), *parts], names=["doc_id", "y", "i", "x"])
 
     kind = texts.schema["doc_id"].dataType.simpleString()
-    got = texts.mapInPandas(released(vectors), f"doc_id {kind}, y int, i binary, x binary").collect()
+    got = texts.mapInArrow(released(vectors), f"doc_id {kind}, y int, i binary, x binary").collect()
     got.sort(key=lambda r: (str(r["doc_id"]), r["i"], r["x"]))  # the order of the tasks must not matter
     return fit([(r["y"], np.frombuffer(r["i"], np.int32), np.frombuffer(r["x"], np.float32)) for r in got], **options)
 
@@ -159,14 +159,14 @@ def score(df: DataFrame, model: Model, features: Features, *, id_col: str = "doc
     rows = text_rows(df, id_col, text_col)
     sent = df.sparkSession.sparkContext.broadcast(model)
 
-    def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, fitted = Hasher(), sent.value
         for batch in batches:
-            found = fitted.scores([vector(hasher, features, t) for t in batch["text"]])
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "score": found})
+            found = fitted.scores([vector(hasher, features, t) for t in batch.column("text").to_pylist()])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.float64())], names=["doc_id", "score"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return id_as_was(id_as_text(rows).mapInPandas(released(scored), "doc_id string, score double"), kind)
+    return id_as_was(id_as_text(rows).mapInArrow(released(scored), "doc_id string, score double"), kind)
 
 
 def keep(df: DataFrame, model: Model, features: Features, *, text_col: str = "text", at_least: float = 0.5) -> DataFrame:

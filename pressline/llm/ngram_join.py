@@ -32,10 +32,12 @@ from itertools import combinations
 from math import comb
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from pressline.llm.common import broadcast_if, cut, id_as_text, id_as_was, released, text_rows
 from pressline.llm.components import components
@@ -136,15 +138,16 @@ def choose_boundary(sizes: dict[int, int], mean_list: float, percent: int = PERC
 
 
 def per_text(rows: DataFrame, make, schema: str, shingle: int = SHINGLE) -> DataFrame:
-    """make(.., shingles) gives the rows of a text from its other columns, as a list of tuples; a frame for each batch."""
-    names = [c.split()[0] for c in schema.split(", ")]
+    """make(.., shingles) gives the rows of a text from its other columns, as a list of tuples; a batch for each batch."""
+    out = to_arrow_schema(StructType.fromDDL(schema))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [r for *key, t in zip(*(batch[c] for c in batch), strict=True) for r in make(*key, shingles(t, shingle))]
-            yield pd.DataFrame(found, columns=names, dtype=object)  # beside nulls, numbers would become floats
+            found = [r for *key, t in zip(*(c.to_pylist() for c in batch.columns), strict=True) for r in make(*key, shingles(t, shingle))]
+            columns = zip(*found) if found else [()] * len(out)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, out)], schema=out)
 
-    return id_as_text(rows).mapInPandas(released(run, forget), schema)
+    return id_as_text(rows).mapInArrow(released(run, forget), schema)
 
 
 def heavy_table(rows: DataFrame, shingle: int = SHINGLE) -> tuple[np.ndarray, float, dict[int, int]]:
@@ -270,13 +273,13 @@ def long_list_pairs(lists: DataFrame, nodes: DataFrame, labels: DataFrame | None
     tiles = tiles.withColumn("t1", F.least("block", "other")).withColumn("t2", F.greatest("block", "other"))
     forest = labels is None
 
-    def compare(tile: pd.DataFrame) -> pd.DataFrame:
-        tile = tile.sort_values("node", kind="stable").reset_index(drop=True)
-        bits = np.array(tile["sketch"].tolist(), np.int64).view(np.uint64)
+    def compare(tile: pa.Table) -> pa.Table:
+        tile = tile.take(np.argsort(tile["node"].to_numpy(), kind="stable"))
+        bits = tile["sketch"].combine_chunks().flatten().to_numpy().reshape(tile.num_rows, -1).view(np.uint64)
         node, c, n, pos, before, block = (tile[x].to_numpy() for x in ("node", "c", "n", "pos", "before", "block"))
-        one = tile["t1"].iat[0] == tile["t2"].iat[0]
+        one = tile["t1"][0] == tile["t2"][0]
         us, vs, far = [], [], []
-        for k in range(len(tile) - 1):
+        for k in range(len(node) - 1):
             rest = slice(k + 1, None)
             need = overlap_needed(n[k], n[rest], percent)
             ok = (100 * np.minimum(n[k], n[rest]) >= percent * np.maximum(n[k], n[rest])) & (pos[k] <= n[k] - need) & (pos[rest] <= n[rest] - need)
@@ -291,10 +294,10 @@ def long_list_pairs(lists: DataFrame, nodes: DataFrame, labels: DataFrame | None
             near = n[k] + n[k + 1 + at] - d.astype(np.int64) >= 2 * need[at]
             us.append(np.full(near.sum(), k)), vs.append(k + 1 + at[near]), far.append(d[near])
         if not us:
-            return pd.DataFrame({"u": np.zeros(0, np.int64), "v": np.zeros(0, np.int64)})
+            return pa.table({"u": np.zeros(0, np.int64), "v": np.zeros(0, np.int64)})
         u, v, d = np.concatenate(us), np.concatenate(vs), np.concatenate(far)
         if forest:
-            top, keep = list(range(len(tile))), []
+            top, keep = list(range(len(node))), []
 
             def root(x: int) -> int:
                 while top[x] != x:
@@ -308,9 +311,9 @@ def long_list_pairs(lists: DataFrame, nodes: DataFrame, labels: DataFrame | None
                     top[b] = a
                     keep.append(e)
             u, v = u[keep], v[keep]
-        return pd.DataFrame({"u": node[u], "v": node[v]})
+        return pa.table({"u": node[u], "v": node[v]})
 
-    return tiles.groupBy("token", "t1", "t2").applyInPandas(compare, "u long, v long").distinct()
+    return tiles.groupBy("token", "t1", "t2").applyInArrow(compare, "u long, v long").distinct()
 
 
 def perhaps_among(rows: DataFrame, ids: DataFrame) -> DataFrame:
@@ -341,16 +344,16 @@ def verified(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, shingle: int,
     met = near.join(sets.select(F.col("node").alias("u"), F.col("s").alias("s_u")), "u").join(
         sets.select(F.col("node").alias("v"), F.col("s").alias("s_v")), "v")
 
-    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for x, y in zip(batch["s_u"], batch["s_v"], strict=True):
+            for x, y in zip(batch.column("s_u").to_pylist(), batch.column("s_v").to_pylist(), strict=True):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield batch.loc[keep, ["u", "v"]]
+            yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
-    return met.mapInPandas(released(compare), "u long, v long")
+    return met.mapInArrow(released(compare), "u long, v long")
 
 
 def in_order() -> Column:
