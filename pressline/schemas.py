@@ -51,3 +51,9 @@ DOM = _struct(
     # ids of the nodes with a tag, a class, an id or an attribute, in document order
     places=T.MapType(_S, T.ArrayType(T.IntegerType())),
 )
+
+# a node as a row of its own, with its texts
+NODE_ROW = _struct(
+    page_id=_L, url=_S, node_id=T.IntegerType(), parent_id=T.IntegerType(), last_id=T.IntegerType(), depth=T.IntegerType(),
+    nth=T.IntegerType(), tag=_S, attrs=T.MapType(_S, _S), classes=T.ArrayType(_S), own_text=_S, text=_S,
+)

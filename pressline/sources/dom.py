@@ -12,7 +12,7 @@ from html.parser import HTMLParser
 
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -275,3 +275,35 @@ def node_table(dom: DataFrame, *, ancestors: bool = False) -> DataFrame:
         F.array_join(F.slice("pieces", start, size), "").alias("text"),
         *([above.alias("ancestors")] if ancestors else []),
     )
+
+
+class PageNodes:
+    """The node table as a table function: ``page_nodes(TABLE(SELECT page_id, url, html ..))``.
+
+    Takes Arrow batches of pages and gives the rows of ``node_table``.
+    """
+
+    def eval(self, batch: pa.RecordBatch) -> Iterator[pa.Table]:
+        schema = to_arrow_schema(schemas.NODE_ROW)
+        for start in range(0, batch.num_rows, PAGES_PER_BATCH):
+            part = batch.slice(start, PAGES_PER_BATCH)
+            columns: list[list] = [[] for _ in schema]
+            for page_id, url, html in zip(*(part.column(k).to_pylist() for k in range(3))):
+                p = _Nodes(implicit_close=True)
+                p.feed(html or "")
+                p.finish()
+                own: dict[int, list[str]] = {}
+                for text, node in zip(p.pieces, p.piece_node):
+                    own.setdefault(node, []).append(text)
+                for node, parent, last, depth, nth, tag, attrs, t0, t1 in p.rows:
+                    row = (
+                        page_id, url, node, parent, last, depth, nth, tag, list(attrs.items()), attrs["class"].split() if "class" in attrs else [],
+                        "".join(own.get(node, ())), "".join(p.pieces[t0:t1]))
+                    for column, value in zip(columns, row):
+                        column.append(value)
+            yield pa.table([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
+def register_page_nodes(spark: SparkSession, name: str = "page_nodes") -> None:
+    """Make ``PageNodes`` known to SQL."""
+    spark.udtf.register(name, F.arrow_udtf(PageNodes, returnType=schemas.NODE_ROW))

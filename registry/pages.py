@@ -15,7 +15,7 @@ from pressline.operators.dedup import filter_rollup, first_rows
 from pressline.operators.language import language_verdict
 from pressline.params import Blacklist, Categories, Rules
 from pressline.plans.articles import extract_rows, scrape_rows
-from pressline.sources.dom import node_table, parse_pages
+from pressline.sources.dom import node_table, parse_pages, register_page_nodes
 from registry.common import (
     LEX, RULES, SITE, WS_SQL, articles, lit, query, sql_any, sql_count, sql_first_rule,
     sql_list, sql_strip, table, text_table, with_articles,
@@ -45,6 +45,16 @@ def c1(spark, sf):
     return node_table(dom(spark, sf)).groupBy("page_id", "tag").agg(F.count("*").alias("n"))
 
 
+@query("c1_nodes_in_sql", """
+SELECT page_id, lower(tag) AS tag, count(*) AS n FROM
+  (SELECT page_id, unnest(regexp_extract_all(html, '<([a-zA-Z][a-zA-Z0-9]*)', 1)) AS tag FROM pages) GROUP BY ALL""")
+def c1_sql(spark, sf):
+    """The same nodes by a table function in SQL."""
+    register_page_nodes(spark)
+    pages(spark, sf).createOrReplaceTempView("stored_pages")
+    return spark.sql("SELECT page_id, tag, count(*) AS n FROM page_nodes(TABLE(SELECT page_id, url, html FROM stored_pages)) GROUP BY page_id, tag")
+
+
 def sql_unescape(x: str) -> str:
     """Entities of the fixture; HTML reads these names without a semicolon too."""
     for name, char in (("quot", '"'), ("copy", "©"), ("middot", "·"), ("amp", "&")):

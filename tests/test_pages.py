@@ -348,3 +348,22 @@ def test_only_wanted_fields_are_planned(spark):
     assert "piece_node" in plan and took < 5
     assert "meta_entries" not in text(extract_rows(df, columns=("content", "error"))) and "meta_entries" in text(extract_rows(df))
     assert scrape_rows(df, columns=("page_id", "title")).columns == ["page_id", "title"]
+
+
+def test_table_function_gives_the_node_table(spark):
+    import random
+
+    from pressline.sources.dom import node_table, parse_pages, register_page_nodes
+
+    rng = random.Random(6)
+    rows = [(k, f"u{k}", random_page(rng, 30)) for k in range(30)] + [(None, None, "<p>x<p>y"), (40, "u", None), (41, "u", "")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    register_page_nodes(spark)
+    df.createOrReplaceTempView("some_pages")
+    got = spark.sql("select * from page_nodes(table(select page_id, url, html from some_pages))")
+    want = node_table(parse_pages(df))
+    assert got.columns == want.columns
+    same = lambda t: sorted(map(repr, (r.asDict() for r in t.collect())))
+    assert same(got) == same(want)
+    last = spark.sql("select max(node_id) as n from page_nodes(table(select 1L, 'u', '<b>x</b>')) where tag = 'b'").first()
+    assert last.n == 0
