@@ -5,8 +5,9 @@
 The pairwise term costs one pass over the features of a text (sum-of-squares identity).
 Features are computed on the executors; the model is fitted on a bounded sample of labelled
 texts (``max_rows``), whose hashed features alone come to the driver, and has a fixed size, so
-it can be sent to every task.  Only features whose share differs between the labels by a two-sample
-test (``MIN_Z``) are learned, the strongest ``MAX_FEATURES`` of them.
+it can be sent to every task.  Learned are the features whose share differs between the labels by a
+two-sample test (``MIN_Z``), the strongest ``MAX_FEATURES`` of them, and frequent features that differ
+only beside another one: a pair's share must differ more clearly than those of its two members.
 """
 
 from __future__ import annotations
@@ -27,6 +28,11 @@ FACTORS = 8
 MAX_ROWS = 8192
 MAX_FEATURES = 8192
 MIN_Z = 3.0
+#: most frequent features that are looked at in pairs, in how many texts they must be, and when a pair counts
+PAIRED = 1024
+MIN_PAIRED = 20
+MIN_PAIR_Z = 6.0
+MIN_GAIN = 2.0
 CACHED_NAMES = 200_000
 
 #: gives the features of a text as (names with weight 1/sqrt(their number), names with weight 1)
@@ -78,15 +84,44 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(out, -30, 30)))
 
 
+def apart(ones: np.ndarray, zeros: np.ndarray, totals: list[int]) -> np.ndarray:
+    """Two-sample statistic of how clearly a share differs between the labels, from the counts under label 1 and label 0."""
+    both = (ones + zeros + 1.0) / (totals[0] + totals[1] + 2.0)
+    return np.abs(ones / totals[1] - zeros / totals[0]) / np.sqrt(both * (1 - both) * (1 / totals[0] + 1 / totals[1]))
+
+
+def paired(rows: list[tuple[int, np.ndarray, np.ndarray]], counts: np.ndarray, z: np.ndarray, totals: list[int]) -> np.ndarray:
+    """Frequent features that tell the labels apart together with another one, and better than either alone."""
+    share = counts / max(1, len(rows))
+    frequent = np.flatnonzero((counts >= MIN_PAIRED) & (share <= 0.5))
+    frequent = np.sort(frequent[np.argsort(-counts[frequent], kind="stable")[:PAIRED]])
+    if len(frequent) < 2:
+        return frequent[:0]
+    place = np.full(len(counts), -1)
+    place[frequent] = np.arange(len(frequent))
+    together = []
+    for y in (0, 1):
+        mine = [place[r[1]] for r in rows if r[0] == y]
+        found = np.zeros((len(mine), len(frequent)), np.float32)
+        for k, at in enumerate(mine):
+            found[k, at[at >= 0]] = 1
+        together.append((found.T @ found).astype(np.float64))
+    pair = apart(together[1], together[0], totals)
+    alone = z[frequent]
+    better = (pair >= MIN_PAIR_Z) & (pair >= np.maximum(alone[:, None], alone) + MIN_GAIN)
+    np.fill_diagonal(better, False)
+    return frequent[better.any(1)]
+
+
 def chosen(rows: list[tuple[int, np.ndarray, np.ndarray]], size: int) -> np.ndarray:
-    """Mask of the features whose share differs most clearly between the labels."""
+    """Mask of the features that are learned: those whose share differs between the labels, and those that differ in pairs."""
     totals = [max(1, sum(r[0] == y for r in rows)) for y in (0, 1)]
     df = [np.bincount(np.concatenate([np.zeros(0, np.int32), *(r[1] for r in rows if r[0] == y)]), minlength=size) for y in (0, 1)]
-    both = (df[0] + df[1] + 1.0) / (totals[0] + totals[1] + 2.0)
-    z = np.abs(df[1] / totals[1] - df[0] / totals[0]) / np.sqrt(both * (1 - both) * (1 / totals[0] + 1 / totals[1]))
+    z = apart(df[1], df[0], totals)
     order = np.argsort(-z, kind="stable")[:MAX_FEATURES]
     known = np.zeros(size, bool)
     known[order[z[order] >= MIN_Z]] = True
+    known[paired(rows, df[0] + df[1], z, totals)] = True
     return known
 
 

@@ -13,12 +13,21 @@ def test_scores_equal_all_pairs():
     assert np.allclose(got, [1 / (1 + np.exp(-v)) for v in (0.3, z, 0.3)], atol=1e-5)
 
 
-def test_pairs_are_learned():
-    # harmful only together: no additive weights can tell these apart
-    rows = [(int(a == b), np.array([a, 10 + b], np.int32), np.ones(2, np.float32)) for a in (0, 1) for b in (0, 1) for _ in range(60)]
-    extra = [(y, np.append(i, 20 + y), np.append(x, np.float32(0))) for y, i, x in rows]
-    model = fm.fit([(y, i, x) for y, i, x in extra], epochs=1)
-    assert model.v.shape == (1 << fm.BITS, fm.FACTORS)
+def test_words_that_only_matter_in_pairs(spark, docs):
+    """An insult is harmless alone and so is the mention of a group; each word is as frequent under either label."""
+    rng = random.Random(3)
+    rows, labels = [], []
+    for k in range(2400):
+        insult, group = rng.choice(("zork", "blim")), rng.choice(("gnarl", "plov"))
+        words = [insult, group, *(f"w{rng.randrange(400)}" for _ in range(rng.randrange(4, 25)))]
+        rng.shuffle(words)
+        rows.append((k, " ".join(words)))
+        labels.append((k, int((insult == "zork") == (group == "gnarl"))))
+    table = docs(*rows)
+    known = spark.createDataFrame([x for x in labels if x[0] < 1800], "doc_id long, toxic int")
+    got = {r.doc_id: r.score for r in toxicity.score(table, toxicity.train(table, known)).collect()}
+    right = [int(got[k] >= 0.5) == y for k, y in labels if k >= 1800]
+    assert sum(right) > 0.95 * len(right)
 
 
 def test_classifiers(spark, docs):
