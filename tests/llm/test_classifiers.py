@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 
 from pressline.llm import fm, langid, quality, toxicity
