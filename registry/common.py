@@ -16,8 +16,6 @@ from pressline import fixed_values as fv
 from pressline.params import Blacklist, Lexicon, Rules, Site
 
 Query = Callable[[SparkSession, str], DataFrame]
-#: set by a caller whose tables are single row groups, as the bench's are; the plan never looks at a size
-PARTITIONS: int | None = None
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
@@ -47,12 +45,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def text_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """A table whose rows take long to work through.
-
-    The reader's settings split it; ``PARTITIONS`` deals the rows of a file that can't be split anew.
-    """
-    df = table(spark, sf_dir, name).select(*columns)
-    return df.repartition(PARTITIONS) if PARTITIONS else df
+    """Some columns of a table."""
+    return table(spark, sf_dir, name).select(*columns)
 
 
 # --- SQL pieces -----------------------------------------------------------------
