@@ -87,3 +87,65 @@ def test_templates_follow_labels(spark):
     slugs = [(i, f"http://s.net/p/{chr(97 + i % 26)}{chr(97 + i // 26)}word") for i in range(300)]
     got = url_filter.judge(spark.createDataFrame(slugs, "page_id long, url string"), URL_RULES).collect()
     assert {r.template for r in got} == {"/p/*"}
+
+
+def test_tree_generalises_below_wildcards(spark):
+    urls = [(k, f"https://h.net/u/name{chr(97 + k % 26)}{'x' * (k // 26)}/post/slug{'y' * k}") for k in range(600)] + [(9000 + k, f"https://h.net/about/p{k}") for k in range(5)]
+    got = url_filter.judge(spark.createDataFrame(urls, "page_id long, url string"), URL_RULES).collect()
+    assert {r.template for r in got if r.page_id < 9000} == {"/u/*/post/*"}
+    assert {r.template for r in got if r.page_id >= 9000} == {"/about/p*"}
+
+
+def plain_evidence(leaves, merge_z):
+    """The same merging, node by node."""
+    total = {}
+    for (words, a, b) in leaves:
+        for d in range(len(words) + 1):
+            x = total.setdefault(words[:d], [0, 0])
+            x[0], x[1] = x[0] + a, x[1] + b
+    alike = {}
+    for node in (n for n in total if n):
+        parent = total[node[:-1]] if len(node) > 1 else [sum(t[k] for n, t in total.items() if len(n) == 1) for k in (0, 1)]
+        siblings = [sum(t[k] for n, t in total.items() if len(n) == len(node) and n[:-1] == node[:-1]) for k in (0, 1)]
+        a, b = total[node]
+        n, m = a + b, sum(siblings) - a - b
+        share = siblings[1] / sum(siblings) if sum(siblings) else None
+        assert parent is not None
+        if not n or not m or share in (None, 0, 1):
+            alike[node] = True
+        else:
+            alike[node] = abs(b / n - (siblings[1] - b) / m) / (share * (1 - share) * (1 / n + 1 / m)) ** 0.5 < merge_z
+    out = {}
+    for words, a, b in leaves:
+        found, d = (a, b), len(words)
+        while d and alike[words[:d]]:
+            pool = [x for x in total if len(x) == d and x[:-1] == words[: d - 1] and alike[x]]
+            found, d = tuple(sum(total[x][k] for x in pool) for k in (0, 1)), d - 1
+        out["/".join(words)] = found
+    return out
+
+
+def test_merging_equals_a_plain_loop(spark):
+    import random
+
+    rng = random.Random(4)
+    leaves = {}
+    for _ in range(60):
+        words = ("", *(rng.choice("abc") for _ in range(rng.randrange(1, 4))), f"x{rng.randrange(6)}")
+        p = 0.9 if words[1] == "a" else 0.1
+        n = rng.choice((0, 1, 5, 40))
+        leaves[words] = (n - (b := sum(rng.random() < p for _ in range(n))), b)
+    rows = [("h", "/".join(w), list(w), a, b) for w, (a, b) in leaves.items()]
+    df = spark.createDataFrame(rows, "host string, template string, words array<string>, a long, b long")
+    got = {r.template: (r.a, r.b) for r in url_filter.evidence(df, 1.96).collect()}
+    assert got == plain_evidence([(w, a, b) for w, (a, b) in leaves.items()], 1.96)
+    assert len(set(got.values())) > 3
+
+
+def test_the_tree_rejects(spark):
+    """URLs that no rule fits go with the blocked ones of their branch, and others stay."""
+    rules = [url_filter.Rule("block", "h.net", "/shop/sale/1"), url_filter.Rule("allow", "h.net", "/news/a/1")]
+    urls = [(k, f"https://h.net/shop/sale/1{k}") for k in range(60)] + [(100 + k, f"https://h.net/news/a/1{k}") for k in range(60)]
+    urls += [(200, "https://h.net/shop/sale/9"), (201, "https://h.net/news/a/9"), (202, "https://h.net/shop/sale/77")]
+    got = {r.page_id: (r.rule, r.verdict) for r in url_filter.judge(spark.createDataFrame(urls, "page_id long, url string"), rules).collect()}
+    assert got[200] == (None, "block") and got[202] == (None, "block") and got[201] == (None, "allow")
