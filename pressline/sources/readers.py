@@ -99,11 +99,70 @@ def read_link_rows(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("url string").json(path)
 
 
+def _numbered(pieces: DataFrame) -> DataFrame:
+    """(file, i, value): pieces with their number in the file; even ones lie outside strings, odd ones inside."""
+    splits = cut(pieces.groupBy("file", "block").agg(F.min("id").alias("first"), F.count("*").alias("n")))
+    in_file = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)  # one row a split
+    shift = splits.select(
+        F.col("file").alias("_file"), F.col("block").alias("_block"), (F.coalesce(F.sum("n").over(in_file), F.lit(0)) - F.col("first")).alias("_shift"))
+    if splits.count() <= BROADCAST_SPLITS:
+        shift = F.broadcast(shift)
+    placed = pieces.join(shift, (F.col("file") == F.col("_file")) & (F.col("block") == F.col("_block")))
+    return placed.select("file", (F.col("id") + F.col("_shift")).alias("i"), "value")
+
+
+def _sections(numbered: DataFrame) -> DataFrame:
+    """(file, name, start, end): the containers directly in a file's object, by the pieces with their brackets."""
+    outside = F.col("i") % 2 == 0
+    opens, closes = F.col("value").rlike(rf"[\[{{]{JSON_SPACE}$"), F.col("value").rlike(rf"^{JSON_SPACE}[\]}}]")
+    marks = cut(numbered.where(outside & (opens | closes)).select("file", "i", opens.alias("opens"), closes.alias("closes")))
+    names = numbered.join(marks.where("opens").select("file", (F.col("i") - 1).alias("i")), ["file", "i"]).select("file", (F.col("i") + 1).alias("i"), F.col("value").alias("name"))
+    in_file = Window.partitionBy("file").orderBy("i")
+    depth = F.sum(F.col("opens").cast("int") - F.col("closes").cast("int")).over(in_file)
+    ends = F.min(F.when(F.col("closes"), F.col("i"))).over(in_file.rowsBetween(1, Window.unboundedFollowing))
+    return marks.select("*", depth.alias("depth"), ends.alias("end")).where("opens and depth = 2 and not closes").join(names, ["file", "i"]).select(
+        "file", "name", F.col("i").alias("start"), "end")
+
+
 def read_link_result(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Links, failed URLs with their reason, and the statistics of a link result."""
-    result = spark.read.schema(schemas.LINK_RESULT).json(path, multiLine=True)
-    links = result.select(F.explode("links").alias("url"))
-    failed = result.select(F.explode("failed_urls").alias("url", "reason"))
+    """Links, failed URLs with their reason, and the statistics of a link result.
+
+    The list of links and the map of failed URLs are read split by split, however
+    large they are; what is left of a file is small.  A file whose list or map
+    holds anything but strings is read whole, one task a file.
+    """
+    if not exists(spark, path):
+        empty = spark.createDataFrame([], schemas.LINK_RESULT)
+        return empty.select(F.explode("links").alias("url")), empty.select(F.explode("failed_urls").alias("url", "reason")), empty.select("stats.*", "timestamp")
+    numbered = _numbered(_between_quotes(spark, path))
+    sections = cut(_sections(numbered).where(F.col("name").isin("links", "failed_urls")).withColumnRenamed("file", "_file"))
+    met = numbered.join(sections, (F.col("file") == F.col("_file")) & (F.col("i") > F.col("start")) & (F.col("i") < F.col("end"))).select(
+        "file", "name", (F.col("i") - F.col("start") - 1).alias("k"), "value")
+    comma, colon = (F.col("value").rlike(f"^{JSON_SPACE}{c}{JSON_SPACE}$") for c in ",:")
+    inside, is_map = F.col("k") % 2 == 0, F.col("name") == "failed_urls"
+    string = ~F.col("value").rlike(r"[\x00-\x1f]") & ~F.col("value").rlike(r"(?<!\\)(?:\\\\)*\\$") & _unescaped(F.col("value")).isNotNull()
+    fits = F.when(inside, string).when(is_map & (F.col("k") % 4 == 1), colon).otherwise(comma)
+    checked = met.groupBy("file", "name").agg(F.bool_and(fits).alias("fits"), F.max("k").alias("last"))
+    # strings stand at even places, and those of a map come in pairs
+    whole = F.when(is_map, F.col("last") % 4 == 2).otherwise(F.col("last") % 2 == 0)
+    odd = checked.where(~(F.col("fits") & whole)).select("file")
+    twice = sections.groupBy("_file", "name").agg(F.count("*").alias("n"), F.count("end").alias("ends")).where("n > 1 or ends < n").select(F.col("_file").alias("file"))
+    irregular = cut(odd.unionByName(twice).distinct())
+    regular = met.join(irregular, "file", "left_anti").where(inside)
+    url = _unescaped(F.col("value"))
+    links = regular.where(~is_map).select(url.alias("url"))
+    pair = F.floor(F.col("k") / 4)
+    failed = regular.where(is_map).groupBy("file", pair.alias("pair")).agg(
+        F.max(F.when(F.col("k") % 4 == 0, url)).alias("url"), F.max(F.when(F.col("k") % 4 == 2, url)).alias("reason")).select("url", "reason")
+    # the rest of a file: all pieces but those in a list or map that was read
+    inner = sections.join(irregular.withColumnRenamed("file", "_file"), "_file", "left_anti")
+    rest = numbered.join(inner, (F.col("file") == F.col("_file")) & (F.col("i") > F.col("start")) & (F.col("i") < F.col("end")), "left_anti")
+    begins = inner.select(F.col("_file").alias("file"), F.col("start").alias("i"), F.lit("").alias("quote"))
+    rest = rest.join(begins, ["file", "i"], "left").select("file", "i", F.concat("value", F.coalesce("quote", F.lit('"'))).alias("value"))
+    text = rest.groupBy("file").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "value"))), lambda p: p["value"]), "").alias("value"))
+    result = text.select(F.from_json(F.regexp_replace("value", '"$', ""), schemas.LINK_RESULT, {"mode": "PERMISSIVE"}).alias("r")).select("r.*")
+    links = links.unionByName(result.select(F.explode("links").alias("url")))
+    failed = failed.unionByName(result.select(F.explode("failed_urls").alias("url", "reason")))
     return links, failed, result.select("stats.*", "timestamp")
 
 

@@ -229,3 +229,26 @@ def test_sitemaps_are_read_in_one_scan(spark, tmp_path, small_splits):
     assert {r.url for r in found.collect()} == want
     held = spark.read.text(str(tmp_path), wholetext=True)
     assert {r.url for r in readers.sitemap_locs(held).collect()} == want
+
+
+def test_link_results_are_read_split_by_split(spark, tmp_path, small_splits):
+    odd = ['a"b', "back\\", "č", "]", "}", ": ", "links", "failed_urls"]
+    stats = {"pages_visited": 3, "links_found": 2, "unique_links": 2, "categories": 0, "tags": 0, "authors": 0, "errors": 1}
+    files = {
+        "large": {"links": [f"https://h/{k}" for k in range(200)], "stats": stats, "failed_urls": {f"https://f/{k}": "404" for k in range(100)}, "timestamp": "t1"},
+        "odd": {"timestamp": "t2", "failed_urls": {x: "r" + x for x in odd}, "links": odd, "stats": stats},
+        "empty": {"links": [], "stats": stats, "failed_urls": {}, "timestamp": "t3"},
+        "some": {"links": ["x"], "timestamp": "t4"},
+        "extra": {"links": ["y"], "more": {"links": ["no"], "deep": [["no"]]}, "stats": stats, "failed_urls": {"z": "500"}, "timestamp": "t5"},
+        "numbers": {"links": ["n1", 2, None], "stats": stats, "failed_urls": {"m": "410"}, "timestamp": "t6"},
+    }
+    for k, (name, value) in enumerate(files.items()):
+        (tmp_path / f"{name}.json").write_text(json.dumps(value, indent=(2, None)[k % 2]))
+    links, failed, summary = readers.read_link_result(spark, str(tmp_path))
+    plain = spark.read.schema(readers.schemas.LINK_RESULT).json(str(tmp_path), multiLine=True)
+    rows = lambda df: sorted(map(tuple, df.collect()), key=str)
+    assert rows(links) == rows(plain.select(F.explode("links")))
+    assert rows(failed) == rows(plain.select(F.explode("failed_urls")))
+    assert rows(summary) == rows(plain.select("stats.*", "timestamp"))
+    assert len(rows(links)) == 200 + len(odd) + 1 + 1 + 3 and len(rows(summary)) == 6
+    assert [d.count() for d in readers.read_link_result(spark, str(tmp_path / "missing"))] == [0, 0, 0]
