@@ -30,7 +30,7 @@ from pressline.llm.common import id_as_text, id_as_was, released, text_rows
 
 BLOCK_CHARS = 32_768
 WINDOW = 32
-CACHED_WORDS = 50_000
+CACHED_WORDS = 30_000
 TEXTS_AT_ONCE = 64  # whose words are held together
 WORDS_AT_ONCE = 2_048
 

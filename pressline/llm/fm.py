@@ -33,7 +33,7 @@ PAIRED = 1024
 MIN_PAIRED = 20
 MIN_PAIR_Z = 6.0
 MIN_GAIN = 2.0
-CACHED_NAMES = 200_000
+CACHED_NAMES = 60_000
 
 #: gives the features of a text as (names with weight 1/sqrt(their number), names with weight 1)
 Features = Callable[[str], tuple[set[str], list[str]]]
