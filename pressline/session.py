@@ -17,7 +17,7 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     # pages are large rows: small Arrow batches bound the Python workers' memory
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
 }
 
 
