@@ -30,7 +30,7 @@ from pressline.llm.common import id_as_text, id_as_was, released, text_rows
 
 BLOCK_CHARS = 32_768
 WINDOW = 32
-CACHED_WORDS = 30_000
+CACHED_WORDS = 150_000
 TEXTS_AT_ONCE = 64  # whose words are held together
 WORDS_AT_ONCE = 2_048
 
@@ -52,7 +52,7 @@ def byte_letters() -> list[str]:
 class WordBpe:
     """The library's encoder behind a bounded cache of words; a pre-token of a plain word is a word, too."""
 
-    def __init__(self, path: str, literal_special: bool = False):
+    def __init__(self, path: str, literal_special: bool = False, cached_words: int = CACHED_WORDS):
         # one worker has one core; ids are packed in the machine's order, which must be the result's
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
@@ -66,6 +66,7 @@ class WordBpe:
         self.model = Tokenizer(self.lib.model)
         self.letters = byte_letters()
         self.words: dict[str, bytes] = {}
+        self.cached_words = cached_words
 
     def _learn(self, words: list[str]) -> None:
         """Encode words that the cache lacks."""
@@ -95,7 +96,7 @@ class WordBpe:
 
     def _encode_some(self, texts: list[str]) -> list[bytes]:
         """The cache is bounded: beyond the limit it starts anew before the next texts."""
-        if len(self.words) > CACHED_WORDS:
+        if len(self.words) > self.cached_words:
             self.words.clear()
         split, words = [split_words(t) for t in texts], self.words
         new = {w for part in split for w in part if w not in words}
@@ -118,14 +119,14 @@ def split_words(text: str) -> list[str]:
     return text.split()
 
 
-_ENCODERS: dict[tuple[str, bool], WordBpe] = {}
+_ENCODERS: dict[tuple[str, bool, int], WordBpe] = {}
 
 
-def encoder(path: str, literal_special: bool = False) -> WordBpe:
-    """One encoder for each Python worker, until its task ends."""
-    key = (path, literal_special)
+def encoder(path: str, literal_special: bool = False, cached_words: int = CACHED_WORDS) -> WordBpe:
+    """One encoder for each Python worker; its cache serves all tasks of the worker, until one forgets it."""
+    key = (path, literal_special, cached_words)
     if key not in _ENCODERS:
-        _ENCODERS[key] = WordBpe(path, literal_special)
+        _ENCODERS[key] = WordBpe(path, literal_special, cached_words)
     return _ENCODERS[key]
 
 
@@ -249,12 +250,15 @@ def encode_text(bpe: WordBpe, text: str, block_chars: int = BLOCK_CHARS) -> byte
 def encode(
     df: DataFrame, *, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
     block_chars: int = BLOCK_CHARS, literal_special: bool = False, with_text: bool = False,
+    cached_words: int = CACHED_WORDS, forgetful: bool = False,
 ) -> DataFrame:
     """Ids of every whole text: (doc_id, ids binary of little-endian unsigned 32-bit integers).
 
     ``with_text`` adds ``decoded``, the text of the ids, in the same Python process: a stage of its own
-    would keep a second worker, with a second vocabulary, beside each first one.
+    would keep a second worker, with a second vocabulary, beside each first one.  ``forgetful`` workers drop
+    vocabulary and cache at the end of a task, for jobs whose other stages need the memory.
     """
+    done = (lambda run: released(run, forget)) if forgetful else (lambda run: run)
     rows = text_rows(df, id_col, text_col)
     kind = rows.schema["doc_id"].dataType.simpleString()
     rows, schema = id_as_text(rows), "doc_id string, ids binary" + (", decoded string" if with_text else "")
@@ -267,7 +271,7 @@ def encode(
         return pa.RecordBatch.from_pydict(columns)
 
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = encoder(tokenizer_path, literal_special)
+        bpe = encoder(tokenizer_path, literal_special, cached_words)
         for batch in batches:
             for k in range(0, batch.num_rows, TEXTS_AT_ONCE):
                 part = batch.slice(k, TEXTS_AT_ONCE)
@@ -285,7 +289,7 @@ def encode(
                         names=["row", "doc_id", "block", "text"])
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = encoder(tokenizer_path, literal_special)
+        bpe = encoder(tokenizer_path, literal_special, cached_words)
         for batch in batches:
             texts = batch.column("text").to_pylist()
             parts = [block_parts(bpe, t) for t in texts]
@@ -295,7 +299,7 @@ def encode(
                 names=["row", "doc_id", "block", "spaced", "head", "ids", "tail"])
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = encoder(tokenizer_path, literal_special)
+        bpe = encoder(tokenizer_path, literal_special, cached_words)
         for batch in batches:
             for r in batch.to_pylist():
                 ids = assemble(bpe, [(p["spaced"], p["head"], p["ids"], p["tail"]) for p in r["parts"]])
@@ -303,10 +307,10 @@ def encode(
 
     long = rows.where(F.length("text") > block_chars).withColumn("row", F.monotonically_increasing_id())
     cuts = long.mapInArrow(blocks, "row long, doc_id string, block long, text string").repartition("row", "block")
-    parts = cuts.mapInArrow(released(encoded, forget), "row long, doc_id string, block long, spaced boolean, head string, ids binary, tail string")
+    parts = cuts.mapInArrow(done(encoded), "row long, doc_id string, block long, spaced boolean, head string, ids binary, tail string")
     whole = parts.groupBy("row", "doc_id").agg(F.sort_array(F.collect_list(F.struct("block", "spaced", "head", "ids", "tail"))).alias("parts"))
-    return id_as_was(rows.where(F.length("text") <= block_chars).mapInArrow(released(short, forget), schema).unionByName(
-        whole.select("doc_id", "parts").mapInArrow(released(joined, forget), schema)), kind)
+    return id_as_was(rows.where(F.length("text") <= block_chars).mapInArrow(done(short), schema).unionByName(
+        whole.select("doc_id", "parts").mapInArrow(done(joined), schema)), kind)
 
 
 def decode(df: DataFrame, *, tokenizer_path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
