@@ -50,7 +50,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, decoded_sha256)."""
     path = public_tokenizers.path("word_bpe_49k.json")
-    out = bpe.encode(docs, tokenizer_path=path, with_text=True)
+    out = bpe.encode(docs, tokenizer_path=path, with_text=True, cached_words=30_000, forgetful=True)
     return out.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
