@@ -142,7 +142,7 @@ def _library(path: str):
 def tokens_of(path: str) -> list[str]:
     """Token of each id; the vocabulary has no decoder, so a text is its tokens between spaces."""
     if path not in _TOKENS:
-        loaded = next((bpe.lib for (at, _), bpe in _ENCODERS.items() if at == path), None)
+        loaded = next((bpe.lib for (at, *_), bpe in _ENCODERS.items() if at == path), None)
         lib = loaded or _library(path)
         _TOKENS[path] = [lib.id_to_token(i) or "" for i in range(lib.get_vocab_size(with_added_tokens=True))]
     return _TOKENS[path]
