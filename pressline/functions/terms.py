@@ -8,7 +8,7 @@ batches and only the counts come back.
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import ahocorasick
 import pyarrow as pa
@@ -52,16 +52,18 @@ class TermSearch:
 def terms_in(c: Column | str, **lists: Sequence[str]) -> Column:
     """struct with a count for each named list: its different terms that occur in the text; NULL counts for a NULL text.
 
-    Use it through ``let``, so that several rules on the counts share one pass.
+    Use it through ``let``, so that several rules on the counts share one pass; searches of one ``let`` share
+    a Python worker too.
     """
     fixed: Lists = tuple((name, tuple(terms)) for name, terms in lists.items())
     kind = ", ".join(f"{name} bigint" for name in lists)
+    made: list[TermSearch] = []  # each task has its own copy of this list
 
     @F.arrow_udf(f"struct<{kind.replace(' bigint', ': bigint')}>")
-    def search(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        terms = TermSearch(fixed)
-        for batch in texts:
-            counts = terms.counts(batch.to_pylist())
-            yield pa.StructArray.from_arrays([pa.array(n, pa.int64()) for n in counts], names=[name for name, _ in fixed])
+    def search(texts: pa.Array) -> pa.Array:
+        if not made:
+            made.append(TermSearch(fixed))
+        counts = made[0].counts(texts.to_pylist())
+        return pa.StructArray.from_arrays([pa.array(n, pa.int64()) for n in counts], names=[name for name, _ in fixed])
 
     return search(col(c))

@@ -13,11 +13,19 @@ from pressline.params import Lexicon
 LEX = Lexicon()
 
 
-def with_tokens(df: DataFrame, *, body: Column | str = "content", lex: Lexicon = LEX) -> DataFrame:
-    """Add the lower-cased body, its terms, its words and their hit mask, the input of all rules on the text."""
+def with_tokens(df: DataFrame, *, body: Column | str = "content", lex: Lexicon = LEX, sample: bool = False, **searches: Column) -> DataFrame:
+    """Add the lower-cased body, its terms, its words and their hit mask, the input of all rules on the text.
+
+    ``sample`` adds the same for the words around the middle; ``searches`` are term searches of other
+    columns.  All searches come last and in one step, so that a task holds one Python worker for them.
+    """
     lowered = let(df, body_lower=F.lower(body))
-    split = let(lowered, body_words=words("body_lower"), body_terms=L.body_terms("body_lower", lex))
-    return let(split, hit_mask=L.hit_mask("body_words", lex))
+    split = let(lowered, body_words=words("body_lower"))
+    masked = let(split, hit_mask=L.hit_mask("body_words", lex))
+    if sample:
+        masked = let(masked, _mid_words=L.mid_words("body_words", "hit_mask", lex), _mid_mask=L.mid_mask("hit_mask", lex))
+        searches["_mid_terms"] = L.body_terms("_mid_words", lex)
+    return let(masked, body_terms=L.body_terms("body_lower", lex), **searches)
 
 
 TOKEN_COLUMNS = ("body_lower", "body_words", "body_terms", "hit_mask")
@@ -46,24 +54,17 @@ def mid_sample_verdict(df: DataFrame, *, body: str = "content", lex: Lexicon = L
 
     Texts of up to ``sample_over`` words are not sampled and give false.
     """
-    judged = with_mid_reason(with_tokens(df, body=body, lex=lex), lex=lex)
+    judged = with_mid_reason(with_tokens(df, body=body, lex=lex, sample=True), lex=lex)
     return judged.withColumn("mid_foreign", F.col("mid_reason").isNotNull()).drop(*TOKEN_COLUMNS, "mid_reason")
 
 
 def with_mid_reason(tokens: DataFrame, *, lex: Lexicon = LEX, only: Column | None = None) -> DataFrame:
-    """Add ``mid_reason`` from the tokens of the whole body, without splitting it again.
+    """Add ``mid_reason`` from the tokens of the whole body and their sample, without splitting it again.
 
     ``only`` restricts the work to the rows where it still matters.
     """
-    wanted = F.lit(True) if only is None else only
-    sampled = let(
-        tokens,
-        _mid_words=F.when(wanted, L.mid_words("body_words", "hit_mask", lex)),
-        _mid_mask=F.when(wanted, L.mid_mask("hit_mask", lex)),
-    )
-    searched = let(sampled, _mid_terms=L.body_terms("_mid_words", lex))
     reason = L.verdict_reason(None, "_mid_words", "_mid_terms", "_mid_mask", lex)
-    return let(searched, mid_reason=reason).drop("_mid_words", "_mid_terms", "_mid_mask")
+    return let(tokens, mid_reason=reason if only is None else F.when(only, reason)).drop("_mid_words", "_mid_terms", "_mid_mask")
 
 
 def record_verdict(records: DataFrame, *, raw: str = "raw", lex: Lexicon = LEX, compat: bool = False) -> DataFrame:

@@ -63,16 +63,23 @@ def scrape_rows(pages: DataFrame, *, rules: Rules = DEFAULT_RULES, columns: Sequ
     before parsing, so they cost next to nothing.  Only what ``columns`` call for
     is planned; ``keep`` names columns of the input that go along.
     """
-    judged = U.with_blacklist_reason(pages.select("page_id", "url", "html", *keep), rules.blacklist, out="_url")
-    dom = parse_pages(judged.withColumn("html", F.when(F.col("_url").isNull(), F.col("html"))), keep=keep)
+    # built-in functions judge the short URL here: the parser is the one Python worker a task needs up to the text rules
+    wanted = U.blacklist_reason("url", F.lower("url"), None, rules.blacklist).isNull()
+    dom = parse_pages(pages.select("page_id", "url", F.when(wanted, F.col("html")).alias("html"), *keep), keep=keep)
     return built(dom, _scrape_steps(rules), {*columns, "narrow"}).select(*columns, *keep)
 
 
 def reject_rows(rows: DataFrame, rules: Rules) -> DataFrame:
     """Add ``reject_reason`` to assembled rows."""
     bl, lex = rules.blacklist, rules.lexicon
+    unwanted = U.blacklist_reason("url", F.lower("url"), None, bl).isNotNull()
+    # pages without a text to look at; the rest of the rules needs the terms of the title
+    shut = unwanted | F.col("_no_page") | F.col("_html").isNotNull()
+    tokens = with_tokens(
+        rows.withColumn("_low_title", F.lower("title")), body=F.when(~shut, F.col("content")), lex=lex, sample=True,
+        _of_url=U.url_terms(F.lower("url"), bl), _of_title=U.title_terms("_low_title", bl))
     early = let(
-        U.with_terms(rows, bl, title="title"),
+        tokens,
         _early=F.when(U.reason_of("url", None, bl).isNotNull(), "url_blacklist")
         .when(F.col("_no_page"), "no_page")
         .when(F.col("_html").isNotNull(), "html_foreign")
@@ -80,9 +87,8 @@ def reject_rows(rows: DataFrame, rules: Rules) -> DataFrame:
         .when(F.col("_of_title.rejects") > 0, "title_reject")
         .when(F.col("content").isNull(), "empty_body"),
     )
-    # rejected rows have no text to look at from here on
-    tokens = with_tokens(early, body=F.when(F.col("_early").isNull(), F.col("content")), lex=lex)
-    terms = tokens.withColumn("_terms", F.col("body_terms.terms_b") > lex.max_substrings)
+    # nothing more is asked about rejected rows
+    terms = early.withColumn("_terms", F.when(F.col("_early").isNull(), F.col("body_terms.terms_b") > lex.max_substrings))
     # the missing mark stands in for an unknown title, as it does in a record
     shown_title = F.coalesce("title", F.lit("N/A"))
     language = let(

@@ -367,3 +367,30 @@ def test_table_function_gives_the_node_table(spark):
     assert same(got) == same(want)
     last = spark.sql("select max(node_id) as n from page_nodes(table(select 1L, 'u', '<b>x</b>')) where tag = 'b'").first()
     assert last.n == 0
+
+
+def test_a_scrape_holds_two_python_workers_a_task(spark):
+    df = spark.createDataFrame([(1, "https://news.example/a/", "<h1>x</h1>")], "page_id long, url string, html string")
+    plan = scrape_rows(df)._jdf.queryExecution().executedPlan().toString()
+    assert (plan.count("MapInArrow"), plan.count("ArrowEvalPython")) == (1, 1)
+
+
+def test_the_first_reject_rule_wins_over_all_that_follow(spark):
+    from pressline.params import Lexicon
+
+    bl = Blacklist(allowed_langs=("hr",), terms=("bad title",), title_rejects=("no thanks",))
+    rules = dataclasses.replace(DEFAULT_RULES, blacklist=bl, lexicon=Lexicon(max_substrings=3))
+    foreign = " ".join(Lexicon().terms_b) + " " + words(120)
+    made = lambda title, body, lang="hr": f'<html lang="{lang}"><h1 class="entry-title">{title}</h1><p>{body}</p></html>'
+    rows = [
+        (0, "https://news.example/bad-title/", made("Bad title", foreign), "url_blacklist"),
+        (1, "https://news.example/a/", made("Bad title", foreign, "en"), "html_foreign"),
+        (2, "https://news.example/a/", made("A bad title", foreign), "title_blacklist"),
+        (3, "https://news.example/a/", made("Well, no thanks", foreign), "title_reject"),
+        (4, "https://news.example/a/", made("Dobar naslov", foreign), "indicator_terms"),
+        (5, None, made("Dobar naslov", words(120)), None),
+        (6, None, None, "no_page"),
+    ]
+    df = spark.createDataFrame([r[:3] for r in rows], "page_id long, url string, html string")
+    got = scrape_rows(df, rules=rules).orderBy("page_id").collect()
+    assert [r.reject_reason for r in got] == [r[3] for r in rows]
