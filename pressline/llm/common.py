@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from pressline.session import cut
 
-__all__ = ["broadcast_if", "cut", "held_out", "id_as_text", "id_as_was", "id_sample", "read", "released", "text_rows", "xxhash_unit"]
+__all__ = ["broadcast_if", "cut", "driver_released", "held_out", "id_as_text", "id_as_was", "id_sample", "read", "released", "text_rows", "xxhash_unit"]
 
 
 def read(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -28,6 +28,16 @@ def _give_back() -> None:
         pass
 
 
+def driver_released(spark: SparkSession) -> None:
+    """Drop on the driver what finished jobs have left: their plans, broadcast tables and freed Python memory.
+
+    Spark lets go of broadcasts and shuffle files when the driver's JVM collects its garbage, and a heap that
+    grew during one job shrinks then; for work of many jobs, between them.
+    """
+    _give_back()
+    spark._jvm.System.gc()
+
+
 def released(run: Callable[[Iterator], Iterator], forget: Callable[[], None] = gc.collect) -> Callable[[Iterator], Iterator]:
     """A Python stage that ends a task with an empty hand: ``forget`` drops what its module holds, and freed memory is given back.
 

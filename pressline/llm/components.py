@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pressline.llm.common import cut
+from pressline.llm.common import cut, driver_released
 
 
 def _star(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -16,7 +16,7 @@ def _star(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, component) for every node of the undirected edges (u, v); a component is named by its lowest node.
 
-    Every round is written to the shared folder.  A hub's edges are many rows with one key; the join
+    Every round is written to the shared folder, and the driver keeps nothing of it.  A hub's edges are many rows with one key; the join
     with the table of minima is left for adaptive execution to split.
     """
     edges = cut(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
@@ -33,4 +33,6 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
                 edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
         before = state
+        del both, low, large, down, small
+        driver_released(edges.sparkSession)
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")

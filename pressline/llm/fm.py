@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pressline.llm.common import id_as_text, id_as_was, id_sample, released, text_rows
+from pressline.llm.common import driver_released, id_as_text, id_as_was, id_sample, released, text_rows
 
 BITS = 17
 FACTORS = 8
@@ -186,7 +186,10 @@ def train(docs: DataFrame, labels: DataFrame, features: Features, *, label_col:
     kind = texts.schema["doc_id"].dataType.simpleString()
     got = texts.mapInArrow(released(vectors), f"doc_id {kind}, y int, i binary, x binary").collect()
     got.sort(key=lambda r: (str(r["doc_id"]), r["i"], r["x"]))  # the order of the tasks must not matter
-    return fit([(r["y"], np.frombuffer(r["i"], np.int32), np.frombuffer(r["x"], np.float32)) for r in got], **options)
+    model = fit([(r["y"], np.frombuffer(r["i"], np.int32), np.frombuffer(r["x"], np.float32)) for r in got], **options)
+    del got
+    driver_released(docs.sparkSession)
+    return model
 
 
 def score(df: DataFrame, model: Model, features: Features, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

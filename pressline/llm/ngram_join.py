@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from pressline.llm.common import broadcast_if, cut, id_as_text, id_as_was, released, text_rows
+from pressline.llm.common import broadcast_if, cut, driver_released, id_as_text, id_as_was, released, text_rows
 from pressline.llm.components import components
 
 SHINGLE = 4  # words, unless the caller asks for others
@@ -339,6 +339,7 @@ def verified(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, shingle: int,
     one = cut(wanted.join(nodes.select("node", "any_id"), "node").select("any_id").distinct())
     maybe = perhaps_among(rows, one)
     texts = maybe.join(one, maybe["doc_id"].eqNullSafe(one["any_id"]), "left_semi").select("doc_id", "text")
+    driver_released(rows.sparkSession)
     sets = per_text(texts, lambda _, s: [(node_of(s), s.tobytes())] if len(s) else [], "node long, s binary", shingle)
     sets = sets.join(wanted, "node", "left_semi").dropDuplicates(["node"])
     met = near.join(sets.select(F.col("node").alias("u"), F.col("s").alias("s_u")), "u").join(
@@ -371,6 +372,7 @@ def linked(df: DataFrame, id_col: str, text_col: str, shingle: int, percent: int
     bits, mean_list, sizes = heavy_table(rows, shingle)
     boundary = choose_boundary(sizes, mean_list, percent)
     table = df.sparkSession.sparkContext.broadcast(bits)  # of fixed size
+    driver_released(df.sparkSession)
 
     def entries(doc_id, text_hash, s):
         if not len(s):
@@ -384,9 +386,11 @@ def linked(df: DataFrame, id_col: str, text_col: str, shingle: int, percent: int
     nodes = cut(docs.where("n_shingles > 0").groupBy("node").agg(F.min(in_order()).alias("first"), F.max("sketch").alias("sketch")))
     nodes = nodes.select("node", "first", F.col("first.doc_id").alias("any_id"), "sketch")
     lists = cut(lists_of(docs))
+    driver_released(df.sparkSession)
     light = light_links(docs)
     candidates = short_list_pairs(lists, nodes, percent).unionByName(long_list_pairs(lists, nodes, None, percent)).distinct()
     first = cut(verified(candidates, nodes, rows, shingle, percent).unionByName(light))
+    driver_released(df.sparkSession)
     labels = components(first)
     merged = labels
     if lists.where(F.col("f") > LONG_LIST).limit(1).count():

@@ -219,3 +219,14 @@ def test_fingerprints_follow_order(docs):
     got = {r.doc_id: r.fingerprint for r in fingerprint.fingerprints(one, "text", "doc_id").collect()}
     alike = lambda x, y: sum(p == q for p, q in zip(got[x], got[y], strict=True)) / fingerprint.FUNCTIONS
     assert alike(1, 3) > 0.8 and alike(1, 2) < 0.8
+
+
+def test_the_driver_lets_go_after_rounds(spark, monkeypatch):
+    import importlib
+
+    stars = importlib.import_module("pressline.llm.components")
+    done, release = [], stars.driver_released
+    monkeypatch.setattr(stars, "driver_released", lambda s: done.append(release(s)))
+    edges = spark.createDataFrame([(k, k + 1) for k in range(5)], "u long, v long")
+    assert sorted(map(tuple, stars.components(edges).collect())) == [(k, 0) for k in range(6)]
+    assert done
